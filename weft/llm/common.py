@@ -83,3 +83,31 @@ def alnum_words(text: str | None) -> list[bytes]:
 def space_words(text: str | None) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ of the text with A-Z lower-cased, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def map_text(df: DataFrame, make, added: str, inputs: list[str]) -> DataFrame:
+    """Adds the columns of the DDL string ``added``, computed batch by batch in Python.
+
+    ``make`` is called once in each task and gives a function from the lists of the
+    ``inputs`` columns to the added columns as lists or Arrow arrays. The other
+    columns pass through as they are; input columns that bear an added name are replaced.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
+    new = StructType.fromDDL(added)
+    keep = [f for f in df.schema.fields if f.name not in new.names]
+    kinds = [to_arrow_type(f.dataType) for f in new.fields]
+    names = [f.name for f in keep] + new.names
+    short_batches(df.sparkSession)
+
+    def run(batches):
+        fn = make()
+        for b in batches:
+            got = fn(*[b.column(c).to_pylist() for c in inputs])
+            cols = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(got, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(f.name) for f in keep] + cols, names=names)
+
+    need = list(dict.fromkeys([f.name for f in keep] + inputs))
+    return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, StructType(keep + new.fields))
