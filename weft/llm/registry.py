@@ -1,8 +1,8 @@
 """Queries and SQL of this subpackage."""
 
-from . import bpe, decontamination, quality_rules
+from . import bpe, decontamination, quality_rules, token_files
 
-_MODULES = (bpe, decontamination, quality_rules)
+_MODULES = (bpe, decontamination, quality_rules, token_files)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
