@@ -9,7 +9,7 @@ a key gives a bucket, the bucket's pilot gives a slot, and the slot holds a
 So a look-up costs one hash, one pilot and one slot, whatever the file's size, and
 an absent key is told by its fingerprint but for one time in 2**32.
 
-File: ``WTOK`` and version, payload, sections, then a footer of section offsets.
+File: ``WTOK``, version and bytes of an id, payload, sections, then a footer of section offsets.
 Files go to the shared folder under a name of their own and are renamed when
 whole, so tasks that run again replace their file by an equal one.
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import shared_dir, short_batches, table
 
-MAGIC = b"WTOK\x01\x00\x00\x00"
+MAGIC = b"WTOK\x01\x00\x00"
 #: Documents in a file, about.
 FILE_DOCS = 4096
 #: Pieces in a worker's memo before it becomes the older one and a new one begins.
@@ -71,11 +71,14 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        #: Bytes of an id.
+        self.width = 2 if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        kind = "H" if self.width == 2 else "I"
+        return [array(kind, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = []
@@ -175,22 +178,22 @@ class PerfectHash:
 class Writer:
     """Streams documents in key order to one file; ``close`` gives its manifest row."""
 
-    def __init__(self, folder: str, number: int):
-        self.number = number
+    def __init__(self, folder: str, number: int, width: int = 4):
+        self.number, self.width = number, width
         self.fs, self.folder = filesystem(folder)
         self.fs.create_dir(self.folder, recursive=True)
         self.uri = f"{folder}/tokens-{number:08d}.bin"
         self.path = f"{self.folder}/tokens-{number:08d}.bin"
         self.tmp = f"{self.folder}/_{uuid.uuid4().hex}.tmp"
         self.out = self.fs.open_output_stream(self.tmp)
-        self.out.write(MAGIC)
+        self.out.write(MAGIC + bytes([width]))
         self.keys: list[str | None] = []
         self.lengths = array("q")
 
     def add(self, keys: list[str | None], ids: list[bytes]) -> None:
         self.out.write(b"".join(ids))
         self.keys += keys
-        self.lengths.extend(len(x) // 4 for x in ids)
+        self.lengths.extend(len(x) // self.width for x in ids)
 
     def close(self) -> dict:
         import numpy as np
@@ -221,7 +224,7 @@ class Writer:
             "first": firsts.tobytes(),
             "count": counts.tobytes(),
         }
-        at, table_ = len(MAGIC) + 4 * int(starts[-1]), []
+        at, table_ = 8 + self.width * int(starts[-1]), []
         for name in SECTIONS:
             self.out.write(sections[name])
             table_ += [at, len(sections[name])]
@@ -246,7 +249,8 @@ class Reader:
         self.f = fs.open_input_file(path)
         end, n = self.f.size(), 2 * len(SECTIONS)
         *at, index_end = struct.unpack(f"<{n + 1}Q", self.f.read_at(8 * (n + 1), end - 8 * (n + 1)))
-        if self.f.read_at(8, 0) != MAGIC or index_end != end - 8 * (n + 1):
+        *magic, self.width = self.f.read_at(8, 0)
+        if bytes(magic) != MAGIC or index_end != end - 8 * (n + 1):
             raise ValueError(f"{uri} is not a whole token file")
         part = {s: self.f.read_at(at[2 * i + 1], at[2 * i]) for i, s in enumerate(SECTIONS)}
         self.starts = np.frombuffer(part["starts"], "<u8")
@@ -272,8 +276,12 @@ class Reader:
         return [range(i, i + n) if ok else range(0) for ok, i, n in zip(hit, first, count, strict=True)]
 
     def ids(self, entry: int) -> bytes:
+        """The ids of an entry as little-endian unsigned 32-bit integers."""
+        import numpy as np
+
         a, b = int(self.starts[entry]), int(self.starts[entry + 1])
-        return self.f.read_at(4 * (b - a), len(MAGIC) + 4 * a)
+        data = self.f.read_at(self.width * (b - a), 8 + self.width * a)
+        return np.frombuffer(data, f"<u{self.width}").astype("<u4").tobytes()
 
     def close(self) -> None:
         self.f.close()
@@ -294,14 +302,14 @@ def write(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        end = array("I", [end_id]).tobytes() if end_id is not None else b""
-        out = None
+        out, enc = None, load(tokenizer)
+        end = end_id.to_bytes(enc.width, "little") if end_id is not None else b""
         try:
             for b in batches:
                 if not b.num_rows:
                     continue
-                out = out or Writer(folder, TaskContext.get().partitionId())
-                out.add(b.column(0).to_pylist(), [x + end for x in load(tokenizer).encode(b.column(1).to_pylist())])
+                out = out or Writer(folder, TaskContext.get().partitionId(), enc.width)
+                out.add(b.column(0).to_pylist(), [x + end for x in enc.encode(b.column(1).to_pylist())])
             if out:
                 row, out = out.close(), None
                 yield pa.RecordBatch.from_pylist([row])
