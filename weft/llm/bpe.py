@@ -33,7 +33,7 @@ MEMO = 400_000
 WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
-def _byte_chars() -> dict[str, int]:
+def byte_chars() -> dict[str, int]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -44,7 +44,7 @@ class Vocabulary:
     """Tokens, merges and the test whether two tokens stay apart."""
 
     def __init__(self, spec: dict):
-        chars = _byte_chars()
+        chars = byte_chars()
         model = spec["model"]
         self.special = {}
         for t in spec.get("added_tokens", ()):

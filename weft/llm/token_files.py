@@ -33,6 +33,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .bpe import byte_chars
 from .common import shared_dir, short_batches, table
 
 MAGIC = b"WTOK\x01\x00\x00"
@@ -62,6 +63,7 @@ class Encoder:
     odd = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\|").search
     #: Beyond these, lower-casing and composition by the library and by Python may differ.
     beyond_latin = re.compile(r"[^\x00-\u024f]|\u0130").search
+    letters = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+").fullmatch
     word_and_marks = re.compile(r"([a-z\xdf-\xf6\xf8-\xff]+)([.,;:!?#*$%&|)\"]+)").fullmatch
 
     def __init__(self, path: str):
@@ -75,6 +77,16 @@ class Encoder:
         self.width = 2 if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: The characters that stand for bytes in the vocabulary.
+        self.char_of = {b: c for c, b in byte_chars().items()}
+        tries = ["the", "straße", "éaux", "zzzqx", "internationalisation", "ÿß".lower()]
+        #: Whether a word of lower-case letters goes to the model as it is, byte by byte.
+        self.plain = [self._word(w) for w in tries] == self._ids(tries)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of lower-case Latin letters, by the library's model alone: normalising and splitting leave it as it is."""
+        data = word if word.isascii() else "".join(map(self.char_of.__getitem__, word.encode()))
+        return array("H" if self.width == 2 else "I", [t.id for t in self.tok.model.tokenize(data)]).tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.width == 2 else "I"
@@ -101,6 +113,10 @@ class Encoder:
                 ask.update(x for x in m.groups() if x not in memo)
             else:
                 ask.add(p)
+        if self.plain:
+            for p in [p for p in ask if self.letters(p)]:
+                ask.discard(p)
+                memo[p] = self._word(p)
         asked = list(ask)
         memo.update(zip(asked, self._ids(asked), strict=True))
         for p, (a, b) in parts.items():
