@@ -24,6 +24,11 @@ def sample(docs: DataFrame, labels: DataFrame, grade: Column, most: int, key: st
     return rows.groupBy("k").agg(F.min("t").alias("t"), F.first("y").alias("y"))
 
 
+def beginnings(word: bytes, sizes: tuple[int, ...] = (PREFIX,)) -> list[bytes]:
+    """The word, and its first bytes of the given numbers where it is longer, marked."""
+    return [word] + [b"^" + word[:n] for n in sizes if len(word) > n]
+
+
 def tokens(text: str | None) -> list[bytes]:
     """Words with A-Z lower-cased, and the first ``PREFIX`` bytes of longer ones, marked."""
     words = alnum_words(text)

@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples.
 
 Examples are a bounded sample of labelled documents (``MAX_EXAMPLES``). Their index
-terms are the words and word beginnings whose presence goes with the label
-(chi-squared of ``CHI2`` or more, at most ``MAX_TERMS``); a vector holds
+terms are the words and word beginnings, once, or some times in a text, whose presence
+goes with the label (chi-squared of ``CHI2`` or more, at most ``MAX_TERMS``); a vector holds
 (1 + ln tf) * idf of them, at length one. The index is inverted: for each term and
 block of examples the postings and their greatest weight. A query adds up the
 blocks' greatest possible cosines, scores blocks from the greatest down, and stops
@@ -27,18 +27,30 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import digest_mod, map_text, short_batches, table
-from .labelled import sample, tokens
+from .common import alnum_words, digest_mod, map_text, short_batches, table
+from .labelled import beginnings, sample
 
 MAX_EXAMPLES = 8000
 MAX_TERMS = 3000
-CHI2 = 15.0
+CHI2 = 40.0
 MIN_DF = 5
 BLOCK = 64
-NEIGHBOURS = 15
+NEIGHBOURS = 9
 #: Cosine's worth of the overall share in each vote.
-PRIOR = 0.5
+PRIOR = 0.2
 PREDICT = 0.7
+SIZES = (5, 6, 8)
+TIMES = (2, 3, 5)
+
+
+def terms_of_text(text: str | None) -> Counter:
+    """Words and beginnings with their counts; one seen ``k`` times or more is also a term with "#k", once."""
+    c: Counter = Counter()
+    for w, n in Counter(alnum_words(text)).items():
+        for t in beginnings(w, SIZES):
+            c[t] += n
+    c.update([t + b"#%d" % k for t, n in list(c.items()) for k in TIMES if n >= k])
+    return c
 
 
 class BlockMaxIndex:
@@ -69,8 +81,27 @@ class BlockMaxIndex:
         return t, (w / math.sqrt(float(w @ w)) if len(w) else w).tolist()
 
     def counts(self, text: str | None) -> dict[int, int]:
-        get = self.terms.get
-        return Counter([n for n in map(get, tokens(text)) if n is not None])
+        """The text's index terms and their counts: those of ``terms_of_text`` that the index has."""
+        if not hasattr(self, "plain"):
+            self.plain = {t.rpartition(b"#")[0] if b"#" in t else t for t in self.terms}
+            self.of_word: dict[bytes, tuple[bytes, ...]] = {}
+        memo, found = self.of_word, Counter()
+        for w in alnum_words(text):
+            own = memo.get(w)
+            if own is None:
+                if len(memo) > 500_000:
+                    memo.clear()
+                own = memo[w] = tuple(t for t in beginnings(w, SIZES) if t in self.plain)
+            if own:
+                found.update(own)
+        out = {}
+        for t, n in found.items():
+            if t in self.terms:
+                out[self.terms[t]] = n
+            for k in TIMES:
+                if n >= k and (more := self.terms.get(t + b"#%d" % k)) is not None:
+                    out[more] = 1
+        return out
 
     def nearest(self, counts: dict[int, int], k: int, without: int = -1):
         """Exactly the ``k`` examples of the greatest positive cosines, and these."""
@@ -172,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
 
         for b in batches:
             for t, label_ in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = list(set(tokens(t)))
+                found = list(terms_of_text(t))
                 yield pa.record_batch([pa.array(found, pa.binary()), pa.array([int(label_)] * len(found), pa.int64())], ["term", "y"])
 
     seen = rows.select("t", "y").mapInArrow(terms_of, "term binary, y long").groupBy("term").agg(F.count("*").alias("df"), F.sum("y").alias("hit"))
@@ -193,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
         for b in batches:
             out = []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                c = Counter([x for x in map(get, tokens(t)) if x is not None])
+                c = {i: n for x, n in terms_of_text(t).items() if (i := get(x)) is not None}
                 out.append({"k": str(k), "t": list(c), "c": list(c.values())})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("k", pa.string()), ("t", pa.list_(pa.int32())), ("c", pa.list_(pa.int32()))]))
 
