@@ -131,14 +131,23 @@ def load(path: str) -> Encoder:
 
 
 def key_hashes(keys: list[str | None]):
-    """Two 64-bit hashes and a fingerprint of each key."""
+    """A 64-bit hash, a 32-bit one for the bucket and a 32-bit fingerprint of each key."""
     import numpy as np
     import xxhash
 
     d = b"".join(xxhash.xxh3_128_digest(b"\x00" if k is None else b"\x01" + k.encode()) for k in keys)
     h = np.frombuffer(d, "<u8").reshape(-1, 2)
-    f1, f2 = h[:, 0] >> np.uint64(32), h[:, 0] & np.uint64(0xFFFFFFFF)
-    return f1, f2, h[:, 1] >> np.uint64(32), (h[:, 1] & np.uint64(0xFFFFFFFF)).astype("<u4")
+    return h[:, 0], h[:, 1] >> np.uint64(32), (h[:, 1] & np.uint64(0xFFFFFFFF)).astype("<u4")
+
+
+def _spread(h, d, n: int):
+    """A place below ``n`` for each hash, another one for each ``d``."""
+    import numpy as np
+
+    x = h + np.asarray(d, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) % np.uint64(n)).astype(np.int64)
 
 
 class PerfectHash:
@@ -158,8 +167,8 @@ class PerfectHash:
         pilots = np.zeros(buckets, "<u8")
         if not n:
             return cls(pilots, 0)
-        f1, f2, b, _ = key_hashes(keys)
-        f1, f2, b = (f1 % n).astype(np.int64), (f2 % n).astype(np.int64), (b % buckets).astype(np.int64)
+        h, b, _ = key_hashes(keys)
+        b = (b % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(b, kind="stable")
         ends = np.searchsorted(b[order], np.arange(buckets + 1))
         free = np.ones(n, bool)
@@ -169,7 +178,7 @@ class PerfectHash:
             if not len(own):
                 break
             for d in range(1 << 20):
-                p = (f1[own] + d * f2[own]) % n
+                p = _spread(h[own], np.array([d], np.uint64), n)
                 if len(own) > 1 and len(set(p.tolist())) < len(own):
                     continue
                 fits = free[(at + p[0]) % n]
@@ -183,12 +192,12 @@ class PerfectHash:
                 raise ValueError("no pilot found: two keys have equal hashes")
         return cls(pilots, n)
 
-    def slots(self, f1, f2, b):
+    def slots(self, h, b):
         import numpy as np
 
         n = np.uint64(self.n)
         pilot = self.pilots[(b % np.uint64(len(self.pilots))).astype(np.int64)]
-        return ((f1 % n + (pilot // n) * (f2 % n) + pilot % n) % n).astype(np.int64)
+        return (_spread(h, pilot // n, self.n) + (pilot % n).astype(np.int64)) % self.n
 
 
 class Writer:
@@ -226,8 +235,8 @@ class Writer:
         mph = PerfectHash.build(distinct)
         firsts, counts, prints = (np.zeros(len(distinct), "<u4") for _ in range(3))
         if distinct:
-            f1, f2, b, fingerprint = key_hashes(distinct)
-            slot = mph.slots(f1, f2, b)
+            h, b, fingerprint = key_hashes(distinct)
+            slot = mph.slots(h, b)
             firsts[slot], counts[slot], prints[slot] = first, count, fingerprint
         raw = [(k or "").encode() for k in self.keys]
         sections = {
@@ -285,8 +294,8 @@ class Reader:
         """The entries of each key; an empty range for an absent one."""
         if not len(self.prints) or not keys:
             return [range(0)] * len(keys)
-        f1, f2, b, fingerprint = key_hashes(keys)
-        slot = self.mph.slots(f1, f2, b)
+        h, b, fingerprint = key_hashes(keys)
+        slot = self.mph.slots(h, b)
         hit = (self.prints[slot] == fingerprint).tolist()
         first, count = self.first[slot].tolist(), self.count[slot].tolist()
         return [range(i, i + n) if ok else range(0) for ok, i, n in zip(hit, first, count, strict=True)]
