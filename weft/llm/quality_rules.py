@@ -111,6 +111,8 @@ def with_metrics(df: DataFrame, text: str = "text", out: str = "metrics") -> Dat
         _repeat_words(w, F.col(f"{tmp}g")).alias("n_repeat_words"),
         count(F.size(F.filter(w, lambda x: x.isin(*STOP_WORDS, *[s.capitalize() for s in STOP_WORDS])))).alias("n_stop_words"),
         count((F.length(t) - F.length(F.replace(t, F.lit("!!"), F.lit("")))) / 2).alias("n_bangs"),
+        # not deterministic: a filter on the verdict stays above, and the arrays are made once a row
+        F.monotonically_increasing_id().alias("row"),
     )
     m = lambda c: F.col(out)[c]
     per_word = lambda c: F.coalesce(m(c) / F.nullif(m("n_words"), F.lit(0)), F.lit(0.0))
