@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from weft.plans import relational
+
+_MODULES = (relational,)
+QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
+ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
 
 
 def entry(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/nation.parquet")
+    return QUERIES["fk_violations"](spark, sf_dir)
