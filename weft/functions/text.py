@@ -22,16 +22,16 @@ def normalized(form: str, drop: str | None = None):
 
 def folded(c: Column) -> Column:
     """NFKD without marks, letters and digits only, lower case."""
-    return F.lower(F.regexp_replace(normalized("NFKD", "̀-ͯ")(c), r"[^\p{L}\p{N}]", ""))
+    return F.lower(F.regexp_replace(normalized("NFKD", r"\u0300-\u036f")(c), r"[^\p{L}\p{N}]", ""))
 
 
 def skeleton(c: Column) -> Column:
     """Hebrew consonants: NFD without points and accents."""
-    return normalized("NFD", "֑-ׇ")(c)
+    return normalized("NFD", r"\u0591-\u05c7")(c)
 
 
 def clean_token(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(c, "^﻿", ""), r"[\[\]{}()]", ""))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"^\x{FEFF}", ""), r"[\[\]{}()]", ""))
 
 
 def clean_name(c: Column) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from weft.plans import relational
+from weft.plans import graph, relational
 
-_MODULES = (relational,)
+_MODULES = (relational, graph)
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
 
 
 def entry(spark, sf_dir):
-    return QUERIES["fk_violations"](spark, sf_dir)
+    return QUERIES["cousin_inference"](spark, sf_dir)
