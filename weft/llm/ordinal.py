@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,18 +118,15 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, most:
         def run(texts):
             out = []
             for t in texts:
-                s, x = features(t)
-                if len(s) > MAX_FEATURES:
-                    some = sorted(zip(s, x, strict=True))[:MAX_FEATURES]
-                    s, x = [a for a, _ in some], [b for _, b in some]
-                out.append((s, x))
+                some = sorted(zip(*features(t), strict=True))[:MAX_FEATURES]
+                out.append((array("i", [a for a, _ in some]).tobytes(), array("f", [b for _, b in some]).tobytes()))
             return [[a for a, _ in out], [b for _, b in out]]
 
         return run
 
-    rows = map_text(sample(docs, labels, grade, most), make, "s array<int>, x array<float>", ["t"]).drop("t")
+    rows = map_text(sample(docs, labels, grade, most), make, "s binary, x binary", ["t"]).drop("t")
     got = sorted(rows.collect(), key=lambda r: r.k)
-    return OrdinalModel.fit([(r.s, r.x) for r in got], [r.y for r in got], n_grades)
+    return OrdinalModel.fit([(array("i", bytes(r.s)), array("f", bytes(r.x))) for r in got], [r.y for r in got], n_grades)
 
 
 def score(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
