@@ -44,8 +44,11 @@ PATTERNS = {
 }
 FEMALE = "^(?:Mrs|Ms|Sra|Srta|Mme|Mlle|Miss|Frau|Madame|Señora|Señorita|Госпожа|Κυρία)"
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Cheap first look: texts without any of these have no entity.
-MAYBE = r"[@0-9]|Mr|Ms|Dr\.|Prof|Sr|Mme|Mlle|Miss|Mister|Herr|Frau|Monsieur|Madame|Señor|Господин|Госпожа|Κύρι|Κυρία|(?:sk|pk|ghp|gho|xoxb|xoxp)[_\-]|A[KS]IA|[a-fA-F]{32}"
+#: Cheap first look, one character class at most places: texts without any of these have no entity. Keys and tokens hold a digit.
+MAYBE = r"(?=[@0-9MDPSHFГΚ])(?:[@0-9]|(?<!\p{L})(?:Mr|Ms|Dr\.|Prof\.|Sr|Mme|Mlle|Mis|Herr |Frau |Monsieur |Madame |Señor|Господин|Госпожа|Κύρι|Κυρία))"
+#: Entities begin where no letter or digit stands before, but for the bracket or plus of a phone number.
+PATTERN_FAST = rf"(?<![\p{{L}}\p{{N}}])(?:{PATTERN})"
+
 
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ka ke ko la le lo ma me mo na ne no pa pe ra re ro sa se so ta te to va ve vo za ze zo".split(),
@@ -223,7 +226,7 @@ def poured(kind: Column, surface: Column, made: Column) -> Column:
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with every entity in ``text`` replaced; the same columns in the same order."""
     t = F.col(f"`{text}`")
-    found = F.when(t.rlike(MAYBE), F.regexp_extract_all(t, F.lit(PATTERN), 0)).otherwise(F.array().cast("array<string>"))
+    found = F.when(t.rlike(MAYBE), F.regexp_extract_all(t, F.lit(PATTERN_FAST), 0)).otherwise(F.array().cast("array<string>"))
     marked = docs.withColumn("__pii_hits", F.coalesce(found, F.array().cast("array<string>")))
     clean = marked.filter(F.size("__pii_hits") == 0).drop("__pii_hits")
     dirty = marked.filter(F.size("__pii_hits") > 0).withColumn("__pii_key", F.sha2(t.cast("binary"), 256))
@@ -238,7 +241,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     joined = F.transform("__pii_new", lambda x: F.concat(F.when(x["u"] > 0, " ").otherwise("\u0000"), x["new"]))
     per_text = per_text.select("__pii_key", F.slice(F.split(F.array_join(joined, ""), "\u0000"), 2, F.lit(1 << 30)).alias("__pii_new"))
     done = dirty.join(per_text, "__pii_key")
-    between = F.split(t, PATTERN, -1)
+    between = F.split(t, PATTERN_FAST, -1)
     whole = F.array_join(F.zip_with(between, F.col("__pii_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     done = done.withColumn(text, whole)
     cols = [F.col(f"`{c}`") for c in docs.columns]
@@ -248,7 +251,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
 def entities(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``entities``, all that ``text`` has, as an array of (kind, canon, surface)."""
     t = F.col(f"`{text}`")
-    return df.withColumn("entities", F.flatten(F.transform(F.coalesce(F.regexp_extract_all(t, F.lit(PATTERN), 0), F.array().cast("array<string>")), units)))
+    return df.withColumn("entities", F.flatten(F.transform(F.coalesce(F.regexp_extract_all(t, F.lit(PATTERN_FAST), 0), F.array().cast("array<string>")), units)))
 
 
 KEY = "weft"
