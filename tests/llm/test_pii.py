@@ -1,0 +1,50 @@
+import re
+
+from weft.llm import pii
+
+TEXT = (
+    "Call Mr. John Smith or Dr. Smith at +1 (614) 555-8001, or 614-555-8001; mail ab12@mail8.example.com, AB12@MAIL8.EXAMPLE.COM!! ip 169.122.221.182, "
+    "card 4012888888881881 or 4012-8888-8888-1881, bad card 4012888888881882; Frau Anna Müller; ssn 123-45-6789, DE89 3704 0044 0532 0130 00; "
+    'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", 9233a8ecf7c5b09fe5949719b6b82bc439e9329b. Господин Иван Петров.'
+)
+
+
+def luhn(number):
+    d = [int(c) for c in number[::-1]]
+    return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0
+
+
+def test_surrogates_keep_kind_form_and_reference(spark):
+    rows = [(1, TEXT), (2, "again Dr. Smith, ab12@mail8.example.com and Frau Smith"), (2, "again Dr. Smith, ab12@mail8.example.com and Frau Smith"), (3, None), (4, ""), (5, "nothing 7 here")]
+    df = spark.createDataFrame(rows, "doc_id int, text string").selectExpr("doc_id", "text", "'x' AS kind", "1 AS canon", "2 AS h")
+    out = pii.replace_entities(df, "key")
+    assert out.columns == df.columns
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert out.count() == 6 and got[3] is None and got[4] == "" and got[5] == "nothing 7 here"
+    new = got[1]
+    for entity in ("Smith", "John", "614", "8001", "ab12", "169.122", "4012888888881881", "Müller", "123-45", "3704", "9233A8", "9233a8", "Петров"):
+        assert entity not in new, entity
+    m = re.fullmatch(
+        r"Call Mr\. (\w+) (\w+) or Dr\. (\w+) at \+1 \((\d{3})\) 555-(\d{4}), or (\d{3})-555-(\d{4}); mail (\S+@\S+\.com), (\S+@\S+\.COM)!! ip (10\.\d+\.\d+\.\d+), "
+        r"card (\d{16}) or (\d{4}-\d{4}-\d{4}-\d{4}), bad card (\d{16}); Frau (\w+) (\w+); ssn (9\d\d-\d\d-\d{4}), DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d; "
+        r'TOKEN = "([0-9A-F]{40})", ([0-9a-f]{40})\. Господин ([а-яА-Я]+) ([а-яА-Я]+)\.',
+        new,
+    )
+    assert m, new
+    g = m.groups()
+    assert g[1] == g[2] and g[3:5] == g[5:7] and g[8] == g[7].upper() and g[11].replace("-", "") == g[10] and g[16].lower() == g[17]
+    assert g[0].endswith("ron") and g[13].endswith("lia") and luhn(g[10]) and not luhn(g[12]) and g[10][0] == "4"
+    assert f"Dr. {g[1]}, {g[7]} and Frau {g[1]}" in got[2]
+    assert pii.replace_entities(df.limit(0), "key").count() == 0
+    other = {r.doc_id: r.text for r in pii.replace_entities(df, "another key").collect()}
+    assert other[2] != got[2]
+
+
+def test_distinct_entities_stay_distinct(spark):
+    # short local parts, so that first draws meet each other and real entities
+    mails = [f"{a}{b}@{c}.example.com" for a in "abcdefgh" for b in "xyz" for c in "mn"]
+    ents = spark.createDataFrame([("email", m) for m in mails] + [("ip", f"10.0.0.{i}") for i in range(40)], "kind string, canon string")
+    rows = pii.surrogates(ents, "k").collect()
+    assert len(rows) == len(mails) + 40
+    assert len({r.surrogate for r in rows}) == len(rows)
+    assert not {r.surrogate for r in rows} & {r.canon for r in rows}

@@ -470,7 +470,7 @@ def score(
             counts = np.bincount(inverse, train[there], len(distinct)).astype(np.int64)
             ends = bucket_ends(distinct, buckets)
             for k in range(buckets):
-                if ends[k + 1] > ends[k]:
+                if ends[k + 1] > ends[k] or not k:  # a batch without keys still gets an answer
                     own = slice(ends[k], ends[k + 1])
                     yield {"batch": batch, "bucket": k, "payload": join_parts([pack(deltas(distinct[own])), pack(counts[own])])}
 
@@ -488,7 +488,7 @@ def score(
             sent, used, lower, wanted = e.raise_to(order, want_context=True)
             ends = bucket_ends(sent, buckets)
             for k in range(buckets):
-                if ends[k + 1] > ends[k]:
+                if ends[k + 1] > ends[k] or not k:  # a batch without keys still gets an answer
                     own = slice(ends[k], ends[k + 1])
                     yield {"batch": batch, "bucket": k, "payload": join_parts([pack(deltas(sent[own])), used[own].tobytes(), lower[own].tobytes(), pack(wanted[own])])}
 
