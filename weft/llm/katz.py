@@ -333,7 +333,9 @@ class Evaluation:
 
         g, before, there = self.b.grams(order)
         at = np.flatnonzero(there)
+        tokens, contexts = len(g), before[at]
         distinct, inverse = np.unique(g[at], return_inverse=True)
+        del g, before, there  # a batch's arrays are large: few live at once
         answer = unpack(self.store.get(f"{self.name}-{order}")).astype(np.int64)
         total, own = answer >> 1, (answer & 1).astype(bool)
         c = total[inverse]
@@ -342,7 +344,6 @@ class Evaluation:
         share = np.zeros(len(at))
         share[seen] = discounted(c[seen], self.model.d[order]) / context_count[seen]
         asked = ~seen & (context_count > 0)
-        contexts = before[at]
         wanted = np.unique(contexts[asked])
         if want_context:
             # each n-gram is added up by one batch, at its first place there
@@ -359,7 +360,7 @@ class Evaluation:
             low[asked] += np.log10(alpha)[np.searchsorted(wanted, contexts[asked])]
         with np.errstate(divide="ignore"):
             self.lp[at] = np.where(seen, np.log10(np.where(seen, share, 1.0)), low)
-        followed = np.zeros(len(g), np.int64)
+        followed = np.zeros(tokens, np.int64)
         followed[at] = c
         self.followed = followed
         return None
@@ -435,6 +436,7 @@ def score(
 
     model = Model()
     words = kept(rows.mapInArrow(cut, BLOB), "words")
+    n = max(1, words.select("batch").distinct().count())  # a task for each batch
     answers = kept(_each(words, "bucket", buckets, _add_words, STATS), "word_counts")
     model.learn(answers, True)
     d1 = model.d[1]
