@@ -154,3 +154,19 @@ def test_readers_and_sinks(spark, tmp_path):
     inv = S.file_inventory(spark, str(p)).first()
     reg = spark.createDataFrame([("a.jsonl", inv.bytes, "0" * 64, inv.lines), ("gone", 1, "x", 1)], "name string, bytes long, sha256 string, lines long")
     assert {(r.name, r.fault) for r in S.lock_violations(S.file_inventory(spark, str(p)), reg).collect()} == {("a.jsonl", "hash"), ("gone", "missing")}
+
+
+def test_passages_codes_and_children(spark, tmp_path):
+    (tmp_path / "x.xml").write_text('<b><verse ref="A 1:1">In <i>the</i></verse>\n<verse ref="A 1:2">x</verse><verse ref="A 1:1">end</verse></b>')
+    assert {r.ref: r.text for r in S.xml_passages(spark, str(tmp_path / "x.xml")).collect()} == {"A 1:1": "In the end", "A 1:2": "x"}
+    lines = spark.createDataFrame([("A.1\tH0001 H0002A",), ("A.1\tH0001",), ("none",)], "line string")
+    assert [(r.ref, list(r.codes)) for r in S.tagged_codes(lines).collect()] == [("A.1", ["H0001", "H0002A"])]
+    kids = spark.createDataFrame([("– Name\traw\tλόγος\tword\t\tMat.1.1; Mat.1.2",), ("– Group\traw\tabc",)], "line string")
+    got = [(r.significance, r.language, r.scope, r.status, len(r.refs)) for r in S.child_rows(kids).collect()]
+    assert got == [("Name", "grc", "canonical", "accepted", 2), ("Group", "latn", "variant", "pending", 0)]
+    p = spark.createDataFrame([(1, "ab ab c")], "p int, t string")
+    assert {(r.token, r.n) for r in S.token_counts(p, "t", "[a-z]+", "p").collect()} == {("ab", 2), ("c", 1)}
+    from weft.operators.review import export_graph
+
+    export_graph({"nodes": kids, "edges": p}, str(tmp_path / "graph"))
+    assert (tmp_path / "graph/nodes").exists() and (tmp_path / "graph/edges").exists()

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weft.plans import graph, relational, texts
+from weft.plans import graph, relational, review, texts
 
-_MODULES = (relational, graph, texts)
+_MODULES = (relational, graph, texts, review)
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
 

@@ -140,3 +140,41 @@ def write_if_small(df: DataFrame, path: str, most: int = 200_000) -> bool:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
     return small
+
+
+def child_rows(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Parts of tab-separated child rows: significance, text, language, scope, status and references.
+
+    Fields are significance, raw name, form, translation, an unused one, references; without
+    references the status is pending. The language is told by the script.
+    """
+    part = lambda i: F.trim(F.coalesce(F.get(F.split(line, "\t"), F.lit(i)), F.lit("")))
+    text = part(2)
+    language = F.when(text.rlike(r"\p{IsGreek}"), "grc").when(text.rlike(r"\p{IsHebrew}"), "hbo").otherwise("latn")
+    refs = F.filter(F.transform(F.split(part(5), r"[;,\s]+"), F.trim), lambda x: x != "")
+    significance = F.regexp_replace(part(0), r"^[–\-]\s*", "")
+    return lines.select(
+        "*", significance.alias("significance"), text.alias("text"), language.alias("language"), F.when(significance.rlike("(?i)^name"), "canonical").otherwise("variant").alias("scope"),
+        F.when(F.size(refs) > 0, "accepted").otherwise("pending").alias("status"), refs.alias("refs"),
+    )
+
+
+def xml_passages(spark: SparkSession, path: str) -> DataFrame:
+    """(file, ref, text) of ``<verse ref="...">`` elements of whole files; repeated references are joined in order."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    found = whole.select("file", F.posexplode(F.regexp_extract_all("value", F.lit(r"(?s)<verse\b[^>]*>.*?</verse>"), 0)).alias("pos", "x"))
+    body = F.trim(F.regexp_replace(F.regexp_replace("x", r"<[^>]*>", " "), r"\s+", " "))
+    one = found.select("file", F.regexp_extract("x", r"""\bref\s*=\s*["']([^"']*)["']""", 1).alias("ref"), "pos", body.alias("t"))
+    return one.groupBy("file", "ref").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "t"))), lambda s: s["t"]), " ").alias("text"))
+
+
+def token_counts(passages: DataFrame, text: str, pattern: str, *keys: str) -> DataFrame:
+    """(keys, token, n): how often each match of the pattern occurs in a passage."""
+    return passages.select(*keys, F.explode(F.regexp_extract_all(text, F.lit(pattern), 0)).alias("token")).groupBy(*keys, "token").agg(F.count("*").alias("n"))
+
+
+def tagged_codes(lines: DataFrame, pattern: str = r"[GH]\d{4}[A-Z]?") -> DataFrame:
+    """(ref, codes) of lines that begin with a reference and a tab: the set of codes of all lines of a reference."""
+    ref = F.regexp_extract("line", r"^(\S+)\t", 1)
+    hit = lines.select(ref.alias("ref"), F.regexp_extract_all("line", F.lit(pattern), 0).alias("c")).filter("ref <> ''")
+    return hit.groupBy("ref").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("c")))).alias("codes"))
