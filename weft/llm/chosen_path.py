@@ -332,7 +332,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float
         (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("n_texts", F.lit(0)).alias("n_texts"),
     )
-    out = sigs.select("doc", "sig").join(found, "sig", "left")
+    # both sides of this join are plain shuffles, so that Spark can split a crowd of copies
+    out = sigs.select("doc", "sig").join(written(found), "sig", "left")
     return out.select(
         F.col("doc").alias(key), F.when(F.col("sig").isNull(), F.col("doc")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_texts"),
