@@ -98,6 +98,17 @@ def two_hop_contexts(edges: DataFrame, pairs: DataFrame, most: int = 5) -> DataF
     one = edges.select("src", "dst").distinct()
     left = pairs.select("a", "b").distinct().join(one.select(F.col("src").alias("a"), F.col("dst").alias("mid")), "a")
     met = left.join(one.select(F.col("src").alias("mid"), F.col("dst").alias("b")), ["mid", "b"]).filter("mid <> a AND mid <> b").distinct()
+    return _first_middles(met, most)
+
+
+def shared_targets(edges: DataFrame, most: int = 5) -> DataFrame:
+    """Up to ``most`` common targets for every two sources a < b that have one, the least first; one row a target and pair."""
+    one = edges.select("src", F.col("dst").alias("mid")).distinct()
+    met = one.withColumnRenamed("src", "a").join(one.withColumnRenamed("src", "b"), "mid").filter("a < b AND mid <> a AND mid <> b")
+    return _first_middles(met, most)
+
+
+def _first_middles(met: DataFrame, most: int) -> DataFrame:
     w = Window.partitionBy("a", "b").orderBy("mid")
     return met.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most).select("a", "b", "mid", "place")
 

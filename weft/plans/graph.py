@@ -9,6 +9,7 @@ from weft.operators import inference as I
 from weft.operators import mutation as M
 from weft.operators import validation as V
 from weft.plans.relational import t
+from weft.sources.tables import kept
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -36,17 +37,32 @@ H = """h AS (SELECT 'R' || n_regionkey AS parent, 'N' || lpad(n_nationkey::VARCH
 UNION ALL SELECT 'N' || lpad(s_nationkey::VARCHAR, 3, '0'), 'S' || lpad(s_suppkey::VARCHAR, 6, '0'), 'asrt-S' || lpad(s_suppkey::VARCHAR, 6, '0') FROM supplier)"""
 
 
-def g_edges(spark, sf_dir):
-    """(src, dst, edge_id, way): suppliers and their parts of every 397th key, both ways; paths over all parts would grow with its square."""
-    l = t(spark, sf_dir, "lineitem").filter("l_partkey % 397 = 0").select("l_suppkey", "l_partkey").distinct()
+def _supplies(spark, sf_dir, where: str = "true"):
+    l = t(spark, sf_dir, "lineitem").filter(where).select("l_suppkey", "l_partkey").distinct()
     a, b = F.concat(F.lit("s"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0")), F.concat(F.lit("p"), F.lpad(F.col("l_partkey").cast("string"), 7, "0"))
     e = l.select(a.alias("a"), b.alias("b")).withColumn("edge_id", F.concat("a", F.lit("-"), "b"))
     return G.both_ways(e, "a", "b", "edge_id")
 
 
+def g_edges(spark, sf_dir):
+    """(src, dst, edge_id, way): suppliers and their parts of every 397th key, both ways; the slice that GE fixes. All lines: whole_edges."""
+    return _supplies(spark, sf_dir, "l_partkey % 397 = 0")
+
+
+def whole_edges(spark, sf_dir):
+    """(src, dst, edge_id, way): suppliers and their parts of all lines, both ways."""
+    return _supplies(spark, sf_dir)
+
+
 GE = """e0 AS (SELECT DISTINCT 's' || lpad(l_suppkey::VARCHAR, 7, '0') AS a, 'p' || lpad(l_partkey::VARCHAR, 7, '0') AS b FROM lineitem WHERE l_partkey % 397 = 0),
 g AS (SELECT a AS src, b AS dst, a || '-' || b AS edge_id FROM e0 UNION ALL SELECT b, a, a || '-' || b FROM e0)"""
 
+WHOLE = """e0 AS (SELECT DISTINCT 's' || lpad(l_suppkey::VARCHAR, 7, '0') AS a, 'p' || lpad(l_partkey::VARCHAR, 7, '0') AS b FROM lineitem),
+g AS (SELECT a AS src, b AS dst, a || '-' || b AS edge_id FROM e0 UNION ALL SELECT b, a, a || '-' || b FROM e0)"""
+
+#: Sources from which paths over all lines are asked for; pairs of all nodes grow with the square of the graph.
+SOURCES = ("p0000001", "s0000001")
+
 SIB = "sib AS (SELECT x.child AS a, y.child AS b, x.edge_id AS ea, y.edge_id AS eb FROM h x JOIN h y ON x.parent = y.parent AND x.child < y.child)"
 
 
@@ -116,6 +132,12 @@ def two_hop_contexts(spark, sf_dir):
     return G.two_hop_contexts(g, pairs)
 
 
+@query(f"""WITH {WHOLE}, p AS (SELECT x.a, y.a AS b, x.b AS mid FROM e0 x JOIN e0 y ON x.b = y.b WHERE x.a < y.a)
+SELECT a, b, mid, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY mid) AS place FROM p) WHERE place <= 5""")
+def whole_two_hop_contexts(spark, sf_dir):
+    return G.shared_targets(whole_edges(spark, sf_dir).filter("src LIKE 's%'"))
+
+
 def _levels(depth: int) -> str:
     out = "l1 AS (SELECT src, dst, [src, dst] AS ids, [edge_id || ':' || src || '->' || dst] AS steps FROM g)"
     for d in range(2, depth + 1):
@@ -132,9 +154,25 @@ def paths_2_to_4(spark, sf_dir):
     return p.select("src", "dst", F.array_join("ids", ">").alias("ids"), "length", G.path_id("connection").alias("id"))
 
 
+def paths_from(edges, sources=SOURCES):
+    """Canonical paths of 2 to 4 steps from ``sources`` to every node."""
+    nodes = edges.select(F.col("src").alias("dst")).distinct()
+    pairs = nodes.select(F.explode(F.array(*[F.lit(x) for x in sources])).alias("src"), "dst")
+    return G.canonical_paths(edges, pairs=pairs).filter("length > 1")
+
+
+@query(f"""WITH {WHOLE}, {_levels(4).replace("FROM g)", f"FROM g WHERE src IN {SOURCES})", 1)}, a AS (SELECT *, 2 AS length FROM l2 UNION ALL SELECT *, 3 FROM l3 UNION ALL SELECT *, 4 FROM l4)
+SELECT src, dst, array_to_string(ids, '>') AS ids, length, 'mh-' || substr(sha256('connection|' || src || '|' || dst || '|' || array_to_string(steps, ',')), 1, 16) AS id FROM a""")
+def whole_paths_2_to_4(spark, sf_dir):
+    p = paths_from(whole_edges(spark, sf_dir))
+    return p.select("src", "dst", F.array_join("ids", ">").alias("ids"), "length", G.path_id("connection").alias("id"))
+
+
 @query("SELECT ''::VARCHAR AS src, ''::VARCHAR AS dst, ''::VARCHAR AS fault WHERE false")
 def path_invariants(spark, sf_dir):
-    return G.path_faults(G.canonical_paths(g_edges(spark, sf_dir)).filter("length > 1"))
+    """Faults of all pairs' paths on the slice and of the paths from SOURCES over all lines."""
+    paths = G.canonical_paths(g_edges(spark, sf_dir)).filter("length > 1").unionByName(paths_from(whole_edges(spark, sf_dir)))
+    return G.path_faults(paths)
 
 
 HG = "g AS (SELECT parent AS src, child AS dst, edge_id FROM h UNION ALL SELECT child, parent, edge_id FROM h)"
@@ -161,6 +199,12 @@ def component_of_focus(spark, sf_dir):
     return G.component(g, g.agg(F.min("src")).first()[0] or "").select("node").join(g.select(F.col("src").alias("node")).distinct(), "node", "left_semi")
 
 
+@query(f"""WITH RECURSIVE {WHOLE}, f AS (SELECT min(src) AS node FROM g), r AS (SELECT node FROM f UNION SELECT dst FROM r JOIN g ON node = src) SELECT node FROM r""")
+def whole_component_of_focus(spark, sf_dir):
+    g = kept(whole_edges(spark, sf_dir))
+    return G.component(g, g.agg(F.min("src")).first()[0] or "").select("node").join(g.select(F.col("src").alias("node")).distinct(), "node", "left_semi")
+
+
 _PRI = "CASE l_returnflag WHEN 'R' THEN 30 WHEN 'A' THEN 20 ELSE 10 END + CASE WHEN l_quantity > 40 THEN 3 WHEN l_quantity > 20 THEN 2 ELSE 1 END"
 
 
