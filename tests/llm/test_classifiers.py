@@ -70,3 +70,14 @@ def test_gradient_lowers_the_loss():
     m = O.OrdinalModel.fit(rows, [1, 0] * 10, 2)
     good, bad = m.score("good text here")[0], m.score("bad *** ***")[0]
     assert good > 0.9 and bad < 0.1
+
+
+def test_long_texts_are_fitted_on_all_features(spark, monkeypatch):
+    text = " ".join(f"word{i}" for i in range(9000))
+    docs = spark.createDataFrame([(i, text) for i in range(6)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(O.OrdinalModel, "fit", classmethod(lambda cls, rows, *a, **b: seen.extend(rows)))
+    O.fit(docs, labels, F.col("quality"), 2)
+    want = sorted(O.features(text)[0])
+    assert len(want) > 4000 and seen and all(list(s) == want for s, _ in seen)

@@ -6,7 +6,7 @@ Features are words, their beginnings, and shapes of raw tokens (runs of symbols,
 capitals, repeats), hashed into ``SLOTS`` weights, (1 + ln count) each, at length
 one. Weights and thresholds are fitted together by Adam on the penalised
 likelihood of at most ``MAX_ROWS`` labelled rows. The sample's sparse features go to the driver:
-``MAX_ROWS`` rows of at most ``MAX_FEATURES`` numbers. What is broadcast is ``SLOTS`` weights.
+``MAX_ROWS`` rows of all their features, ``SLOTS`` at most. What is broadcast is ``SLOTS`` weights.
 
 Defined results: null and empty texts have the one feature of their length.
 Repeated rows give repeated results. With no labelled rows every grade is equally
@@ -28,8 +28,6 @@ from .labelled import sample, tokens
 
 SLOTS = 1 << 16
 MAX_ROWS = 8000
-#: Of a labelled row's features those of the least hashes are fitted on, if it has more.
-MAX_FEATURES = 4000
 KEEP = 0.5
 _MARKS = re.compile(rb"[#*$%&|<>!?=_~^+\\/-]{2,}|\|")
 
@@ -118,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, most:
         def run(texts):
             out = []
             for t in texts:
-                some = sorted(zip(*features(t), strict=True))[:MAX_FEATURES]
+                some = sorted(zip(*features(t), strict=True))
                 out.append((array("i", [a for a, _ in some]).tobytes(), array("f", [b for _, b in some]).tobytes()))
             return [[a for a, _ in out], [b for _, b in out]]
 
