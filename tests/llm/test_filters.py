@@ -94,3 +94,11 @@ def test_ranks_against_matrices(spark):
         assert np.allclose(got[f"h{i}"], (x[i], y[i]), atol=1e-9)
     links = spark.createDataFrame([("http://a.com/x", '<a class="k" href="//B.net/q">1</a><A HREF=\'https://c.org?x\'>2</A><a href="/own">3</a><a href="http://a.com">4</a>')], "url string, html string")
     assert {(e.src, e.dst, e.n) for e in U.host_edges(links).collect()} == {("a.com", "b.net", 1), ("a.com", "c.org", 1)}
+
+
+def test_trust_reaches_the_end_of_a_long_chain(spark):
+    n = 33
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(n)], "src string, dst string, n long").coalesce(1)
+    seeds = spark.createDataFrame([("h0", 1.0, 0.0)], "host string, trusted double, blocked double")
+    got = {g.host: g.trust for g in U.propagate(seeds, edges).collect()}
+    assert all(np.isclose(got[f"h{i}"], 0.15 * 0.85**i) for i in range(n + 1))
