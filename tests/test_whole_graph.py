@@ -46,3 +46,11 @@ def test_paths_run_over_all_lines(spark, lines, monkeypatch):
     # the invariants see the same paths
     monkeypatch.setattr(G, "path_faults", lambda paths: paths.select("src", "dst"))
     assert {tuple(x) for x in registry.QUERIES["path_invariants"](spark, at).collect()} == set(want)
+
+
+def test_neighbours_over_any_flag_and_quantity(spark, tmp_path):
+    rows = [(1, 1, "N", 3), (2, 1, "A", 50), (1, 2, "R", 46), (3, 2, "R", 2), (4, 3, "R", 50)]
+    lines = spark.createDataFrame([(i, 1, s, p, f, "O", float(q)) for i, (s, p, f, q) in enumerate(rows)], "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_returnflag string, l_linestatus string, l_quantity double")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {tuple(x) for x in registry.QUERIES["whole_two_hop_neighbourhood"](spark, str(tmp_path)).collect()}
+    assert got == {("s1", "p1"), ("s2", "p1"), ("s1", "p2"), ("s3", "p2")}

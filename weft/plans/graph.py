@@ -232,6 +232,12 @@ def two_hop_neighbourhood(spark, sf_dir):
     return G.neighbourhood(e, "s1").select("src", "dst").distinct()
 
 
+@query("""WITH e AS (SELECT 's' || l_suppkey AS src, 'p' || l_partkey AS dst FROM lineitem),
+n AS (SELECT dst AS n FROM e WHERE src = 's1' UNION SELECT src FROM e WHERE dst = 's1') SELECT DISTINCT src, dst FROM e WHERE src IN (SELECT n FROM n) OR dst IN (SELECT n FROM n)""")
+def whole_two_hop_neighbourhood(spark, sf_dir):
+    return G.neighbourhood(_trades(spark, sf_dir).select("src", "dst").distinct(), "s1")
+
+
 @query("""WITH n AS (SELECT s_suppkey, s_nationkey, s_name, s_acctbal > -990 AS ok FROM supplier),
 m AS (SELECT s_nationkey, min(s_suppkey) AS target FROM n WHERE s_nationkey IN (1, 2, 3, 4, 5, 6) GROUP BY s_nationkey HAVING bool_and(ok) AND count(*) > 1),
 mm AS (SELECT 's' || s_suppkey AS node, s_nationkey FROM n), mt AS (SELECT s_nationkey, min(node) AS target FROM mm WHERE s_nationkey IN (SELECT s_nationkey FROM m) GROUP BY s_nationkey),
