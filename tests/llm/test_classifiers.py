@@ -7,23 +7,83 @@ from weft.llm import ordinal as O
 from weft.llm import toxicity as T
 
 
+def all_cosines(index, vectors, h, n):
+    """Cosines with all examples, one by one."""
+    weights = dict(zip(index.term.tolist(), index.worth.tolist(), strict=True))
+
+    def vector(h, n):
+        w = {a: (1 + np.log(b)) * weights.get(a, index.unknown) for a, b in zip(h.tolist(), n.tolist(), strict=True)}
+        length = sum(x * x for x in w.values()) ** 0.5
+        return {a: x / length for a, x in w.items()}
+
+    q = vector(h, n)
+    return np.array([sum(x * q.get(a, 0.0) for a, x in vector(*v).items()) for v in vectors])
+
+
+def held_against_all(index, vectors, queries, k=9):
+    for (h, n), (found, cosine) in zip(queries, index.nearest(queries, k), strict=True):
+        want = all_cosines(index, vectors, h, n)
+        order = np.lexsort((np.arange(len(want)), -np.round(want, 6)))[:k]
+        order = order[want[order] > 0]
+        assert np.allclose(cosine, want[order], atol=1e-6) and np.allclose(want[found], want[order], atol=1e-6)
+
+
 def test_nearest_are_those_of_all_cosines():
     r = random.Random(2)
-    terms = {f"t{i}".encode(): i for i in range(60)}
-    vectors = [{r.randrange(60): r.randint(1, 5) for _ in range(r.randint(0, 8))} for _ in range(700)]
-    index = T.BlockMaxIndex(terms, np.array([1 + r.random() * 3 for _ in range(60)]), vectors)
-    dense = np.zeros((700, 60))
-    for i, v in enumerate(vectors):
-        t, w = index.unit(v)
-        dense[i, t] = w
-    for _ in range(200):
-        q = {r.randrange(60): r.randint(1, 5) for _ in range(r.randint(0, 6))}
-        found, cosine = index.nearest(q, 9)
-        t, w = index.unit(q)
-        all_ = dense[:, t] @ np.array(w) if t else np.zeros(700)
-        order = [i for i in np.lexsort((np.arange(700), -np.round(all_, 12))) if all_[i] > 0][:9]
-        assert np.allclose(np.sort(cosine), np.sort(all_[order]))
-        assert found.tolist() == order
+
+    def text():
+        return " ".join(f"t{int(r.random() ** 2 * 80)}" for _ in range(r.randint(0, 9)))
+
+    vectors = [T.hashed_counts(text()) for _ in range(700)]
+    index = T.BlockMaxIndex(vectors, [r.random() < 0.2 for _ in vectors])
+    held_against_all(index, vectors, [T.hashed_counts(text() + " unknown" * r.randint(0, 1)) for _ in range(150)])
+
+
+def test_nearest_of_the_tables_texts(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    known = [r for r in rows if toxic.get(r.doc_id) is not None]
+    vectors = [T.hashed_counts(r.text) for r in known]
+    index = T.BlockMaxIndex(vectors, [toxic[r.doc_id] for r in known])
+    held_against_all(index, vectors, [T.hashed_counts(r.text) for r in rows[:60]])
+
+
+def test_terms_weigh_by_frequency_and_label():
+    vectors = [T.hashed_counts(t) for t in ("bad word", "bad thing", "good word", "good thing")]
+    index = T.BlockMaxIndex(vectors, [1, 1, 0, 0])
+    worth = {w: index.worth[np.searchsorted(index.term, T.hashed_counts(w)[0][0])] for w in ("bad", "good", "word")}
+    idf = np.log(5 / 3) + 1
+    assert np.isclose(worth["bad"], idf * (T.FLOOR + 1)) and np.isclose(worth["good"], worth["bad"]) and np.isclose(worth["word"], idf * T.FLOOR)
+
+
+def test_no_text_votes_on_itself():
+    texts = ["vile thing here", "vile thing here", "vile sort there", "nice thing here", "nice sort there"]
+    c = T.Classifier([T.hashed_counts(t) for t in texts], list("abcde"), [1, 1, 1, 0, 0])
+    for t in texts:
+        [(_, found, _)] = c.votes([T.hashed_counts(t)])
+        assert found and not {i for i, x in enumerate(texts) if x == t} & set(found)
+    assert {0, 1} <= set(c.votes([T.hashed_counts("vile thing here now")])[0][1])
+
+
+def test_vote_and_calibration():
+    c = T.Classifier([T.hashed_counts(t) for t in ("a b", "a c", "d e")], list("xyz"), [1, 0, 0], k=2)
+    [(v, found, cosine)] = c.votes([T.hashed_counts("a b c")])
+    assert set(found) == {0, 1} and np.isclose(v, (cosine[found.index(0)] + T.PRIOR / 3) / (sum(cosine) + T.PRIOR))
+    c.calibrate([(0.1, 0.0), (0.2, 1.0), (0.3, 0.0), (0.9, 1.0), (None, 0.0)])
+    assert np.allclose(c.at, [0.1, 0.25, 0.9]) and np.allclose(c.to, [1 / 6, 4 / 9, 2 / 3]) and np.isclose(c.alone, 1 / 6)
+
+
+def test_toxicity_query_has_the_contracts_columns(spark, sf_dir):
+    import zlib
+
+    rows = T.op6_toxicity(spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7)
+        # labels of held-out rows are not evidence
+        assert all(k in {str(x) for x in toxic} and zlib.crc32(k.encode()) % 3 != 1 for k in r.evidence)
 
 
 def corpus(spark, n=600):
@@ -49,6 +109,9 @@ def test_toxicity_on_held_out_rows(spark, odd_docs, no_docs):
     assert len(held) > 100 and np.mean([(r.score >= T.PREDICT) == bool(truth[r.doc_id][1]) for r in held]) > 0.98
     assert all(0 <= r.score <= 1 for r in rows)
     assert T.score(odd_docs, c).count() == odd_docs.count() and T.score(no_docs, c).count() == 0
+    few = T.fit(docs, labels, most=50)
+    assert len(few.keys) == 50 and len(T.fit(docs, labels, max_bytes=2000).keys) < 20
+    assert set(T.fit(docs, labels, max_bytes=2000).keys) < set(T.fit(docs, labels).keys)
     none = T.fit(docs, labels.limit(0))
     assert {r.score for r in T.score(docs, none).collect()} == {0.0}
 

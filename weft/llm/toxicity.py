@@ -1,22 +1,27 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are a bounded sample of labelled documents (``MAX_EXAMPLES``). Their index
-terms are the words and word beginnings, once, or some times in a text, whose presence
-goes with the label (chi-squared of ``CHI2`` or more, at most ``MAX_TERMS``); a vector holds
-(1 + ln tf) * idf of them, at length one. The index is inverted: for each term and
-block of examples the postings and their greatest weight. A query adds up the
-blocks' greatest possible cosines, scores blocks from the greatest down, and stops
-when no block left can reach the k-th best: the neighbours are exactly those of all
-cosines. Votes are weighted by cosine; a monotone map, fitted on examples scored
-without themselves, makes them probabilities.
-
-The index is broadcast; its size is bounded by ``MAX_EXAMPLES`` and ``MAX_TERMS``
-whatever the corpus. Documents are scored where they are read.
-
-Defined results: a text without index terms, empty and null texts among them, has
-no neighbours and the smoothed share of label 1 among examples without any. Without examples the
+Examples are a bounded sample of labelled documents: at most ``MAX_EXAMPLES`` rows and
+``MAX_BYTES`` of text. All their words are index terms. A vector holds (1 + ln tf) * idf of
+every word of a text, times ``FLOOR`` plus the squared correlation of the word's presence with
+the label, at length one; a word that no example has counts towards the length with
+a frequency of 0. The index is inverted: for each term and block of examples the
+postings and their greatest weight. A query adds up the blocks' greatest possible
+cosines, scores blocks from the greatest down, and stops when no block left can
+reach the k-th best: the neighbours are exactly those of all cosines. Terms of more than one
+in ``ROWS`` examples are kept as whole rows, whose part of all cosines is one matrix product for a
+batch of queries; bounds count it as it is. Examples with a common heaviest term lie side by
+side, so that blocks differ. Votes are weighted by cosine; a monotone
+map, fitted on examples' votes, makes them probabilities. An example with the same words and
+counts as the query has no vote, in the fit as in scoring: no text is judged by its own label.
+
+The index is broadcast; its size is bounded by ``MAX_EXAMPLES`` and ``MAX_BYTES``
+whatever the corpus. Documents are scored where they are read. Words are told apart by
+64-bit hashes.
+
+Defined results: a text without any word of the examples, empty and null texts among them,
+has no neighbours and the smoothed share of label 1 among examples without any. Without examples the
 score is 0. Equal cosines go to the example of the lesser key. Repeated rows give
-repeated results.
+repeated results. Input columns named ``score``, ``evidence`` or ``cosines`` are replaced.
 """
 
 from __future__ import annotations
@@ -27,140 +32,189 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, digest_mod, map_text, short_batches, table
-from .labelled import beginnings, sample
+from .common import alnum_words, digest_mod, map_text, short_batches, table, written
+from .labelled import sample
 
-MAX_EXAMPLES = 8000
-MAX_TERMS = 3000
-CHI2 = 40.0
-MIN_DF = 5
+MAX_EXAMPLES = 4000
+MAX_BYTES = 16_000_000
+#: What a word weighs that tells nothing of the label; one that tells all weighs this and 1.
+FLOOR = 0.01
 BLOCK = 64
+#: Terms that more than one in ``ROWS`` examples has are whole rows.
+ROWS = 16
 NEIGHBOURS = 9
 #: Cosine's worth of the overall share in each vote.
 PRIOR = 0.2
 PREDICT = 0.7
-SIZES = (5, 6, 8)
-TIMES = (2, 3, 5)
+#: Queries whose whole rows' part is computed at once.
+BATCH = 128
+_MEMO = 20_000
 
 
-def terms_of_text(text: str | None) -> Counter:
-    """Words and beginnings with their counts; one seen ``k`` times or more is also a term with "#k", once."""
-    c: Counter = Counter()
-    for w, n in Counter(alnum_words(text)).items():
-        for t in beginnings(w, SIZES):
-            c[t] += n
-    c.update([t + b"#%d" % k for t, n in list(c.items()) for k in TIMES if n >= k])
-    return c
+def hashed_counts(text: str | None):
+    """Sorted hashes of the text's words, and how often each occurs."""
+    import numpy as np
+    import xxhash
+
+    c = Counter(alnum_words(text))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, c), np.uint64, len(c))
+    n = np.fromiter(c.values(), np.uint32, len(c))
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def digest(h, n) -> bytes:
+    import xxhash
+
+    return xxhash.xxh3_128_digest(h.tobytes() + n.tobytes())
+
+
+def ranges(begin, size):
+    """All of begin[i] .. begin[i] + size[i] - 1, one range after the other."""
+    import numpy as np
+
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
 
 
 class BlockMaxIndex:
-    """Postings of unit vectors by term and block of ``BLOCK`` examples."""
+    """Postings of unit vectors by term and block of ``BLOCK`` examples; terms of many examples as whole rows."""
 
-    def __init__(self, terms: dict[bytes, int], idf, vectors: list[dict[int, float]]):
-        """``vectors``: term number to count; examples in key order."""
+    def __init__(self, vectors: list[tuple], labels):
+        """``vectors``: sorted term hashes and counts of each example; examples in key order."""
         import numpy as np
 
-        self.terms, self.idf, self.n = terms, idf, len(vectors)
+        self.n = len(vectors)
         self.blocks = max(1, -(-self.n // BLOCK))
-        rows = [(t, i, w) for i, v in enumerate(vectors) for t, w in zip(*self.unit(v), strict=True)]
-        rows.sort()
-        self.example = np.array([r[1] for r in rows], np.int64)
-        self.weight = np.array([r[2] for r in rows], np.float64)
-        slot = np.array([r[0] * self.blocks + r[1] // BLOCK for r in rows], np.int64)
-        self.begin = np.searchsorted(slot, np.arange(len(terms) * self.blocks + 1))
-        self.most = np.zeros(len(terms) * self.blocks)
-        np.maximum.at(self.most, slot, self.weight)
-        self.most = self.most.reshape(len(terms), self.blocks)
-
-    def unit(self, counts: dict[int, int]):
-        """Terms and weights of length one."""
+        h = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, np.uint64)
+        own = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors]) if vectors else np.zeros(0, np.int64)
+        self.term, at = np.unique(h, return_inverse=True)
+        df = np.bincount(at, minlength=len(self.term))
+        hit = np.bincount(at, np.asarray(labels, float)[own], len(self.term)) if self.n else df
+        n, p = float(max(self.n, 1)), float(sum(labels))
+        spread = np.maximum(p * (n - p) * df * (n - df), 1e-300)
+        told = np.where((df < n) & (0 < p < n), (n * hit - p * df) ** 2 / spread, 0.0)
+        self.worth = (np.log((1 + n) / (1 + df)) + 1) * (FLOOR + told)
+        self.unknown = (math.log(1 + n) + 1) * FLOOR
+        weight = np.concatenate([self.unit(*v)[1] for v in vectors]) if vectors else np.zeros(0)
+        # an example's place: by its heaviest term that others have too, then by key
+        heaviest = np.full(self.n, -1)
+        order = np.lexsort((np.where(df[at] > 1, weight, 0.0), own))
+        last = np.flatnonzero(np.diff(own[order], append=-1))
+        heaviest[own[order][last]] = at[order[last]]
+        self.number = np.lexsort((np.arange(self.n), heaviest))  # of the example at each place, in key order
+        place = np.empty(self.n, np.int64)
+        place[self.number] = np.arange(self.n)
+        where = place[own]
+        common = df * ROWS > self.n
+        self.row = np.where(common, np.cumsum(common) - 1, -1)
+        self.rows = np.zeros((int(common.sum()), self.n))
+        some = common[at]
+        self.rows[self.row[at[some]], where[some]] = weight[some]
+        at, where, weight = at[~some], where[~some], weight[~some]
+        order = np.lexsort((where, at))
+        self.example, self.weight = where[order].astype(np.int32), weight[order]
+        slot = at[order] * self.blocks + where[order] // BLOCK
+        first = np.flatnonzero(np.diff(slot, prepend=-1))
+        self.slot_block = slot[first] % self.blocks
+        self.slot_most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.slot_begin = np.append(first, len(slot))
+        self.term_begin = np.searchsorted(slot[first], np.arange(len(self.term) + 1) * self.blocks)
+
+    def unit(self, h, n):
+        """Numbers of the terms that the index has, and their weights, all terms together being at length one."""
         import numpy as np
 
-        t = sorted(counts)
-        w = np.array([(1 + math.log(counts[x])) * self.idf[x] for x in t])
-        return t, (w / math.sqrt(float(w @ w)) if len(w) else w).tolist()
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        """The text's index terms and their counts: those of ``terms_of_text`` that the index has."""
-        if not hasattr(self, "plain"):
-            self.plain = {t.rpartition(b"#")[0] if b"#" in t else t for t in self.terms}
-            self.of_word: dict[bytes, tuple[bytes, ...]] = {}
-        memo, found = self.of_word, Counter()
-        for w in alnum_words(text):
-            own = memo.get(w)
-            if own is None:
-                if len(memo) > 500_000:
-                    memo.clear()
-                own = memo[w] = tuple(t for t in beginnings(w, SIZES) if t in self.plain)
-            if own:
-                found.update(own)
-        out = {}
-        for t, n in found.items():
-            if t in self.terms:
-                out[self.terms[t]] = n
-            for k in TIMES:
-                if n >= k and (more := self.terms.get(t + b"#%d" % k)) is not None:
-                    out[more] = 1
-        return out
+        if not len(self.term):
+            return np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.term, h), len(self.term) - 1)
+        known = self.term[at] == h
+        tf = 1 + np.log(n)
+        w, rest = tf[known] * self.worth[at[known]], tf[~known] * self.unknown
+        length = math.sqrt(float(w @ w + rest @ rest))
+        return at[known], w / length if length else w
+
+    def nearest(self, queries: list[tuple], k: int, without=None) -> list[tuple]:
+        """For each query exactly the ``k`` examples of the greatest positive cosines, as numbers in key order, and these."""
+        import numpy as np
+
+        units = [self.unit(*q) for q in queries]
+        common = np.zeros((len(queries), len(self.rows)))
+        for i, (t, w) in enumerate(units):
+            row = self.row[t]
+            common[i, row[row >= 0]] = w[row >= 0]
+        common = common @ self.rows  # whole rows' part of all cosines
+        return [self._search(t, w, common[i], k, without[i] if without else ()) for i, (t, w) in enumerate(units)]
 
-    def nearest(self, counts: dict[int, int], k: int, without: int = -1):
-        """Exactly the ``k`` examples of the greatest positive cosines, and these."""
+    def _search(self, t, w, score, k: int, without):
         import numpy as np
 
-        t, w = self.unit(counts)
-        if not t or not self.n:
+        if not len(t):
             return np.zeros(0, np.int64), np.zeros(0)
-        t, w = np.array(t), np.array(w)
-        bound = w @ self.most[t]
+        sparse = self.row[t] < 0
+        t, w = t[sparse], w[sparse]
+        begin = self.term_begin[t]
+        size = self.term_begin[t + 1] - begin
+        slots = ranges(begin, size)
+        block, w = self.slot_block[slots], np.repeat(w, size)
+        score[list(without)] = 0
+        bound = np.bincount(block, w * self.slot_most[slots], self.blocks) + np.maximum.reduceat(score, np.arange(0, self.n, BLOCK))
         order = np.argsort(-bound, kind="stable")
-        order = order[: int((bound > 0).sum())]
-        score = np.zeros(self.n)
-        done, step, kth = 0, 4, 0.0
-        while done < len(order) and bound[order[done]] >= kth - 1e-9:
+        begin = self.slot_begin[slots]
+        size = self.slot_begin[slots + 1] - begin
+        done, step = 0, 2
+        kth = np.partition(score, self.n - k)[self.n - k] if self.n > k else 0.0  # by whole rows alone
+        while done < len(order) and bound[order[done]] > max(kth - 1e-9, 0):
             some = order[done : done + step]
-            slots = (t[:, None] * self.blocks + some).ravel()
-            begin, size = self.begin[slots], self.begin[slots + 1] - self.begin[slots]
-            at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
-            np.add.at(score, self.example[at], np.repeat(np.repeat(w, len(some)), size) * self.weight[at])
-            done, step = done + len(some), step * 2
-            if without >= 0:
-                score[without] = 0
+            chosen = np.zeros(self.blocks, bool)
+            chosen[some[bound[some] >= kth - 1e-9]] = True
+            own = np.flatnonzero(chosen[block])
+            at = ranges(begin[own], size[own])
+            score += np.bincount(self.example[at], np.repeat(w[own], size[own]) * self.weight[at], self.n)
+            score[list(without)] = 0
+            done, step = done + step, self.blocks
             if self.n > k:
                 kth = np.partition(score, self.n - k)[self.n - k]
         found = np.flatnonzero(score > max(kth - 1e-12, 0))
-        found = found[np.lexsort((found, -np.round(score[found], 12)))][:k]
-        return found, score[found]
+        number = self.number[found]
+        order = np.lexsort((number, -np.round(score[found], 12)))[:k]
+        return number[order], score[found][order]
 
 
 class Classifier:
-    def __init__(self, index: BlockMaxIndex, keys: list[str], labels, k: int = NEIGHBOURS):
+    def __init__(self, vectors: list[tuple], keys: list[str], labels, k: int = NEIGHBOURS):
         import numpy as np
 
-        self.index, self.keys, self.k = index, keys, k
+        self.keys, self.k = keys, k
         self.labels = np.array(labels, float)
+        self.index = BlockMaxIndex(vectors, self.labels)
         self.share = float(self.labels.mean()) if len(labels) else 0.0
         self.at = self.to = np.zeros(0)
         self.alone = self.share
         self.memo: dict = {}
+        place = np.argsort(self.index.number)
+        #: Places of the examples by their words and counts: these do not vote on themselves.
+        self.same: dict[bytes, list[int]] = {}
+        for i, v in enumerate(vectors):
+            self.same.setdefault(digest(*v), []).append(int(place[i]))
+
+    def votes(self, queries: list[tuple]) -> list[tuple[float | None, list[int], list[float]]]:
+        """The share of label 1 among the nearest examples, weighted by cosine; None without any. Also these and their cosines."""
+        out = []
+        for i in range(0, len(queries), BATCH):
+            some = queries[i : i + BATCH]
+            for found, cosine in self.index.nearest(some, self.k, [self.same.get(digest(*q), ()) for q in some]):
+                v = float((cosine @ self.labels[found] + PRIOR * self.share) / (cosine.sum() + PRIOR)) if len(found) else None
+                out.append((v, found.tolist(), cosine.tolist()))
+        return out
 
-    def vote(self, found, cosine) -> float:
-        return float((cosine @ self.labels[found] + PRIOR * self.share) / (cosine.sum() + PRIOR))
-
-    def calibrate(self, vectors: list[dict[int, int]]) -> None:
-        """Pools adjacent violators over the examples' votes without themselves."""
+    def calibrate(self, votes: list[tuple[float | None, float]]) -> None:
+        """Pools adjacent violators over examples' votes and labels."""
         import numpy as np
 
-        votes, truth, none = [], [], []
-        for i, v in enumerate(vectors):
-            found, cosine = self.index.nearest(v, self.k, without=i)
-            if len(found):
-                votes.append(self.vote(found, cosine))
-                truth.append(self.labels[i])
-            else:
-                none.append(self.labels[i])
+        none = [y for v, y in votes if v is None]
         self.alone = (sum(none) + self.share) / (len(none) + 1)
         pools: list[list[float]] = []  # vote sum, label sum, count
-        for v, y in sorted(zip(votes, truth, strict=True)):
+        for v, y in sorted((v, y) for v, y in votes if v is not None):
             pools.append([v, y, 1])
             while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
                 last = pools.pop()
@@ -168,73 +222,67 @@ class Classifier:
         self.at = np.array([p[0] / p[2] for p in pools])
         self.to = np.array([(p[1] + self.share) / (p[2] + 1) for p in pools])
 
-    def score(self, text: str | None) -> tuple[float, list[str], list[float]]:
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[str], list[float]]]:
         """Probability of label 1, keys of the three nearest examples and their cosines."""
         import numpy as np
 
-        counts = self.index.counts(text)
-        known = tuple(sorted(counts.items()))
-        got = self.memo.get(known)
-        if got is None:
-            found, cosine = self.index.nearest(counts, self.k)
-            if not len(found):
-                p = self.alone
-            else:
-                p = self.vote(found, cosine)
-                p = float(np.interp(p, self.at, self.to)) if len(self.at) else p
-            got = (min(max(p, 0.0), 1.0), [self.keys[i] for i in found[:3]], cosine[:3].tolist())
-            if len(self.memo) > 50_000:
-                self.memo.clear()
-            self.memo[known] = got
-        return got
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> Classifier:
-    """Fits on at most ``most`` labelled rows; term statistics are summed on executors."""
+        queries = [hashed_counts(t) for t in texts]
+        known = [digest(*q) for q in queries]
+        if len(self.memo) > _MEMO:
+            self.memo.clear()
+        new = {d: q for d, q in zip(known, queries, strict=True) if d not in self.memo}
+        for d, (v, found, cosine) in zip(new, self.votes(list(new.values())), strict=True):
+            p = self.alone if v is None else float(np.interp(v, self.at, self.to)) if len(self.at) else v
+            self.memo[d] = (min(max(p, 0.0), 1.0), [self.keys[i] for i in found[:3]], cosine[:3])
+        return [self.memo[d] for d in known]
+
+
+def _packed():
+    """Maker of the columns ``h`` and ``n``: a text's word hashes and counts as bytes."""
+
+    def run(texts):
+        out = [hashed_counts(t) for t in texts]
+        return [[h.tobytes() for h, _ in out], [n.tobytes() for _, n in out]]
+
+    return lambda: run
+
+
+def _unpacked(h: bytes, n: bytes):
     import numpy as np
 
+    return np.frombuffer(h, np.uint64), np.frombuffer(n, np.uint32)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MAX_EXAMPLES, max_bytes: int = MAX_BYTES) -> Classifier:
+    """Fits on at most ``most`` labelled rows of ``max_bytes`` together, those of the least hashes of their key; executors cast the examples' votes."""
     spark = docs.sparkSession
     short_batches(spark)
-    rows = sample(docs, labels, F.col(label).cast("int"), most).persist()
-    y = {r.k: r.y for r in rows.select("k", "y").toLocalIterator()}
-
-    def terms_of(batches):
+    rows = map_text(sample(docs, labels, F.col(label).cast("int"), most), _packed(), "h binary, n binary", ["t"])
+    rows = written(rows.withColumn("size", F.octet_length("t")).withColumn("order", F.xxhash64("k")).drop("t"))
+    total, last = 0, None
+    for r in sorted(rows.select("order", "k", "size").collect(), key=lambda r: (r["order"], r.k)):
+        total += r["size"]
+        if total > max_bytes:
+            break
+        last = r
+    if last is None:
+        return Classifier([], [], [])
+    rows = rows.filter((F.col("order") < last["order"]) | ((F.col("order") == last["order"]) & (F.col("k") <= last.k)))
+    got = sorted(rows.select("k", "y", "h", "n").collect(), key=lambda r: r.k)
+    c = Classifier([_unpacked(r.h, r.n) for r in got], [str(r.k) for r in got], [r.y for r in got])
+    sent = spark.sparkContext.broadcast(c)
+
+    def cast(batches):
         import pyarrow as pa
 
         for b in batches:
-            for t, label_ in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = list(terms_of_text(t))
-                yield pa.record_batch([pa.array(found, pa.binary()), pa.array([int(label_)] * len(found), pa.int64())], ["term", "y"])
-
-    seen = rows.select("t", "y").mapInArrow(terms_of, "term binary, y long").groupBy("term").agg(F.count("*").alias("df"), F.sum("y").alias("hit"))
-    n, pos = float(max(len(y), 1)), float(sum(y.values()))
-    expected = F.col("df") * (pos / n)
-    chi2 = (F.col("hit") - expected) ** 2 * n * n / (F.greatest(F.lit(pos * (n - pos)), F.lit(1.0)) * F.col("df") * F.greatest(n - F.col("df"), F.lit(1.0)) / n)
-    chosen = seen.filter(F.col("df") >= MIN_DF).withColumn("x", chi2).filter(F.col("x") >= CHI2).orderBy(F.desc("x"), "term").limit(max_terms).select("term", "df").collect()
-    terms = {bytes(r.term): i for i, r in enumerate(sorted(chosen, key=lambda r: bytes(r.term)))}
-    idf = np.zeros(len(terms))
-    for r in chosen:
-        idf[terms[bytes(r.term)]] = math.log((1 + n) / (1 + r.df)) + 1
-    sent = spark.sparkContext.broadcast(terms)
-
-    def vectors_of(batches):
-        import pyarrow as pa
+            votes = [v for v, _, _ in sent.value.votes(list(map(_unpacked, b.column(0).to_pylist(), b.column(1).to_pylist())))]
+            yield pa.record_batch([pa.array(votes, pa.float64()), b.column(2)], ["v", "y"])
 
-        get = sent.value.get
-        for b in batches:
-            out = []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                c = {i: n for x, n in terms_of_text(t).items() if (i := get(x)) is not None}
-                out.append({"k": str(k), "t": list(c), "c": list(c.values())})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("k", pa.string()), ("t", pa.list_(pa.int32())), ("c", pa.list_(pa.int32()))]))
-
-    got = rows.select("k", "t").mapInArrow(vectors_of, "k string, t array<int>, c array<int>").collect()
-    rows.unpersist()
-    by = {str(k): v for k, v in y.items()}
-    got = sorted(got, key=lambda r: (len(r.k), r.k))
-    vectors = [dict(zip(r.t, r.c, strict=True)) for r in got]
-    c = Classifier(BlockMaxIndex(terms, idf, vectors), [r.k for r in got], [by[r.k] for r in got])
-    c.calibrate(vectors)
+    tasks = max(1, min(len(got) // 250, spark.sparkContext.defaultParallelism))
+    votes = rows.select("h", "n", F.col("y").cast("double").alias("y")).repartition(tasks).mapInArrow(cast, "v double, y double").collect()
+    sent.destroy()
+    c.calibrate([(r.v, r.y) for r in votes])
     return c
 
 
@@ -244,7 +292,7 @@ def score(docs: DataFrame, classifier: Classifier, text: str = "text") -> DataFr
 
     def make():
         c = sent.value
-        return lambda texts: [list(x) for x in zip(*[c.score(t) for t in texts], strict=True)] or [[], [], []]
+        return lambda texts: [list(x) for x in zip(*c.scores(texts), strict=True)] or [[], [], []]
 
     return map_text(docs, make, "score double, evidence array<string>, cosines array<double>", [text])
 
