@@ -1,8 +1,9 @@
 """A training corpus in five stages, each the operator of that name over all that its predecessor kept.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``documents``. Rows are written as Parquet between stages, so
-lost executors cost at most a stage's own tasks.
+return the columns of ``documents``, with any further ones that ``docs`` has, as they are, whatever
+their names. Rows are written as Parquet between stages, so lost executors cost at most
+a stage's own tasks. Every stage gives no rows for no rows.
 """
 
 from __future__ import annotations
@@ -12,37 +13,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm import bpe, chosen_path, decontamination, pii, quality_rules
-from weft.llm.common import table, written
+from weft.llm.common import sheltered, table, written
 
 KEY = pii.KEY
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return quality_rules.judge(docs).filter("kept").select(*docs.columns)
+    """Documents that the quality rules reject go.
+
+    Null and empty texts have no words and go. Repeated rows share their verdict.
+    """
+    return sheltered(docs, ["metrics", "base_failed", "kept"], lambda d: quality_rules.judge(d).filter("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document of the class's id stays; of repeated rows with this id, one."""
-    classes = chosen_path.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(classes, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*docs.columns)
-    return kept.dropDuplicates()
+    """Of each class of near copies one document stays, that of the class's id.
+
+    Texts without words, null ones among them, are no copies of others. Of rows with equal
+    doc_id and text one stays; a doc_id that several texts bear is told apart by the text.
+    """
+    return chosen_path.deduplicated(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated by test items go."""
-    matched = decontamination.match_items(docs, table(spark, sf_dir, "benchmark"))
-    return matched.filter(~decontamination.contaminated()).select(*docs.columns)
+    """Documents contaminated by test items go.
+
+    Null and empty texts stay, as does everything where there are no items. Repeated rows share their verdict.
+    """
+    items = table(spark, sf_dir, "benchmark")
+    return sheltered(docs, ["n_words", "spans"], lambda d: decontamination.match_items(d, items).filter(~decontamination.contaminated()))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in texts becomes surrogates."""
+    """Personal data in texts becomes surrogates, and ``n_chars`` follows the text.
+
+    Null and empty texts stay as they are, with their ``n_chars``. Repeated rows stay alike.
+    """
     out = pii.replace_entities(docs, KEY)
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars")) if "n_chars" in docs.columns else out
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts become token ids; with the contract's digests of ids and decoded text."""
+    """Texts become token ids; with the contract's digests of ids and decoded text.
+
+    Null and empty texts have no ids. Repeated rows stay. Of other columns lang and source are kept.
+    """
     done = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"))
     return done.select(
         "doc_id",

@@ -6,10 +6,11 @@ a token is equal in two sets with probability their Jaccard similarity. Every ru
 starts at a root path. A set extends a path by each of its tokens with probability
 1 / (threshold * SKETCH), by a hash of path and token, so similar sets choose
 alike and meet in the same bucket. Buckets of more than ``LIMIT`` sets are split
-again in the same way, up to ``DEPTH`` times; small ones are compared by brute
-force. Runs are repeated until a pair at the threshold meets with probability
-``RECALL``. What stays large at the last level are crowds of near copies: they are
-dealt into blocks, and every two blocks meet in a task.
+again in the same way as long as that makes them smaller, ``DEPTH`` times at most; small
+ones are compared by brute force. A bucket that keeps ``CROWD`` of its parent's sets is a
+crowd of near copies, which no split parts: it is dealt into blocks, and every two
+blocks meet in a task. Runs are repeated until a pair at the threshold meets with
+probability ``RECALL`` after two splits (15 runs; then 0.996 after four, 0.983 after six).
 
 Sets that look similar by their tokens are joined to candidate groups. All pairs
 within a group are then decided exactly, on whole shingle sets, each pair in one
@@ -18,41 +19,45 @@ links and one link of each set towards its class, never the pairs.
 
 Scale: texts are read twice and moved once, and only those of candidates go on; a
 path row holds 24 bytes. Copies of a text count as one set, so a crowd of exact
-copies costs nothing. Groups beyond ``BLOCK`` sets are dealt as pairs of blocks: a
-set is sent once for each block, which bounds a task's memory.
+copies costs nothing. Groups beyond ``BLOCK`` sets or ``BLOCK_SHINGLES`` shingles are dealt as
+pairs of blocks: a set is sent once for each block, which bounds a task's memory.
 
 Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ with A-Z lower-cased. Defined results:
 a text of fewer words than a shingle, but not none, has one shingle of all its
 words; a text without words, or null, has no set, is linked to nothing and alone in
 its class. Rows of equal sets are linked to one another; so are repeated rows.
-A class's id is its least doc_id that is not null.
+A class's id is its least doc_id that is not null. Other columns than key and text are not read.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, map_text, short_batches, table, written
+from .common import alnum_words, columns, map_text, short_batches, table, written
 
 SHINGLE = 5
 #: Links have intersection / union of THRESHOLD or more, compared in whole numbers.
 THRESHOLD = (4, 5)
 SKETCH = 64
 LIMIT = 512
+#: Sets and shingles of a block, about: a task holds two blocks, with some 60 bytes a shingle.
 BLOCK = 1024
-DEPTH = 2
+BLOCK_SHINGLES = 500_000
+DEPTH = 6
+CROWD = 0.75
 RECALL = 0.9999
-#: Candidates agree in this share of their tokens: four deviations below the threshold.
-LOOSE = 0.6
+#: Candidates agree in this share of their tokens: five deviations below the threshold.
+LOOSE = 0.55
 _WORDS = 500_000
 _memo: dict[bytes, int] = {}
 
 
-def runs_needed(recall: float = RECALL, depth: int = DEPTH) -> int:
+def runs_needed(recall: float = RECALL, depth: int = 2) -> int:
     """Runs after which a pair at the threshold has met in a bucket of this depth with probability ``recall``."""
     p = 1.0
     for _ in range(depth):
@@ -119,11 +124,11 @@ def with_sketches(docs: DataFrame, text: str) -> DataFrame:
     return map_text(docs, make, "sig binary, n_set int, sketch binary", [text])
 
 
-PATHS = "path long, sig binary"
+PATHS = "path long, sig binary, above long"
 
 
 def _choose(rows: DataFrame, runs: int) -> DataFrame:
-    """Extends ``path`` of (path, sig, sketch) by the chosen tokens; a null path starts ``runs`` roots."""
+    """Extends ``path`` of (path, sig, sketch, n) by the chosen tokens; a null path starts ``runs`` roots. ``n`` stays as ``above``."""
     kept = int((1 << 64) * THRESHOLD[1] / (THRESHOLD[0] * SKETCH))
 
     def run(batches):
@@ -146,17 +151,18 @@ def _choose(rows: DataFrame, runs: int) -> DataFrame:
                 chance = _mix(tokens ^ seed[:, None])
                 row, col = np.nonzero(chance < np.uint64(kept))
                 path = _mix(chance[row, col] + tokens[row, col]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(path), b.column(1).take(pa.array(row))], names=["path", "sig"])
+                row = pa.array(row)
+                yield pa.RecordBatch.from_arrays([pa.array(path), b.column(1).take(row), b.column(3).take(row)], names=["path", "sig", "above"])
 
-    return rows.select("path", "sig", "sketch").mapInArrow(run, PATHS)
+    return rows.select("path", "sig", "sketch", "n").mapInArrow(run, PATHS)
 
 
-def _deal(rows: DataFrame, key: str, member: str, block: int) -> DataFrame:
-    """Adds ``i``, ``j`` and ``left`` to rows with ``n`` members a key: every two blocks of a key meet in one (key, i, j)."""
-    blocks = F.ceil(F.col("n") / block).cast("int")
+def _deal(rows: DataFrame, member: str, blocks: Column) -> DataFrame:
+    """Adds ``own``, ``i`` and ``j``: every two of a key's blocks meet in one (key, i, j)."""
+    blocks = blocks.cast("int")
     own = F.pmod(F.xxhash64(member), blocks).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other", "n")
+    return rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
 
 
 def _met(rows: DataFrame, key: str, member: str, fn, ddl: str) -> DataFrame:
@@ -183,25 +189,31 @@ def _met(rows: DataFrame, key: str, member: str, fn, ddl: str) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(n, key, "i", "j").sortWithinPartitions(key, "i", "j", "own", member).mapInArrow(run, kind)
 
 
-def _roots(n: int, pairs) -> list[int]:
-    """The least index of each index's component; ``pairs`` are arrays of linked indexes."""
-    top = list(range(n))
-
-    def find(x):
-        while top[x] != x:
-            top[x] = top[top[x]]
-            x = top[x]
-        return x
+def _roots(near, whole: bool) -> list[int]:
+    """The least index of each index's component: of the rows and columns of ``near`` as they are if ``whole``, else of rows, then columns."""
+    import numpy as np
 
-    for a, b in zip(*(p.tolist() for p in pairs), strict=True):
-        a, b = find(a), find(b)
-        if a != b:
-            top[max(a, b)] = min(a, b)
-    return [find(x) for x in range(n)]
+    m = len(near)
+    n = m if whole else m + near.shape[1]
+    root = np.full(n, -1)
+    for first in range(n):
+        if root[first] >= 0:
+            continue
+        root[first] = first
+        todo = np.array([first])
+        while len(todo):
+            if whole:
+                met = near[todo].any(axis=0)
+            else:
+                rows, cols = todo[todo < m], todo[todo >= m] - m
+                met = np.concatenate([near[:, cols].any(axis=1), near[rows].any(axis=0)])
+            todo = np.flatnonzero(met & (root < 0))
+            root[todo] = first
+    return root.tolist()
 
 
 EDGES = "a binary, b binary"
@@ -217,8 +229,7 @@ def _alike(members: list[dict]) -> list[dict]:
     agree = np.zeros((len(left), len(right)), np.uint8)
     for k in range(SKETCH):
         agree += left[:, k, None] == right[None, :, k]
-    a, b = np.nonzero(agree >= LOOSE * SKETCH)
-    root = _roots(len(members), (a, b + (split if split < len(members) else 0)))
+    root = _roots(agree >= LOOSE * SKETCH, split == len(members))
     return [{"a": members[i]["sig"], "b": members[r]["sig"]} for i, r in enumerate(root) if r != i]
 
 
@@ -246,9 +257,9 @@ def _verify(members: list[dict]) -> list[dict]:
     rows, col = rows[by], col[by]
     left, right = (slice(0, n), slice(0, n)) if whole else (slice(0, split), slice(split, n))
     both = np.zeros((left.stop - left.start, right.stop - right.start), np.float32)
-    for k in range(0, shared, 4096):
-        a, b = np.searchsorted(col, [k, min(k + 4096, shared)])
-        m = np.zeros((n, min(k + 4096, shared) - k), np.float32)
+    for k in range(0, shared, 2048):
+        a, b = np.searchsorted(col, [k, min(k + 2048, shared)])
+        m = np.zeros((n, min(k + 2048, shared) - k), np.float32)
         m[rows[a:b], col[a:b] - k] = 1
         both += m[left] @ m[right].T
     num, den = THRESHOLD
@@ -261,8 +272,7 @@ def _verify(members: list[dict]) -> list[dict]:
     if not whole:
         links[right] += copies[left] @ linked
         texts[right] += linked.sum(axis=0)
-    a, b = np.nonzero(linked)
-    root = _roots(n, (a, b + right.start))
+    root = _roots(linked, whole)
     return [
         {"sig": m["sig"], "root": members[r]["sig"], "n_links": x, "n_texts": t}
         for m, r, x, t in zip(members, root, links.tolist(), texts.tolist(), strict=True)
@@ -270,76 +280,113 @@ def _verify(members: list[dict]) -> list[dict]:
     ]
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` rows of two keys, written as few files."""
+    return written(df.coalesce(max(8, rows // 100_000)))
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of all nodes of (a, b): alternating large and small stars until nothing moves.
+    """(node, root) of all nodes of (a, b): alternating large and small stars until only stars are left.
 
-    Every round sends each edge twice and keeps one row for each; a hub's rows can be
-    split, as its least neighbour is one row.
+    An edge's ends are ordered, ``a`` being the greater. What is joined is written before, so
+    both sides of a join are plain shuffles and Spark can split a hub's rows.
     """
-    e = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = None
+    e = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    e = written(e.distinct())
     while True:
-        both = e.union(e.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.join(least, F.col("a") == F.col("u")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
+        ends = e.select(F.col("a").alias("k"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("b", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("k").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        n, tangled = ends.agg(F.sum("up"), F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()
+        if not tangled:
+            return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select("b", "b").distinct())
+        least = _small(e.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")), n)
+        large = _small(e.join(least, F.col("b") == F.col("u"), "left").select("a", F.coalesce("m", "b").alias("b")).distinct(), n)
+        least = _small(large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")), n)
         small = large.join(least, F.col("a") == F.col("u")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = written(small.union(least.select("u", "m")).distinct())
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == state:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select("b", "b")).distinct()
-        state = now
+        e = _small(small.union(least).distinct(), 2 * n)
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
-    """One row for each row of ``docs``: ``key``, ``class_id``, ``n_links`` (other rows linked), ``n_texts`` (other sets linked)."""
-    rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("t")).withColumn("tid", F.md5(F.coalesce("t", F.lit("")).cast("binary")))
+def _tid() -> Column:
+    """A digest of the text ``t``; null and empty texts differ."""
+    return F.coalesce(F.md5(F.col("t").cast("binary")), F.lit(""))
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
+    """One row for each row of ``docs``: ``doc``, ``tid`` (digest of the text), ``root`` (of its class, null without words), ``class_id``, ``n_links``, ``n_texts``."""
+    rows = docs.select(*[c.alias(x) for c, x in zip(columns([key, text]), ("doc", "t"), strict=True)]).withColumn("tid", _tid())
     sigs = written(with_sketches(rows, "t").drop("t"))
     reps = sigs.filter("n_set > 0").groupBy("sig").agg(
-        F.first("sketch").alias("sketch"), F.count("*").alias("copies"), F.min("doc").alias("least"), F.min(F.struct("doc", "tid")).alias("at")
+        F.first("sketch").alias("sketch"), F.first("n_set").alias("n_set"), F.count("*").alias("copies"), F.min("doc").alias("least"), F.min(F.struct("doc", "tid")).alias("at")
     )
     reps = written(reps)
-    runs = runs_needed(recall)
-    edges = []
-    open_ = _choose(reps.withColumn("path", F.lit(None).cast("long")), runs)
-    for level in range(1, DEPTH + 1):
-        paths = written(open_)
-        sizes = written(paths.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"))
-        held = paths.join(sizes, "path").join(reps.select("sig", "sketch"), "sig")
-        last = level == DEPTH
-        near = held if last else held.filter(f"n <= {LIMIT}")
-        edges.append(written(_met(_deal(near, "path", "sig", BLOCK), "path", "sig", _alike, EDGES)))
-        if last or sizes.filter(f"n > {LIMIT}").isEmpty():
+    edges, runs, level = [], runs_needed(recall), 1
+    held = reps.withColumns({"path": F.lit(None).cast("long"), "n": F.lit(None).cast("long")})
+    while True:
+        paths = written(_choose(held, runs))
+        sizes = paths.groupBy("path").agg(F.count("*").alias("n"), F.first("above").alias("above")).filter("n > 1")
+        open_ = F.lit(level < DEPTH) & (F.col("n") > LIMIT) & (F.col("above").isNull() | (F.col("n") < CROWD * F.col("above")))
+        held = paths.drop("above").join(sizes.withColumn("open", open_).drop("above"), "path").join(reps.select("sig", "sketch"), "sig")
+        near = _deal(held.filter("NOT open"), "sig", F.ceil(F.col("n") / BLOCK)).drop("n", "open")
+        edges.append(written(_met(near, "path", "sig", _alike, EDGES)))
+        if sizes.filter(open_).isEmpty():
             break
-        open_ = _choose(held.filter(f"n > {LIMIT}"), runs)
-    found = edges[0] if len(edges) == 1 else edges[0].union(edges[1])
-    groups = components(found.distinct())
-    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
-    members = groups.join(sizes, "root").join(reps.select(F.col("sig").alias("node"), "copies", "at"), "node")
-    members = members.select(F.col("node").alias("sig"), F.col("root").alias("grp"), "n", "copies", F.col("at.doc").alias("m_doc"), F.col("at.tid").alias("m_tid"))
+        held, level = held.filter("open"), level + 1
+    groups = written(components(reduce(DataFrame.union, edges)))
+    members = groups.join(reps.select(F.col("sig").alias("node"), "copies", "n_set", "at"), "node")
+    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_set").alias("shingles"))
+    members = members.join(sizes, "root").select(F.col("node").alias("sig"), F.col("root").alias("grp"), "n", F.col("shingles").alias("total"), "copies", F.col("at.doc").alias("m_doc"), F.col("at.tid").alias("m_tid"))
     whole = rows.join(members, (F.col("tid") == F.col("m_tid")) & F.col("doc").eqNullSafe(F.col("m_doc"))).drop("doc", "tid", "m_doc", "m_tid")
+    whole = whole.dropDuplicates(["sig"])  # of repeated rows one
     whole = map_text(whole, lambda: lambda texts: [[shingles(t).tobytes() for t in texts]], "shingles binary", ["t"]).drop("t")
-    links = written(_met(_deal(whole, "grp", "sig", BLOCK), "grp", "sig", _verify, LINKS))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
+    links = written(_met(_deal(whole, "sig", blocks).drop("n", "total"), "grp", "sig", _verify, LINKS))
     counted = links.groupBy("sig").agg(F.sum("n_links").alias("n_links"), F.sum("n_texts").alias("n_texts")).filter("n_texts > 0")
-    roots = components(links.select(F.col("sig").alias("a"), F.col("root").alias("b")).distinct())
+    roots = components(links.select(F.col("sig").alias("a"), F.col("root").alias("b")))
     classed = roots.join(reps.select(F.col("sig").alias("node"), "least"), "node")
     least = classed.groupBy("root").agg(F.min("least").alias("class_least"))
-    classed = classed.join(least, "root").select(F.col("node").alias("sig"), "class_least")
+    classed = classed.join(least, "root").select(F.col("node").alias("sig"), "root", "class_least")
     found = reps.select("sig", "copies", "least").join(counted, "sig", "left").join(classed, "sig", "left")
     found = found.select(
         "sig",
+        F.coalesce("root", "sig").alias("root"),
         F.coalesce("class_least", "least").alias("class_id"),
         (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("n_texts", F.lit(0)).alias("n_texts"),
     )
     # both sides of this join are plain shuffles, so that Spark can split a crowd of copies
-    out = sigs.select("doc", "sig").join(written(found), "sig", "left")
+    out = sigs.select("doc", "tid", "sig").join(written(found), "sig", "left")
     return out.select(
-        F.col("doc").alias(key), F.when(F.col("sig").isNull(), F.col("doc")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc", "tid", "root", F.when(F.col("root").isNull(), F.col("doc")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_texts"),
     )
 
 
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
+    """One row for each row of ``docs``: ``key``, ``class_id``, ``n_links`` (other rows linked), ``n_texts`` (other sets linked)."""
+    return classes(docs, key, text, recall).select(F.col("doc").alias(key), "class_id", "n_links", "n_texts")
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
+    """One row of each class, with all its columns: that of the class's id, by the least digest of its text where several bear that id.
+
+    Texts without words are classes of their own; of rows with equal key and text, one stays: that
+    of the least hash of all its columns.
+    """
+    own = classes(docs, key, text, recall).filter(F.col("doc").eqNullSafe(F.col("class_id")))
+    own = own.groupBy(F.coalesce("root", F.col("tid").cast("binary")).alias("class"), F.col("root").isNull().alias("alone"), "doc", "tid").agg(F.count("*").alias("n"))
+    alone = own.filter("alone").select("doc", "tid", "n")
+    first = own.filter("NOT alone").groupBy("class").agg(F.min(F.struct("tid", "doc", "n")).alias("x")).select("x.doc", "x.tid", "x.n")
+    kept = written(alone.union(first)).select(F.col("doc").alias("__kept_doc"), F.col("tid").alias("__kept_tid"), F.col("n").alias("__kept_n"))
+    k, t = columns([key, text])
+    cols = columns(docs.columns)
+    match = F.col("__kept_doc").eqNullSafe(k) & (F.col("__kept_tid") == F.coalesce(F.md5(t.cast("binary")), F.lit("")))
+    once = docs.join(kept.filter("__kept_n = 1"), match, "left_semi").select(*cols)
+    if kept.filter("__kept_n > 1").isEmpty():
+        return once
+    some = docs.join(kept.filter("__kept_n > 1"), match).groupBy("__kept_doc", "__kept_tid").agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("__kept_row"))
+    return once.union(some.select("__kept_row.*"))
+
+
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 

@@ -2,7 +2,8 @@
 
 Scratch files go only below the folder named by ``spark.checkpoint.dir`` (all
 executors and the driver see it). Where it is unset, as in local tests, a
-temporary folder is set as the session's checkpoint folder.
+temporary folder is set as the session's checkpoint folder; a session that is not local
+raises instead, as its executors would not see that folder.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 ALNUM_TABLE = bytes(
     c + 32 if 65 <= c <= 90 else 32 if c < 0x30 or 0x3A <= c <= 0x60 or 0x7B <= c <= 0x7F else c for c in range(256)
 )
-#: Rows of an Arrow batch; texts may be long, so batches are kept short.
+#: Rows and bytes of an Arrow batch; texts may be long, so batches are kept short.
 BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 _scratch: list[tuple[SparkSession, str]] = []
 
@@ -35,6 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder below the cluster's shared checkpoint folder."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="weft-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(top)
@@ -64,10 +68,23 @@ def written(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches of whole texts to ``BATCH_ROWS`` rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Keeps the session's Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes, here and in later queries."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+def columns(names: list[str]) -> list[Column]:
+    """Columns by their names, whatever characters these have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in names]
+
+
+def sheltered(docs: DataFrame, taken: list[str], fn) -> DataFrame:
+    """The rows of ``fn(docs)`` with the columns of ``docs``; those named as in ``taken`` have other names meanwhile."""
+    away = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c in taken}
+    out = fn(docs.withColumnsRenamed(away))
+    return out.select(*[x.alias(c) for c, x in zip(docs.columns, columns([away.get(c, c) for c in docs.columns]), strict=True)])
 
 
 def digest_mod(key: Column, mod: int) -> Column:
@@ -94,20 +111,23 @@ def map_text(df: DataFrame, make, added: str, inputs: list[str]) -> DataFrame:
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructType
+    from pyspark.sql.types import StructField, StructType
 
     new = StructType.fromDDL(added)
     keep = [f for f in df.schema.fields if f.name not in new.names]
     kinds = [to_arrow_type(f.dataType) for f in new.fields]
     names = [f.name for f in keep] + new.names
+    need = list(dict.fromkeys([f.name for f in keep] + inputs))
+    plain = {c: f"c{i}" for i, c in enumerate(need)}  # Spark's mapInArrow takes no dots in names
+    through = [plain[f.name] for f in keep]
     short_batches(df.sparkSession)
 
     def run(batches):
         fn = make()
         for b in batches:
-            got = fn(*[b.column(c).to_pylist() for c in inputs])
+            got = fn(*[b.column(plain[c]).to_pylist() for c in inputs])
             cols = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(got, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(f.name) for f in keep] + cols, names=names)
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in through] + cols, names=through + new.names)
 
-    need = list(dict.fromkeys([f.name for f in keep] + inputs))
-    return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, StructType(keep + new.fields))
+    out = StructType([StructField(plain[f.name], f.dataType, f.nullable) for f in keep] + new.fields)
+    return df.select(*[c.alias(plain[n]) for c, n in zip(columns(need), need, strict=True)]).mapInArrow(run, out).toDF(*names)

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import columns, table, written
 
 _WORD = r"\p{Lu}[\p{L}'’\-]{1,30}"
 #: Kinds in the order in which they are tried at a place.
@@ -227,7 +227,7 @@ def poured(kind: Column, surface: Column, made: Column) -> Column:
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with every entity in ``text`` replaced; the same columns in the same order."""
-    t = F.col(f"`{text}`")
+    t = columns([text])[0]
     found = F.when(t.rlike(MAYBE), F.regexp_extract_all(t, F.lit(PATTERN_FAST), 0)).otherwise(F.array().cast("array<string>"))
     marked = docs.withColumn("__pii_hits", F.coalesce(found, F.array().cast("array<string>")))
     clean = marked.filter(F.size("__pii_hits") == 0).drop("__pii_hits")
@@ -246,13 +246,13 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     between = F.split(t, PATTERN_FAST, -1)
     whole = F.array_join(F.zip_with(between, F.col("__pii_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     done = done.withColumn(text, whole)
-    cols = [F.col(f"`{c}`") for c in docs.columns]
+    cols = columns(docs.columns)
     return clean.select(*cols).unionByName(done.select(*cols))
 
 
 def entities(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``entities``, all that ``text`` has, as an array of (kind, canon, surface)."""
-    t = F.col(f"`{text}`")
+    t = columns([text])[0]
     return df.withColumn("entities", F.flatten(F.transform(F.coalesce(F.regexp_extract_all(t, F.lit(PATTERN_FAST), 0), F.array().cast("array<string>")), units)))
 
 
