@@ -16,6 +16,8 @@ from weft.llm import bpe, chosen_path, decontamination, pii, quality_rules
 from weft.llm.common import sheltered, table, written
 
 KEY = pii.KEY
+#: Pieces in the tokenizer's memos: fewer than by default, as earlier stages leave the executors' JVMs large.
+MEMO = 100_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +60,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no ids. Repeated rows stay. Of other columns lang and source are kept.
     """
-    done = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    done = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"), memo=MEMO)
     return done.select(
         "doc_id",
         "lang",

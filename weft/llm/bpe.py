@@ -6,8 +6,8 @@ links of a suffix automaton of the vocabulary; the longest one that the merges
 would leave beside the last token of the shorter prefix is it. Following the
 stored last tokens back gives exactly the ids that merging by rank gives.
 
-Memory is bounded by the vocabulary, two memos of ``MEMO`` pieces and one batch
-of texts. There is no shuffle: each text is encoded where it is read, so lost
+Memory is bounded by the vocabulary, two memos of ``memo`` pieces each, one of ``PAIRS`` pairs and
+a batch of texts; it goes when another operator works in the worker. There is no shuffle: each text is encoded where it is read, so lost
 executors cost their own splits only.
 
 Defined results: a null text is encoded as the empty one, which has no ids;
@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import map_text, table
 
-#: Pieces in a worker's memo before it becomes the older one and a new one begins.
+#: Pieces in a worker's memo before it becomes the older one and a new one begins; about 300 bytes each.
 MEMO = 400_000
+#: Pairs of tokens of which a worker remembers whether they stay apart.
+PAIRS = 400_000
 #: Unicode's white space, as in the library's patterns (\x1C-\x1F are none).
 WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -110,7 +112,7 @@ class Vocabulary:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether the merges leave the two tokens side by side as they are."""
-        if len(self.known) > 1_000_000:
+        if len(self.known) > PAIRS:
             self.known.clear()
         got = self.known[left << 32 | right] = not self._crossed(left, right, but_whole=False)
         return got
@@ -182,9 +184,10 @@ class SuffixAutomaton:
 class Bpe:
     """Encoder and decoder of a byte-level BPE vocabulary file of the tokenizers library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
         import regex
 
+        self.most = memo
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.vocab = v = Vocabulary(spec)
@@ -245,7 +248,7 @@ class Bpe:
                 out += ids
         if len(chunk) <= 64:
             memo[chunk] = out
-        if len(memo) > MEMO:  # what was not asked for since the last change is forgotten
+        if len(memo) > self.most:  # what was not asked for since the last change is forgotten
             self.memo, self.older = {}, memo
         return out
 
@@ -265,9 +268,13 @@ class Bpe:
         return b"".join(map(self.vocab.bytes_of.__getitem__, array("I", ids))).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def load(path: str) -> Bpe:
-    return Bpe(path)
+@lru_cache(maxsize=1)
+def load(path: str, memo: int = MEMO) -> Bpe:
+    return Bpe(path, memo)
+
+
+def forget() -> None:
+    load.cache_clear()
 
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
@@ -280,11 +287,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     return map_text(df, lambda: lambda rows: [[load(path).decode(x or b"") for x in rows]], f"{out} string", [ids])
 
 
-def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, path: str, text: str = "text", memo: int = MEMO) -> DataFrame:
     """Adds ``ids`` and ``decoded``, the text of these ids, in one pass."""
 
     def make():
-        bpe = load(path)
+        bpe = load(path, memo)
 
         def run(texts):
             ids = [bpe.encode(t or "") for t in texts]

@@ -38,7 +38,7 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, columns, map_text, short_batches, table, written
+from .common import alnum_words, columns, hold, map_text, short_batches, table, written
 
 SHINGLE = 5
 #: Links have intersection / union of THRESHOLD or more, compared in whole numbers.
@@ -46,15 +46,13 @@ THRESHOLD = (4, 5)
 SKETCH = 64
 LIMIT = 512
 #: Sets and shingles of a block, about: a task holds two blocks, with some 60 bytes a shingle.
-BLOCK = 1024
+BLOCK = 512
 BLOCK_SHINGLES = 500_000
 DEPTH = 6
 CROWD = 0.75
 RECALL = 0.9999
 #: Candidates agree in this share of their tokens: five deviations below the threshold.
 LOOSE = 0.55
-_WORDS = 500_000
-_memo: dict[bytes, int] = {}
 
 
 def runs_needed(recall: float = RECALL, depth: int = 2) -> int:
@@ -81,11 +79,7 @@ def shingles(text: str | None):
     words = alnum_words(text)
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_memo) > _WORDS:
-        _memo.clear()
-    for w in set(words).difference(_memo):
-        _memo[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     k = min(SHINGLE, len(h))
     x = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
@@ -135,6 +129,7 @@ def _choose(rows: DataFrame, runs: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
+        hold(__name__)
         place = _mix(np.arange(SKETCH, dtype=np.uint64) + np.uint64(77))
         for b in batches:
             if not b.num_rows:
@@ -176,6 +171,7 @@ def _met(rows: DataFrame, key: str, member: str, fn, ddl: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        hold(__name__)
         schema = to_arrow_schema(kind)
         stream = (r for b in batches for r in b.to_pylist())
         out = []

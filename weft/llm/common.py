@@ -9,6 +9,10 @@ raises instead, as its executors would not see that folder.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 
@@ -87,6 +91,26 @@ def sheltered(docs: DataFrame, taken: list[str], fn) -> DataFrame:
     return out.select(*[x.alias(c) for c, x in zip(docs.columns, columns([away.get(c, c) for c in docs.columns]), strict=True)])
 
 
+_owner = ""
+
+
+def hold(owner: str) -> None:
+    """Called in a task by the module that works in it: what others keep in this worker goes, so that memos of several operators never add up.
+
+    Modules of this subpackage with such memos have a function ``forget``.
+    """
+    global _owner
+    if owner == _owner:
+        return
+    _owner = owner
+    for name, module in list(sys.modules.items()):
+        if name.startswith(f"{__package__}.") and name != owner and hasattr(module, "forget"):
+            module.forget()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)  # glibc keeps freed memory otherwise
+
+
 def digest_mod(key: Column, mod: int) -> Column:
     """crc32 of the key as text, modulo ``mod``; a null key counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % mod
@@ -121,8 +145,10 @@ def map_text(df: DataFrame, make, added: str, inputs: list[str]) -> DataFrame:
     plain = {c: f"c{i}" for i, c in enumerate(need)}  # Spark's mapInArrow takes no dots in names
     through = [plain[f.name] for f in keep]
     short_batches(df.sparkSession)
+    owner = make.__module__
 
     def run(batches):
+        hold(owner)
         fn = make()
         for b in batches:
             got = fn(*[b.column(plain[c]).to_pylist() for c in inputs])

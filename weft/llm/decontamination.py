@@ -196,6 +196,10 @@ def match_items(
 _built: dict = {}
 
 
+def forget() -> None:
+    _built.clear()
+
+
 def _automaton(sent, window: int) -> ItemAutomaton:
     """The automaton of broadcast items, built once in each worker."""
     key = (sent.id if hasattr(sent, "id") else id(sent), window, hashlib.sha256(repr(sent.value).encode()).digest())

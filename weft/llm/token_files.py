@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import byte_chars
-from .common import shared_dir, short_batches, table
+from .common import hold, shared_dir, short_batches, table
 
 MAGIC = b"WTOK\x01\x00\x00"
 #: Documents in a file, about.
@@ -125,11 +125,15 @@ class Encoder:
         return [b"".join(map(get, s)) if s.__class__ is list else self._ids([s])[0] for s in split]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def load(path: str) -> Encoder:
     return Encoder(path)
 
 
+def forget() -> None:
+    load.cache_clear()
+
+
 def key_hashes(keys: list[str | None]):
     """A 64-bit hash, a 32-bit one for the bucket and a 32-bit fingerprint of each key."""
     import numpy as np
@@ -327,6 +331,7 @@ def write(
         import pyarrow as pa
         from pyspark import TaskContext
 
+        hold(__name__)
         out, enc = None, load(tokenizer)
         end = end_id.to_bytes(enc.width, "little") if end_id is not None else b""
         try:
