@@ -112,10 +112,78 @@ def test_set_checks(spark):
 
 
 def test_text_functions(spark):
-    d = spark.createDataFrame([("Éa-B 1", "Mat.4.21a", "sonOfX", "Alpha@Mat=x")], "a string, r string, p string, l string")
+    d = spark.createDataFrame([("Éa-B 1", "LXX Mat.4.21a", "sonOfX", "Alpha@Mat=x")], "a string, r string, p string, l string")
     books = F.create_map(F.lit("mat"), F.lit("MAT"))
     r = d.select(X.folded(F.col("a")).alias("f"), X.reference(F.col("r"), books).alias("ref"), X.is_placeholder(F.col("p")).alias("p"), X.label_base(F.col("l")).alias("l"), X.script(F.lit("λόγος")).alias("s")).first()
-    assert (r.f, tuple(r.ref), r.p, r.l, r.s) == ("eab1", ("MAT", 4, 21), True, "Alpha", "greek")
+    assert (r.f, tuple(r.ref), r.p, r.l, r.s) == ("ea b 1", ("MAT", 4, 21, "MAT 4:21", True), True, "Alpha", "greek")
+
+
+def test_name_and_word_rules(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    L = F.lit
+    assert [one(X.is_placeholder(L(x))) for x in ("mother", "Mother_Teresa", "unnamed#1", "the_wife2_of_y", "Person_of_z", "daughter in law of w", None)] == [False, False, True, True, False, True, False]
+    assert one(X.clean_name(L(" > A (x) <b>B</b>\tC"))) == "A B C" and one(X.clean_token(L("[a]  (b){c}"))) == "a b{c}"
+    assert one(X.identity_key(L("Name (a)@Mat=G1 ??"))) == "name @mat=g1"
+    books = F.create_map(L("mat"), L("MAT"))
+    assert [one(X.reference(L(x), books)) for x in ("Foo.1.1", "Mat.1.0", "Mat.1", "", None)] == [None] * 5
+    assert one(X.reference(L("Mat.1.2-30"), books)) is None and one(X.reference(L("Mat.1.2-3"), books)).passage == "MAT 1:2"
+    items = one(X.relation_items(L("Amram@Mat.1.1; Mat.2.2 + Jo (?), >Aa@Mat.1.1")))
+    assert [(i.key, i.uncertain, list(i.refs)) for i in items] == [("Amram", False, ["Mat.1.1", "Mat.2.2"]), ("Jo", True, []), ("Aa", False, ["Mat.1.1"])]
+    # words of one beginning are no match, words of one stem are
+    stems = lambda a, b: one(D.stem_forms(L(a), L(b), ["ου", "ος", "ην", "ης"]))
+    assert stems("αρισταρχος", "αριστοβουλος") is None and stems("αρισταρχος", "αρισταρχου") == "stem" and stems("ιωαννης", "ιωαννην") == "stem"
+    assert stems("abcd", "abcdef") == "prefix" and stems("abc", "abcd") is None and stems("abcd", "abcdefg") is None
+
+
+def test_range_of_more_than_the_limit_is_no_range(spark):
+    d = spark.createDataFrame([(1, 21), (1, 22), (5, 4), (3, 3), (None, 2)], "lo int, hi int")
+    got = [(r.lo, r.hi) for r in R.expand_range(d, "lo", "hi", "x").select("lo", "hi").distinct().collect()]
+    assert sorted(got) == [(1, 21), (3, 3)]
+
+
+def test_upsert_stops_where_no_one_row_is_meant(spark):
+    old = spark.createDataFrame([(1, ["a"]), (1, ["b"]), (2, ["c"])], "s int, ev array<string>")
+    new = lambda *e: spark.createDataFrame([(1, list(e))], "s int, ev array<string>")
+    with pytest.raises(ValueError, match="ambiguous"):
+        M.upsert(old, new("z"), ["s"], "ev")
+    got = sorted((r.action, list(r.ev)) for r in M.upsert(old, new("a"), ["s"], "ev").filter("s = 1").collect())
+    assert got == [("keep", ["b"]), ("skip", ["a"])]
+    with pytest.raises(ValueError, match="duplicate"):
+        M.upsert(old.union(old), new("a"), ["s"], "ev")
+    with pytest.raises(ValueError, match="not applied"):
+        M.applied(M.upsert(old.filter("s = 2"), new("z"), ["s"], "ev"), "check")
+    done = []
+    assert M.applied(M.upsert(old.filter("s = 2"), new("z"), ["s"], "ev"), "apply", done.append).count() == 2 and len(done) == 1
+
+
+def test_decisions_hold_for_what_was_seen(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    d = lambda *x: spark.createDataFrame(list(x), "k int, v string, decision string")
+    assert {r.k: r.decision for r in V.overridden(rows, d((1, "a", "no")), "k", ["v"], {"decision": "yes"}).collect()} == {1: "no", 2: "yes"}
+    for bad in (d((1, "old", "no")), d((9, "a", "no")), d((1, "a", "no"), (1, "a", "yes"))):
+        with pytest.raises(ValueError):
+            V.overridden(rows, bad, "k", ["v"], {"decision": "yes"})
+
+
+def test_snapshots_and_reviewers_that_do_not_match_raise(spark):
+    a, b = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string"), spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
+    assert R.aligned({"one": a, "two": b}, "k").count() == 2
+    for wrong in (b.filter("k = 1"), b.union(b)):
+        with pytest.raises(ValueError):
+            R.aligned({"one": a, "two": wrong}, "k")
+    assert M.agreed(a, a, "k", ["v"]).count() == 2
+    for wrong in (b, a.filter("k = 1"), a.union(a)):
+        with pytest.raises(ValueError):
+            M.agreed(a, wrong, "k", ["v"])
+    with pytest.raises(ValueError):
+        V.coverage(a.union(a), a, ["k"], "v")
+
+
+def test_drift_and_rebuilds(spark):
+    a = spark.createDataFrame([(1, "x"), (2, None), (2, None)], "k int, v string")
+    f = lambda d: M.fingerprint(d, "k", "v").first()
+    assert f(a).n_rows == 3 and f(a).fingerprint != f(a.distinct()).fingerprint
+    assert not M.idempotent(lambda: spark.range(3).select(F.rand().alias("r")), ["r"]).first().same
 
 
 def test_longest_hit_wins(spark):
@@ -156,6 +224,85 @@ def test_readers_and_sinks(spark, tmp_path):
     assert {(r.name, r.fault) for r in S.lock_violations(S.file_inventory(spark, str(p)), reg).collect()} == {("a.jsonl", "hash"), ("gone", "missing")}
 
 
+def test_files_in_order_and_captures(spark, tmp_path):
+    for name, text in (("b.txt", "1:2\tIn Thé\n1:3\tx\n"), ("a.txt", "Mat 1:1\tOne-two\n1:1\tagain\nno tab\n"), (".hidden.txt", "1:1\tx\n"), ("c.md", "1:1\tx\n")):
+        (tmp_path / name).write_text(text)
+    (tmp_path / "d.txt.folder").mkdir()
+    assert [p.rpartition("/")[2] for p in S.listed(spark, str(tmp_path), r"\.txt$")] == ["a.txt", "b.txt"]
+    lines = S.read_files(spark, str(tmp_path), r"\.txt$")
+    assert sorted({(r.file_no, r.file.rpartition("/")[2]) for r in lines.collect()}) == [(0, "a.txt"), (1, "b.txt")]
+    assert S.read_files(spark, str(tmp_path), "none").count() == 0
+    books = F.create_map(F.lit("a"), F.lit("MAT"), F.lit("b"), F.lit("MRK"))
+    assert {r.passage: r.text for r in S.verse_texts(lines, books).collect()} == {"MAT 1:1": "again", "MRK 1:2": "in the", "MRK 1:3": "x"}
+    cap = tmp_path / "cap.json"
+    ok = '{"source_id": "s", "count": 2, "rows": [{"title": "A (Person)", "at": "1"}, {"title": "B (Person)", "at": "2"}]}'
+    read = lambda text, **k: (cap.write_text(text), S.read_captured(spark, str(cap), "title: string, at: string", "s", title=r"\(Person\)$", **k))[1]
+    assert read(ok, n_rows=2).count() == 2
+    for bad in (ok.replace('"count": 2', '"count": 3'), ok.replace('"s"', '"t"'), ok.replace("B (Person)", "B"), ok.replace("B (Person)", "A (Person)").replace('"2"', '"1"')):
+        with pytest.raises(ValueError):
+            read(bad)
+
+
+def test_reports_and_swaps(spark, tmp_path):
+    import json
+
+    S.write_report(spark.createDataFrame([(1, "é")], "n int, a string"), str(tmp_path / "r.json"))
+    S.write_report(spark.createDataFrame([(2, "x")], "n int, a string"), str(tmp_path / "r.json"))
+    text = (tmp_path / "r.json").read_text()
+    assert json.loads(text) == {"a": "x", "n": 2} and text.startswith('{\n  "a"')
+    with pytest.raises(ValueError):
+        S.write_report(spark.range(5).toDF("n"), str(tmp_path / "r.json"), 3)
+    path = str(tmp_path / "t")
+    S.write_atomic(spark.range(3).toDF("n"), path)
+    S.write_atomic(spark.read.parquet(path).filter("n > 0"), path)  # rows may come from the table itself
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(Exception):
+        S.write_atomic(spark.range(3).select(F.raise_error(F.lit("no")).alias("n")), path)
+    assert spark.read.parquet(path).count() == 2 and {p.name for p in tmp_path.iterdir() if not p.name.startswith(".")} == {"r.json", "t"}
+
+
+def test_documents_fall_back(spark, tmp_path):
+    other = spark.createDataFrame([(7,)], "a int")
+    assert S.read_document(spark, str(tmp_path / "none.json"), "a int", other).first().a == 7
+    (tmp_path / "d.json").write_text('{\n "a": 1\n}')
+    assert S.read_document(spark, str(tmp_path / "d.json"), "a int", other).first().a == 1
+
+
+def test_marked_names_lemmas_and_code_lines(spark, tmp_path):
+    p = spark.createDataFrame([(r"In \pn Adam\pn* and \+pn Eve\+pn* \pn Adam\pn* went",), ("none",)], "text string")
+    assert [(list(r.names), r.text) for r in S.marked_names(p).collect()] == [(["Adam", "Eve"], "In Adam and Eve Adam went"), ([], "none")]
+    tagged = spark.createDataFrame([("Ezk.1.2#01 HNpm {H0001A=אָדָם=x}",), ("Ezk.1.2#02 HNpl {H0002=קַיִן=x}",), ("Gen.1.1#01 HVq {H0003=שֵׁת=x}",)], "line string")
+    books = F.create_map(F.lit("EZK"), F.lit("EZE"))
+    assert {r.passage: sorted(r.lemmas) for r in S.name_lemmas(tagged, books).collect()} == {"EZE 1:2": ["אדם", "קין"]}
+    f = tmp_path / "codes.txt"
+    f.write_text("====\nH0001 g1234 G1234A Mat.1.1 Mat.1-2 x\nno codes Mat.1.1\n\nH0001 Mat.1.1 Foo.1.1\n")
+    names = F.create_map(F.lit("mat"), F.lit("MAT"))
+    parsed = S.code_lines(S.read_lines(spark, str(f)), names)
+    assert sorted((r.pos, list(r.codes), list(r.refs)) for r in parsed.collect()) == [(1, ["H0001", "G1234A"], ["MAT 1:1"]), (4, ["H0001"], ["MAT 1:1"])]
+    inv = S.code_inventory(parsed, S.file_inventory(spark, str(f))).first()
+    assert (inv.data_lines, inv.n_refs, list(inv.books), inv.lines) == (2, 1, ["MAT"], 5)
+
+
+def test_references_of_children(spark):
+    kids = S.child_rows(spark.createDataFrame([("– Name\traw\tx\tword\t\tMat.1.1; LXX 1Ki.2.3, Foo.1.1",)], "line string"))
+    books = F.create_map(F.lit("mat"), F.lit("MAT"), F.lit("1ki"), F.lit("1KI"))
+    got = {(r.passage, r.testament, r.lxx) for r in S.child_references(kids, books, ["1KI"], ["MAT"]).collect()}
+    assert got == {("MAT 1:1", "nt", False), ("1KI 2:3", "ot", True)}
+
+
+def test_export_has_each_passage_once(spark):
+    from weft.operators.review import export_tables
+
+    e = spark.createDataFrame
+    out = export_tables(
+        e([("p1", "A"), ("p2", "B")], "node string, name string"), e([], "name_id string"), e([], "edge_id string"), e([], "option string"),
+        e([("m1", "p1", "MAT 1:1", "nt", "s", "ok"), ("m2", "p1", "GEN 1:1", "ot", "s", "ok"), ("m3", "p2", "MAT 1:1", "nt", "s", "ok")], "mention_id string, node string, passage string, testament string, source string, status string"),
+        e([("a1", "MAT 1:1", "nt", "s", "x", 0.5, "n")], "edge_id string, passage string, testament string, source string, level string, certainty double, note string"), e([("s",)], "source string"),
+    )
+    assert {(r.node, r.n_nt, r.n_ot, r.testament) for r in out["person_nodes"].collect()} == {("p1", 1, 1, "nt,ot"), ("p2", 1, 0, "nt")}
+    assert sorted(r.passage for r in out["passage_nodes"].collect()) == ["GEN 1:1", "MAT 1:1"] and len(out) == 8
+
+
 def test_passages_codes_and_children(spark, tmp_path):
     (tmp_path / "x.xml").write_text('<b><verse ref="A 1:1">In <i>the</i></verse>\n<verse ref="A 1:2">x</verse><verse ref="A 1:1">end</verse></b>')
     assert {r.ref: r.text for r in S.xml_passages(spark, str(tmp_path / "x.xml")).collect()} == {"A 1:1": "In the end", "A 1:2": "x"}
@@ -170,3 +317,9 @@ def test_passages_codes_and_children(spark, tmp_path):
 
     export_graph({"nodes": kids, "edges": p}, str(tmp_path / "graph"))
     assert (tmp_path / "graph/nodes").exists() and (tmp_path / "graph/edges").exists()
+
+
+def test_items_of_lists_are_trimmed_of_spaces_alone(spark):
+    d = spark.createDataFrame([("Mat.1.10; 1Ki.1.21, Mat.2.20",)], "r string")
+    assert list(d.select(X.references(F.col("r")).alias("x")).first().x) == ["Mat.1.10", "1Ki.1.21", "Mat.2.20"]
+    assert [i.raw for i in d.select(X.relation_items(F.lit("A10, B21")).alias("x")).first().x] == ["A10", "B21"]

@@ -18,6 +18,30 @@ def both_ways(edges: DataFrame, a: str, b: str, edge_id: str) -> DataFrame:
     return f.unionByName(r).dropDuplicates(["src", "dst", "edge_id"])
 
 
+def without_edges(edges: DataFrame, excluded: Column) -> DataFrame:
+    """Edges of which no path is made go: those of an excluded class, as inferred kinship that paths explain."""
+    return edges.filter(~F.coalesce(excluded, F.lit(False)))
+
+
+def with_passages(edges: DataFrame, evidence: DataFrame, most: int = 3) -> DataFrame:
+    """Adds ``passages``, an edge's first ones by (edge_id, pos, passage); blank ones do not count. Ranks are cut before they are gathered."""
+    w = Window.partitionBy("edge_id").orderBy("pos", "passage")
+    some = evidence.filter(F.trim("passage") != "").withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= most)
+    lists = some.groupBy("edge_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("_rn", "passage"))), lambda x: x["passage"]).alias("passages"))
+    return edges.join(lists, "edge_id", "left").withColumn("passages", F.coalesce("passages", F.array().cast("array<string>")))
+
+
+def path_states(paths: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:
+    """(key, n, statuses, inferred, all_inferred): how many of a path's edges are in each status.
+
+    ``paths`` has ``edge_ids``, ``edges`` edge_id, status and inferred. ``statuses`` are sorted (status, n).
+    """
+    steps = paths.select(key, F.explode("edge_ids").alias("edge_id")).join(edges.select("edge_id", F.coalesce("status", F.lit("")).alias("status"), F.coalesce("inferred", F.lit(False)).alias("inferred")), "edge_id")
+    by = steps.groupBy(key, "status").agg(F.count("*").alias("n"), F.count_if("inferred").alias("i"))
+    one = by.groupBy(key).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("status", "n"))).alias("statuses"), F.sum("i").alias("inferred"))
+    return one.withColumn("all_inferred", F.col("inferred") == F.col("n"))
+
+
 def canonical_paths(edges: DataFrame, depth: int = 4, pairs: DataFrame | None = None) -> DataFrame:
     """(src, dst, ids, steps, delta, length): the canonical shortest path of every ordered pair within ``depth`` steps.
 
@@ -73,12 +97,35 @@ def explanation_paths(edges: DataFrame, pairs: DataFrame, depth: int = 4) -> Dat
     return plain.unionByName(done) if done is not None else plain
 
 
-def path_id(purpose: str) -> Column:
-    """Content address of a path: 16 hex digits over purpose, ends and steps."""
-    text = F.concat_ws("|", F.lit(purpose), "src", "dst", F.array_join("steps", ","))
+def path_id(purpose: str, explains: Column | None = None) -> Column:
+    """Content address of a path: 16 hex digits over purpose, the explained edge's id (empty without one), ends and steps."""
+    explained = F.coalesce(explains, F.lit("")) if explains is not None else F.lit("")
+    text = F.concat_ws("|", F.lit(purpose), explained, "src", "dst", F.array_join("steps", ","))
     return F.concat(F.lit("mh-"), F.substring(F.sha2(text, 256), 1, 16))
 
 
+def purpose_faults(paths: DataFrame, direct: DataFrame, edges: DataFrame, basic: Sequence[str], explainable: Sequence[str]) -> DataFrame:
+    """(id, fault) of paths (id, purpose, explains, src, dst, edge_ids) that break a rule of their purpose.
+
+    A connection explains nothing and has no direct pair (``direct``: src, dst). An explanation explains a kinship
+    edge (``edges``: edge_id, type, subtype) of an ``explainable`` subtype, does not use it, and goes by ``basic`` kinship alone.
+    Nor may two paths have one (purpose, explains, src, dst).
+    """
+    kin = edges.select("edge_id", F.coalesce((F.col("type") == "kinship") & F.col("subtype").isin(list(basic)), F.lit(False)).alias("basic"), F.coalesce((F.col("type") == "kinship") & F.col("subtype").isin(list(explainable)), F.lit(False)).alias("able"))
+    steps = paths.select("id", F.explode("edge_ids").alias("edge_id")).join(kin, "edge_id", "left").groupBy("id").agg(F.bool_and(F.coalesce("basic", F.lit(False))).alias("basic"))
+    twice = paths.groupBy("purpose", "explains", "src", "dst").agg(F.count("*").alias("n")).filter("n > 1")
+    twice = twice.select(*[F.col(c).alias(f"_{c}") for c in ("purpose", "explains", "src", "dst")], F.lit(True).alias("twice"))
+    out = paths.join(steps, "id", "left").join(kin.select(F.col("edge_id").alias("explains"), "able"), "explains", "left")
+    out = out.join(direct.select("src", "dst").distinct().withColumn("direct", F.lit(True)), ["src", "dst"], "left")
+    out = out.join(twice, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("purpose", "explains", "src", "dst")], "left")
+    link, told = F.col("purpose") == "connection", F.col("purpose") == "kinship_explanation"
+    rules = {
+        "purpose": ~(link | told), "direct_pair": link & F.col("direct"), "explains": link & F.col("explains").isNotNull(), "explained": told & ~F.coalesce("able", F.lit(False)),
+        "uses_explained": told & F.array_contains("edge_ids", F.col("explains")), "not_basic": told & ~F.coalesce("basic", F.lit(False)), "duplicate": F.col("twice"),
+    }
+    return out.select("id", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]))).alias("fault"))
+
+
 def path_faults(paths: DataFrame, depth: int = 4) -> DataFrame:
     """(src, dst, fault) of paths that break an invariant."""
     rules = {
@@ -148,6 +195,65 @@ def generational_ranks(parents: DataFrame, focus: str) -> DataFrame:
     return line.unionByName(beside.join(line, "node", "left_anti")).distinct()
 
 
+def family_ranks(parents: DataFrame, siblings: DataFrame, partners: DataFrame, nodes: DataFrame, focus: str, topic: DataFrame | None = None) -> DataFrame:
+    """(node, rank) of every node shown around a focus.
+
+    The focus is 0; ancestors go down from -1, each at its nearest visit; siblings are 1, partners 0;
+    descendants go up from 1, or from 2 beside siblings, where no rank is given yet; the rest has its
+    rank in the topic (node, rank), else 1. ``siblings`` and ``partners`` are (a, b) in any order.
+    """
+    spark = nodes.sparkSession
+    shown = nodes.select(F.col("node").alias("src")).distinct()
+    lines = parents.join(shown.withColumnRenamed("src", "parent"), "parent", "left_semi").join(shown.withColumnRenamed("src", "child"), "child", "left_semi")
+    start = spark.createDataFrame([(focus, 0)], "node string, value int")
+
+    def beside(pairs: DataFrame) -> DataFrame:
+        both = pairs.select(F.col("a").alias("x"), F.col("b").alias("node")).union(pairs.select("b", "a"))
+        return kept(both.filter(F.col("x") == focus).select("node").distinct())
+
+    seen = lambda d: d.join(shown.withColumnRenamed("src", "node"), "node", "left_semi")
+    sibs, mates = beside(siblings), beside(partners)
+    up = spread(lines.select(F.col("child").alias("src"), F.col("parent").alias("dst")), start, F.col("value") - 1).filter("depth > 0")
+    first = 1 if sibs.isEmpty() else 2
+    taken = sibs.union(mates).union(up.select("node")).distinct()  # lines of descent do not go on over these
+    below = lines.join(taken, F.col("child") == F.col("node"), "left_anti")
+    down = spread(below.select(F.col("parent").alias("src"), F.col("child").alias("dst")), start, F.col("value") + 1).filter("depth > 0")
+    ranked = [
+        start.select("node", F.lit(0).alias("rank"), F.lit(0).alias("turn")), seen(mates).select("node", F.lit(0), F.lit(1)), seen(sibs).select("node", F.lit(1), F.lit(2)),
+        up.select("node", "value", F.lit(3)), down.select("node", F.col("value") + (first - 1), F.lit(4)),
+    ]
+    out = ranked[0]
+    for r in ranked[1:]:
+        out = out.union(r)
+    if topic is not None:
+        out = out.union(topic.join(shown.withColumnRenamed("src", "node"), "node", "left_semi").select("node", "rank", F.lit(5)))
+    # a partner's rank replaces a sibling's, that an ancestor's; descendants and topics fill up
+    one = out.groupBy("node").agg(F.min_by("rank", "turn").alias("rank"))
+    return shown.withColumnRenamed("src", "node").join(one, "node", "left").select("node", F.coalesce("rank", F.lit(1)).alias("rank"))
+
+
+def directional_ranks(edges: DataFrame, focus: str) -> DataFrame:
+    """(node, rank) of the focus's network (src, dst, direction): a step along an edge adds one, against it takes one.
+
+    ``incoming`` turns an edge round; undirected and bidirectional ones go towards 0 from below, else down. A node
+    has its rank from its first visit; of several visits in one round the least rank counts.
+    """
+    flat = F.col("direction").isin("undirected", "bidirectional")
+    along = F.when(F.col("direction") == "incoming", -1).otherwise(1)
+    f = edges.select("src", "dst", F.when(~F.coalesce(flat, F.lit(False)), along).alias("way"))
+    both = kept(f.union(edges.select("dst", "src", F.when(~F.coalesce(flat, F.lit(False)), -along))).distinct())
+    start = edges.sparkSession.createDataFrame([(focus, 0)], "node string, value int")
+    step = F.col("value") + F.coalesce("way", F.when(F.col("value") < 0, 1).otherwise(-1))
+    return spread(both, start, step).select("node", F.col("value").alias("rank"))
+
+
+def connected_edges(edges: DataFrame, focus: str) -> DataFrame:
+    """Edges with both ends in the focus's component."""
+    both = edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
+    near = component(both, focus).select("node")
+    return edges.join(near, F.col("src") == F.col("node"), "left_semi").join(near, F.col("dst") == F.col("node"), "left_semi")
+
+
 def fold_parallel(edges: DataFrame, priority: Column) -> DataFrame:
     """One edge for each unordered pair: the greatest priority, then the least id."""
     pair = edges.withColumns({"lo": F.least("src", "dst"), "hi": F.greatest("src", "dst"), "priority": priority})
@@ -171,13 +277,20 @@ def neighbourhood(edges: DataFrame, focus: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class GraphQuery:
-    """Facets of a view; an empty facet filters nothing. ``merge``: groups shown as one node."""
+    """Facets of a view; an empty facet filters nothing. ``merge``: groups shown as one node.
+
+    ``family`` lets all kinship pass the filter of types, as family topics do. ``scope``: a testament.
+    """
 
     types: Sequence[str] = ()
     groups: Sequence[str] = ()
     evidence: Sequence[str] = ()
     nodes: Sequence[str] = ()
+    books: Sequence[str] = ()
+    eras: Sequence[str] = ()
+    scope: str = ""
     term: str = ""
+    family: bool = False
     merge: Sequence[str] = field(default=())
 
 
@@ -187,28 +300,89 @@ def merge_mapping(nodes: DataFrame, groups: Sequence[str]) -> DataFrame:
     return nodes.join(g.filter("all_may AND n > 1"), "grp").select("node", "target")
 
 
+def chosen_mapping(options: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(node, target): members of a group whose chosen option names the group and its one target, where all members chose so.
+
+    ``options`` is (node, option, grp, target) of options that merge; ``chosen`` (node, option). A target is
+    not its own member's target here: it is left out.
+    """
+    g = options.groupBy("grp").agg(F.countDistinct("node").alias("n"), F.min("target").alias("to"))
+    took = options.join(chosen, ["node", "option"]).join(g, "grp").filter("target = to").select("grp", "node").distinct()
+    all_ = took.groupBy("grp").agg(F.count("*").alias("m")).join(g, "grp").filter("m = n AND n > 1 AND to IS NOT NULL").select("grp", "to")
+    return took.join(all_, "grp").filter("node <> to").select("node", F.col("to").alias("target"))
+
+
+def merged_nodes(nodes: DataFrame, mapping: DataFrame, sets: Sequence[str], name: str = "name", aliases: str = "aliases") -> DataFrame:
+    """Nodes after a merge: a target keeps its own columns, and has the union of all members' ``sets``.
+
+    Members' names join the aliases; the target's own name is none of these.
+    """
+    at = nodes.join(mapping, "node", "left").withColumn("_to", F.coalesce("target", "node")).drop("target")
+    named = at.withColumn(aliases, F.concat(F.col(aliases), F.array(name)))
+    u = named.groupBy(F.col("_to").alias("node")).agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(f"_{c}") for c in sets])
+    own = nodes.join(mapping.select("node"), "node", "left_anti").join(u, "node")
+    out = own.withColumns({c: F.col(f"_{c}") for c in sets})
+    return out.withColumn(aliases, F.filter(aliases, lambda a: (a != F.col(name)) & (a != ""))).drop(*[f"_{c}" for c in sets])
+
+
+def relation_facets(q: GraphQuery, has: Sequence[str]) -> Column:
+    """Which edges a query's own facets let pass, of columns ``has``: type and kin, evidence, books, eras of either end, testaments, both ends in a set."""
+    ok = F.lit(True)
+    any_of = lambda c, some: F.arrays_overlap(c, F.array(*[F.lit(x) for x in some]))
+    if q.types:
+        kin = F.coalesce((F.col("raw_type") == "kinship") | F.startswith("raw_type", F.lit("kinship:")), F.lit(False)) if q.family and "raw_type" in has else F.lit(False)
+        ok = ok & (F.col("type").isin(list(q.types)) | kin)
+    if q.evidence:
+        ok = ok & (any_of("levels", q.evidence) if "levels" in has else F.col("evidence").isin(list(q.evidence)))
+    if q.books:
+        ok = ok & any_of("books", q.books)
+    if q.eras:
+        ok = ok & (F.col("src_era").isin(list(q.eras)) | F.col("dst_era").isin(list(q.eras)))
+    if q.scope:
+        ok = ok & F.array_contains("testaments", q.scope)
+    if q.nodes:
+        ok = ok & F.col("src").isin(list(q.nodes)) & F.col("dst").isin(list(q.nodes))
+    return F.coalesce(ok, F.lit(False))
+
+
+def name_matches(names: Column, term: str) -> Column:
+    """Whether a name of an array has the term in it, both in NFKC and lower case; an empty term is in all."""
+    import unicodedata
+
+    from weft.functions.text import normalized
+
+    wanted = " ".join(unicodedata.normalize("NFKC", term).lower().split())
+    if not wanted:
+        return F.lit(True)
+    # names are joined so that one call normalises them all; the joint is in no term
+    all_ = F.lower(normalized("NFKC")(F.array_join(names, "\u0000")))
+    return F.coalesce(F.contains(F.regexp_replace(all_, r"[ \t\r\n]+", " "), F.lit(wanted)), F.lit(False))
+
+
 def visible(nodes: DataFrame, edges: DataFrame, q: GraphQuery) -> DataFrame:
     """Edges a query shows: ends mapped to merge targets, loops dropped, facets applied, equal ones once.
 
-    ``nodes``: node, grp, name, may_merge; ``edges``: src, dst, edge_id, type, evidence.
+    ``nodes``: node, grp, name, may_merge, and era where eras are asked for; ``edges``: src, dst, edge_id,
+    type, evidence, and what the query's facets read.
     """
     if q.merge:
         m = merge_mapping(nodes, q.merge)
         for end in ("src", "dst"):
             edges = edges.join(m.select(F.col("node").alias(end), "target"), end, "left").withColumn(end, F.coalesce("target", end)).drop("target")
     out = edges.filter("src <> dst")
-    if q.types:
-        out = out.filter(F.col("type").isin(list(q.types)))
-    if q.evidence:
-        out = out.filter(F.col("evidence").isin(list(q.evidence)))
-    if q.nodes:
-        out = out.filter(F.col("src").isin(list(q.nodes)) & F.col("dst").isin(list(q.nodes)))
+    if q.eras:
+        for end in ("src", "dst"):
+            out = out.join(nodes.select(F.col("node").alias(end), F.col("era").alias(f"{end}_era")), end, "left")
+    out = out.filter(relation_facets(q, out.columns)).select(*edges.columns)
     if q.groups or q.term:
         ok = nodes
         if q.groups:
             ok = ok.filter(F.col("grp").isin(list(q.groups)))
         if q.term:
-            ok = ok.filter(F.contains(F.lower("name"), F.lit(q.term.lower())))
-        either = out.join(ok, F.col("src") == F.col("node"), "left_semi").unionByName(out.join(ok, F.col("dst") == F.col("node"), "left_semi"))
-        out = either
+            ok = ok.filter(name_matches(F.col("names") if "names" in nodes.columns else F.array("name"), q.term))
+        out = out.join(ok, F.col("src") == F.col("node"), "left_semi").unionByName(out.join(ok, F.col("dst") == F.col("node"), "left_semi"))
     return out.dropDuplicates(["src", "dst", "edge_id"])
+
+
+#: Stored queries by topic.
+PRESETS = {"all": GraphQuery(), "family": GraphQuery(family=True, types=("kinship",))}

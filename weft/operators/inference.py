@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def siblings(parents: DataFrame, disputed: DataFrame | None = None) -> DataFrame:
-    """(a, b, n_premises, premises, status): pairs a < b of one parent's children.
+def siblings(parents: DataFrame, disputed: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """(a, b, n_premises, premises, status): pairs a < b of one parent's children, but for ``known`` siblings (a, b in any order).
 
     Rejected when one is the other's parent, or either is disputed.
     """
@@ -16,6 +16,8 @@ def siblings(parents: DataFrame, disputed: DataFrame | None = None) -> DataFrame
     pairs = l.join(r, "parent").filter("a < b").groupBy("a", "b").agg(
         F.count("*").alias("n_parents"), F.array_sort(F.flatten(F.collect_list(F.array("ea", "eb")))).alias("premises")
     )
+    if known is not None:
+        pairs = pairs.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     direct = parents.select(F.least("parent", "child").alias("a"), F.greatest("parent", "child").alias("b")).distinct().withColumn("clash", F.lit(True))
     out = pairs.join(direct, ["a", "b"], "left")
     status = F.when(F.col("clash"), "generation_conflict")
@@ -65,20 +67,39 @@ def _best(found: DataFrame, ends: list[str], premises, low: int, high: int) -> D
     return one.select(*ends, F.when(F.col("p.n") > 0, low).otherwise(high).alias("certainty"), "p.premises")
 
 
-def adjudicate(candidates: DataFrame, a: str, b: str, existing: DataFrame, disputed: DataFrame, primary: DataFrame) -> DataFrame:
-    """Adds ``status``: covered_existing, identity_conflict, generation_conflict or needs_review, in this order.
+def admissible(candidates: DataFrame, premises: DataFrame, most: int = 1, accepted: str = "three_round_accepted") -> DataFrame:
+    """Candidates (id, premises) that may be judged: at most ``most`` inferred premises, these accepted, and a passage at all.
+
+    ``premises`` is (edge_id, inferred, review_status, passage); an unknown premise makes a candidate inadmissible.
+    Adds ``n_inferred`` and ``passages``, sorted and distinct.
+    """
+    used = candidates.select("id", F.explode("premises").alias("edge_id")).join(premises, "edge_id", "left")
+    inferred = F.coalesce("inferred", F.lit(False))
+    one = used.groupBy("id").agg(
+        F.count_distinct(F.when(inferred, F.col("edge_id"))).alias("n_inferred"), F.bool_and(F.coalesce(~inferred | (F.col("review_status") == accepted), F.lit(False)) & F.col("inferred").isNotNull()).alias("fit"),
+        F.array_sort(F.collect_set(F.when(F.trim("passage") != "", F.col("passage")))).alias("passages"),
+    )
+    return candidates.join(one.filter((F.col("n_inferred") <= most) & F.col("fit") & (F.size("passages") > 0)).drop("fit"), "id")
+
+
+def adjudicate(candidates: DataFrame, a: str, b: str, existing: DataFrame, disputed: DataFrame, primary: DataFrame, clashing: DataFrame | None = None) -> DataFrame:
+    """Adds ``status``: covered_existing, identity_conflict, existing_conflict, generation_conflict or needs_review, in this order.
 
-    ``existing`` and ``primary`` are unordered (x, y) pairs, ``disputed`` has entity.
+    ``existing``, ``primary`` and ``clashing`` (pairs with a row of the same relation but other premises)
+    are unordered (x, y) pairs, ``disputed`` has entity.
     """
     lo, hi = F.least(a, b), F.greatest(a, b)
     out = candidates.withColumns({"_lo": lo, "_hi": hi})
-    for name, pairs in (("_e", existing), ("_p", primary)):
+    for name, pairs in (("_e", existing), ("_p", primary), *([("_c", clashing)] if clashing is not None else [])):
         flat = pairs.select(F.least("x", "y").alias("_lo"), F.greatest("x", "y").alias("_hi")).distinct().withColumn(name, F.lit(True))
         out = out.join(flat, ["_lo", "_hi"], "left")
     for end, name in ((a, "_da"), (b, "_db")):
         out = out.join(disputed.select(F.col("entity").alias(end)).distinct().withColumn(name, F.lit(True)), end, "left")
-    status = F.when(F.col("_e"), "covered_existing").when(F.col("_da") | F.col("_db"), "identity_conflict").when(F.col("_p"), "generation_conflict").otherwise("needs_review")
-    return out.withColumn("status", status).drop("_lo", "_hi", "_e", "_p", "_da", "_db")
+    status = F.when(F.col("_e"), "covered_existing").when(F.col("_da") | F.col("_db"), "identity_conflict")
+    if clashing is not None:
+        status = status.when(F.col("_c"), "existing_conflict")
+    status = status.when(F.col("_p"), "generation_conflict").otherwise("needs_review")
+    return out.withColumn("status", status).drop("_lo", "_hi", "_e", "_p", "_c", "_da", "_db")
 
 
 def structure_faults(inferred: DataFrame, base: DataFrame) -> DataFrame:
@@ -88,3 +109,82 @@ def structure_faults(inferred: DataFrame, base: DataFrame) -> DataFrame:
     flat = one.join(known, "edge_id", "left").groupBy("id").agg(F.count("edge_id").alias("n"), F.countDistinct("edge_id").alias("d"), F.count("known").alias("k"))
     fault = F.when(F.col("n") < 2, "too_few").when(F.col("d") < F.col("n"), "repeated").when(F.col("k") < F.col("n"), "unknown_premise")
     return flat.withColumn("fault", fault).filter("fault IS NOT NULL").select("id", "fault")
+
+
+#: Shape of a rule's result: its ends on the path, sibling edges and parent edges as places (from 0) of their two ends on the path.
+SHAPES = {"uncle_aunt": (3, ((0, 1),), ((1, 2),)), "cousin": (4, ((1, 2),), ((1, 0), (2, 3)))}
+
+
+def _has_edge(kind: str, p: Column, q: Column) -> Column:
+    """Whether ``edges`` has one of this kind from p to q, or between them where it is undirected."""
+
+    def fits(e: Column) -> Column:
+        there = (e["x"] == p) & (e["y"] == q)
+        return (e["kind"] == kind) & (there | ((e["x"] == q) & (e["y"] == p)) if kind == "sibling" else there)
+
+    return F.exists("edges", fits)
+
+
+def shape_faults(inferred: DataFrame, base: DataFrame) -> DataFrame:
+    """(id, fault) of inferred rows (id, rule, a, b, path, premises) whose path or premises do not fit their rule.
+
+    ``base`` is (edge_id, kind, x, y, status, inferred, accepted): sibling edges of x and y, parent edges from x to y.
+    """
+    used = inferred.select("id", F.explode("premises").alias("edge_id")).join(base, "edge_id", "left")
+    edge = F.struct("kind", "x", "y")
+    told = used.groupBy("id").agg(
+        F.count("*").alias("n"), F.count("kind").alias("known"), F.count_if(F.col("status") != "active").alias("inactive"), F.count_distinct("edge_id").alias("distinct"),
+        F.count_if(F.coalesce("inferred", F.lit(False))).alias("inferred"), F.count_if(F.coalesce(F.col("inferred") & ~F.coalesce("accepted", F.lit(False)), F.lit(False))).alias("unaccepted"),
+        F.collect_set(F.when(F.col("kind").isNotNull(), edge)).alias("edges"),
+    )
+    out = inferred.join(told, "id", "left")
+    path = F.col("path")
+    faults = {
+        "missing_premise": F.col("known") < F.col("n"), "inactive_premise": F.col("inactive") > 0, "duplicate_premise": F.col("distinct") < F.col("n"),
+        "cyclic_path": F.size(F.array_distinct(path)) < F.size(path), "path_endpoint_mismatch": (F.get(path, 0) != F.col("a")) | (F.element_at(path, -1) != F.col("b")),
+        "unaccepted_inference_premise": F.col("unaccepted") > 0, "too_many_inferred_premises": F.col("inferred") > 1, "unsupported_rule": ~F.col("rule").isin(list(SHAPES)),
+    }
+    for rule, (length, sibs, lines) in SHAPES.items():
+        of = F.col("rule") == rule
+        faults[f"{rule}_premise_shape"] = of & ((F.size(path) != length) | (F.size("premises") != len(sibs) + len(lines)))
+        for kind, places in (("sibling", sibs), ("parent", lines)):
+            for i, j in places:
+                faults[f"{rule}_{kind}_{i}{j}_mismatch"] = of & ~F.coalesce(_has_edge(kind, F.get(path, i), F.get(path, j)), F.lit(False))
+    return out.select("id", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+
+
+def published(accepted: DataFrame, edges: DataFrame, evidence: DataFrame, prefix: str = "asrt-", width: int = 4) -> DataFrame:
+    """Inferred edges to be added: (edge_id, review_id, a, b, kind, rule, premises, certainty, evidence, fault).
+
+    ``accepted`` is (review_id, a, b, kind, rule, direction, premises, certainty), ``edges`` the active ones (edge_id, a, b, kind, rule, direction,
+    premises; rule is null for told ones) and ``evidence`` (edge_id, source, passage). Rows published before, of the same
+    signature, rule and premises, go. A row of the same signature with other premises has the fault ``signature_conflict``, and one of
+    which a premise has no evidence ``no_evidence``; these get no id. Others copy each premise's first evidence as inference, and are
+    numbered after the last edge in order of their review.
+    """
+    from weft.operators.relational import id_number, numbered, padded_id
+
+    undirected = F.col("direction") == "undirected"
+    pair = lambda d: d.withColumns({"lo": F.when(undirected, F.least("a", "b")).otherwise(F.col("a")), "hi": F.when(undirected, F.greatest("a", "b")).otherwise(F.col("b")), "of": F.array_join(F.array_sort("premises"), "|")})
+    new, old = pair(accepted), pair(edges)
+    same = ["lo", "hi", "kind", "direction"]
+    new = new.join(old.filter("rule IS NOT NULL").select(*same, "rule", "of").distinct(), [*same, "rule", "of"], "left_anti")
+    clash = old.select(*same).distinct().withColumn("clash", F.lit(True))
+    # of several new rows of one signature, the first review's is the edge, the others clash with it
+    from pyspark.sql import Window
+
+    order = F.row_number().over(Window.partitionBy(*same).orderBy("review_id"))
+    new = new.join(clash, same, "left").withColumn("clash", F.coalesce("clash", F.lit(False)) | (order > 1))
+    premise = new.select("review_id", "rule", "certainty", F.posexplode("premises").alias("at", "edge_id"))
+    first = evidence.filter(F.trim("passage") != "").groupBy("edge_id").agg(F.min(F.struct("passage", "source")).alias("e"))
+    note = F.concat_ws("; ", F.col("rule"), F.col("edge_id"), F.col("review_id"))
+    item = F.struct(F.col("e.source").alias("source"), F.col("e.passage").alias("passage"), F.lit("inference").alias("level"), note.alias("note"), F.col("certainty"))
+    copied = premise.join(first, "edge_id", "left").groupBy("review_id").agg(
+        F.bool_and(F.col("e").isNotNull()).alias("whole"), F.transform(F.sort_array(F.collect_list(F.struct("at", F.when(F.col("e").isNotNull(), item).alias("i")))), lambda x: x["i"]).alias("evidence")
+    )
+    out = new.join(copied, "review_id", "left")
+    out = out.withColumn("fault", F.when(F.col("clash"), "signature_conflict").when(~F.coalesce("whole", F.lit(False)), "no_evidence"))
+    top = edges.agg(F.max(id_number(F.col("edge_id")))).first()[0] or 0
+    ids = numbered(out.filter("fault IS NULL").select("review_id"), ["review_id"], int(top))
+    ids = ids.select("review_id", padded_id(prefix, F.col("ordinal"), width).alias("edge_id"))
+    return out.join(ids, "review_id", "left").select("edge_id", "review_id", "a", "b", "kind", "rule", "premises", "certainty", "evidence", "fault")

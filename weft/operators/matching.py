@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -55,3 +57,22 @@ def similar_words(words: DataFrame, passage: str, word: str, least: int = 4, dif
     both = a.join(b, [passage, "_stem"]).filter("a < b")
     prefix = F.startswith("b", "a") & (F.length("a") >= least) & (F.length("b") - F.length("a") <= differ)
     return both.select(passage, "a", "b", F.when(prefix, "prefix").otherwise("stem").alias("how"))
+
+
+def proposals(rows: DataFrame, pair: list[str], way: str, passage: str) -> DataFrame:
+    """(pair, way, passages) of pairs whose passages tell one orientation alone; ``way`` is null where a passage tells none."""
+    told = rows.filter(F.col(way).isNotNull()).groupBy(*pair, way).agg(F.array_sort(F.collect_set(passage)).alias("passages"))
+    one = told.groupBy(*pair).agg(F.count("*").alias("_n"), F.min(way).alias(way), F.max_by("passages", way).alias("passages"))
+    return one.filter("_n = 1").drop("_n")
+
+
+def stem_forms(a: Column, b: Column, endings: Sequence[str], alphabet: str = "Greek") -> Column:
+    """How two folded words are one name: ``equal``, ``stem`` (equal without their endings), or ``prefix`` (one stem of 4 letters or more begins the other, 2 letters longer at most)."""
+    from weft.functions.text import stemmed
+
+    cut = lambda c: F.when(c.rlike(rf"^\p{{Is{alphabet}}}+$"), stemmed(c, endings)).otherwise(c)
+    x, y = cut(a), cut(b)
+    short, long = F.when(F.length(x) <= F.length(y), x).otherwise(y), F.when(F.length(x) <= F.length(y), y).otherwise(x)
+    stem = (x == y) & (F.length(x) >= 3)
+    prefix = (F.length(short) >= 4) & F.startswith(long, short) & (F.length(long) - F.length(short) <= 2)
+    return F.when(a == b, "equal").when(stem, "stem").when(prefix, "prefix")

@@ -34,7 +34,53 @@ def lookup(df: DataFrame, table: DataFrame, on: list[str], defaults: dict) -> Da
 
 def ordered_concat(value: str, order: str, sep: str = "; ") -> Column:
     """Values as one text in the order of another column; an aggregate."""
-    return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, value))), lambda s: s[value]), sep)
+    return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order), F.col(value)))), lambda s: s[value]), sep)
+
+
+def united_evidence(evidence: str, keys: Sequence[str]) -> Column:
+    """Arrays of evidence structs of a group as one, an aggregate: of items equal in ``keys`` the least, in order of these."""
+    all_ = F.flatten(F.collect_list(evidence))
+    keyed = F.array_sort(F.transform(all_, lambda e: F.struct(F.struct(*[e[k].alias(k) for k in keys]).alias("key"), e.alias("e"))))
+    firsts = F.filter(keyed, lambda x, i: (i == 0) | ~F.get(keyed, i - 1)["key"].eqNullSafe(x["key"]))
+    return F.transform(firsts, lambda x: x["e"])
+
+
+def summary(df: DataFrame, columns: Sequence[str], places: int = 4) -> DataFrame:
+    """(metric, least, most, mean): the mean rounded; zeros for an empty table."""
+    zero = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
+    aggs = df.agg(*[F.struct(F.lit(c).alias("metric"), zero(F.min(c)).alias("least"), zero(F.max(c)).alias("most"), zero(F.round(F.avg(c), places)).alias("mean")).alias(c) for c in columns])
+    return aggs.select(F.explode(F.array(*columns)).alias("x")).select("x.*")
+
+
+def nested_sizes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: the sizes of the arrays of all rows summed, by column; null arrays are empty."""
+    return df.agg(*[F.coalesce(F.sum(F.greatest(F.size(F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType))), F.lit(0))), F.lit(0)).cast("long").alias(c) for c in columns])
+
+
+def distinct_structs(df: DataFrame, keys: list[str], fields: list[str], out: str) -> DataFrame:
+    """One row a key with the sorted distinct structs of ``fields``; distinct before they are gathered."""
+    one = df.select(*keys, F.struct(*fields).alias(out)).distinct()
+    return one.groupBy(*keys).agg(F.array_sort(F.collect_list(out)).alias(out))
+
+
+def gathered(df: DataFrame, signature: list[str], arrays: dict[str, str], prefix: str, wrap: dict[str, Column] | None = None) -> DataFrame:
+    """One candidate for each signature: an id in its order, the sorted distinct values of each array column (by its new name), wrapped by expressions."""
+    sets = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(a) for c, a in arrays.items()]
+    one = numbered(df.groupBy(*signature).agg(*sets), signature)
+    return one.withColumn("id", padded_id(prefix, F.col("ordinal"))).drop("ordinal").withColumns(wrap or {})
+
+
+def merge_group_faults(options: DataFrame, scopes: Sequence[str] = ("common_tradition", "common-tradition")) -> DataFrame:
+    """(grp, fault) of groups of options (grp, member, target, scope): two members at least, one target, which is a member with a target, and the fixed scope."""
+    g = options.filter("grp IS NOT NULL").groupBy("grp").agg(
+        F.countDistinct("member").alias("n"), F.countDistinct("target").alias("targets"), F.min("target").alias("target"),
+        F.collect_set(F.when(F.col("target").isNotNull(), F.col("member"))).alias("members"), F.bool_and(F.col("scope").isNull() | F.lower("scope").isin(list(scopes))).alias("scoped"),
+    )
+    rules = {
+        "too_few": F.col("n") < 2, "several_targets": F.col("targets") > 1, "no_target": (F.col("n") > 1) & F.col("target").isNull(),
+        "target_not_member": (F.col("n") > 1) & (F.col("targets") == 1) & ~F.array_contains("members", F.col("target")), "scope": ~F.col("scoped"),
+    }
+    return g.select("grp", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in rules.items()]))).alias("fault"))
 
 
 def merge_by_key(df: DataFrame, keys: list[str], least: dict[str, str], joined: dict[str, tuple[str, str]], united: dict[str, str]) -> DataFrame:
@@ -68,6 +114,29 @@ def rank_margin(df: DataFrame, key: str, score: str) -> DataFrame:
     })
 
 
+def nth(df: DataFrame, keys: list[str], value: str, order: str, n: int = 1) -> DataFrame:
+    """(keys, value): the n-th value of each key in an order; keys with fewer are left out. The first needs no window."""
+    if n == 1:
+        return df.groupBy(*keys).agg(F.min_by(value, F.struct(order, value)).alias(value))
+    w = Window.partitionBy(*keys).orderBy(order, value)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n).select(*keys, value)
+
+
+def top_with_more(df: DataFrame, order: Sequence[Column], most: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``most`` rows, and one row with ``n_more``, how many follow."""
+    return df.orderBy(*order).limit(most), df.agg(F.greatest(F.count("*") - most, F.lit(0)).alias("n_more"))
+
+
+def custom_rank(first: Column, number: Column, text: Column) -> list[Column]:
+    """An order: what ``first`` holds for, then by the number in an id, then by its text."""
+    return [F.when(F.coalesce(first, F.lit(False)), 0).otherwise(1), F.coalesce(number, F.lit(0)), text]
+
+
+def selected_first(key: Column, selected: str, name: Column, collation: str = "UNICODE") -> list[Column]:
+    """An order: the selected row, then by name in a language's order."""
+    return [F.when(key == selected, 0).otherwise(1), F.collate(name, collation)]
+
+
 def top_rank_groups(df: DataFrame, key: str, score: str, k: int) -> DataFrame:
     """Rows of the ``k`` best different scores of each key, ties kept."""
     w = Window.partitionBy(key).orderBy(F.desc(score))
@@ -138,16 +207,26 @@ def latest(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     return best(df, keys, [F.desc(c) for c in order])
 
 
-def resolve(rows: DataFrame, table: DataFrame, ref: str, label: str, key: str, name: str) -> DataFrame:
-    """``resolved`` and ``how``: by exact key, else by a label that one row alone has, else null with the reason."""
+def resolve(rows: DataFrame, table: DataFrame, ref: str, label: str, key: str, name: str, row_id: str | None = None, refs: DataFrame | None = None, passages: DataFrame | None = None) -> DataFrame:
+    """``resolved`` and ``how``: by exact key, else by a label that one row alone has, else by references, else null with the reason.
+
+    With ``refs`` (row_id, passage) and ``passages`` (key, passage), a label of several rows is that of
+    the only one which shares a passage with the row; these meet by label and passage, never all pairs.
+    """
     names = table.groupBy(name).agg(F.count("*").alias("_n"), F.min(key).alias("_by_label"))
     exact = table.select(F.col(key).alias("_by_key"))
-    out = rows.join(exact, F.col(ref) == F.col("_by_key"), "left").join(names, F.col(label) == F.col(name), "left")
-    how = (
-        F.when(F.col("_by_key").isNotNull(), "key").when(F.col("_n") == 1, "label").when(F.col("_n") > 1, "ambiguous_label").otherwise("missing_label")
-    )
+    out = rows.join(exact, F.col(ref) == F.col("_by_key"), "left").join(names, F.col(label) == F.col(name), "left").drop(name)
+    how = F.when(F.col("_by_key").isNotNull(), "key").when(F.col("_n") == 1, "label")
     found = F.coalesce("_by_key", F.when(F.col("_n") == 1, F.col("_by_label")))
-    return out.withColumns({"resolved": found, "how": how}).drop("_by_key", "_n", "_by_label", name)
+    if refs is not None and passages is not None:
+        asked = out.filter("_by_key IS NULL AND _n > 1").select(row_id, F.col(label).alias("_label")).join(refs.select(row_id, "passage").distinct(), row_id)
+        named = table.select(F.col(key).alias("_key"), F.col(name).alias("_label")).join(passages.select(F.col(key).alias("_key"), "passage").distinct(), "_key")
+        met = asked.join(named, ["_label", "passage"]).groupBy(row_id).agg(F.countDistinct("_key").alias("_met"), F.min("_key").alias("_by_ref"))
+        out = out.join(met, row_id, "left")
+        how = how.when((F.col("_n") > 1) & (F.col("_met") == 1), "reference_overlap")
+        found = F.coalesce(found, F.when(F.col("_met") == 1, F.col("_by_ref")))
+    how = how.when(F.col("_n") > 1, "ambiguous_label").otherwise("missing_label")
+    return out.withColumns({"resolved": found, "how": how}).drop("_by_key", "_n", "_by_label", "_met", "_by_ref")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -158,9 +237,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
 
 
 def expand_range(df: DataFrame, lo: str, hi: str, out: str, most: int = 21) -> DataFrame:
-    """One row for each whole number of a range of at most ``most``; of wider ones only the first."""
-    top = F.when(F.col(hi) - F.col(lo) < most, F.greatest(lo, hi)).otherwise(F.col(lo))
-    return df.withColumn(out, F.explode(F.sequence(F.col(lo), top)))
+    """One row for each whole number of a range of at most ``most``; wider and inverted ranges, and nulls, give none."""
+    fits = (F.col(hi) >= F.col(lo)) & (F.col(hi) - F.col(lo) < most)
+    return df.filter(fits).withColumn(out, F.explode(F.sequence(F.col(lo), F.col(hi))))
 
 
 def cooccurrences(df: DataFrame, passage: str, entity: str) -> DataFrame:
@@ -205,9 +284,52 @@ def remap(df: DataFrame, mapping: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
+def remap_array(df: DataFrame, mapping: DataFrame, key: str, column: str, parent: str | None = None) -> DataFrame:
+    """Old ids within an array column replaced by new ones, in place and order; a struct ``parent`` may hold the array.
+
+    Items meet the mapping by a join, and come back by ``key``, which is one row's own.
+    """
+    path = f"{parent}.{column}" if parent else column
+    m = mapping.select(F.col("old").alias("_old"), F.col("new").alias("_new"))
+    items = df.select(key, F.posexplode(path).alias("_at", "_old")).join(m, "_old", "left")
+    new = items.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("_at", F.coalesce("_new", "_old").alias("_id")))), lambda x: x["_id"]).alias("_ids"))
+    out = df.join(new, key, "left")
+    ids = F.coalesce("_ids", path)
+    return out.withColumn(parent or column, F.col(parent).withField(column, ids) if parent else ids).drop("_ids")
+
+
+def aligned(snapshots: dict[str, DataFrame], key: str) -> DataFrame:
+    """One row a key that every snapshot has once, each as a struct of its name; raises unless all have the same keys, each once."""
+    out, wrong = None, None
+    for name, s in snapshots.items():
+        n = s.groupBy(key).agg(F.count("*").alias(f"_{name}"))
+        wrong = n if wrong is None else wrong.join(n, key, "full")
+        one = s.select(key, F.struct(*[c for c in s.columns if c != key]).alias(name))
+        out = one if out is None else out.join(one, key)
+    bad = wrong.filter(~F.coalesce(_all([F.col(f"_{n}") == 1 for n in snapshots]), F.lit(False)))
+    if row := bad.first():
+        raise ValueError(f"snapshots do not align at {row[key]!r}")
+    return out
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
+
+
+def token_ids(texts: DataFrame, key: str, tokens: str, names: DataFrame, name: str, entity: str) -> DataFrame:
+    """(key, ids): the sorted distinct entities whose name is one of a row's tokens; rows without any are left out."""
+    t = texts.select(key, F.explode(F.array_distinct(tokens)).alias(name))
+    met = t.join(names.select(name, entity).distinct(), name).select(key, entity).distinct()
+    return met.groupBy(key).agg(F.array_sort(F.collect_list(entity)).alias("ids"))
+
+
 def code_join(left: DataFrame, right: DataFrame, code: str, ref: str) -> DataFrame:
     """Rows that meet at a reference by equal codes, or by codes equal without their suffix letter; the exact one wins."""
-    base = lambda c: F.regexp_replace(c, "[A-Z]$", "")
+    from weft.functions.text import base_code as base
+
     l = left.withColumn("_base", base(F.col(code)))
     r = right.select(F.col(code).alias("right_code"), ref, base(F.col(code)).alias("_base"), *[c for c in right.columns if c not in (code, ref)])
     both = l.join(r, [ref, "_base"])

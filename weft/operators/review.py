@@ -61,6 +61,81 @@ def shared_locators(claims: DataFrame, matches: DataFrame) -> DataFrame:
     return one.join(m.withColumnRenamed("entity", "b"), ["b", "locator", "title"]).select("claim", "locator", "title").distinct()
 
 
+def locator_faults(ledger: DataFrame, snapshot: DataFrame, key: str, fields: list[str], lines: DataFrame | None = None) -> DataFrame:
+    """(key, fault) of ledger rows whose ``fields`` (the locator and what it names) differ from the snapshot's.
+
+    With ``lines`` (source, n_lines), a row's ``line`` must be one of its source's too.
+    """
+    s = snapshot.select(F.col(key).alias("_key"), *[F.col(f).alias(f"_{f}") for f in fields])
+    out = ledger.join(s, F.col(key) == F.col("_key"), "left")
+    faults = {f"{f}_drift": F.col("_key").isNotNull() & ~F.col(f).eqNullSafe(F.col(f"_{f}")) for f in fields}
+    faults["not_in_snapshot"] = F.col("_key").isNull()
+    if lines is not None:
+        out = out.join(lines.select("source", "n_lines"), "source", "left")
+        faults["line"] = ~F.coalesce(F.col("line").between(1, F.col("n_lines")), F.lit(False))
+    return out.select(key, F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+
+
+def ledger_faults(rows: DataFrame, key: str, fields: list[str], known: DataFrame) -> DataFrame:
+    """(key, fault) of review rows that break the rules of a ledger.
+
+    Rows have ``round1``, ``round2`` and ``final``, structs of status, reviewer and the ``fields``, and ``audit``, of status and board (whether the
+    board decided). A key is known and comes once; pending decisions have neither fields nor a reviewer, decided ones a reviewer; an accepted
+    one has all fields. A final acceptance needs a passed audit, and either the board's word or both rounds' acceptance with equal fields.
+    """
+    twice = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    out = rows.join(twice, key, "left").join(known.select(key).distinct().withColumn("_known", F.lit(True)), key, "left")
+    faults = {"unknown": F.col("_known").isNull(), "duplicate": F.col("_n") > 1}
+    for r in ("round1", "round2", "final"):
+        d = F.col(r)
+        some, every = F.lit(False), F.lit(True)
+        for f in fields:
+            some, every = some | d[f].isNotNull(), every & d[f].isNotNull()
+        pending = d["status"] == "pending"
+        faults |= {
+            f"{r}_status": ~F.coalesce(d["status"].isin("pending", "accepted", "rejected"), F.lit(False)), f"{r}_pending_has_fields": pending & (some | d["reviewer"].isNotNull()),
+            f"{r}_without_reviewer": ~pending & d["reviewer"].isNull(), f"{r}_accepted_without_fields": (d["status"] == "accepted") & ~every,
+        }
+    a, b, z, board = F.col("round1"), F.col("round2"), F.col("final"), F.coalesce(F.col("audit")["board"], F.lit(False)) & (F.col("audit")["status"] == "passed")
+    accepted = z["status"] == "accepted"
+    differs = F.lit(False)
+    for f in fields:
+        differs = differs | ~z[f].eqNullSafe(a[f]) | ~z[f].eqNullSafe(b[f])
+    faults |= {
+        "audit_open": accepted & ~F.coalesce(F.col("audit")["status"] == "passed", F.lit(False)),
+        "rounds_not_accepted": accepted & ~board & ((a["status"] != "accepted") | (b["status"] != "accepted")), "rounds_differ": accepted & ~board & differs,
+    }
+    return out.select(key, F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+
+
+def promoted_rows(accepted: DataFrame, names: DataFrame, mentions: DataFrame, held_names: DataFrame, held_mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Names and mentions of promoted candidates beside those held: (entity, language, name) and (entity, passage, source), each once.
+
+    ``accepted`` is what ``promoted`` gives; ``names`` (candidate, language, name) and ``mentions`` (candidate, passage, source). Blank names go.
+    """
+    from weft.operators.mutation import inserted_if_absent
+
+    of = accepted.select("candidate", "entity")
+    n = names.filter(F.trim("name") != "").join(of, "candidate").select("entity", "language", "name")
+    m = mentions.join(of, "candidate").select("entity", "passage", "source")
+    return inserted_if_absent(held_names, n, ["entity", "language", "name"]), inserted_if_absent(held_mentions, m, ["entity", "passage", "source"])
+
+
+def export_tables(nodes: DataFrame, names: DataFrame, edges: DataFrame, options: DataFrame, mentions: DataFrame, evidence: DataFrame, sources: DataFrame) -> dict[str, DataFrame]:
+    """The graph's tables by name: five of nodes (persons, names, edges, options, passages), mentions, evidence and sources.
+
+    Persons carry their mentions by testament; a passage occurs once. ``mentions`` is (mention_id, node, passage, testament, source, status), ``evidence`` (edge_id, passage, testament, source, level, certainty, note).
+    """
+    counts = mentions.groupBy("node").agg(F.count_if(F.col("testament") == "nt").alias("n_nt"), F.count_if(F.col("testament") == "ot").alias("n_ot"))
+    people = nodes.join(counts, "node", "left").fillna(0, ["n_nt", "n_ot"]).withColumn("n_all", F.col("n_nt") + F.col("n_ot"))
+    people = people.withColumn("testament", F.array_join(F.array_compact(F.array(F.when(F.col("n_nt") > 0, "nt"), F.when(F.col("n_ot") > 0, "ot"))), ","))
+    passages = mentions.select("passage", "testament").union(evidence.select("passage", "testament")).groupBy("passage").agg(F.min("testament").alias("testament"))
+    return {
+        "person_nodes": people, "name_nodes": names, "assertion_nodes": edges, "identity_option_nodes": options, "passage_nodes": passages,
+        "mention_edges": mentions.drop("testament"), "assertion_evidence": evidence.drop("testament"), "evidence_nodes": sources,
+    }
+
+
 def export_graph(tables: dict[str, DataFrame], folder: str) -> None:
     """Each node or edge table as quoted CSV below ``folder``."""
     from weft.sources.tables import write_csv

@@ -75,3 +75,88 @@ def unsorted(df: DataFrame, order: list[str], partition: list[str] | None = None
     now = F.struct(*order)
     before = F.lag(now).over(Window.partitionBy(*(partition or [])).orderBy("pos"))
     return df.withColumn("before", before).filter(F.col("before") >= now).drop("before")
+
+
+def edge_faults(edges: DataFrame, nodes: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """(edge_id, fault) of edges (edge_id, src, dst, passage) with an unknown end, a loop, a blank passage or, with ``sources``, an unknown source."""
+    known = nodes.select("node").distinct()
+    out = edges
+    for end in ("src", "dst"):
+        out = out.join(known.select(F.col("node").alias(end), F.lit(True).alias(f"_{end}")), end, "left")
+    faults = {
+        "unknown_src": F.col("_src").isNull(), "unknown_dst": F.col("_dst").isNull(), "self_loop": F.col("src").eqNullSafe(F.col("dst")),
+        "empty_passage": F.coalesce(F.trim("passage"), F.lit("")) == "",
+    }
+    if sources is not None:
+        out = out.join(sources.select("source").distinct().withColumn("_known", F.lit(True)), "source", "left")
+        faults["unknown_source"] = F.col("_known").isNull()
+    return out.select("edge_id", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+
+
+def coverage(targets: DataFrame, rows: DataFrame, keys: list[str], kind: str) -> DataFrame:
+    """(kind, required, covered) of an inventory's targets by null-safe key; raises if two targets have one key."""
+    if row := duplicate_keys(targets, *keys).first():
+        raise ValueError(f"the inventory has a key twice: {[row[k] for k in keys]}")
+    return _covered(targets, rows, keys).groupBy(kind).agg(F.count("*").alias("required"), F.count_if("covered").alias("covered"))
+
+
+def uncovered(targets: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Targets of an inventory that no row covers."""
+    return _covered(targets, rows, keys).filter("NOT covered").drop("covered")
+
+
+def _covered(targets: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    have = rows.select(*[F.col(k).alias(f"_h_{k}") for k in keys]).distinct().withColumn("_hit", F.lit(True))
+    both = targets.join(have, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys], "left")
+    return both.withColumn("covered", F.col("_hit").isNotNull()).drop("_hit", *[f"_h_{k}" for k in keys])
+
+
+def implied(rules: dict[str, tuple[Column, Column]]) -> dict[str, Column]:
+    """Rules that hold where their condition (the first column) does not, or what it asks for does; for ``violations``."""
+    return {name: ~F.coalesce(when, F.lit(False)) | F.coalesce(must, F.lit(False)) for name, (when, must) in rules.items()}
+
+
+def access_policy(complete: bool = False) -> dict[str, Column]:
+    """What a source's license asks of its access, files and review; with ``complete``, what a release asks too.
+
+    Columns: license_status, access_status, n_files, full_text_in_git, review_status, release_required.
+    """
+    # fixed values: names of states
+    public = F.col("license_status") == "verified_public_domain"
+    open_ = F.col("access_status").isin("locked_public_download", "official_temporary_access_verified", "controlled_digital_lending_verified", "member_access_verified")
+    files = F.coalesce("n_files", F.lit(0)) > 0
+    rules = {
+        "public_is_locked": (public, F.col("access_status") == "locked_public_download"), "public_has_files": (public, files),
+        "restricted_without_files": (~F.coalesce(public, F.lit(False)), ~files), "restricted_not_in_git": (~F.coalesce(public, F.lit(False)), ~F.col("full_text_in_git")),
+        "review_after_access": (~F.col("review_status").eqNullSafe("not_started"), open_),
+    }
+    if complete:
+        rules["complete_for_release"] = (F.coalesce("release_required", F.lit(True)), F.col("review_status") == "completed")
+    return implied(rules)
+
+
+def distinct_in_all(frames: dict[str, DataFrame], key: str) -> DataFrame:
+    """One row: how many different keys the frames have together, and each of them."""
+    out = None
+    for name, df in frames.items():
+        one = df.select(key, F.lit(name).alias("_frame"))
+        out = one if out is None else out.unionByName(one)
+    return out.agg(F.countDistinct(key).alias("n"), *[F.countDistinct(F.when(F.col("_frame") == name, F.col(key))).alias(f"n_{name}") for name in frames])
+
+
+def overridden(rows: DataFrame, decisions: DataFrame, key: str, snapshot: list[str], defaults: dict[str, str]) -> DataFrame:
+    """``rows`` with the columns of ``defaults`` from a table of decisions (key, these, the ``snapshot`` columns).
+
+    Raises if a decision's key is unknown or used twice, or if its snapshot is no longer the row's: decisions hold for what was seen.
+    """
+    d = decisions.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_s_{c}") for c in snapshot], *[F.col(c).alias(f"_d_{c}") for c in defaults])
+    if row := d.groupBy("_key").count().filter("count > 1").first():
+        raise ValueError(f"two decisions on {row['_key']!r}")
+    changed = F.lit(False)
+    for c in snapshot:
+        changed = changed | ~F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    both = d.join(rows.withColumn("_known", F.lit(True)), F.col("_key") == F.col(key), "left")
+    if row := both.filter(F.col("_known").isNull() | changed).first():
+        raise ValueError(f"the decision on {row['_key']!r} is about " + ("no row" if row["_known"] is None else "another state of its row"))
+    out = rows.join(d.drop(*[f"_s_{c}" for c in snapshot]), F.col(key) == F.col("_key"), "left")
+    return out.withColumns({c: F.coalesce(f"_d_{c}", F.lit(v)) for c, v in defaults.items()}).drop("_key", *[f"_d_{c}" for c in defaults])

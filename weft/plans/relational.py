@@ -253,14 +253,14 @@ def overlap_scores(spark, sf_dir):
     return s.withColumn("rank", F.dense_rank().over(Window.partitionBy("l_suppkey").orderBy(F.desc("score"))))
 
 
-@query("""WITH l AS (SELECT l_orderkey, 'B' || substr(p_brand, 7, 2) || '00' || CASE l_linenumber % 3 WHEN 0 THEN 'A' WHEN 1 THEN '' ELSE 'B' END AS code, l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey),
+@query("""WITH l AS (SELECT l_orderkey, 'B' || lpad(substr(p_brand, 7, 2), 2, '0') || '00' || CASE l_linenumber % 3 WHEN 0 THEN 'A' WHEN 1 THEN '' ELSE 'B' END AS code, l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey),
 r AS (SELECT l_orderkey, code AS right_code, l_linenumber AS right_line FROM l WHERE l_linenumber % 2 = 0)
 SELECT l_orderkey, code, right_code, l_linenumber, right_line, CASE WHEN code = right_code THEN 'exact' ELSE 'base' END AS how FROM l JOIN r USING (l_orderkey)
 WHERE regexp_replace(code, '[A-Z]$', '') = regexp_replace(right_code, '[A-Z]$', '') AND (code = right_code OR NOT regexp_matches(code, '[A-Z]$') OR NOT regexp_matches(right_code, '[A-Z]$'))""")
 def code_fallback_join(spark, sf_dir):
     l = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     n = F.col("l_linenumber")
-    l = l.select("l_orderkey", F.concat(F.lit("B"), F.substring("p_brand", 7, 2), F.lit("00"), F.when(n % 3 == 0, "A").when(n % 3 == 1, "").otherwise("B")).alias("code"), "l_linenumber")
+    l = l.select("l_orderkey", F.concat(F.lit("B"), F.lpad(F.substring("p_brand", 7, 2), 2, "0"), F.lit("00"), F.when(n % 3 == 0, "A").when(n % 3 == 1, "").otherwise("B")).alias("code"), "l_linenumber")
     r = l.filter("l_linenumber % 2 = 0").withColumnRenamed("l_linenumber", "right_line")
     return R.code_join(l, r, "code", "l_orderkey")
 

@@ -21,7 +21,7 @@ def query(sql: str | None):
     return add
 
 
-@query("SELECT doc_id, md5(lower(regexp_replace(strip_accents(text), '[^\\p{L}\\p{N}]', '', 'g'))) AS folded FROM documents")
+@query("SELECT doc_id, md5(trim(lower(regexp_replace(regexp_replace(strip_accents(text), '[^\\p{L}\\p{N}\\s]', ' ', 'g'), '\\s+', ' ', 'g')))) AS folded FROM documents")
 def text_fold(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", F.md5(X.folded(F.col("text"))).alias("folded"))
 

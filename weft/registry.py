@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weft.plans import graph, relational, review, texts
+from weft.plans import files, graph, ledgers, relational, review, rules, texts, views
 
-_MODULES = (relational, graph, texts, review)
+_MODULES = (relational, graph, texts, review, rules, views, ledgers, files)
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
 
