@@ -6,20 +6,22 @@ a form of address. Each different entity (kind and canonical form) gets one
 surrogate in the whole corpus: digits become digits, letters letters of the same
 script, cards keep their first digit and whether their check digit is right,
 addresses fall in ranges that belong to nobody, names are built of syllables of
-the same script with an ending for the gender that the form of address tells. It
+the same script with an ending for the gender that forms of address tell of the name in the whole
+corpus (none, if they tell both). It
 is drawn by a keyed hash, so without the key it tells nothing, and it is the same
-wherever the entity occurs, in whatever spelling: coreference stays. Draws that
-meet another entity's surrogate, or any entity of the corpus, are made again until none do:
-distinctness stays.
+wherever the entity occurs, in whatever spelling, as given name or surname: coreference stays. A name of several words
+that a text has after a form of address is found again in that text without one. Draws that
+meet another entity's surrogate, or any entity of the corpus, are made again until none do, from
+a wider pool after ``NARROW`` draws: distinctness stays. Should a pool be full, it raises.
 
-Only DataFrame expressions are used. Texts without entities are not moved. Texts
+Only DataFrame expressions are used. Texts are searched once, and written with what was found; those without
+entities are not moved. Texts
 with entities are joined once to their replacements, one row for each different
 text on that side, so copies of a text can be split; entities are
 deduplicated before the shuffle.
 
 Defined results: null stays null and empty stays empty; what is not an entity
-stays as it is, byte by byte; repeated rows give repeated results. Working columns
-carry the prefix ``__pii_``; all other columns pass through.
+stays as it is, byte by byte; repeated rows give repeated results. All other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +32,13 @@ from pyspark.sql import functions as F
 
 from .common import columns, table, written
 
+#: Words that begin sentences and end a name before them.
+NO_NAMES = (
+    "The They He She It We You His Her Their Our Its This That These Those There Then When While After Before But And Or If In On At By For From To With As A An Was Is Are Were Has Had Who What "
+    "Der Die Das Er Sie Es Wir Ein Eine Und Aber Im Am Bei Nach Vor Mit Le La Les Un Une Il Elle Ils Elles Et Mais Dans El Los Las Una Ella Ellos Pero En Con Y"
+).split()
 _WORD = r"\p{Lu}[\p{L}'’\-]{1,30}"
+_NEXT = rf"(?!(?:{'|'.join(NO_NAMES)})(?![\p{{L}}'’\-])){_WORD}"
 #: Kinds in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
@@ -40,7 +48,7 @@ PATTERNS = {
     "phone": r"(?<!\p{N})(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .\-]\d{3,4}[ .\-]\d{3,4}(?!\p{N})|\+\d{9,14}(?!\p{N})",
     "iban": r"(?<![\p{L}\p{N}])[A-Za-z]{2}\d{2}(?: ?[A-Za-z0-9]{4}){3,7}(?: ?[A-Za-z0-9]{1,3})?(?![\p{L}\p{N}])",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,}|(?:AKIA|ASIA)[A-Z0-9]{16}|(?:sk|pk|ghp|gho|xoxb|xoxp)[_\-][A-Za-z0-9_\-]{16,})(?![\p{L}\p{N}])",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:(?:Mrs?|Ms|Dr|Prof|Sra?|Srta|Mme|Mlle)\.|Mister|Miss|Herr|Frau|Monsieur|Madame|Señora?|Señorita|Господин|Госпожа|Κύριος|Κυρία) {_WORD}(?: {_WORD}){{0,2}}",
+    "person": rf"(?<![\p{{L}}\p{{N}}])(?:(?:Mrs?|Ms|Dr|Prof|Sra?|Srta|Mme|Mlle)\.|Mister|Miss|Herr|Frau|Monsieur|Madame|Señora?|Señorita|Господин|Госпожа|Κύριος|Κυρία) {_WORD}(?: {_NEXT}){{0,2}}",
 }
 FEMALE = "^(?:Mrs|Ms|Sra|Srta|Mme|Mlle|Miss|Frau|Madame|Señora|Señorita|Госпожа|Κυρία)"
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -63,7 +71,8 @@ ENDINGS = {
     ("greek", "f"): "λια", ("greek", "m"): "ρων", ("greek", ""): "δης",
 }
 _LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
-ROUNDS = 12
+#: Draws after which surrogates come from a wider pool, and after which a pool counts as full.
+NARROW, ROUNDS = 8, 200
 
 
 def kind_of(hit: Column) -> Column:
@@ -85,10 +94,10 @@ def _script(c: Column) -> Column:
 
 
 def units(hit: Column) -> Column:
-    """What is replaced in a hit, as an array of (kind, canon, surface); "lit" stays as it is.
+    """What is replaced in a hit, as an array of (kind, canon, surface, gender); "lit" stays as it is.
 
     A name is taken word by word: its last word is a surname, the others are given
-    names of the gender that the form of address tells.
+    names of the gender that the form of address tells ("" where it tells none).
     """
     kind = kind_of(hit)
     canon = (
@@ -98,19 +107,20 @@ def units(hit: Column) -> Column:
         .when((kind == "secret") & ~hit.rlike("^[0-9a-fA-F]+$"), hit)
         .otherwise(F.lower(hit))
     )
-    one = F.array(F.struct(kind.alias("kind"), canon.alias("canon"), hit.alias("surface")))
+    one = F.array(F.struct(kind.alias("kind"), canon.alias("canon"), hit.alias("surface"), F.lit("").alias("gender")))
     words = F.split(hit, " ")
     gender = F.when(hit.rlike(FEMALE), "f").when(hit.rlike("^(?:Dr|Prof)"), "").otherwise("m")
 
     def word(w: Column, i: Column) -> Column:
-        part = F.when(i == 0, "lit").when(i == F.size(words) - 1, F.concat(F.lit("name::"), _script(w))).otherwise(F.concat(F.lit("name:"), gender, F.lit(":"), _script(w)))
-        return F.struct(part.alias("kind"), F.lower(w).alias("canon"), w.alias("surface"))
+        part = F.when(i == 0, "lit").otherwise(F.concat(F.lit("name:"), _script(w)))
+        return F.struct(part.alias("kind"), F.lower(w).alias("canon"), w.alias("surface"), F.when((i > 0) & (i < F.size(words) - 1), gender).otherwise("").alias("gender"))
 
     return F.when(kind == "person", F.transform(words, word)).otherwise(one)
 
 
-def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
-    """The canonical surrogate of an entity, drawn by a keyed hash."""
+def surrogate(key: str, kind: Column, canon: Column, gender: Column, attempt: Column) -> Column:
+    """The canonical surrogate of an entity, drawn by a keyed hash; from ``NARROW`` attempts on of a wider pool."""
+    narrow = attempt < NARROW
 
     def draw(i: Column, of: int) -> Column:
         h = F.sha2(F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"), i.cast("string")), 256)
@@ -138,10 +148,12 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     label = F.regexp_extract(canon, r"@([^.]*)", 1)
     top = F.regexp_extract(canon, r"\.(com|org|net)$", 1)
     host = F.array_join(F.transform(F.split(label, ""), lambda c, i: char(c, i + 1000)), "")
-    email = F.concat(same_form(local), F.lit("@"), host, F.lit(".example."), F.when(top == "", "com").otherwise(top))
-    ip = F.concat(F.lit("10."), draw(F.lit(1), 256).cast("string"), F.lit("."), draw(F.lit(2), 256).cast("string"), F.lit("."), (draw(F.lit(3), 254) + 1).cast("string"))
+    # short local parts grow by a letter with each draw from the wider pool
+    more = F.when(narrow, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(NARROW), F.greatest(attempt, F.lit(NARROW))), lambda i: F.substr(F.lit(_LETTERS["latin"]), draw(i + 2000, 26) + 1, F.lit(1))), ""))
+    email = F.concat(same_form(local), more, F.lit("@"), host, F.lit(".example."), F.when(top == "", "com").otherwise(top))
+    ip = F.concat(F.when(narrow, "10").otherwise((draw(F.lit(4), 16) + 240).cast("string")), F.lit("."), draw(F.lit(1), 256).cast("string"), F.lit("."), draw(F.lit(2), 256).cast("string"), F.lit("."), (draw(F.lit(3), 254) + 1).cast("string"))
     phone = F.when(
-        F.length(canon) == 10, F.concat((draw(F.lit(1), 8) + 2).cast("string"), run_of(2, 2), F.lit("555"), run_of(4, 7))
+        F.length(canon) == 10, F.concat((draw(F.lit(1), 8) + 2).cast("string"), run_of(2, 2), F.when(narrow, "555").otherwise(F.concat((draw(F.lit(11), 8) + 2).cast("string"), run_of(2, 12))), run_of(4, 7))
     ).otherwise(same_form(canon))
     ssn = F.concat(F.lit("9"), run_of(8, 1))
 
@@ -166,37 +178,35 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
         # more syllables with each draw: names never run out
         return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), attempt + 1), lambda i: F.get(some, draw(i, len(syllables)))), ""), F.lit(ending))
 
+    gender_ = F.coalesce(gender, F.lit(""))
     for (script, gender), ending in ENDINGS.items():
         name = name_of(SYLLABLES[script], ending)
-        out = out.when(kind == f"name:{gender}:{script}", name)
+        out = out.when((kind == f"name:{script}") & (gender_ == gender), name)
     return out.otherwise(same_form(canon))
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canon, surrogate) of distinct (kind, canon): no two alike, and none an entity that occurs."""
+    """(kind, canon, surrogate) of distinct (kind, canon): no two alike, and none an entity that occurs.
+
+    ``entities`` is (kind, canon, gender), any number of rows of an entity; a name's gender is what all of them tell.
+    """
     pool = F.when(F.col("kind").startswith("name:"), "name").otherwise(F.col("kind"))
-    base = written(entities.select("kind", "canon", pool.alias("pool")).distinct())
-    drawn = written(base.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt"))))
+    tells = lambda g: F.bool_or(F.col("gender") == g)
+    base = entities.groupBy("kind", "canon").agg(F.when(tells("f") & ~tells("m"), "f").when(tells("m") & ~tells("f"), "m").otherwise("").alias("gender"))
+    base = written(base.withColumn("pool", pool))
+    of = surrogate(key, F.col("kind"), F.col("canon"), F.col("gender"), F.col("attempt"))
+    drawn = written(base.withColumn("attempt", F.lit(0)).withColumn("surrogate", of))
     for _ in range(ROUNDS):
         first = drawn.groupBy("pool", "surrogate").agg(F.min(F.struct("attempt", "kind", "canon")).alias("first"), F.count("*").alias("n"))
         real = base.select("pool", F.col("canon").alias("surrogate")).distinct().withColumn("real", F.lit(True))
-        met = first.join(real, ["pool", "surrogate"], "left").filter("n > 1 OR real")
+        met = written(first.join(real, ["pool", "surrogate"], "left").filter("n > 1 OR real"))
         if met.isEmpty():
             return drawn.select("kind", "canon", "surrogate")
         again = drawn.join(met, ["pool", "surrogate"], "left")
         keeps = F.col("n").isNull() | (F.col("real").isNull() & (F.col("first.kind") == F.col("kind")) & (F.col("first.canon") == F.col("canon")))
-        again = again.select("kind", "canon", "pool", F.when(keeps, F.col("attempt")).otherwise(F.col("attempt") + 1).alias("attempt"), F.when(keeps, F.col("surrogate")).alias("old"))
-        drawn = written(
-            again.select("kind", "canon", "pool", "attempt", F.coalesce("old", surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt"))).alias("surrogate"))
-        )
-    # short forms of which nearly all are taken: the hash itself, longer than the form
-    left = drawn.groupBy("pool", "surrogate").agg(F.count("*").alias("n")).join(
-        base.select("pool", F.col("canon").alias("surrogate")).distinct().withColumn("real", F.lit(True)), ["pool", "surrogate"], "left"
-    ).filter("n > 1 OR real")
-    out = drawn.join(left, ["pool", "surrogate"], "left")
-    unlike = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), "kind", "canon"), 256), 1, 15), 16, 10)
-    unlike = F.when(F.col("kind").isin("phone", "card", "ssn"), unlike).otherwise(F.concat("surrogate", F.translate(unlike, "0123456789", "abcdefghij")))
-    return out.select("kind", "canon", F.when(F.col("n").isNull(), F.col("surrogate")).otherwise(unlike).alias("surrogate"))
+        again = again.select("kind", "canon", "gender", "pool", F.when(keeps, F.col("attempt")).otherwise(F.col("attempt") + 1).alias("attempt"), F.when(keeps, F.col("surrogate")).alias("old"))
+        drawn = written(again.select("kind", "canon", "gender", "pool", "attempt", F.coalesce("old", of).alias("surrogate")))
+    raise ValueError(f"no surrogates are left after {ROUNDS} draws: {[(r.pool, r.n) for r in met.groupBy('pool').agg(F.count('*').alias('n')).collect()]}")
 
 
 def poured(kind: Column, surface: Column, made: Column) -> Column:
@@ -228,30 +238,43 @@ def poured(kind: Column, surface: Column, made: Column) -> Column:
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with every entity in ``text`` replaced; the same columns in the same order."""
     t = columns([text])[0]
-    found = F.when(t.rlike(MAYBE), F.regexp_extract_all(t, F.lit(PATTERN_FAST), 0)).otherwise(F.array().cast("array<string>"))
-    marked = docs.withColumn("__pii_hits", F.coalesce(found, F.array().cast("array<string>")))
-    clean = marked.filter(F.size("__pii_hits") == 0).drop("__pii_hits")
-    dirty = marked.filter(F.size("__pii_hits") > 0).withColumn("__pii_key", F.sha2(t.cast("binary"), 256))
+    cols = columns(docs.columns)
+    none = F.array().cast("array<string>")
+    found = F.when(t.rlike(MAYBE), F.regexp_extract_all(t, F.lit(PATTERN_FAST), 0)).otherwise(none)
+    # columns get plain names for the way through the file
+    away = [f"__pii_{i}" for i in range(len(docs.columns))]
+    t_away = F.col(away[docs.columns.index(text)])
+    marked = written(docs.select(*[c.alias(a) for c, a in zip(cols, away, strict=True)], F.coalesce(found, none).alias("__pii_hits")))
+    clean = marked.filter(F.size("__pii_hits") == 0).select(*away)
+    dirty = marked.filter(F.size("__pii_hits") > 0).withColumn("__pii_key", F.sha2(t_away.cast("binary"), 256))
     texts = dirty.select("__pii_key", "__pii_hits").dropDuplicates(["__pii_key"])
     hits = texts.select("__pii_key", F.posexplode("__pii_hits").alias("h", "hit"))
     parts = hits.select("__pii_key", "h", F.posexplode(units(F.col("hit"))).alias("u", "unit")).select("__pii_key", "h", "u", "unit.*")
     parts = written(parts)
-    names = surrogates(parts.filter("kind <> 'lit'").select("kind", "canon").distinct(), key)
-    made = parts.join(names, ["kind", "canon"], "left").select("__pii_key", "h", "u", poured(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("new"))
-    per_text = made.groupBy("__pii_key").agg(F.sort_array(F.collect_list(F.struct("h", "u", "new"))).alias("__pii_new"))
+    names = surrogates(parts.filter("kind <> 'lit'").select("kind", "canon", "gender").distinct(), key)
+    made = parts.join(names, ["kind", "canon"], "left").select("__pii_key", "h", "u", "kind", "surface", poured(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("new"))
+    unit = F.sort_array(F.collect_list(F.struct("h", "u", "kind", "surface", "new")))
+    per_text = made.groupBy("__pii_key").agg(unit.alias("__pii_units"))
     # a hit's units stand side by side: the first begins it, the others follow after a space
-    joined = F.transform("__pii_new", lambda x: F.concat(F.when(x["u"] > 0, " ").otherwise("\u0000"), x["new"]))
-    per_text = per_text.select("__pii_key", F.slice(F.split(F.array_join(joined, ""), "\u0000"), 2, F.lit(1 << 30)).alias("__pii_new"))
+    joined = F.transform("__pii_units", lambda x: F.concat(F.when(x["u"] > 0, " ").otherwise("\u0000"), x["new"]))
+    # full names, without the form of address: one run of name units each, as it stands and as it becomes
+    run = lambda f: F.filter(F.split(F.array_join(F.transform("__pii_units", lambda x: F.when(x["u"] == 0, "\u0000").otherwise(F.concat(F.when(x["u"] > 1, " ").otherwise(""), x[f]))), ""), "\u0000"), lambda n: F.contains(n, F.lit(" ")))
+    bare = F.array_distinct(F.zip_with(run("surface"), run("new"), lambda a, b: F.struct(F.length(a).alias("n"), a.alias("old"), b.alias("new"))))
+    per_text = per_text.select("__pii_key", F.slice(F.split(F.array_join(joined, ""), "\u0000"), 2, F.lit(1 << 30)).alias("__pii_new"), F.sort_array(bare, False).alias("__pii_bare"))
     done = dirty.join(per_text, "__pii_key")
-    between = F.split(t, PATTERN_FAST, -1)
-    whole = F.array_join(F.zip_with(between, F.col("__pii_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    done = done.withColumn(text, whole)
-    cols = columns(docs.columns)
-    return clean.select(*cols).unionByName(done.select(*cols))
+    between = F.split(t_away, PATTERN_FAST, -1)
+
+    def again(c: Column) -> Column:
+        """The names of the text found again in what stands between its hits, the longest first."""
+        return F.aggregate("__pii_bare", c, lambda acc, n: F.regexp_replace(acc, F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), n["old"], F.lit(r"\E(?![\p{L}\p{N}])")), n["new"]))
+
+    whole = F.array_join(F.zip_with(F.transform(between, lambda c: again(c)), F.col("__pii_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    done = done.select(*[whole.alias(a) if c == text else F.col(a) for c, a in zip(docs.columns, away, strict=True)])
+    return clean.unionByName(done).toDF(*docs.columns)
 
 
 def entities(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``entities``, all that ``text`` has, as an array of (kind, canon, surface)."""
+    """Adds ``entities``, all that ``text`` has, as an array of (kind, canon, surface, gender)."""
     t = columns([text])[0]
     return df.withColumn("entities", F.flatten(F.transform(F.coalesce(F.regexp_extract_all(t, F.lit(PATTERN_FAST), 0), F.array().cast("array<string>")), units)))
 
