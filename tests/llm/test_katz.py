@@ -71,3 +71,49 @@ def test_edges(odd_docs, no_docs):
     assert katz.score(no_docs, F.lit(False)).count() == 0
     none = katz.score(odd_docs, F.lit(True)).collect()
     assert {r.train_tokens for r in none} == {0} and all(r.score == 0 for r in none)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_other_texts_are_scored_from_the_stored_tables(spark, order, tmp_path):
+    r = random.Random(order)
+    words = [f"w{i}" for i in range(25)]
+    text = lambda n: " ".join(r.choice(words[: r.randint(1, 25)]) for _ in range(n))
+    one = [(i, text(r.randint(0, 40)), False) for i in range(80)]
+    two = [(1000 + i, f"{text(r.randint(0, 30))} new{i}", True) for i in range(30)] + [(2000, None, True)]
+    make = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, h boolean").repartition(3)
+    folder = f"file://{tmp_path}/model"
+    katz.score(make(one), F.col("h"), order=order, batch_tokens=300, folder=folder).count()
+    got = katz.score(make(two), order=order, batch_tokens=200, model=folder).collect()
+    rows = sorted(((x.doc_id, x.held_out, x.n_tokens, x.n_known, x.train_tokens, round(x.base_score, 6), round(x.score, 6)) for x in got), key=str)
+    assert rows == [x for x in brute(one + two, order) if x[1]]
+    with pytest.raises(ValueError):
+        katz.score(make(two), order=order + 1, model=folder)
+
+
+def test_tables_hold_the_model(spark, tmp_path):
+    docs = [(0, "a b a b c", False), (1, "a b", False), (2, "z", True)]
+    folder = f"file://{tmp_path}/model"
+    katz.score(spark.createDataFrame(docs, "doc_id long, text string, h boolean"), F.col("h"), folder=folder).count()
+    rows = katz.tables(spark, folder).collect()
+    assert {bytes(r.key): r["count"] for r in rows if r.kind == "word"} == {b"a": 3, b"b": 3, b"c": 1, katz.END: 2, katz.BEGIN: 2}
+    # begin a, a b, b a, b c, c end, b end
+    assert sorted(r["count"] for r in rows if r.kind == "gram") == [1, 1, 1, 1, 2, 3]
+    contexts = [r for r in rows if r.kind == "context"]
+    assert len(contexts) == 4 and all(0 < r.used < 1 and 0 < r.lower < 1 for r in contexts)
+    assert {r.order for r in rows} == {1, 2}
+
+
+def test_query_has_the_contracts_columns(spark, sf_dir, duck):
+    rows = katz.op4_katz(spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    import zlib
+
+    words = {d.doc_id: [*(d.text or "").encode().lower().split(), katz.END] for d in docs}
+    held = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 10 == 0 for d in docs}
+    c = collections.Counter(w for k, ws in words.items() if not held[k] for w in ws)
+    total = sum(c.values())
+    assert sorted(r.doc_id for r in rows) == sorted(words)
+    for r in rows:
+        w = words[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(w), sum(x in c for x in w), total)
+        assert abs(r.base_score - sum(math.log10((c[x] + 0.1) / (total + 0.1 * (len(c) + 1))) for x in w)) < 1e-6 * len(w)

@@ -4,11 +4,16 @@ The corpus is cut into batches of about ``BATCH_TOKENS`` tokens. Each is written
 once to the shared folder as local word ids. What batches have in common is
 settled by exchanges: a batch sends its distinct keys (words, n-grams or
 contexts) with partial counts, dealt into buckets by ranges of the key's hash; each
-bucket adds them up and answers every batch in the batch's own order. The
-bucket's tables, written as Parquet by bucket, are the model. So a
-key, however frequent, crosses the network once for each batch that has it, and
+bucket adds them up, writes its part of the model, and answers every batch in the batch's own order.
+So a key, however frequent, crosses the network once for each batch that has it, and
 nothing is gathered on the driver but sums of a fixed size.
 
+The model is tables, partitioned by ranges of the key's hash: words with their counts; for each order
+above the n-grams with their counts, and the contexts with the sums that make their backoff weights. They are
+written as Parquet with the answers, a row a bucket, its keys and numbers packed. ``tables`` gives
+them as plain rows, with discounted probabilities and weights; ``score`` takes a stored ``model`` for other
+texts, whose batches then only ask.
+
 P1(w) = d(c) c / N, and what that leaves is the probability of any unknown word.
 Pn(w|h) = d(c) c / c(h) where the n-gram was seen, else alpha(h) Pn-1(w|h'), with
 alpha(h) = (1 - sum of d(c) c / c(h)) / (1 - sum of Pn-1) over the words seen after
@@ -201,7 +206,7 @@ def discounted(counts, d: list[float]):
 
 def _groups(batches, key: str):
     """Rows of Arrow batches that are sorted by ``key``, group by group."""
-    rows = (r for b in batches for r in b.to_pylist())
+    rows = (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist())
     return groupby(rows, key=lambda r: r[key])
 
 
@@ -229,9 +234,13 @@ def _each(df: DataFrame, key: str, n: int, fn, ddl: str) -> DataFrame:
         schema = to_arrow_schema(kind)
         yield from _out((r for k, rows in _groups(batches, key) for r in fn(k, list(rows))), schema)
 
-    return df.repartition(n, key).sortWithinPartitions(key, "batch", "bucket").mapInArrow(run, kind)
+    # keys are numbers, dealt evenly; batches are numbered within the tasks that cut them
+    task = F.col(key) if key == "bucket" else F.xxhash64(key)
+    return df.repartitionById(n, F.pmod(task, F.lit(n)).cast("int")).sortWithinPartitions(key, "batch", "bucket").mapInArrow(run, kind)
 
 
+#: The batch number of a bucket's part of the model.
+MODEL = -1
 STATS = f"{BLOB}, n_keys long, total long, seen array<long>"
 
 
@@ -242,21 +251,35 @@ def _stats(counts) -> dict:
     return {"n_keys": int((counts > 0).sum()), "total": int(counts.sum()), "seen": np.bincount(np.minimum(counts, CUT + 2).astype(np.int64), minlength=CUT + 3)[1 : CUT + 2].tolist()}
 
 
+def _word_part(words: list[bytes], counts) -> bytes:
+    import pyarrow as pa
+
+    text = b"\n".join(words)
+    return join_parts([len(text).to_bytes(8, "little") + (pa.compress(text, codec="zstd", asbytes=True) if text else b""), pack(counts)])
+
+
+def _words(payload: bytes) -> tuple[list[bytes], list[int]]:
+    import pyarrow as pa
+
+    text, counts = split_parts(payload)
+    n = int.from_bytes(text[:8], "little")
+    return pa.decompress(text[8:], decompressed_size=n, codec="zstd", asbytes=True).split(b"\n") if n else [], unpack(counts).tolist()
+
+
 def _add_words(bucket: int, rows: list[dict]):
     import numpy as np
-    import pyarrow as pa
 
     total: dict[bytes, int] = {}
     sent = []
     for r in rows:
-        text, counts = split_parts(r["payload"])
-        n = int.from_bytes(text[:8], "little")
-        words = pa.decompress(text[8:], decompressed_size=n, codec="zstd", asbytes=True).split(b"\n")
-        for w, c in zip(words, unpack(counts).tolist(), strict=True):
+        words, counts = _words(r["payload"])
+        for w, c in zip(words, counts, strict=True):
             total[w] = total.get(w, 0) + c
-        sent.append((r["batch"], words))
+        if r["batch"] >= 0:
+            sent.append((r["batch"], words))
     counted = np.fromiter((c for w, c in total.items() if w != BEGIN), np.int64)
-    yield {"batch": -1, "bucket": bucket, "payload": b"", **_stats(counted)}
+    known = sorted(w for w, c in total.items() if c)
+    yield {"batch": MODEL, "bucket": bucket, "payload": _word_part(known, [total[w] for w in known]), **_stats(counted)}
     for batch, words in sent:
         yield {"batch": batch, "bucket": bucket, "payload": pack(np.fromiter(map(total.__getitem__, words), np.int64, len(words)))}
 
@@ -269,13 +292,15 @@ def _add_grams(bucket: int, rows: list[dict]):
     counts = np.concatenate([p[1] for p in parts]).astype(np.int64)
     distinct, inverse = np.unique(keys, return_inverse=True)
     total = np.bincount(inverse, counts, len(distinct)).astype(np.int64)
-    yield {"batch": -1, "bucket": bucket, "payload": b"", **_stats(total)}
+    there = total > 0
+    yield {"batch": MODEL, "bucket": bucket, "payload": join_parts([pack(deltas(distinct[there])), pack(total[there])]), **_stats(total)}
     trained = np.flatnonzero(counts > 0)
     own = np.zeros(len(keys), np.int64)
     own[trained[np.unique(keys[trained], return_index=True)[1]]] = 1
     answer, at = 2 * total[inverse] + own, 0
     for r, p in zip(rows, parts, strict=True):
-        yield {"batch": r["batch"], "bucket": bucket, "payload": pack(answer[at : at + len(p[0])])}
+        if r["batch"] >= 0:
+            yield {"batch": r["batch"], "bucket": bucket, "payload": pack(answer[at : at + len(p[0])])}
         at += len(p[0])
 
 
@@ -287,10 +312,15 @@ def _add_contexts(bucket: int, rows: list[dict]):
     sums = [[np.frombuffer(p[k], "<f8") for p in parts] for k in (1, 2)]
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     total = [np.bincount(inverse, np.concatenate(s), len(distinct)) for s in sums]
+    there = total[0] > 0
+    some = distinct[there]
+    yield {"batch": MODEL, "bucket": bucket, "payload": join_parts([pack(deltas(some)), total[0][there].tobytes(), total[1][there].tobytes(), pack(np.zeros(len(some), "<u8"))])}
     at = 0
     for r, p, k in zip(rows, parts, keys, strict=True):
         mine = inverse[at : at + len(k)][unpack(p[3]).astype(bool)]
         at += len(k)
+        if r["batch"] < 0:
+            continue
         yield {"batch": r["batch"], "bucket": bucket, "payload": join_parts([total[0][mine].tobytes(), total[1][mine].tobytes()])}
 
 
@@ -303,7 +333,7 @@ class Model:
         self.d: list[list[float]] = [[]]
 
     def learn(self, answers: DataFrame, first: bool) -> None:
-        s = answers.filter("batch < 0").agg(F.sum("n_keys"), F.sum("total"), *[F.sum(F.col("seen")[i]) for i in range(CUT + 1)]).first()
+        s = answers.filter(f"batch = {MODEL}").agg(F.sum("n_keys"), F.sum("total"), *[F.sum(F.col("seen")[i]) for i in range(CUT + 1)]).first()
         if first:
             self.vocabulary, self.n_train = int(s[0] or 0), int(s[1] or 0)
         self.d.append(discounts([int(x or 0) for x in s[2:]]))
@@ -367,11 +397,13 @@ class Evaluation:
 
 
 def score(
-    docs: DataFrame, held_out, order: int = 2, key: str = "doc_id", text: str = "text", batch_tokens: int = BATCH_TOKENS
+    docs: DataFrame, held_out=None, order: int = 2, key: str = "doc_id", text: str = "text", batch_tokens: int = BATCH_TOKENS, folder: str | None = None, model: str | None = None
 ) -> DataFrame:
     """Scores all rows under a model of those for which the column ``held_out`` is false.
 
-    Gives ``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
+    Gives ``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``. The model's tables are
+    written below ``folder`` (a new one of the shared folder by default). With ``model``, a folder of an earlier call of the same order,
+    nothing is learned: its tables score the rows.
     """
     from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
@@ -379,11 +411,19 @@ def score(
         raise ValueError("the order is 1 or more")
     spark = docs.sparkSession
     short_batches(spark)
-    folder = shared_dir(spark)
+    folder = folder or shared_dir(spark)
     key_field = docs.schema[key]
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), held_out.alias("h"))
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.lit(True).alias("h") if model else held_out.alias("h"))
     n = max(1, rows.rdd.getNumPartitions())
-    buckets = max(8, 2 * n)
+    meta = spark.read.json(f"{model}/meta").first() if model else None
+    if meta and meta.order != order:
+        raise ValueError(f"the stored model has order {meta.order}")
+    buckets = meta.buckets if meta else max(8, 2 * n)
+    spark.createDataFrame([(order, buckets)], "order int, buckets int").coalesce(1).write.mode("overwrite").json(f"{folder}/meta")
+
+    def with_model(sent: DataFrame, name: str) -> DataFrame:
+        """What batches send, and the stored model's part of each bucket."""
+        return sent.unionByName(spark.read.parquet(f"{model}/{name}").filter(f"batch = {MODEL}").select("batch", "bucket", "payload")) if model else sent
 
     def cut(batches):
         """Writes batches; sends their words."""
@@ -411,8 +451,7 @@ def score(
             for k in range(buckets):
                 own = by[ends[k] : ends[k + 1]]
                 if len(own):
-                    text = b"\n".join([words[i] for i in own.tolist()])
-                    yield {"batch": batch, "bucket": k, "payload": join_parts([len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True), pack(counts[own])])}
+                    yield {"batch": batch, "bucket": k, "payload": _word_part([words[i] for i in own.tolist()], counts[own])}
 
         held, tokens = fresh(), 0
         for b in batches:
@@ -434,18 +473,18 @@ def score(
         df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    model = Model()
+    known = Model()
     words = kept(rows.mapInArrow(cut, BLOB), "words")
     n = max(1, words.select("batch").distinct().count())  # a task for each batch
-    answers = kept(_each(words, "bucket", buckets, _add_words, STATS), "word_counts")
-    model.learn(answers, True)
-    d1 = model.d[1]
+    answers = kept(_each(with_model(words, "word_counts"), "bucket", buckets, _add_words, STATS), "word_counts")
+    known.learn(answers, True)
+    d1 = known.d[1]
     # the mass of the known words: from counts of counts, as d(c) c is c less a fixed amount beyond the cut
-    s = answers.filter("batch < 0").agg(*[F.sum(F.col("seen")[i]) for i in range(CUT)]).first()
+    s = answers.filter(f"batch = {MODEL}").agg(*[F.sum(F.col("seen")[i]) for i in range(CUT)]).first()
     small = [int(x or 0) for x in s]
-    n_above = model.vocabulary - sum(small)
-    above = model.n_train - sum(r * x for r, x in enumerate(small, 1)) - n_above * CUT * (1 - d1[CUT])
-    model.seen_mass = (sum(d1[r] * r * x for r, x in enumerate(small, 1)) + above) / max(model.n_train, 1)
+    n_above = known.vocabulary - sum(small)
+    above = known.n_train - sum(r * x for r, x in enumerate(small, 1)) - n_above * CUT * (1 - d1[CUT])
+    known.seen_mass = (sum(d1[r] * r * x for r, x in enumerate(small, 1)) + above) / max(known.n_train, 1)
 
     def place_words(store: Store, batch: int, answer: list[dict]) -> None:
         import numpy as np
@@ -484,7 +523,7 @@ def score(
 
             store = Store(folder)
             store.put(f"batch-{batch}-{order}", pack(np.concatenate([unpack(r["payload"]) for r in answer])))
-            e = Evaluation(store, batch, model)
+            e = Evaluation(store, batch, known)
             for o in range(2, order):
                 e.raise_to(o)
             sent, used, lower, wanted = e.raise_to(order, want_context=True)
@@ -504,16 +543,16 @@ def score(
             place_words(store, batch, answer)
         else:
             _keep_contexts(store, batch, order, answer)
-        e = Evaluation(store, batch, model)
+        e = Evaluation(store, batch, known)
         b, c = e.b, e.counts[e.b.ids]
         for o in range(2, order + 1):
             e.raise_to(o)
         token = e.place > 0
         begin = np.cumsum(b.lengths) - b.lengths
-        base = np.log10((c[token] + 0.1) / (model.n_train + 0.1 * (model.vocabulary + 1)))
+        base = np.log10((c[token] + 0.1) / (known.n_train + 0.1 * (known.vocabulary + 1)))
         per_doc = lambda x: np.add.reduceat(x, begin).tolist()  # noqa: E731  every document has its end
         yield from (
-            {key: k, "held_out": not t, "n_tokens": n_, "n_known": w, "train_tokens": model.n_train, "base_score": x, "score": y}
+            {key: k, "held_out": not t, "n_tokens": n_, "n_known": w, "train_tokens": known.n_train, "base_score": x, "score": y}
             for k, t, n_, w, x, y in zip(
                 b.doc_keys.to_pylist(), b.train.tolist(), b.lengths.tolist(), per_doc((c[token] > 0).astype(np.int64)), per_doc(base), per_doc(e.lp[token]), strict=True
             )
@@ -521,12 +560,12 @@ def score(
 
     answered = answers.filter("batch >= 0").select("batch", "bucket", "payload")
     for o in range(2, order + 1):
-        sent = kept(_each(answered, "batch", n, send_grams(o), BLOB), f"grams_{o}")
+        sent = with_model(_each(answered, "batch", n, send_grams(o), BLOB), f"gram_counts_{o}")
         counted = kept(_each(sent, "bucket", buckets, _add_grams, STATS), f"gram_counts_{o}")
-        model.learn(counted, False)
+        known.learn(counted, False)
         back = counted.filter("batch >= 0").select("batch", "bucket", "payload")
-        sent = kept(_each(back, "batch", n, send_contexts(o), BLOB), f"contexts_{o}")
-        answered = kept(_each(sent, "bucket", buckets, _add_contexts, BLOB), f"context_sums_{o}")
+        sent = with_model(_each(back, "batch", n, send_contexts(o), BLOB), f"context_sums_{o}")
+        answered = kept(_each(sent, "bucket", buckets, _add_contexts, BLOB), f"context_sums_{o}").filter("batch >= 0")
     result = StructType([
         StructField(key, key_field.dataType), StructField("held_out", BooleanType()), StructField("n_tokens", LongType()), StructField("n_known", LongType()),
         StructField("train_tokens", LongType()), StructField("base_score", DoubleType()), StructField("score", DoubleType()),
@@ -534,6 +573,52 @@ def score(
     return _each(answered, "batch", n, finish, result)
 
 
+TABLES = "order int, bucket int, kind string, key binary, count long, used double, lower double"
+
+
+def tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored model as rows (order, bucket, kind, key, count, used, lower), plain and unsorted.
+
+    Kinds: ``word`` (its bytes), ``gram`` (8-byte hash of an n-gram) with their counts; ``context`` (hash of an n-gram of the
+    order below) with the discounted mass ``used`` by the n-grams seen after it and the mass ``lower`` these have in the
+    order below. A context's backoff weight is (1 - used) / (1 - lower).
+    """
+    order = spark.read.json(f"{folder}/meta").first().order
+    out = None
+    for name, kind, o in [("word_counts", "word", 1), *[(f"{x}_{o}", k, o) for o in range(2, order + 1) for x, k in (("gram_counts", "gram"), ("context_sums", "context"))]]:
+        part = spark.read.parquet(f"{folder}/{name}").filter(f"batch = {MODEL}").select("bucket", "payload")
+        rows = part.mapInArrow(_plain_rows(kind, o), TABLES)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _plain_rows(kind: str, order: int):
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = to_arrow_schema(StructType.fromDDL(TABLES))
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for bucket, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if kind == "word":
+                    keys, numbers = _words(payload)
+                    columns = [numbers, None, None]
+                else:
+                    p = split_parts(payload)
+                    keys = [k.to_bytes(8, "little") for k in summed(unpack(p[0])).tolist()]
+                    columns = [unpack(p[1]).astype(np.int64), None, None] if kind == "gram" else [None, np.frombuffer(p[1], "<f8"), np.frombuffer(p[2], "<f8")]
+                n = len(keys)
+                cols = [pa.array([order] * n, pa.int32()), pa.array([bucket] * n, pa.int32()), pa.array([kind] * n, pa.string()), pa.array(keys, pa.binary())]
+                cols += [pa.nulls(n, f.type) if c is None else pa.array(c, f.type) for c, f in zip(columns, list(schema)[4:], strict=True)]
+                yield pa.RecordBatch.from_arrays(cols, schema=schema)
+
+    return run
+
+
 def _keep_contexts(store: Store, batch: int, order: int, answer: list[dict]) -> None:
     parts = [split_parts(r["payload"]) or [b"", b""] for r in answer]
     store.put(f"batch-{batch}-{order}-contexts", join_parts([b"".join(p[k] for p in parts) for k in (0, 1)]))
