@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_text, table
+from .suffix import SuffixAutomaton
 
 #: Pieces in a worker's memo before it becomes the older one and a new one begins; about 300 bytes each.
 MEMO = 400_000
@@ -118,55 +119,26 @@ class Vocabulary:
         return got
 
 
-class SuffixAutomaton:
-    """Of all given byte strings. After reading bytes, the state is their longest suffix that occurs in one."""
+class TokenAutomaton:
+    """The suffix automaton of all given byte strings, with the tokens that end in each state."""
 
     def __init__(self, strings: dict[bytes, int]):
-        nxt: list[dict[int, int]] = [{}]
-        link, size = array("i", [-1]), array("i", [0])
-
-        def add(length: int, of: dict[int, int], to: int) -> int:
-            nxt.append(of)
-            size.append(length)
-            link.append(to)
-            return len(nxt) - 1
-
-        def clone(p: int, c: int, q: int) -> int:
-            k = add(size[p] + 1, dict(nxt[q]), link[q])
-            link[q] = k
-            while p >= 0 and nxt[p].get(c) == q:
-                nxt[p][c] = k
-                p = link[p]
-            return k
-
+        auto = SuffixAutomaton(256)
         ends = {}
         for s, token in strings.items():
-            last = 0
-            for c in s:
-                q = nxt[last].get(c)
-                if q is not None:
-                    last = q if size[q] == size[last] + 1 else clone(last, c, q)
-                    continue
-                cur, p = add(size[last] + 1, {}, 0), last
-                while p >= 0 and c not in nxt[p]:
-                    nxt[p][c] = cur
-                    p = link[p]
-                if p >= 0:
-                    q = nxt[p][c]
-                    link[cur] = q if size[q] == size[p] + 1 else clone(p, c, q)
-                last = cur
+            for last in auto.add(s):
+                pass
             ends[last] = token
-        self.step = {s << 8 | c: t for s, of in enumerate(nxt) for c, t in of.items()}
-        self.link, self.size = link, size
-        self.token = array("i", [-1]) * len(size)
+        longest = auto.finish()
+        self.step, self.link, self.size = auto.step, auto.link, auto.size
+        self.token = array("i", [-1]) * len(auto)
         for s, token in ends.items():
             self.token[s] = token
         self._ending: dict[int, list[tuple[int, int]]] = {-1: []}
         #: The nearest state up the suffix links that is a whole token, else -1.
-        self.up = array("i", [-1]) * len(size)
-        for s in sorted(range(1, len(size)), key=size.__getitem__):
-            self.up[s] = link[s] if self.token[link[s]] >= 0 else self.up[link[s]]
-
+        self.up = array("i", [-1]) * len(auto)
+        for s in reversed(longest):
+            self.up[s] = self.link[s] if self.token[self.link[s]] >= 0 else self.up[self.link[s]]
 
     def ending(self, state: int) -> list[tuple[int, int]]:
         """The tokens that end in this state, longest first, with their lengths."""
@@ -191,7 +163,7 @@ class Bpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.vocab = v = Vocabulary(spec)
-        self.auto = SuffixAutomaton({v.bytes_of[i]: i for i in sorted(v.usable)})
+        self.auto = TokenAutomaton({v.bytes_of[i]: i for i in sorted(v.usable)})
         self.chunks = re.compile(f" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+").findall
         self.pieces = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+" + f"| ?[^{WS}\\p{{L}}\\p{{N}}]+|[{WS}]+(?![^{WS}])|[{WS}]+"

@@ -9,9 +9,9 @@ rejected, by limits on length and coverage.
 Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ with A-Z lower-cased. A window is
 ``window`` consecutive words of an item; a shorter item is one window.
 
-The automaton is sent to the executors; items beyond ``MAX_ITEM_BYTES`` are dealt
-into several automata by hash and the documents read them one after the other,
-so what is broadcast at once is bounded. Documents are never shuffled, and each
+The items are sent to the executors, where each worker builds their automaton once. Items beyond
+``MAX_ITEM_BYTES`` are dealt into several automata by hash; the documents go past one after the
+other and are written in between, so that what is broadcast, and what a worker holds, is one of them. Documents are never shuffled, and each
 costs a fixed amount a word, so a hot source or a very long text needs no split.
 
 Defined results: null and empty texts have no words, no hits and are not
@@ -30,83 +30,71 @@ from array import array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, map_text, table
+from .common import alnum_words, map_text, table, written
+from .suffix import SuffixAutomaton
 
 WINDOW = 13
-#: Bytes of item text in one automaton; a state takes about 500 bytes of a worker.
-MAX_ITEM_BYTES = 8_000_000
+#: Bytes of item text in one automaton; a worker takes about 50 bytes for each.
+MAX_ITEM_BYTES = 2_000_000
 SPANS = "spans array<struct<start:int,stop:int,items:array<string>>>"
 
 
+def _also(held: dict[int, str | set[str]], state: int, name: str) -> None:
+    now = held.get(state)
+    if now is None:
+        held[state] = name
+    elif isinstance(now, set):
+        now.add(name)
+    elif now != name:
+        held[state] = {now, name}
+
+
 class ItemAutomaton:
     """Suffix automaton over the items' words, with the items of each window."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.word_id: dict[bytes, int] = {}
-        nxt: list[dict[int, int]] = [{}]
-        link, size = array("i", [-1]), array("i", [0])
-        held: list[set[str] | None] = [None]
-        self.short: dict[int, tuple[int, set[str]]] = {}
-        shortest = window
-
-        def add(length: int, of: dict[int, int], to: int, has: set[str] | None) -> int:
-            nxt.append(of)
-            size.append(length)
-            link.append(to)
-            held.append(has)
-            return len(nxt) - 1
-
-        def clone(p: int, c: int, q: int) -> int:
-            k = add(size[p] + 1, dict(nxt[q]), link[q], None)
-            link[q] = k
-            while p >= 0 and nxt[p].get(c) == q:
-                nxt[p][c] = k
-                p = link[p]
-            return k
-
+        rows = [(name, tuple(self.word_id.setdefault(w, len(self.word_id)) for w in words)) for name, words in items]
+        auto = SuffixAutomaton(max(1, len(self.word_id)))
+        held: dict[int, str | set[str]] = {}  # most states have one item
         whole: dict[tuple[int, ...], set[str]] = {}
-        for name, words in items:
-            ids = tuple(self.word_id.setdefault(w, len(self.word_id)) for w in words)
-            last = 0
-            for c in ids:
-                q = nxt[last].get(c)
-                if q is not None:
-                    last = q if size[q] == size[last] + 1 else clone(last, c, q)
-                else:
-                    cur, p = add(size[last] + 1, {}, 0, None), last
-                    while p >= 0 and c not in nxt[p]:
-                        nxt[p][c] = cur
-                        p = link[p]
-                    if p >= 0:
-                        q = nxt[p][c]
-                        link[cur] = q if size[q] == size[p] + 1 else clone(p, c, q)
-                    last = cur
-                if size[last] >= window:
-                    if held[last] is None:
-                        held[last] = set()
-                    held[last].add(name)
+        self.short: dict[int, tuple[int, tuple[str, ...]]] = {}
+        self.shortest = window
+        for name, ids in rows:
+            for n, state in enumerate(auto.add(ids), 1):
+                # an item's words before the window's end are its suffixes' states
+                if n >= window and auto.size[state] >= window:
+                    _also(held, state, name)
             if 0 < len(ids) < window:
                 whole.setdefault(ids, set()).add(name)
-                shortest = min(shortest, len(ids))
-        order = sorted(range(1, len(size)), key=size.__getitem__, reverse=True)
-        for s in order:  # what holds a string holds its suffixes
-            if held[s] and size[link[s]] >= window:
-                if held[link[s]] is None:
-                    held[link[s]] = set()
-                held[link[s]] |= held[s]
+                self.shortest = min(self.shortest, len(ids))
+        order = auto.finish()
+        self.step, self.link, self.size, self.alphabet = auto.step, auto.link, auto.size, auto.alphabet
+        same: dict[tuple[str, ...], tuple[str, ...]] = {}
+        #: Items with the window that ends in a state, sorted; states of the same items share them.
+        self.held: dict[int, tuple[str, ...]] = {}
+        for s in order:  # what holds a string holds its suffixes; longer states are done before
+            names = held.pop(s, None)
+            if names is None:
+                continue
+            if self.size[self.link[s]] >= window:
+                for name in [names] if isinstance(names, str) else names:
+                    _also(held, self.link[s], name)
+            else:  # asked for are only states whose shorter suffixes are no windows
+                own = (names,) if isinstance(names, str) else tuple(sorted(names))
+                self.held[s] = same.setdefault(own, own)
         for ids, names in whole.items():
             s = 0
             for c in ids:
-                s = nxt[s][c]
-            self.short[s] = (len(ids), names)
+                s = self.step[s * self.alphabet + c]
+            self.short[s] = (len(ids), tuple(sorted(names)))
         #: The nearest state at or above, up the suffix links, that is a whole short item.
-        self.short_up = array("i", [-1]) * len(size)
+        self.short_up = array("i", [-1]) * len(auto)
         for s in reversed(order):
-            self.short_up[s] = s if s in self.short else self.short_up[link[s]]
-        self.nxt, self.link, self.size, self.held, self.shortest = nxt, link, size, held, shortest
+            self.short_up[s] = s if s in self.short else self.short_up[self.link[s]]
 
-    def match(self, words: list[bytes]) -> list[tuple[int, int, list[str]]]:
+    def match(self, words: list[bytes]) -> list[tuple[int, int, tuple[str, ...]]]:
         """Every occurrence of a window: first word, word after the last, items with the window."""
         if not self.word_id or len(words) < self.shortest:
             return []
@@ -123,12 +111,12 @@ class ItemAutomaton:
         return out
 
     def _run(self, ids: list[int], begin: int, stop: int, out: list) -> None:
-        nxt, link, size, window, short_up = self.nxt, self.link, self.size, self.window, self.short_up
+        step, n, link, size, window, short_up = self.step.get, self.alphabet, self.link, self.size, self.window, self.short_up
         state = length = 0
         some_short = bool(self.short)
         for i in range(begin, stop):
             c = ids[i]
-            while (to := nxt[state].get(c)) is None and state:
+            while (to := step(state * n + c)) is None and state:
                 state = link[state]
                 length = size[state]
             if to is None:
@@ -138,13 +126,13 @@ class ItemAutomaton:
                 s = state
                 while size[link[s]] >= window:
                     s = link[s]
-                out.append((i + 1 - window, i + 1, sorted(self.held[s])))
+                out.append((i + 1 - window, i + 1, self.held[s]))
             if some_short:
                 s = short_up[state]
                 while s >= 0:
-                    n, names = self.short[s]
-                    if n <= length:
-                        out.append((i + 1 - n, i + 1, sorted(names)))
+                    size_, names = self.short[s]
+                    if size_ <= length:
+                        out.append((i + 1 - size_, i + 1, names))
                     s = short_up[link[s]]
 
 
@@ -188,6 +176,8 @@ def match_items(
 
             return run
 
+        if not first:
+            docs = written(docs)
         docs = map_text(docs, make, f"n_words bigint, {SPANS}", [text] if first else [text, "spans"])
         first = False
     return docs
@@ -204,13 +194,12 @@ def _automaton(sent, window: int) -> ItemAutomaton:
     """The automaton of broadcast items, built once in each worker."""
     key = (sent.id if hasattr(sent, "id") else id(sent), window, hashlib.sha256(repr(sent.value).encode()).digest())
     if key not in _built:
-        if len(_built) > 4:
-            _built.clear()
+        _built.clear()
         _built[key] = ItemAutomaton(sent.value, window)
     return _built[key]
 
 
-def _joined(found: list[tuple[int, int, list[str]]]) -> list[dict]:
+def _joined(found: list[tuple[int, int, tuple[str, ...]]]) -> list[dict]:
     """Overlapping occurrences as runs of hit words."""
     out: list[dict] = []
     for start, stop, names in sorted(found, key=lambda x: (x[0], x[1])):

@@ -71,10 +71,22 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst, n): links between different hosts. Relative links stay on their host and are none."""
-    links = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""), 1)
-    linked = pages.select(host_of(F.col(url)).alias("src"), F.explode(links).alias("to"))
-    linked = linked.select("src", host_of(F.regexp_replace("to", "^//", "x://")).alias("dst"))
+    """(src, dst, n): links between different hosts, subdomains of one domain among them.
+
+    Links without a host go to that of the page's ``base``, else stay on their own host and are none;
+    links of other schemes (``mailto:``), and those within a page, are none.
+    """
+    page = F.coalesce(F.col(html), F.lit(""))
+    value = r"""\s*=\s*["']?\s*([^"'\s>]*)"""
+    links = F.regexp_extract_all(page, F.lit(rf"(?is)<a\s[^>]*?href{value}"), 1)
+    absolute = lambda c: host_of(F.regexp_replace(c, "^//", "x://"))
+    base = absolute(F.regexp_extract(page, rf"(?is)<base\s[^>]*?href{value}", 1))
+    own = host_of(F.col(url))
+    home = F.when(base != "", base).otherwise(own)
+    # links that stay at home are dropped before rows are made of them
+    away = F.filter(links, lambda x: x.rlike("^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//") | ((home != own) & ~x.rlike("^(?:#|[A-Za-z][A-Za-z0-9+.-]*:)") & (x != "")))
+    linked = pages.select(own.alias("src"), home.alias("home"), F.explode(away).alias("to"))
+    linked = linked.select("src", F.when(F.col("to").contains("//") & F.col("to").rlike("^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//"), absolute(F.col("to"))).otherwise(F.col("home")).alias("dst"))
     return linked.filter("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
@@ -140,4 +152,21 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_url_filters": op9_url_filters}
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _rule_sql(column: str) -> str:
+    """The longest rule's text or verdict."""
+    best = sorted(RULES, key=lambda r: (len(r.host + r.path), r), reverse=True)
+    return "CASE " + " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.host + r.path if column == 'rule' else r.verdict}'" for r in best) + " END"
+
+
+#: Holds where no page links to another host, as in the driver's tables: ranks are then the seeds' (1 - damping).
+#: Where one does, the SQL has no rows; ``propagate`` itself is held against matrices in the tests.
+ORACLE = f"""WITH u AS (SELECT page_id, CASE WHEN coalesce(url, '') LIKE '%://%' THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+CASE WHEN coalesce(url, '') LIKE '%://%' THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path, html FROM pages),
+l AS (SELECT count(*) AS n FROM u WHERE regexp_matches(coalesce(html, ''), '(?is)<a\\s[^>]*?href\\s*=\\s*["'']?\\s*([a-z][a-z0-9+.-]*:)?//') OR regexp_matches(coalesce(html, ''), '(?is)<base\\s')),
+r AS (SELECT *, {_rule_sql("rule")} AS rule, {_rule_sql("verdict")} AS own FROM u), h AS (SELECT host, count(*) FILTER (own = 'allow') AS a, count(*) FILTER (own = 'block') AS b FROM r WHERE host <> '' GROUP BY host), s AS (SELECT greatest(sum(a), 1) AS a, greatest(sum(b), 1) AS b FROM h),
+k AS (SELECT host, round(h.a / s.a * (1 - 0.85), 12) AS trust, round(h.b / s.b * (1 - 0.85), 12) AS distrust FROM h, s)
+SELECT page_id, r.host, path, rule, coalesce(own, CASE WHEN distrust > 4 * trust THEN 'block' ELSE 'allow' END) AS verdict, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust FROM r LEFT JOIN k ON r.host = k.host, l WHERE l.n = 0"""
+
+ORACLE_SQL = {"op9_url_filters": ORACLE}
