@@ -72,7 +72,7 @@ def test_perfect_hash_is_minimal(n):
 
 def test_files_round_trip(spark, odd_docs, no_docs):
     folder = shared_dir(spark)
-    made = token_files.write(odd_docs, WORD, folder, file_docs=3)
+    made = token_files.write(odd_docs, WORD, folder, file_bytes=30_000)
     rows = sorted(token_files.read(made).collect(), key=lambda r: r.start)
     lib = Tokenizer.from_file(WORD)
     docs = sorted(odd_docs.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
@@ -88,3 +88,44 @@ def test_files_round_trip(spark, odd_docs, no_docs):
     assert all(len(x) == 0 for x in reader.find([f"absent{i}" for i in range(200)]))
     assert [len(x) for x in reader.find([None])] == [1]
     assert token_files.read(token_files.write(no_docs, WORD, shared_dir(spark))).count() == 0
+
+
+def test_lookup_over_files(spark):
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choice("abcdef") for _ in range(r.randint(0, 30)))) for i in r.sample(range(-50, 3000), 300)]
+    rows += [(7000, f"hot {i}") for i in range(120)] + [(None, "null key"), (None, None)]  # a key of many rows may lie in several files
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made = token_files.write(docs, WORD, shared_dir(spark), file_bytes=1500)
+    assert made.count() > 3
+    asked = [k for k, _ in rows[:50]] + [7000, None, 12345, -999, rows[0][0]]
+    got = token_files.lookup(made, spark.createDataFrame([(k,) for k in asked], "doc_id long"), "doc_id").collect()
+    lib = Tokenizer.from_file(WORD)
+    want = [(None if k is None else str(k), struct.pack(f"<{len(i)}I", *i)) for k, t in rows if k in set(asked) for i in [lib.encode(t or "", add_special_tokens=False).ids + [2]]]
+    assert sorted(((x.key, bytes(x.ids)) for x in got), key=str) == sorted(want, key=str)
+    text = spark.createDataFrame([("b", "x"), ("a10", "y"), ("a9", "z")], "id string, text string")
+    made = token_files.write(text, WORD, shared_dir(spark), key="id", file_bytes=1)
+    assert [x.key for x in token_files.lookup(made, spark.createDataFrame([("a9",), ("a",)], "id string"), "id").collect()] == ["a9"]
+
+
+def test_query_has_the_contracts_columns(spark, sf_dir):
+    rows = sorted(token_files.op1_token_files(spark, sf_dir).collect(), key=lambda r: r.doc_id)
+    docs = sorted(spark.read.parquet(f"{sf_dir}/documents.parquet").collect(), key=lambda d: d.doc_id)
+    lib, start = Tokenizer.from_file(WORD), 0
+    assert [r.doc_id for r in rows] == [d.doc_id for d in docs]
+    for r, d in zip(rows, docs, strict=True):
+        ids = lib.encode(d.text or "", add_special_tokens=False).ids + [2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        start += len(ids)
+
+
+def test_bpe_query_has_the_contracts_columns(spark, sf_dir, byte_lib):
+    import hashlib
+
+    rows = {r.doc_id: r for r in bpe.op8_bpe(spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert sorted(rows) == sorted(d.doc_id for d in docs)
+    for d in docs:
+        ids = byte_lib.encode(d.text or "", add_special_tokens=False).ids
+        r = rows[d.doc_id]
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(byte_lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()

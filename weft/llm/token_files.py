@@ -7,7 +7,9 @@ index is a minimal perfect hash of the file's distinct keys (hash and displace):
 a key gives a bucket, the bucket's pilot gives a slot, and the slot holds a
 32-bit fingerprint of the key, its first entry and the number of its entries.
 So a look-up costs one hash, one pilot and one slot, whatever the file's size, and
-an absent key is told by its fingerprint but for one time in 2**32.
+an absent key is told by its fingerprint; what passes it is held against the stored key. Over all files,
+``lookup`` finds a key's files by a binary search of their first and last keys, which are sent to
+the executors (some 100 bytes a file), and then its entries by their indexes.
 
 File: ``WTOK``, version and bytes of an id, payload, sections, then a footer of section offsets.
 Files go to the shared folder under a name of their own and are renamed when
@@ -37,10 +39,10 @@ from .bpe import byte_chars
 from .common import hold, shared_dir, short_batches, table
 
 MAGIC = b"WTOK\x01\x00\x00"
-#: Documents in a file, about.
-FILE_DOCS = 4096
-#: Pieces in a worker's memo before it becomes the older one and a new one begins.
-MEMO = 500_000
+#: Bytes of text in a file, about; a file is one task's work.
+FILE_BYTES = 32 << 20
+#: Pieces in a worker's memo before it becomes the older one and a new one begins; about 160 bytes each.
+MEMO = 1_000_000
 MANIFEST = "file long, path string, n_docs long, n_tokens long, first_key string, last_key string"
 SECTIONS = ("keys", "key_ends", "key_null", "starts", "pilots", "prints", "first", "count")
 
@@ -99,7 +101,7 @@ class Encoder:
             if self.odd(t):
                 split.append(t)
             else:
-                split.append((t if self.beyond_latin(t) else t.lower()).split())
+                split.append((t.lower() if t.isascii() or not self.beyond_latin(t) else t).split())
         if len(self.memo) > MEMO:
             self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
@@ -302,7 +304,11 @@ class Reader:
         slot = self.mph.slots(h, b)
         hit = (self.prints[slot] == fingerprint).tolist()
         first, count = self.first[slot].tolist(), self.count[slot].tolist()
-        return [range(i, i + n) if ok else range(0) for ok, i, n in zip(hit, first, count, strict=True)]
+        return [range(i, i + n) if ok and self._key(i) == k else range(0) for k, ok, i, n in zip(keys, hit, first, count, strict=True)]
+
+    def _key(self, entry: int) -> str | None:
+        raw, begins, ends, null = self._keys
+        return None if null[entry] else raw[begins[entry] : ends[entry]].decode()
 
     def ids(self, entry: int) -> bytes:
         """The ids of an entry as little-endian unsigned 32-bit integers."""
@@ -317,13 +323,13 @@ class Reader:
 
 
 def write(
-    docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", text: str = "text", end_id: int | None = 2, file_docs: int = FILE_DOCS
+    docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", text: str = "text", end_id: int | None = 2, file_bytes: int = FILE_BYTES
 ) -> DataFrame:
     """Writes ``docs`` in ascending order of ``key`` below ``folder``; the files' manifest, as a written table."""
     spark = docs.sparkSession
     short_batches(spark)
-    n = max(1, -(-docs.select(key).count() // file_docs))
     dealt = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    n = max(1, -(-int(dealt.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // file_bytes))
     dealt = dealt.repartitionByRange(n, F.col("k").asc_nulls_first(), F.xxhash64("t")).sortWithinPartitions(F.col("k").asc_nulls_first(), F.xxhash64("t"))
     dealt = dealt.select(F.col("k").cast("string").alias("k"), "t")
 
@@ -382,6 +388,50 @@ def read(manifest: DataFrame) -> DataFrame:
     return files.select("file", "path", "base").repartition(n, "file").mapInArrow(run, "key string, file long, start long, ids binary")
 
 
+def lookup(manifest: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The entries of each different key of ``keys``, over all files: key (text), file, start in it, ids. Absent keys have no row.
+
+    Keys are ordered as their column's type is, whole numbers or text, null first.
+    """
+    import bisect
+
+    number = keys.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    rank = (lambda k: (k is not None, int(k) if k is not None else 0)) if number else (lambda k: (k is not None, (k or "").encode()))
+    files = sorted(manifest.select("file", "path", "first_key", "last_key").collect(), key=lambda f: f.file)
+    first, last = [rank(f.first_key) for f in files], [rank(f.last_key) for f in files]
+    sent = keys.sparkSession.sparkContext.broadcast((first, last, [f.file for f in files], [f.path for f in files]))
+
+    def place(batches):
+        import pyarrow as pa
+
+        firsts, lasts, numbers, _ = sent.value
+        for b in batches:
+            out = [(k, i) for k in b.column(0).to_pylist() for i in range(bisect.bisect_left(lasts, rank(k)), bisect.bisect_right(firsts, rank(k)))]
+            yield pa.record_batch([pa.array([k for k, _ in out], pa.string()), pa.array([i for _, i in out], pa.int32())], ["key", "at"])
+
+    def fetch(batches):
+        import pyarrow as pa
+
+        _, _, numbers, paths = sent.value
+        schema = pa.schema([("key", pa.string()), ("file", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
+        reader, now = None, None
+        for b in batches:
+            found = []
+            for k, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if i != now:
+                    if reader:
+                        reader.close()
+                    reader, now = Reader(paths[i]), i
+                found += [{"key": k, "file": numbers[i], "start": int(reader.starts[e]), "ids": reader.ids(e)} for e in reader.find([k])[0]]
+            yield pa.RecordBatch.from_pylist(found, schema)
+        if reader:
+            reader.close()
+
+    short_batches(keys.sparkSession)
+    placed = keys.select(F.col(key).cast("string").alias("key")).distinct().mapInArrow(place, "key string, at int")
+    return placed.repartition("at").sortWithinPartitions("at").mapInArrow(fetch, "key string, file long, start long, ids binary")
+
+
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
