@@ -1,4 +1,4 @@
-"""Queries over all lines, against brute force on parts whose keys the slice leaves out."""
+"""Queries over all lines, against brute force."""
 
 import random
 
@@ -24,12 +24,12 @@ def test_component_has_all_lines(spark, lines):
     want = {"p0000001"}
     while more := {x for e in edges if want & set(e) for x in e} - want:
         want |= more
-    assert {x.node for x in registry.QUERIES["whole_component_of_focus"](spark, at).collect()} == want
+    assert {x.node for x in registry.QUERIES["component_of_focus"](spark, at).collect()} == want
 
 
 def test_contexts_of_all_pairs(spark, lines):
     at, edges = lines
-    got = sorted(tuple(x) for x in registry.QUERIES["whole_two_hop_contexts"](spark, at).collect())
+    got = sorted(tuple(x) for x in registry.QUERIES["shared_parts"](spark, at).collect())
     want = []
     for a, b in sorted({(x, y) for x, _ in edges for y, _ in edges if x < y}):
         both = sorted({p for s, p in edges if s == a} & {p for s, p in edges if s == b})[:5]
@@ -41,7 +41,7 @@ def test_paths_run_over_all_lines(spark, lines, monkeypatch):
     at, edges = lines
     both = [(a, b, f"{a}-{b}") for a, b in edges] + [(b, a, f"{a}-{b}") for a, b in edges]
     want = {k: (v[0], ">".join(v[1])) for k, v in brute_paths(both, 4).items() if k[0] in P.SOURCES}
-    got = {(x.src, x.dst): (x.length, x.ids) for x in registry.QUERIES["whole_paths_2_to_4"](spark, at).collect()}
+    got = {(x.src, x.dst): (x.length, x.ids) for x in registry.QUERIES["paths_2_to_4"](spark, at).collect()}
     assert got == want and want
     # the invariants see the same paths
     monkeypatch.setattr(G, "path_faults", lambda paths: paths.select("src", "dst"))
@@ -52,5 +52,5 @@ def test_neighbours_over_any_flag_and_quantity(spark, tmp_path):
     rows = [(1, 1, "N", 3), (2, 1, "A", 50), (1, 2, "R", 46), (3, 2, "R", 2), (4, 3, "R", 50)]
     lines = spark.createDataFrame([(i, 1, s, p, f, "O", float(q)) for i, (s, p, f, q) in enumerate(rows)], "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_returnflag string, l_linestatus string, l_quantity double")
     lines.write.parquet(f"{tmp_path}/lineitem.parquet")
-    got = {tuple(x) for x in registry.QUERIES["whole_two_hop_neighbourhood"](spark, str(tmp_path)).collect()}
+    got = {tuple(x) for x in registry.QUERIES["two_hop_neighbourhood"](spark, str(tmp_path)).collect()}
     assert got == {("s1", "p1"), ("s2", "p1"), ("s1", "p2"), ("s3", "p2")}

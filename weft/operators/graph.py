@@ -59,7 +59,13 @@ def canonical_paths(edges: DataFrame, depth: int = 4, pairs: DataFrame | None =
     level = kept(level.filter("src <> dst"))
     found = [level]
     nxt = one.select(F.col("src").alias("mid"), F.col("dst").alias("to"), F.col("step").alias("s"), F.col("way").alias("w"))
+    wanted = pairs.select("src", "dst").distinct() if pairs is not None else None
     for d in range(2, depth + 1):
+        if wanted is not None:  # sources whose pairs are all found go no further
+            wanted = kept(wanted.join(level.select("src", "dst"), ["src", "dst"], "left_anti"))
+            level = level.join(wanted.select("src").distinct(), "src", "left_semi")
+            if d == depth:
+                nxt = nxt.join(wanted.select(F.col("dst").alias("to")).distinct(), "to", "left_semi")
         grown = level.join(nxt, F.col("dst") == F.col("mid")).filter("to <> src AND NOT array_contains(ids, to)")
         grown = grown.select("src", F.col("to").alias("dst"), F.array_append("ids", F.col("to")).alias("ids"), F.array_append("steps", F.col("s")).alias("steps"), (F.col("delta") + F.col("w")).alias("delta"))
         least = grown.groupBy("src", "dst").agg(F.min(F.struct("ids", "steps", "delta")).alias("p"))

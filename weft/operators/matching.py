@@ -19,9 +19,11 @@ def phrase_hits(texts: DataFrame, names: DataFrame, words: str, name: str, most_
     """Every occurrence of a name of up to ``most_words`` words: rows of texts with ``pos`` and of names.
 
     Names meet runs of as many words by an equi join; Spark broadcasts the names where they are small.
+    Lengths that no name has are left out.
     """
     out = None
-    for n in range(1, most_words + 1):
+    lengths = names.select(F.size(F.split(name, " ")).alias("n")).filter(F.col("n") <= most_words).distinct().collect()
+    for n in sorted(r.n for r in lengths) or [1]:
         own = names.filter(F.size(F.split(name, " ")) == n)
         g = word_grams(texts, words, n).drop(words)
         hit = g.join(own, F.col("gram") == F.col(name)).drop("gram")

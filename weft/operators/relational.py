@@ -103,15 +103,16 @@ def rank_margin(df: DataFrame, key: str, score: str) -> DataFrame:
     ``margin_or_zero`` is 0 where there is only one score, ``margin_or_score`` then the score
     itself; both are 0 beyond rank 1.
     """
-    w = Window.partitionBy(key)
-    ranked = df.withColumn("rank", F.dense_rank().over(w.orderBy(F.desc(score))))
-    second = F.max(F.when(F.col("rank") == 2, F.col(score))).over(w)
+    one = df.select(key, score).distinct()  # ranks are of different scores
+    places = one.withColumn("rank", F.dense_rank().over(Window.partitionBy(key).orderBy(F.desc(score))))
+    second = one.groupBy(key).agg(F.max(score).alias("_top")).join(one, key).filter(F.col(score) < F.col("_top")).groupBy(key).agg(F.max(score).alias("_second"))
+    ranked = null_safe_join(null_safe_join(df, places, [key, score], "left"), second, [key], "left")
     first = F.col("rank") == 1
     zero = F.lit(0).cast(df.schema[score].dataType)
     return ranked.withColumns({
-        "margin_or_zero": F.when(first, F.coalesce(F.col(score) - second, zero)).otherwise(zero),
-        "margin_or_score": F.when(first, F.col(score) - F.coalesce(second, zero)).otherwise(zero),
-    })
+        "margin_or_zero": F.when(first, F.coalesce(F.col(score) - F.col("_second"), zero)).otherwise(zero),
+        "margin_or_score": F.when(first, F.col(score) - F.coalesce("_second", zero)).otherwise(zero),
+    }).drop("_second")
 
 
 def nth(df: DataFrame, keys: list[str], value: str, order: str, n: int = 1) -> DataFrame:

@@ -37,30 +37,18 @@ H = """h AS (SELECT 'R' || n_regionkey AS parent, 'N' || lpad(n_nationkey::VARCH
 UNION ALL SELECT 'N' || lpad(s_nationkey::VARCHAR, 3, '0'), 'S' || lpad(s_suppkey::VARCHAR, 6, '0'), 'asrt-S' || lpad(s_suppkey::VARCHAR, 6, '0') FROM supplier)"""
 
 
-def _supplies(spark, sf_dir, where: str = "true"):
-    l = t(spark, sf_dir, "lineitem").filter(where).select("l_suppkey", "l_partkey").distinct()
+def supply_edges(spark, sf_dir):
+    """(src, dst, edge_id, way): suppliers and their parts of all lines, both ways."""
+    l = t(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
     a, b = F.concat(F.lit("s"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0")), F.concat(F.lit("p"), F.lpad(F.col("l_partkey").cast("string"), 7, "0"))
     e = l.select(a.alias("a"), b.alias("b")).withColumn("edge_id", F.concat("a", F.lit("-"), "b"))
     return G.both_ways(e, "a", "b", "edge_id")
 
 
-def g_edges(spark, sf_dir):
-    """(src, dst, edge_id, way): suppliers and their parts of every 397th key, both ways; the slice that GE fixes. All lines: whole_edges."""
-    return _supplies(spark, sf_dir, "l_partkey % 397 = 0")
-
-
-def whole_edges(spark, sf_dir):
-    """(src, dst, edge_id, way): suppliers and their parts of all lines, both ways."""
-    return _supplies(spark, sf_dir)
-
-
-GE = """e0 AS (SELECT DISTINCT 's' || lpad(l_suppkey::VARCHAR, 7, '0') AS a, 'p' || lpad(l_partkey::VARCHAR, 7, '0') AS b FROM lineitem WHERE l_partkey % 397 = 0),
+GE = """e0 AS (SELECT DISTINCT 's' || lpad(l_suppkey::VARCHAR, 7, '0') AS a, 'p' || lpad(l_partkey::VARCHAR, 7, '0') AS b FROM lineitem),
 g AS (SELECT a AS src, b AS dst, a || '-' || b AS edge_id FROM e0 UNION ALL SELECT b, a, a || '-' || b FROM e0)"""
 
-WHOLE = """e0 AS (SELECT DISTINCT 's' || lpad(l_suppkey::VARCHAR, 7, '0') AS a, 'p' || lpad(l_partkey::VARCHAR, 7, '0') AS b FROM lineitem),
-g AS (SELECT a AS src, b AS dst, a || '-' || b AS edge_id FROM e0 UNION ALL SELECT b, a, a || '-' || b FROM e0)"""
-
-#: Sources from which paths over all lines are asked for; pairs of all nodes grow with the square of the graph.
+#: Sources from which paths are asked for; pairs of all nodes grow with the square of the graph.
 SOURCES = ("p0000001", "s0000001")
 
 SIB = "sib AS (SELECT x.child AS a, y.child AS b, x.edge_id AS ea, y.edge_id AS eb FROM h x JOIN h y ON x.parent = y.parent AND x.child < y.child)"
@@ -123,19 +111,19 @@ def structural_recheck(spark, sf_dir):
     return I.structure_faults(s, h)
 
 
-@query(f"""WITH {GE}, p AS (SELECT DISTINCT x.src AS a, y.dst AS b, x.dst AS mid FROM g x JOIN g y ON x.dst = y.src WHERE x.src < y.dst AND starts_with(x.src, 's') AND starts_with(y.dst, 's'))
+@query(f"""WITH {GE}, p AS (SELECT x.a, y.a AS b, x.b AS mid FROM e0 x JOIN e0 y ON x.b = y.b WHERE x.a < y.a)
 SELECT a, b, mid, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY mid) AS place FROM p) WHERE place <= 5""")
-def two_hop_contexts(spark, sf_dir):
-    g = g_edges(spark, sf_dir)
-    one = g.filter("src LIKE 's%'")
-    pairs = one.select(F.col("src").alias("a"), "dst").join(one.select(F.col("src").alias("b"), "dst"), "dst").filter("a < b").select("a", "b")
-    return G.two_hop_contexts(g, pairs)
+def shared_parts(spark, sf_dir):
+    return G.shared_targets(supply_edges(spark, sf_dir).filter("src LIKE 's%'"))
 
 
-@query(f"""WITH {WHOLE}, p AS (SELECT x.a, y.a AS b, x.b AS mid FROM e0 x JOIN e0 y ON x.b = y.b WHERE x.a < y.a)
+@query(f"""WITH {GE}, w AS (SELECT 's' || lpad(s_suppkey::VARCHAR, 7, '0') AS a, 's' || lpad((s_suppkey + 1)::VARCHAR, 7, '0') AS b FROM supplier), p AS (SELECT w.a, w.b, x.b AS mid FROM w JOIN e0 x ON x.a = w.a JOIN e0 y ON y.a = w.b AND y.b = x.b)
 SELECT a, b, mid, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY mid) AS place FROM p) WHERE place <= 5""")
-def whole_two_hop_contexts(spark, sf_dir):
-    return G.shared_targets(whole_edges(spark, sf_dir).filter("src LIKE 's%'"))
+def two_hop_contexts(spark, sf_dir):
+    """Contexts of the stated pairs, suppliers of neighbouring keys, over all lines."""
+    name = lambda c: F.concat(F.lit("s"), F.lpad(c.cast("string"), 7, "0"))
+    pairs = t(spark, sf_dir, "supplier").select(name(F.col("s_suppkey")).alias("a"), name(F.col("s_suppkey") + 1).alias("b"))
+    return G.two_hop_contexts(supply_edges(spark, sf_dir), pairs)
 
 
 def _levels(depth: int) -> str:
@@ -147,32 +135,24 @@ l{d} AS (SELECT src, dst, ids, steps FROM (SELECT *, row_number() OVER (PARTITIO
     return out
 
 
-@query(f"""WITH {GE}, {_levels(4)}, a AS (SELECT *, 2 AS length FROM l2 UNION ALL SELECT *, 3 FROM l3 UNION ALL SELECT *, 4 FROM l4)
-SELECT src, dst, array_to_string(ids, '>') AS ids, length, 'mh-' || substr(sha256('connection||' || src || '|' || dst || '|' || array_to_string(steps, ',')), 1, 16) AS id FROM a""")
-def paths_2_to_4(spark, sf_dir):
-    p = G.canonical_paths(g_edges(spark, sf_dir)).filter("length > 1")
-    return p.select("src", "dst", F.array_join("ids", ">").alias("ids"), "length", G.path_id("connection").alias("id"))
-
-
 def paths_from(edges, sources=SOURCES):
-    """Canonical paths of 2 to 4 steps from ``sources`` to every node."""
+    """Canonical paths of 2 to 4 steps from ``sources`` to every node, over all lines."""
     nodes = edges.select(F.col("src").alias("dst")).distinct()
     pairs = nodes.select(F.explode(F.array(*[F.lit(x) for x in sources])).alias("src"), "dst")
     return G.canonical_paths(edges, pairs=pairs).filter("length > 1")
 
 
-@query(f"""WITH {WHOLE}, {_levels(4).replace("FROM g)", f"FROM g WHERE src IN {SOURCES})", 1)}, a AS (SELECT *, 2 AS length FROM l2 UNION ALL SELECT *, 3 FROM l3 UNION ALL SELECT *, 4 FROM l4)
+@query(f"""WITH {GE}, {_levels(4).replace("FROM g)", f"FROM g WHERE src IN {SOURCES})", 1)}, a AS (SELECT *, 2 AS length FROM l2 UNION ALL SELECT *, 3 FROM l3 UNION ALL SELECT *, 4 FROM l4)
 SELECT src, dst, array_to_string(ids, '>') AS ids, length, 'mh-' || substr(sha256('connection||' || src || '|' || dst || '|' || array_to_string(steps, ',')), 1, 16) AS id FROM a""")
-def whole_paths_2_to_4(spark, sf_dir):
-    p = paths_from(whole_edges(spark, sf_dir))
+def paths_2_to_4(spark, sf_dir):
+    p = paths_from(supply_edges(spark, sf_dir))
     return p.select("src", "dst", F.array_join("ids", ">").alias("ids"), "length", G.path_id("connection").alias("id"))
 
 
 @query("SELECT ''::VARCHAR AS src, ''::VARCHAR AS dst, ''::VARCHAR AS fault WHERE false")
 def path_invariants(spark, sf_dir):
-    """Faults of all pairs' paths on the slice and of the paths from SOURCES over all lines."""
-    paths = G.canonical_paths(g_edges(spark, sf_dir)).filter("length > 1").unionByName(paths_from(whole_edges(spark, sf_dir)))
-    return G.path_faults(paths)
+    """Faults of the paths from SOURCES over all lines: none. ``planted_path_faults`` has paths with faults."""
+    return G.path_faults(paths_from(supply_edges(spark, sf_dir)))
 
 
 HG = "g AS (SELECT parent AS src, child AS dst, edge_id FROM h UNION ALL SELECT child, parent, edge_id FROM h)"
@@ -195,13 +175,7 @@ def generation_delta(spark, sf_dir):
 
 @query(f"""WITH RECURSIVE {GE}, f AS (SELECT min(src) AS node FROM g), r AS (SELECT node FROM f UNION SELECT dst FROM r JOIN g ON node = src) SELECT node FROM r""")
 def component_of_focus(spark, sf_dir):
-    g = g_edges(spark, sf_dir)
-    return G.component(g, g.agg(F.min("src")).first()[0] or "").select("node").join(g.select(F.col("src").alias("node")).distinct(), "node", "left_semi")
-
-
-@query(f"""WITH RECURSIVE {WHOLE}, f AS (SELECT min(src) AS node FROM g), r AS (SELECT node FROM f UNION SELECT dst FROM r JOIN g ON node = src) SELECT node FROM r""")
-def whole_component_of_focus(spark, sf_dir):
-    g = kept(whole_edges(spark, sf_dir))
+    g = kept(supply_edges(spark, sf_dir))
     return G.component(g, g.agg(F.min("src")).first()[0] or "").select("node").join(g.select(F.col("src").alias("node")).distinct(), "node", "left_semi")
 
 
@@ -225,16 +199,9 @@ def ego_fold_topk(spark, sf_dir):
     return G.ego(G.fold_parallel(_trades(spark, sf_dir), F.col("pri")), "s1", 24).select("src", "dst", "edge_id", "priority")
 
 
-@query(f"""WITH e AS (SELECT 's' || l_suppkey AS src, 'p' || l_partkey AS dst FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45),
-n AS (SELECT dst AS n FROM e WHERE src = 's1' UNION SELECT src FROM e WHERE dst = 's1') SELECT DISTINCT src, dst FROM e WHERE src IN (SELECT n FROM n) OR dst IN (SELECT n FROM n)""")
-def two_hop_neighbourhood(spark, sf_dir):
-    e = _trades(spark, sf_dir).filter("type = 'R' AND quantity > 45")
-    return G.neighbourhood(e, "s1").select("src", "dst").distinct()
-
-
 @query("""WITH e AS (SELECT 's' || l_suppkey AS src, 'p' || l_partkey AS dst FROM lineitem),
 n AS (SELECT dst AS n FROM e WHERE src = 's1' UNION SELECT src FROM e WHERE dst = 's1') SELECT DISTINCT src, dst FROM e WHERE src IN (SELECT n FROM n) OR dst IN (SELECT n FROM n)""")
-def whole_two_hop_neighbourhood(spark, sf_dir):
+def two_hop_neighbourhood(spark, sf_dir):
     return G.neighbourhood(_trades(spark, sf_dir).select("src", "dst").distinct(), "s1")
 
 
