@@ -144,3 +144,50 @@ def test_long_texts_are_fitted_on_all_features(spark, monkeypatch):
     O.fit(docs, labels, F.col("quality"), 2)
     want = sorted(O.features(text)[0])
     assert len(want) > 4000 and seen and all(list(s) == want for s, _ in seen)
+
+
+def plain_loss(model, rows, grades, n, penalty=1e-4):
+    """The penalised mean loss of the cumulative-link model, row by row, from its definition."""
+    import math
+
+    total = 0.0
+    for (slots, values), y in zip(rows, grades, strict=True):
+        z = sum(model.weights[s] * v for s, v in zip(slots, values, strict=True))
+        tail = [1.0, *[1 / (1 + math.exp(t - z)) for t in model.thresholds], 0.0]
+        total -= math.log(tail[y] - tail[y + 1])
+    return total / len(rows) + penalty / 2 * float((model.weights**2).sum())
+
+
+def test_fit_is_the_least_loss():
+    """No step in any weight or threshold lowers the loss of the fitted model, computed from its definition."""
+    r = random.Random(8)
+    rows, grades = [], []
+    for _ in range(60):
+        v = [r.random() for _ in range(4)]
+        rows.append(([3, 17, 40, 99], v))
+        grades.append(min(2, max(0, int(3 * (0.7 * v[0] - 0.4 * v[1] + 0.3 + 0.3 * r.random())))))
+    assert set(grades) == {0, 1, 2}
+    m = O.OrdinalModel.fit(rows, grades, 3, rounds=3000, rate=0.02)
+    best = plain_loss(m, rows, grades, 3)
+    assert best < plain_loss(O.OrdinalModel.fit(rows, grades, 3, rounds=1), rows, grades, 3)
+    for step in (0.05, -0.05):
+        for s in rows[0][0]:
+            w = m.weights.copy()
+            w[s] += step
+            assert plain_loss(O.OrdinalModel(w, m.thresholds), rows, grades, 3) > best - 1e-5
+        for k in (0, 1):
+            t = list(m.thresholds)
+            t[k] += step
+            assert t[0] < t[1] and plain_loss(O.OrdinalModel(m.weights, t), rows, grades, 3) > best - 1e-5
+    assert np.count_nonzero(m.weights) == 4
+
+
+def test_quality_query_has_the_contracts_columns(spark, sf_dir):
+    import zlib
+
+    rows = O.op2_ordinal(spark, sf_dir).collect()
+    docs = [r.doc_id for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect()]
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 1 >= r.p_good >= r.p_best >= 0
+        assert abs(r.expected_grade - r.p_good - r.p_best) < 1e-9 and r.kept == (r.p_good >= O.KEEP)

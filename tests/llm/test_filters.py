@@ -102,3 +102,32 @@ def test_trust_reaches_the_end_of_a_long_chain(spark):
     seeds = spark.createDataFrame([("h0", 1.0, 0.0)], "host string, trusted double, blocked double")
     got = {g.host: g.trust for g in U.propagate(seeds, edges).collect()}
     assert all(np.isclose(got[f"h{i}"], 0.15 * 0.85**i) for i in range(n + 1))
+
+
+def test_links_between_hosts(spark):
+    pages = spark.createDataFrame(
+        [
+            ("http://A.x.com/1", '<a href="/in"> <a href="#top"> <a href="mailto:x@y.z"> <A class=q HREF=\'//B.x.com/q\'> <a href=https://c.net/z?u=//d.net>'),
+            ("http://a.x.com/2", '<base href="http://m.x.com/d/"><a href="rel"> <a href="/abs"> <a href="http://a.x.com/own"> <a href="">'),
+            ("http://c.net/", None), (None, '<a href="http://a.x.com">'),
+        ],
+        "url string, html string",
+    )
+    got = {(r.src, r.dst): r.n for r in U.host_edges(pages).collect()}
+    assert got == {("a.x.com", "b.x.com"): 1, ("a.x.com", "c.net"): 1, ("a.x.com", "m.x.com"): 2}
+
+
+def test_verdict_comes_through_links(spark):
+    """Hosts that no rule names are blocked by what they link to, allowed by who links to them."""
+    rules = (U.Rule("allow", "good.org", "/"), U.Rule("block", "bad.org", "/"))
+    rows = [("http://good.org/", '<a href="http://friend.net/">'), ("http://bad.org/", None), ("http://fan.net/", '<a href="http://bad.org/">' * 3), ("http://friend.net/", None), ("http://alone.net/", "")]
+    out = U.judge(spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id int, url string, html string"), rules)
+    assert {r.host: r.verdict for r in out.collect()} == {"good.org": "allow", "bad.org": "block", "fan.net": "block", "friend.net": "allow", "alone.net": "allow"}
+
+
+def test_pieces_of_items_hold_one_at_a_time(spark):
+    """Items in many pieces give the same spans as in one."""
+    its = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + k) % 60}" for k in range(5 + i))) for i in range(25)], "item_id int, text string")
+    df = spark.createDataFrame([(i, " ".join(f"w{(i * 3 + k) % 60}" for k in range(80))) for i in range(12)], "doc_id int, text string")
+    spans = lambda limit: {r.doc_id: [(s["start"], s["stop"], tuple(s["items"])) for s in r.spans] for r in D.match_items(df, its, max_item_bytes=limit).collect()}
+    assert spans(600) == spans(D.MAX_ITEM_BYTES)

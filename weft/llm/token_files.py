@@ -63,6 +63,7 @@ class Encoder:
     """
 
     odd = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\|").search
+    odd_bytes = b"\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
     #: Beyond these, lower-casing and composition by the library and by Python may differ.
     beyond_latin = re.compile(r"[^\x00-\u024f]|\u0130").search
     letters = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+").fullmatch
@@ -77,8 +78,7 @@ class Encoder:
         self.tok.no_padding()
         #: Bytes of an id.
         self.width = 2 if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memo = Pieces(self, {})
         #: The characters that stand for bytes in the vocabulary.
         self.char_of = {b: c for c, b in byte_chars().items()}
         tries = ["the", "straße", "éaux", "zzzqx", "internationalisation", "ÿß".lower()]
@@ -94,37 +94,47 @@ class Encoder:
         kind = "H" if self.width == 2 else "I"
         return [array(kind, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def pieces(self, text: str) -> list[str] | None:
+        """The text's pieces between white space, in lower case; None if it must be encoded as it is."""
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            if self.odd(text):
+                return None
+            return (text if self.beyond_latin(text) else text.lower()).split()
+        # the same test as ``odd``, on one byte a character
+        if len(raw.translate(None, self.odd_bytes)) < len(raw) or "<|" in text:
+            return None
+        return text.lower().split()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = []
+        get, out = self.memo.__getitem__, []
         for t in texts:
-            t = t or ""
-            if self.odd(t):
-                split.append(t)
-            else:
-                split.append((t.lower() if t.isascii() or not self.beyond_latin(t) else t).split())
+            s = self.pieces(t or "")
+            out.append(self._ids([t])[0] if s is None else b"".join(map(get, s)))
         if len(self.memo) > MEMO:
-            self.memo, self.older = {}, self.memo
-        memo, older = self.memo, self.older
-        new = set().union(*[s for s in split if s.__class__ is list]) - memo.keys()
-        parts, ask = {}, set()
-        for p in new:
-            if (known := older.get(p)) is not None:
-                memo[p] = known
-            elif m := self.word_and_marks(p):
-                parts[p] = m.groups()
-                ask.update(x for x in m.groups() if x not in memo)
+            self.memo = Pieces(self, self.memo)
+        return out
+
+
+class Pieces(dict):
+    """Ids of pieces, found when they are first asked for; what ``older`` knows is not found anew."""
+
+    def __init__(self, encoder: Encoder, older: dict[str, bytes]):
+        self.encoder, self.older = encoder, dict(older)  # without its own older ones
+
+    def __missing__(self, piece: str) -> bytes:
+        out = self.older.get(piece)
+        if out is None:
+            e = self.encoder
+            if e.plain and e.letters(piece):
+                out = e._word(piece)
+            elif m := e.word_and_marks(piece):
+                out = self[m[1]] + self[m[2]]
             else:
-                ask.add(p)
-        if self.plain:
-            for p in [p for p in ask if self.letters(p)]:
-                ask.discard(p)
-                memo[p] = self._word(p)
-        asked = list(ask)
-        memo.update(zip(asked, self._ids(asked), strict=True))
-        for p, (a, b) in parts.items():
-            memo[p] = memo[a] + memo[b]
-        get = memo.__getitem__
-        return [b"".join(map(get, s)) if s.__class__ is list else self._ids([s])[0] for s in split]
+                out = e._ids([piece])[0]
+        self[piece] = out
+        return out
 
 
 @lru_cache(maxsize=1)
