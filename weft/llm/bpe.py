@@ -6,7 +6,7 @@ links of a suffix automaton of the vocabulary; the longest one that the merges
 would leave beside the last token of the shorter prefix is it. Following the
 stored last tokens back gives exactly the ids that merging by rank gives.
 
-Memory is bounded by the vocabulary, two memos of ``memo`` pieces each, one of ``PAIRS`` pairs and
+Memory is bounded by the vocabulary, two memos of ``memo`` pieces each, one of ``PAIRS`` pairs, one of ``HEADS`` beginnings and
 a batch of texts; it goes when another operator works in the worker. There is no shuffle: each text is encoded where it is read, so lost
 executors cost their own splits only.
 
@@ -32,6 +32,8 @@ from .suffix import SuffixAutomaton
 MEMO = 400_000
 #: Pairs of tokens of which a worker remembers whether they stay apart.
 PAIRS = 400_000
+#: Bytes of a piece's beginning whose prefixes are remembered, and of how many beginnings.
+HEAD, HEADS = 7, 150_000
 #: Unicode's white space, as in the library's patterns (\x1C-\x1F are none).
 WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -172,19 +174,30 @@ class Bpe:
         self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: Last tokens of all prefixes of a piece's first ``HEAD`` bytes, with the automaton's state after them.
+        self.heads: dict[bytes, tuple[list[int], int, int]] = {}
 
     def encode_piece(self, data: bytes) -> list[int]:
         """Ids of a piece by the unique last token of each of its prefixes."""
         vocab, auto = self.vocab, self.auto
-        step, link, size, ending, known = auto.step, auto.link, auto.size, auto.ending, vocab.known.get
-        last, state, length = [0] * (len(data) + 1), 0, 0
-        for i, c in enumerate(data, 1):
-            while (to := step.get(state << 8 | c)) is None and state:
+        step, link, size, ending, ended, known = auto.step.get, auto.link, auto.size, auto.ending, auto._ending.get, vocab.known.get
+        n_data = len(data)
+        # a prefix's last tokens do not depend on what follows: long pieces go on from what their beginnings share
+        head = data[:HEAD] if n_data > HEAD else None
+        if head and (told := self.heads.get(head)):
+            last, state, length = told
+            last = last + [0] * (n_data - HEAD)
+            begin, head = HEAD, None
+        else:
+            last, state, length, begin = [0] * (n_data + 1), 0, 0, 0
+        for i in range(begin + 1, n_data + 1):
+            c = data[i - 1]
+            while (to := step(state << 8 | c)) is None and state:
                 state = link[state]
                 length = size[state]
             state, length = (to, length + 1) if to is not None else (0, 0)
             last[i] = -1
-            for t, n in ending(state):
+            for t, n in ended(state) or ending(state):
                 if n > length:
                     continue
                 if n < i:
@@ -198,7 +211,11 @@ class Bpe:
                         continue
                 last[i] = t
                 break
-        out, i = [], len(data)
+            if head and i == HEAD:
+                if len(self.heads) >= HEADS:
+                    self.heads.clear()
+                self.heads[head] = last[: HEAD + 1], state, length
+        out, i = [], n_data
         while i:
             if last[i] < 0:
                 raise ValueError("the vocabulary lacks single bytes")
