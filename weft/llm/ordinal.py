@@ -10,7 +10,8 @@ likelihood of at most ``MAX_ROWS`` labelled rows. The sample's sparse features g
 
 Defined results: null and empty texts have the one feature of their length.
 Repeated rows give repeated results. With no labelled rows every grade is equally
-likely and all is kept. Documents are scored where they are read.
+likely and all is kept. Documents are scored where they are read. Input columns named
+``tails`` or ``expected_grade`` are replaced.
 """
 
 from __future__ import annotations
