@@ -280,7 +280,7 @@ def test_marked_names_lemmas_and_code_lines(spark, tmp_path):
     parsed = S.code_lines(S.read_lines(spark, str(f)), names)
     assert sorted((r.pos, list(r.codes), list(r.refs)) for r in parsed.collect()) == [(1, ["H0001", "G1234A"], ["MAT 1:1", "MAT 1:2"]), (4, ["H0001"], ["MAT 1:1"])]
     inv = S.code_inventory(parsed, S.file_inventory(spark, str(f))).first()
-    assert (inv.data_lines, inv.n_refs, list(inv.books), inv.lines) == (2, 1, ["MAT"], 5)
+    assert (inv.data_lines, inv.n_refs, list(inv.books), inv.lines) == (2, 2, ["MAT"], 5)
 
 
 def test_references_of_children(spark):
