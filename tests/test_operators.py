@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from weft import registry
 from weft.functions import text as X
 from weft.operators import graph as G
 from weft.operators import inference as I
@@ -323,3 +324,12 @@ def test_items_of_lists_are_trimmed_of_spaces_alone(spark):
     d = spark.createDataFrame([("Mat.1.10; 1Ki.1.21, Mat.2.20",)], "r string")
     assert list(d.select(X.references(F.col("r")).alias("x")).first().x) == ["Mat.1.10", "1Ki.1.21", "Mat.2.20"]
     assert [i.raw for i in d.select(X.relation_items(F.lit("A10, B21")).alias("x")).first().x] == ["A10", "B21"]
+
+
+@pytest.mark.parametrize("name", [q for q in sorted(registry.QUERIES) if q.endswith("_faults")])
+def test_fault_lists_are_the_same_however_read(spark, sf_dir, tmp_path, name):
+    """Collected, counted and written, in the order of their columns, a list of faults is one and the same."""
+    df = registry.QUERIES[name](spark, sf_dir)
+    n = df.count()
+    df.write.parquet(str(tmp_path / "out"))
+    assert n > 0 and len(df.collect()) == n == spark.read.parquet(str(tmp_path / "out")).count()

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.operators.validation import faults
 from weft.sources.tables import kept
 
 
@@ -129,7 +130,7 @@ def purpose_faults(paths: DataFrame, direct: DataFrame, edges: DataFrame, basic:
         "purpose": ~(link | told), "direct_pair": link & F.col("direct"), "explains": link & F.col("explains").isNotNull(), "explained": told & ~F.coalesce("able", F.lit(False)),
         "uses_explained": told & F.array_contains("edge_ids", F.col("explains")), "not_basic": told & ~F.coalesce("basic", F.lit(False)), "duplicate": F.col("twice"),
     }
-    return out.select("id", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]))).alias("fault"))
+    return faults(out, ["id"], rules)
 
 
 def path_faults(paths: DataFrame, depth: int = 4) -> DataFrame:
@@ -142,8 +143,7 @@ def path_faults(paths: DataFrame, depth: int = 4) -> DataFrame:
         "repeated_node": F.size(F.array_distinct("ids")) != F.size("ids"),
         "repeated_step": F.size(F.array_distinct("steps")) != F.size("steps"),
     }
-    fault = F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()])))
-    return paths.select("src", "dst", fault.alias("fault"))
+    return faults(paths, ["src", "dst"], rules)
 
 
 def two_hop_contexts(edges: DataFrame, pairs: DataFrame, most: int = 5) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weft.operators.validation import faults
+
 
 def siblings(parents: DataFrame, disputed: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """(a, b, n_premises, premises, status): pairs a < b of one parent's children, but for ``known`` siblings (a, b in any order).
@@ -139,18 +141,18 @@ def shape_faults(inferred: DataFrame, base: DataFrame) -> DataFrame:
     )
     out = inferred.join(told, "id", "left")
     path = F.col("path")
-    faults = {
+    rules = {
         "missing_premise": F.col("known") < F.col("n"), "inactive_premise": F.col("inactive") > 0, "duplicate_premise": F.col("distinct") < F.col("n"),
         "cyclic_path": F.size(F.array_distinct(path)) < F.size(path), "path_endpoint_mismatch": (F.get(path, 0) != F.col("a")) | (F.element_at(path, -1) != F.col("b")),
         "unaccepted_inference_premise": F.col("unaccepted") > 0, "too_many_inferred_premises": F.col("inferred") > 1, "unsupported_rule": ~F.col("rule").isin(list(SHAPES)),
     }
     for rule, (length, sibs, lines) in SHAPES.items():
         of = F.col("rule") == rule
-        faults[f"{rule}_premise_shape"] = of & ((F.size(path) != length) | (F.size("premises") != len(sibs) + len(lines)))
+        rules[f"{rule}_premise_shape"] = of & ((F.size(path) != length) | (F.size("premises") != len(sibs) + len(lines)))
         for kind, places in (("sibling", sibs), ("parent", lines)):
             for i, j in places:
-                faults[f"{rule}_{kind}_{i}{j}_mismatch"] = of & ~F.coalesce(_has_edge(kind, F.get(path, i), F.get(path, j)), F.lit(False))
-    return out.select("id", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+                rules[f"{rule}_{kind}_{i}{j}_mismatch"] = of & ~F.coalesce(_has_edge(kind, F.get(path, i), F.get(path, j)), F.lit(False))
+    return faults(out, ["id"], rules)
 
 
 def published(accepted: DataFrame, edges: DataFrame, evidence: DataFrame, prefix: str = "asrt-", width: int = 4) -> DataFrame:

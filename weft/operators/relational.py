@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.operators.validation import faults
+
 
 def classify(rules: Sequence[tuple[Column, str]], default: str | None = None) -> Column:
     """The label of the first rule that holds."""
@@ -80,7 +82,7 @@ def merge_group_faults(options: DataFrame, scopes: Sequence[str] = ("common_trad
         "too_few": F.col("n") < 2, "several_targets": F.col("targets") > 1, "no_target": (F.col("n") > 1) & F.col("target").isNull(),
         "target_not_member": (F.col("n") > 1) & (F.col("targets") == 1) & ~F.array_contains("members", F.col("target")), "scope": ~F.col("scoped"),
     }
-    return g.select("grp", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in rules.items()]))).alias("fault"))
+    return faults(g, ["grp"], rules)
 
 
 def merge_by_key(df: DataFrame, keys: list[str], least: dict[str, str], joined: dict[str, tuple[str, str]], united: dict[str, str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weft.operators.validation import faults
+
 
 def inherited_kinds(rows: DataFrame, record: str, order: str, kind: str, same: Column, alias: str, plain: str) -> DataFrame:
     """(record, order, kind): a row without a kind takes the one before it if ``same`` holds, or if both have one alias and that kind is not ``plain``.
@@ -68,12 +70,12 @@ def locator_faults(ledger: DataFrame, snapshot: DataFrame, key: str, fields: lis
     """
     s = snapshot.select(F.col(key).alias("_key"), *[F.col(f).alias(f"_{f}") for f in fields])
     out = ledger.join(s, F.col(key) == F.col("_key"), "left")
-    faults = {f"{f}_drift": F.col("_key").isNotNull() & ~F.col(f).eqNullSafe(F.col(f"_{f}")) for f in fields}
-    faults["not_in_snapshot"] = F.col("_key").isNull()
+    rules = {f"{f}_drift": F.col("_key").isNotNull() & ~F.col(f).eqNullSafe(F.col(f"_{f}")) for f in fields}
+    rules["not_in_snapshot"] = F.col("_key").isNull()
     if lines is not None:
         out = out.join(lines.select("source", "n_lines"), "source", "left")
-        faults["line"] = ~F.coalesce(F.col("line").between(1, F.col("n_lines")), F.lit(False))
-    return out.select(key, F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+        rules["line"] = ~F.coalesce(F.col("line").between(1, F.col("n_lines")), F.lit(False))
+    return faults(out, [key], rules)
 
 
 def ledger_faults(rows: DataFrame, key: str, fields: list[str], known: DataFrame) -> DataFrame:
@@ -85,14 +87,14 @@ def ledger_faults(rows: DataFrame, key: str, fields: list[str], known: DataFrame
     """
     twice = rows.groupBy(key).agg(F.count("*").alias("_n"))
     out = rows.join(twice, key, "left").join(known.select(key).distinct().withColumn("_known", F.lit(True)), key, "left")
-    faults = {"unknown": F.col("_known").isNull(), "duplicate": F.col("_n") > 1}
+    rules = {"unknown": F.col("_known").isNull(), "duplicate": F.col("_n") > 1}
     for r in ("round1", "round2", "final"):
         d = F.col(r)
         some, every = F.lit(False), F.lit(True)
         for f in fields:
             some, every = some | d[f].isNotNull(), every & d[f].isNotNull()
         pending = d["status"] == "pending"
-        faults |= {
+        rules |= {
             f"{r}_status": ~F.coalesce(d["status"].isin("pending", "accepted", "rejected"), F.lit(False)), f"{r}_pending_has_fields": pending & (some | d["reviewer"].isNotNull()),
             f"{r}_without_reviewer": ~pending & d["reviewer"].isNull(), f"{r}_accepted_without_fields": (d["status"] == "accepted") & ~every,
         }
@@ -101,11 +103,11 @@ def ledger_faults(rows: DataFrame, key: str, fields: list[str], known: DataFrame
     differs = F.lit(False)
     for f in fields:
         differs = differs | ~z[f].eqNullSafe(a[f]) | ~z[f].eqNullSafe(b[f])
-    faults |= {
+    rules |= {
         "audit_open": accepted & ~F.coalesce(F.col("audit")["status"] == "passed", F.lit(False)),
         "rounds_not_accepted": accepted & ~board & ((a["status"] != "accepted") | (b["status"] != "accepted")), "rounds_differ": accepted & ~board & differs,
     }
-    return out.select(key, F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+    return faults(out, [key], rules)
 
 
 def promoted_rows(accepted: DataFrame, names: DataFrame, mentions: DataFrame, held_names: DataFrame, held_mentions: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,16 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return child.filter(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
+def faults(df: DataFrame, keys: list[str], rules: dict[str, Column]) -> DataFrame:
+    """(keys, fault): the names of ``rules`` true of a row, one row each; an unknown rule is no fault.
+
+    The list has a select of its own: where it is made of struct fields and exploded in one select, Spark's pruning of
+    nested columns changes the plan's output, and rows are lost or cannot be written.
+    """
+    named = [F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]
+    return df.select(*keys, F.array_compact(F.array(*named)).alias("_faults")).select(*keys, F.explode("_faults").alias("fault"))
+
+
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys of more than one row, with their number ``n``; summed before the shuffle."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
@@ -83,14 +93,14 @@ def edge_faults(edges: DataFrame, nodes: DataFrame, sources: DataFrame | None =
     out = edges
     for end in ("src", "dst"):
         out = out.join(known.select(F.col("node").alias(end), F.lit(True).alias(f"_{end}")), end, "left")
-    faults = {
+    rules = {
         "unknown_src": F.col("_src").isNull(), "unknown_dst": F.col("_dst").isNull(), "self_loop": F.col("src").eqNullSafe(F.col("dst")),
         "empty_passage": F.coalesce(F.trim("passage"), F.lit("")) == "",
     }
     if sources is not None:
         out = out.join(sources.select("source").distinct().withColumn("_known", F.lit(True)), "source", "left")
-        faults["unknown_source"] = F.col("_known").isNull()
-    return out.select("edge_id", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+        rules["unknown_source"] = F.col("_known").isNull()
+    return faults(out, ["edge_id"], rules)
 
 
 def coverage(targets: DataFrame, rows: DataFrame, keys: list[str], kind: str) -> DataFrame:
