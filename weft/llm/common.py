@@ -79,6 +79,18 @@ def short_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names of columns that ``df`` does not have, in any spelling, made from ``names``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        c = f"__{name}"
+        while c.lower() in taken:
+            c += "_"
+        taken.add(c.lower())
+        out.append(c)
+    return out
+
+
 def columns(names: list[str]) -> list[Column]:
     """Columns by their names, whatever characters these have."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in names]
