@@ -35,9 +35,9 @@ MAX_PARTS = 4096
 PROBES = 4096
 #: A task's boundary may be off by this part of its bytes; shards' boundaries are exact.
 LOOSE = 0.1
-#: Bytes of a key: those of the text's hash, and of the row's.
-GROUP, ROW = 16, 8
-ONE_GROUP = 1 << 8 * ROW
+#: A key has so many hexadecimal digits of the text's hash, which make its group, and as many of the row's; either is a whole number of 60 bits.
+DIGITS, WIDTH = 15, 15  # bytes of both
+ONE_GROUP = 1 << 4 * DIGITS
 ROWS_IN_PART = 33  # bits of monotonically_increasing_id() below the partition
 
 
@@ -66,41 +66,52 @@ class Splitter:
 
 
 def place_key(text: str, doc_id: str) -> Column:
-    """The binary key by which rows are ordered: hash of the text, then of id and text."""
+    """The key by which rows are ordered, in hexadecimal: hash of the text, then of id and text."""
     t = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     row = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), t).cast("binary"))
-    return F.unhex(F.concat(t, F.substring(row, 1, 2 * ROW)))
+    return F.concat(F.substring(t, 1, DIGITS), F.substring(row, 1, DIGITS))
 
 
 def _bytes(key: int) -> bytes:
-    return key.to_bytes(GROUP + ROW, "big")
+    return key.to_bytes(WIDTH, "big")
 
 
-def _literal(keys: list[int]) -> Column:
-    """An array of keys as one constant: cut from one binary literal, so that its expression stays small."""
-    width = GROUP + ROW
-    packed = b"".join(map(_bytes, keys)).hex()
-    return F.expr(f"transform(sequence(0, {len(keys) - 1}), i -> substring(X'{packed}', i * {width} + 1, {width}))")
+def _keys(keys: list[int]):
+    """The k-th of some keys, from 1, cut out of one binary constant: an array would be made anew for each row, or by a call for each key."""
+    packed = F.lit(bytearray(b"".join(map(_bytes, keys))))
+    return lambda k: F.substr(packed, (k - 1) * WIDTH + 1, F.lit(WIDTH))
 
 
-def position(sorted_values: Column, n: int, value: Column, below: bool = False) -> Column:
-    """How many of the ``n`` sorted values are at most ``value`` (less than it, with ``below``), by binary search."""
+def _longs(values: list[int]):
+    """The k-th of some whole numbers, from 1."""
+    array = F.lit(values).cast("array<bigint>")
+    return lambda k: F.get(array, k - 1)
+
+
+def position(nth, n: int, value: Column, below: bool = False) -> Column:
+    """How many of ``n`` sorted values, of which ``nth`` gives the k-th, are at most ``value`` (less than it, with ``below``), by binary search."""
     if not n:
         return F.lit(0)
     steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    left = lambda k: nth(k) < value if below else nth(k) <= value
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= n) & left(at + step), at + step).otherwise(at))
 
-    def left(at: Column) -> Column:
-        x = F.get(sorted_values, at - 1)
-        return x < value if below else x <= value
 
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= n) & left(at + step), at + step).otherwise(at))
+def _span() -> list[Column]:
+    """Aggregates of a cell: weight, rows, and the bounds of both halves of its keys; all of them numbers, so that they are hashed and not sorted."""
+    return [F.sum("weight").alias("w"), F.count("*").alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for c in ("group", "row") for f in (F.min, F.max)]]
+
+
+def _bounds(r) -> tuple[int, int]:
+    """The least and greatest key that a cell may have: of one group, its very own."""
+    one = r.min_group == r.max_group
+    return r.min_group * ONE_GROUP + (r.min_row if one else 0), r.max_group * ONE_GROUP + (r.max_row if one else ONE_GROUP - 1)
 
 
 def histogram(keyed: DataFrame, probes: list[int]) -> dict[int, tuple[int, int, int, int]]:
-    """Of each cell between probes that has rows: its weight, rows, least and greatest key. Summed before the shuffle."""
-    cell = position(_literal(probes), len(probes), F.col("key"))
-    got = keyed.groupBy(cell.alias("cell")).agg(F.sum("weight").alias("w"), F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("z"))
-    return {r.cell: (int(r.w), r.n, int.from_bytes(r.a, "big"), int.from_bytes(r.z, "big")) for r in got.collect()}
+    """Of each cell between probes that has rows: its weight, rows, and bounds of its keys. Summed before the shuffle."""
+    cell = position(_keys(probes), len(probes), F.col("key"))
+    return {r.cell: (int(r.w), r.n, *_bounds(r)) for r in keyed.groupBy(cell.alias("cell")).agg(*_span()).collect()}
 
 
 def _probes(cell: Cell, n: int) -> list[int]:
@@ -130,13 +141,14 @@ def _cut(cell: Cell, target: int, of: int, slack: float | None) -> Splitter | No
 def splitters(keyed: DataFrame, shards: int, parts: int, tolerance: float) -> tuple[list[Splitter], list[Splitter]]:
     """The ``shards - 1`` splitters of shards, and splitters of some ``shards * parts`` tasks.
 
-    ``keyed`` has ``key`` and ``weight``; it is read once a round. The driver gets a row for each cell: ``PROBES`` and one for each splitter.
+    ``keyed`` has ``key``, its halves ``group`` and ``row`` as numbers, and ``weight``; it is read once a round. The driver gets a row for each cell: ``PROBES`` and one for each splitter.
     """
-    total = keyed.agg(F.sum("weight").alias("w"), F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("z")).first()
+    total = keyed.agg(*_span()).first()
     if not total.n:
         return [], []
     of = shards * parts
-    whole = Cell(int.from_bytes(total.a, "big"), int.from_bytes(total.z, "big") + 1, 0, 0, int(total.w), total.n)
+    least, most = _bounds(total)
+    whole = Cell(least, most + 1, 0, 0, int(total.w), total.n)
     open_, found = {i: (whole, True) for i in range(1, of)}, {}
     near = LOOSE * whole.weight / of
     while open_:
@@ -169,10 +181,10 @@ def splitters(keyed: DataFrame, shards: int, parts: int, tolerance: float) -> tu
 def task_of(cuts: list[Splitter], key: Column, salt: Column) -> Column:
     """The task of a row: the number of splitters left of it; rows alike that splitters run through are dealt out by ``salt``."""
     keys, lower = [s.key for s in cuts], [s.key - (not s.inside) for s in cuts]
-    high = position(_literal(keys), len(keys), key) if keys else F.lit(0)
+    high = position(_keys(keys), len(keys), key)
     if not any(s.inside for s in cuts):
         return high
-    low = position(_literal(lower), len(lower), key, below=True)
+    low = position(_keys(lower), len(lower), key, below=True)
     return (low + F.pmod(salt, high - low + 1)).cast("int")
 
 
@@ -185,14 +197,16 @@ def sharded(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: s
     if law not in ("bytes", "rows"):
         raise ValueError(f"no law {law!r}")
     size = (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long")
-    keyed = written(docs.select(place_key(text, doc_id).alias("key"), size.alias("size")))
+    number = lambda at: F.conv(F.substring("hex", at, DIGITS), 16, 10).cast("long")
+    hexed = docs.select(place_key(text, doc_id).alias("hex"), size.alias("size"))
+    keyed = written(hexed.select(F.unhex("hex").alias("key"), number(1).alias("group"), number(DIGITS + 1).alias("row"), "size"))
     weight = F.col("size") if law == "bytes" else F.lit(1).cast("long")
     parts = max(1, min(-(-(keyed.agg(F.sum("size")).first()[0] or 0) // (shards * part_bytes)), MAX_PARTS // shards))
     bounds, cuts = splitters(keyed.withColumn("weight", weight), shards, parts, tolerance if law == "bytes" else 0)
 
     plain = docs.drop("size", "shard", "slot")
     key, task, row = fresh(docs, "key", "task", "row")
-    dealt = plain.withColumn(key, place_key(text, doc_id)).withColumn(task, task_of(cuts, F.col(key), F.monotonically_increasing_id()))
+    dealt = plain.withColumn(key, F.unhex(place_key(text, doc_id))).withColumn(task, task_of(cuts, F.col(key), F.monotonically_increasing_id()))
     done = dealt.repartitionById(len(cuts) + 1, task).sortWithinPartitions(key).drop(key, task)
     done = written(done.withColumn(row, F.monotonically_increasing_id()))
 
@@ -200,11 +214,11 @@ def sharded(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: s
     counts = {r.part: r.n for r in done.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}  # a row a task
     before = list(accumulate((counts.get(k, 0) for k in range(max(counts, default=0) + 1)), initial=0))
     starts = [0, *[b.rank for b in bounds]]
-    first, n = F.lit(starts).cast("array<bigint>"), len(starts)
-    ranked = done.withColumn(row, F.get(F.lit(before).cast("array<bigint>"), part) + inner)
+    first = _longs(starts)
+    ranked = done.withColumn(row, _longs(before)(part + 1) + inner)
     # a shard without rows starts where the next one does: the last that starts at or before a row has it
-    out = ranked.withColumns({"size": size, "shard": (position(first, n, F.col(row)) - 1).cast("int")})
-    return out.withColumn("slot", F.col(row) - F.get(first, F.col("shard"))).select(*columns([*plain.columns, "size", "shard", "slot"]))
+    out = ranked.withColumns({"size": size, "shard": (position(first, len(starts), F.col(row)) - 1).cast("int")})
+    return out.withColumn("slot", F.col(row) - first(F.col("shard") + 1)).select(*columns([*plain.columns, "size", "shard", "slot"]))
 
 
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +234,7 @@ def oracle(shards: int = SHARDS, percent: int = round(100 * TOLERANCE)) -> str:
     return f"""
 WITH crcs AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
 d AS (SELECT doc_id, coalesce(text, '') AS t, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size FROM documents),
-k AS (SELECT *, md5(t) AS g, md5(t) || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(t)), 1, {2 * ROW}) AS key FROM d),
+k AS (SELECT *, substr(md5(t), 1, {DIGITS}) AS g, substr(md5(t), 1, {DIGITS}) || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(t)), 1, {DIGITS}) AS key FROM d),
 n AS (SELECT *, row_number() OVER (ORDER BY key) - 1 AS rank FROM k),
 r AS (SELECT *, {shards} * (sum(size) OVER (ORDER BY rank) - size) AS low, {shards} * sum(size) OVER (ORDER BY rank) AS high FROM n),
 g AS (SELECT min(low) AS low, max(high) AS high, min(rank) AS r0, max(rank) + 1 AS r1 FROM r GROUP BY g),
