@@ -30,6 +30,25 @@ def siblings(parents: DataFrame, disputed: DataFrame | None = None, known: DataF
     return out.withColumn("status", status.otherwise("accepted")).select("a", "b", F.size("premises").alias("n_premises"), "premises", "status")
 
 
+def sibling_families(parents: DataFrame, disputed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The siblings of ``siblings`` without their pairs, for parents of any number of children.
+
+    First (parent, child, edge_id, n, disputed), the families of two or more: any two children of one are siblings, accepted unless
+    either is disputed. Then (a, b, status), the pairs to which that does not apply: of one parent's children, one is the other's parent.
+    """
+    one = parents.groupBy("parent", "child").agg(F.min("edge_id").alias("edge_id"))
+    n = one.groupBy("parent").agg(F.count("*").alias("n")).filter("n > 1")
+    out = one.join(n, "parent")
+    if disputed is not None:
+        out = out.join(disputed.select(F.col("entity").alias("child")).distinct().withColumn("disputed", F.lit(True)), "child", "left")
+    else:
+        out = out.withColumn("disputed", F.lit(None).cast("boolean"))
+    line = parents.select(F.col("parent").alias("x"), F.col("child").alias("y")).distinct()
+    up, down = one.select("parent", F.col("child").alias("x")), one.select("parent", F.col("child").alias("y"))
+    clash = line.join(up, "x").join(down, ["parent", "y"]).filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return out.select("parent", "child", "edge_id", "n", F.coalesce("disputed", F.lit(False)).alias("disputed")), clash.withColumn("status", F.lit("generation_conflict"))
+
+
 def grandparents(parents: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(elder, younger, mid, premises): two steps down, not a direct parent, not known, one orientation only."""
     top = parents.select(F.col("parent").alias("elder"), F.col("child").alias("mid"), F.col("edge_id").alias("e1"))
