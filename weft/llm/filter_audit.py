@@ -16,7 +16,7 @@ from __future__ import annotations
 from itertools import combinations, permutations
 from math import factorial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, table
@@ -54,11 +54,13 @@ def masks(docs: DataFrame, labels: DataFrame, failures=text_filters, text: str =
     copy = 1 << len(failures(F.lit("")))
     known = labels.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"), F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic"))
     rows = named.groupBy("digest", "id", "part", "m").agg(F.count("*").alias("n"))
-    marked = rows.filter("id IS NOT NULL").join(known, "id", "left").unionByName(rows.filter("id IS NULL"), allowMissingColumns=True).fillna(0, ["good", "toxic"])
+    # rows without an id find no label; the salt spreads them
+    salt = F.when(F.col("id").isNull(), F.pmod(F.xxhash64("digest"), F.lit(1024))).otherwise(F.lit(0).cast("long"))
+    marked = rows.withColumn("salt", salt).join(known.withColumn("salt", F.lit(0).cast("long")), ["id", "salt"], "left").fillna(0, ["good", "toxic"])
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "n")))
     groups = marked.groupBy("digest", "part", "m", "good", "toxic").agg(F.sum("n").alias("n"), first.alias("first"), F.sum(F.when(F.col("id").isNull(), F.col("n")).otherwise(0)).alias("apart"))
-    least = groups.groupBy("digest").agg(F.min("first.id").alias("least"))
-    both = groups.join(least, "digest")
+    # a text has a row for each of its parts and labels here
+    both = groups.withColumn("least", F.min("first.id").over(Window.partitionBy("digest")))
     originals = F.col("apart") + F.when(F.col("first.id") == F.col("least"), F.col("first.n")).otherwise(0)
     cells = F.array(F.struct(F.col("m").alias("mask"), originals.alias("k")), F.struct((F.col("m") + copy).alias("mask"), (F.col("n") - originals).alias("k")))
     out = both.select("part", "good", "toxic", cells.alias("cells")).select("part", "good", "toxic", F.explode("cells").alias("c"))
