@@ -333,3 +333,66 @@ def test_fault_lists_are_the_same_however_read(spark, sf_dir, tmp_path, name):
     n = df.count()
     df.write.parquet(str(tmp_path / "out"))
     assert n > 0 and len(df.collect()) == n == spark.read.parquet(str(tmp_path / "out")).count()
+
+
+def _pairs_apart(edges, src, dst, depth):
+    """The canonical path of 2 to ``depth`` steps between two nodes without the edge between them, by trying all."""
+    rest = [x for x in edges if x[:2] != (src, dst)]
+    best = brute_paths([x for x in rest if x[1] != src], depth).get((src, dst))
+    return best[1] if best else None
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_explanations_meet_in_the_middle(spark, seed):
+    r = random.Random(seed)
+    undirected = {tuple(sorted(r.sample("abcdefghij", 2))) for _ in range(14 + 4 * seed)}
+    both = [(x, y, f"{x}{y}") for a, b in undirected for x, y in ((a, b), (b, a))]
+    nodes = sorted({x for e in undirected for x in e})
+    df = spark.createDataFrame([(*e, 1 if e[0] < e[1] else -1) for e in both], "src string, dst string, edge_id string, way int")
+    pairs = spark.createDataFrame([(a, b) for a in nodes for b in nodes], "src string, dst string")
+    got = {(p.src, p.dst): (list(p.ids), list(p.steps), p.length, p.delta) for p in G.explanation_paths(df, pairs).collect()}
+    for a in nodes:
+        for b in nodes:
+            want = _pairs_apart(both, a, b, 4) if a != b else None
+            assert (got[a, b][0] if want else got.get((a, b))) == (list(want) if want else None), (a, b)
+    for ids, steps, length, delta in got.values():
+        assert steps == [f"{x}{y}:{x}->{y}" for x, y in zip(ids, ids[1:])] and length == len(steps) and delta == sum(1 if x < y else -1 for x, y in zip(ids, ids[1:]))
+
+
+def test_a_chain_is_contracted_in_few_rounds(spark, monkeypatch):
+    n, rounds = 10_000, []
+    seen = G._signature
+    monkeypatch.setattr(G, "_signature", lambda e: rounds.append(1) or seen(e))
+    order = list(range(n))
+    random.Random(1).shuffle(order)
+    chain = [(f"{a:05}", f"{b:05}") for a, b in zip(order, order[1:])]
+    made = len(S._made)
+    df = spark.createDataFrame(chain, "src string, dst string").coalesce(2)
+    got = G.components(df).groupBy("root").count().collect()
+    assert [tuple(x) for x in got] == [("00000", n)] and len(rounds) < 30
+    assert len(S._made) - made <= 2  # the rounds' tables are gone
+
+
+def test_components_by_hand(spark):
+    e = [("b", "a"), ("c", "b"), ("x", "y"), ("y", "x"), ("z", "z"), ("c", None), ("q", "p"), ("q", "p")] + [("hub", f"s{i}") for i in range(50)]
+    got = {r.node: r.root for r in G.components(spark.createDataFrame(e, "src string, dst string")).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x", "z": "z", "p": "p", "q": "p", "hub": "hub", **{f"s{i}": "hub" for i in range(50)}}
+    assert G.components(spark.createDataFrame([], "src string, dst string")).count() == 0
+    near = G.connected_edges(spark.createDataFrame(e, "src string, dst string"), "b")
+    assert sorted(tuple(r) for r in near.collect()) == [("b", "a"), ("c", "b")]
+
+
+def test_all_paths_in_blocks_are_taken_up(spark, tmp_path):
+    r = random.Random(3)
+    both = [(x, y, f"{x}{y}") for a, b in {tuple(sorted(r.sample("abcdefghijk", 2))) for _ in range(18)} for x, y in ((a, b), (b, a))]
+    df = spark.createDataFrame([(*e, 1) for e in both], "src string, dst string, edge_id string, way int")
+    want = {k: list(v[1]) for k, v in brute_paths(both, 4).items()}
+    at = str(tmp_path / "paths")
+    got = {(p.src, p.dst): list(p.ids) for p in G.all_canonical_paths(df, at, block_rows=30).filter("length > 1").collect()}
+    assert got == want
+    blocks = sorted(p.name for p in (tmp_path / "paths").iterdir())
+    assert len(blocks) > 3
+    (tmp_path / "paths" / blocks[0] / "_SUCCESS").unlink()  # one block was not finished
+    before = {b: (tmp_path / "paths" / b / "_SUCCESS").stat().st_mtime_ns for b in blocks[1:]}
+    assert {(p.src, p.dst): list(p.ids) for p in G.all_canonical_paths(df, at, block_rows=1).filter("length > 1").collect()} == want
+    assert before == {b: (tmp_path / "paths" / b / "_SUCCESS").stat().st_mtime_ns for b in blocks[1:]}

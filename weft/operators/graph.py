@@ -43,19 +43,20 @@ def path_states(paths: DataFrame, edges: DataFrame, key: str = "id") -> DataFram
     return one.withColumn("all_inferred", F.col("inferred") == F.col("n"))
 
 
-def canonical_paths(edges: DataFrame, depth: int = 4, pairs: DataFrame | None = None) -> DataFrame:
+def canonical_paths(edges: DataFrame, depth: int = 4, pairs: DataFrame | None = None, sources: DataFrame | None = None) -> DataFrame:
     """(src, dst, ids, steps, delta, length): the canonical shortest path of every ordered pair within ``depth`` steps.
 
     Of equally short paths the least list of ids wins, then the least list of
     "edge:from->to". One path for each pair and level is carried on, as the
     least path's beginning is least too. ``edges`` is (src, dst, edge_id, way);
     ``delta`` sums the ways. With ``pairs`` (src, dst), only these are reported
-    and only their sources start.
+    and only their sources start; with ``sources`` (src), only these start.
     """
     step = F.concat(F.col("edge_id"), F.lit(":"), F.col("src"), F.lit("->"), F.col("dst"))
     one = edges.select("src", "dst", step.alias("step"), "way").groupBy("src", "dst").agg(F.min(F.struct("step", "way")).alias("s"))
     one = kept(one.select("src", "dst", "s.step", "s.way"))
-    start = one if pairs is None else one.join(pairs.select("src").distinct(), "src", "left_semi")
+    start = one if sources is None else one.join(sources.select("src").distinct(), "src", "left_semi")
+    start = start if pairs is None else start.join(pairs.select("src").distinct(), "src", "left_semi")
     level = start.select("src", "dst", F.array("src", "dst").alias("ids"), F.array("step").alias("steps"), F.col("way").alias("delta"), F.lit(1).alias("length"))
     level = kept(level.filter("src <> dst"))
     found = [level]
@@ -80,28 +81,86 @@ def canonical_paths(edges: DataFrame, depth: int = 4, pairs: DataFrame | None =
     return out if pairs is None else out.join(pairs.select("src", "dst").distinct(), ["src", "dst"], "left_semi")
 
 
+def all_canonical_paths(edges: DataFrame, folder: str, depth: int = 4, block_rows: int = 50_000_000) -> DataFrame:
+    """``canonical_paths`` from every node, a block of sources at a time, each written below ``folder``; blocks that are there already are not run again.
+
+    Sources are dealt into blocks by the paths of two steps that start from them, about ``block_rows`` a block, so a block's levels have a bounded
+    size however large the graph is. The blocks' number is written beside them: a run that is taken up deals them as before.
+    """
+    from weft.sources.tables import done, scratch_scope
+
+    spark = edges.sparkSession
+    e = kept(edges.select("src", "dst", "edge_id", "way"))
+    plan = f"{folder.rstrip('/')}/plan"
+    if not done(spark, plan):
+        degree = e.groupBy("src").agg(F.count("*").alias("n"))
+        wedges = e.select(F.col("src").alias("_s"), F.col("dst").alias("src")).join(degree, "src").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        wedges.select(F.greatest(F.ceil(F.col("n") / block_rows), F.lit(1)).cast("int").alias("blocks")).write.mode("overwrite").parquet(plan)
+    blocks = spark.read.parquet(plan).first().blocks
+    sources = e.select("src").distinct().withColumn("block", F.pmod(F.xxhash64("src"), F.lit(blocks)))
+    at = [f"{folder.rstrip('/')}/paths-{k}" for k in range(blocks)]
+    for k, path in enumerate(at):
+        if not done(spark, path):
+            with scratch_scope():  # a block's levels go when its paths are written
+                canonical_paths(e, depth, sources=sources.filter(F.col("block") == k).select("src")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(*at)
+
+
+def _least_three(half: DataFrame, end: str, via: str) -> DataFrame:
+    """Of the half-paths between an end and a node the three that go by the least nodes: of these, a pair's other nodes rule out two at most."""
+    w = Window.partitionBy(end, "at").orderBy(via)
+    return half.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 3").drop("_rn", via)
+
+
+def _met(pairs: DataFrame, ahead: DataFrame, back: DataFrame) -> DataFrame:
+    """Half-paths of a pair that meet at a node; each pair's are looked up from the end that has fewer."""
+    size = lambda half, end: half.groupBy(end).agg(F.count("*").alias(f"_{end}"))
+    sized = pairs.join(size(ahead, "src"), "src").join(size(back, "dst"), "dst")
+    from_src = sized.filter("_src <= _dst").join(ahead, "src").join(back, ["dst", "at"])
+    from_dst = sized.filter("_src > _dst").join(back, "dst").join(ahead, ["src", "at"])
+    ids = F.concat(F.array("src"), "by_a", F.array("at"), "by_b", F.array("dst"))
+    both = from_src.unionByName(from_dst).select("src", "dst", ids.alias("ids"), F.concat("steps_a", "steps_b").alias("steps"), (F.col("way_a") + F.col("way_b")).alias("delta"))
+    return both.filter(F.size(F.array_distinct("ids")) == F.size("ids")).groupBy("src", "dst").agg(F.min(F.struct("ids", "steps", "delta")).alias("p")).select("src", "dst", "p.*")
+
+
 def explanation_paths(edges: DataFrame, pairs: DataFrame, depth: int = 4) -> DataFrame:
-    """Paths of 2 to ``depth`` steps that explain given pairs; a direct edge of the same pair is not one of their steps.
+    """Paths of 2 to ``depth`` (4 at most) steps that explain given pairs; a direct edge of the same pair is not one of their steps.
 
-    The direct edge is skipped for its own pair alone: other pairs may run over it.
+    The direct edge is skipped for its own pair alone: other pairs may run over it. The search starts from both ends and meets in the middle:
+    one or two steps from each source and to each goal, whatever pairs they are in, so what is kept is a row an end and node, not a pair and node.
     """
-    plain = canonical_paths(edges, depth, pairs).filter("length > 1")
-    direct = pairs.join(edges.select("src", "dst"), ["src", "dst"], "left_semi").distinct()
+    if not 2 <= depth <= 4:
+        raise ValueError("depth must be 2 to 4: halves have two steps at most")
     step = F.concat(F.col("edge_id"), F.lit(":"), F.col("src"), F.lit("->"), F.col("dst"))
-    one = kept(edges.select("src", "dst", step.alias("step"), "way").groupBy("src", "dst").agg(F.min(F.struct("step", "way")).alias("s")).select("src", "dst", "s.*"))
-    nxt = one.select(F.col("src").alias("mid"), F.col("dst").alias("to"), F.col("step").alias("s"), F.col("way").alias("w"))
-    first = one.select("src", F.col("dst").alias("at"), "step", "way")
-    level = direct.select("src", F.col("dst").alias("goal")).join(first, "src").filter("at <> goal")
-    level = level.select("src", "goal", "at", F.array("src", "at").alias("ids"), F.array("step").alias("steps"), F.col("way").alias("delta"))
-    done = None
+    one = edges.filter("src <> dst").select("src", "dst", step.alias("step"), "way").groupBy("src", "dst").agg(F.min(F.struct("step", "way")).alias("s"))
+    one = kept(one.select("src", "dst", "s.step", "s.way"))
+    todo, found = kept(pairs.select("src", "dst").filter("src <> dst").distinct()), []
+    none = F.array().cast("array<string>")
     for d in range(2, depth + 1):
-        grown = level.join(nxt, F.col("at") == F.col("mid")).filter("NOT array_contains(ids, to)")
-        grown = grown.select("src", "goal", F.col("to").alias("at"), F.array_append("ids", F.col("to")).alias("ids"), F.array_append("steps", F.col("s")).alias("steps"), (F.col("delta") + F.col("w")).alias("delta"))
-        level = kept(grown.groupBy("src", "goal", "at").agg(F.min(F.struct("ids", "steps", "delta")).alias("p")).select("src", "goal", "at", "p.*"))
-        hit = level.filter("at = goal").select("src", F.col("goal").alias("dst"), "ids", "steps", "delta", F.lit(d).alias("length"))
-        done = hit if done is None else done.unionByName(hit.join(done.select("src", "dst"), ["src", "dst"], "left_anti"))
-        level = level.filter("at <> goal")
-    return plain.unionByName(done) if done is not None else plain
+        starts, goals = todo.select("src").distinct(), todo.select("dst").distinct()
+        ahead, back = one.join(starts, "src", "left_semi"), one.join(goals, "dst", "left_semi")
+        if d == 2:
+            first = ahead.select("src", F.col("dst").alias("at"), none.alias("by_a"), F.array("step").alias("steps_a"), F.col("way").alias("way_a"))
+        else:
+            on = one.select(F.col("src").alias("mid"), F.col("dst").alias("at"), F.col("step").alias("s2"), F.col("way").alias("w2"))
+            grown = ahead.withColumnRenamed("dst", "mid").join(on, "mid").filter("at <> src")
+            first = grown.select("src", "at", "mid", F.array("mid").alias("by_a"), F.array("step", "s2").alias("steps_a"), (F.col("way") + F.col("w2")).alias("way_a"))
+            first = _least_three(first, "src", "mid")
+        if d < 4:
+            last = back.select("dst", F.col("src").alias("at"), none.alias("by_b"), F.array("step").alias("steps_b"), F.col("way").alias("way_b"))
+        else:
+            on = one.select(F.col("dst").alias("mid"), F.col("src").alias("at"), F.col("step").alias("s1"), F.col("way").alias("w1"))
+            grown = back.withColumnRenamed("src", "mid").join(on, "mid").filter("at <> dst")
+            last = grown.select("dst", "at", "mid", F.array("mid").alias("by_b"), F.array("s1", "step").alias("steps_b"), (F.col("way") + F.col("w1")).alias("way_b"))
+            last = _least_three(last, "dst", "mid")
+        hit = kept(_met(todo, kept(first), kept(last)).withColumn("length", F.lit(d)))
+        found.append(hit)
+        if d < depth:
+            todo = kept(todo.join(hit.select("src", "dst"), ["src", "dst"], "left_anti"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def path_id(purpose: str, explains: Column | None = None) -> Column:
@@ -170,20 +229,51 @@ def spread(edges: DataFrame, start: DataFrame, value: Column | None = None, most
     """(node, depth, value) reached from ``start`` (node, value), each at its first visit; the least value wins there.
 
     ``value`` is an expression of the node's value and the edge; rounds go on until no
-    new node is met, each writing its frontier.
+    new node is met, each writing its frontier alone; what is seen is all frontiers together.
     """
     value = F.col("value") if value is None else value
-    seen = kept(start.select("node", F.lit(0).alias("depth"), "value"))
-    front, d = seen, 0
+    front, d = kept(start.select("node", F.lit(0).alias("depth"), "value")), 0
+    seen = front
     while (most is None or d < most) and not front.isEmpty():
         d += 1
         met = front.select("node", "value").join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node"), value.alias("value"))
         met = met.groupBy("node").agg(F.min("value").alias("value")).join(seen.select("node"), "node", "left_anti")
         front = kept(met.select("node", F.lit(d).alias("depth"), "value"))
-        seen = kept(seen.unionByName(front))
+        seen = seen.unionByName(front)
     return seen
 
 
+def _signature(edges: DataFrame) -> tuple:
+    r = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h"), F.bit_xor(F.xxhash64("v", "u", F.lit(1))).alias("g")).first()
+    return r.n, r.h, r.g
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root): every node of ``edges`` (src, dst) with the least node of its component.
+
+    Contraction by alternating stars: each round links a node's greater neighbours, then its lesser ones, to the least of them, until the
+    edges are stars about the least nodes. A chain takes about as many rounds as its length has binary digits; a node of any number of
+    neighbours is one row on one side of its join. A round reads the last one's edges alone, which go when it is written.
+    """
+    from weft.sources.tables import dropped
+
+    least = lambda e: e.groupBy("u").agg(F.min("v").alias("m"))
+    ends = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).filter("u IS NOT NULL AND v IS NOT NULL")
+    alone = kept(ends.select("u").unionByName(ends.select(F.col("v").alias("u"))).distinct())
+    now, before = kept(ends.filter("u <> v").distinct()), None
+    while (mark := _signature(now)) != before:
+        before, old = mark, now
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        top = least(both).select("u", F.least("u", "m").alias("m"))
+        large = now.select(F.col("v").alias("u"), F.col("u").alias("v")).join(top, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = kept(large.filter("u <> v").distinct())
+        low = least(large)
+        small = large.join(low, "u").filter("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        now = kept(small.distinct())
+        dropped(old), dropped(large)
+    return alone.join(now, "u", "left").select(F.col("u").alias("node"), F.coalesce("v", "u").alias("root"))
+
+
 def component(edges: DataFrame, focus: str) -> DataFrame:
     """(node, depth) of the focus's component."""
     start = edges.sparkSession.createDataFrame([(focus, 0)], "node string, value int")
@@ -254,10 +344,10 @@ def directional_ranks(edges: DataFrame, focus: str) -> DataFrame:
 
 
 def connected_edges(edges: DataFrame, focus: str) -> DataFrame:
-    """Edges with both ends in the focus's component."""
-    both = edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
-    near = component(both, focus).select("node")
-    return edges.join(near, F.col("src") == F.col("node"), "left_semi").join(near, F.col("dst") == F.col("node"), "left_semi")
+    """Edges of the focus's component: both their ends have its root."""
+    roots = kept(components(edges))
+    own = roots.join(roots.filter(F.col("node") == focus).select("root"), "root", "left_semi").select("node")
+    return edges.filter("dst IS NOT NULL").join(own, F.col("src") == F.col("node"), "left_semi")
 
 
 def fold_parallel(edges: DataFrame, priority: Column) -> DataFrame:

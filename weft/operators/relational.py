@@ -183,9 +183,10 @@ def reuse_ids(df: DataFrame, known: DataFrame, key: str, order: list[str], prefi
 
 
 def filled_forward(df: DataFrame, partition: list[str], order: list[str], opens: Column, value: str) -> DataFrame:
-    """``section``: how many rows have opened one so far; ``opener``: the value at the last of them."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({"section": F.sum(F.when(opens, 1).otherwise(0)).over(w), "opener": F.last(F.when(opens, F.col(value)), ignorenulls=True).over(w)})
+    """``section``: how many rows have opened one so far; ``opener``: the value at the last of them. A partition of any size runs in segments."""
+    from weft.operators.scans import running
+
+    return running(df, partition, order, {"opener": F.when(opens, F.col(value))}, {"section": opens})
 
 
 def capped_list(df: DataFrame, key: str, value: str, most: int) -> DataFrame:

@@ -9,7 +9,7 @@ from weft.operators import inference as I
 from weft.operators import mutation as M
 from weft.operators import validation as V
 from weft.plans.relational import t
-from weft.sources.tables import kept
+from weft.sources.tables import kept, scratch
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -155,6 +155,35 @@ def path_invariants(spark, sf_dir):
     return G.path_faults(paths_from(supply_edges(spark, sf_dir)))
 
 
+def order_edges(spark, sf_dir):
+    """(src, dst, edge_id, way): orders and their customers, and customers in chains of three; many small components, and paths of every length to 4."""
+    name = lambda p, c: F.concat(F.lit(p), F.lpad(c.cast("string"), 8, "0"))
+    o, c = t(spark, sf_dir, "orders"), t(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    near = c.filter(k % 3 != 0).select(k).join(c.select((k - 1).alias("c_custkey")), "c_custkey", "left_semi")
+    e = o.select(name("o", F.col("o_orderkey")).alias("a"), name("c", F.col("o_custkey")).alias("b")).unionByName(near.select(name("c", k).alias("a"), name("c", k + 1).alias("b")))
+    return G.both_ways(e.withColumn("edge_id", F.concat_ws("-", "a", "b")), "a", "b", "edge_id")
+
+
+OE = """oe AS (SELECT 'o' || lpad(o_orderkey::VARCHAR, 8, '0') AS a, 'c' || lpad(o_custkey::VARCHAR, 8, '0') AS b FROM orders
+UNION ALL SELECT 'c' || lpad(x.c_custkey::VARCHAR, 8, '0'), 'c' || lpad(y.c_custkey::VARCHAR, 8, '0') FROM customer x JOIN customer y ON y.c_custkey = x.c_custkey + 1 WHERE x.c_custkey % 3 <> 0),
+g AS (SELECT a AS src, b AS dst, a || '-' || b AS edge_id FROM oe UNION ALL SELECT b, a, a || '-' || b FROM oe)"""
+
+
+@query(f"""WITH {OE}, {_levels(4)}, a AS (SELECT *, 2 AS length FROM l2 UNION ALL SELECT *, 3 FROM l3 UNION ALL SELECT *, 4 FROM l4) SELECT src, dst, array_to_string(ids, '>') AS ids, array_to_string(steps, ',') AS steps, length FROM a""")
+def all_paths_2_to_4(spark, sf_dir):
+    """Paths between all nodes of the graph, from every source, in blocks of sources."""
+    p = G.all_canonical_paths(order_edges(spark, sf_dir), scratch(spark), block_rows=1_000_000)
+    return p.filter("length > 1").select("src", "dst", F.array_join("ids", ">").alias("ids"), F.array_join("steps", ",").alias("steps"), "length")
+
+
+@query(f"""WITH {OE}, c AS (SELECT min(c_custkey) AS c, (c_custkey + 2) // 3 AS k FROM customer GROUP BY ALL), n AS (SELECT DISTINCT src AS node FROM g),
+k AS (SELECT 'c' || lpad(c_custkey::VARCHAR, 8, '0') AS node, 'c' || lpad(c::VARCHAR, 8, '0') AS root FROM customer JOIN c ON k = (c_custkey + 2) // 3)
+SELECT n.node, root FROM n JOIN k USING (node) UNION ALL SELECT a, root FROM oe JOIN k ON node = b WHERE a LIKE 'o%'""")
+def components_of_orders(spark, sf_dir):
+    return G.components(order_edges(spark, sf_dir))
+
+
 HG = "g AS (SELECT parent AS src, child AS dst, edge_id FROM h UNION ALL SELECT child, parent, edge_id FROM h)"
 
 
@@ -175,8 +204,9 @@ def generation_delta(spark, sf_dir):
 
 @query(f"""WITH RECURSIVE {GE}, f AS (SELECT min(src) AS node FROM g), r AS (SELECT node FROM f UNION SELECT dst FROM r JOIN g ON node = src) SELECT node FROM r""")
 def component_of_focus(spark, sf_dir):
-    g = kept(supply_edges(spark, sf_dir))
-    return G.component(g, g.agg(F.min("src")).first()[0] or "").select("node").join(g.select(F.col("src").alias("node")).distinct(), "node", "left_semi")
+    roots = kept(G.components(supply_edges(spark, sf_dir)))
+    first = roots.agg(F.min("node").alias("node")).join(roots, "node").select("root")
+    return roots.join(first, "root", "left_semi").select("node")
 
 
 _PRI = "CASE l_returnflag WHEN 'R' THEN 30 WHEN 'A' THEN 20 ELSE 10 END + CASE WHEN l_quantity > 40 THEN 3 WHEN l_quantity > 20 THEN 2 ELSE 1 END"

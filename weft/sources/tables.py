@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -48,6 +49,34 @@ def kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes the table that ``kept`` gave, once nothing reads it any more."""
+    files = set(df.inputFiles())
+    for spark, path in [m for m in _made if any(m[1].rpartition("/")[2] in f for f in files)]:
+        _delete(spark, path)
+        _made.remove((spark, path))
+
+
+@contextlib.contextmanager
+def scratch_scope():
+    """Tables that ``kept`` writes within go at its end, but for those that were there before."""
+    before = len(_made)
+    yield
+    for spark, path in _made[before:]:
+        _delete(spark, path)
+    del _made[before:]
+
+
+def done(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to its end."""
+    return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) is not None and len(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)) > 0
@@ -68,11 +97,27 @@ def read_document(spark: SparkSession, path: str, schema: str | StructType, fall
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def read_records(spark: SparkSession, path: str | list[str], sep: str = "\n") -> DataFrame:
+    """(file, pos, value, closed) of text files whose records end with ``sep``: read by many tasks, whatever a file's size.
+
+    A record's place in its file is that in its part of the file and the records of the parts before, which are counted first; so the
+    text is read twice and not shuffled. ``closed`` is false for what stands after a file's last separator.
+    """
+    own = spark.read.option("lineSep", sep).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.col("_metadata.file_size").alias("_size"), "value", F.monotonically_increasing_id().alias("_id")
+    )
+    width = len(sep.encode())
+    parts = own.groupBy("file", "_at").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"), F.sum(F.octet_length("value") + width).alias("_bytes"), F.max("_size").alias("_of"))
+    w = Window.partitionBy("file")
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.select("file", "_at", (before - F.col("_first")).alias("_shift"), (F.sum("_n").over(w) - 1).alias("_last"), (F.sum("_bytes").over(w) == F.col("_of")).alias("_ended"))
+    pos = F.col("_id") + F.col("_shift")
+    return own.join(starts, ["file", "_at"]).select("file", pos.alias("pos"), "value", ((pos < F.col("_last")) | F.col("_ended")).alias("closed"))
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, pos, line) of text files: each file is one row until its lines are dealt out, so files must fit a task."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value"))
-    lines = whole.select("file", F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("pos", "line"))
-    return lines.filter("line <> ''")
+    """(file, pos, line) of text files, without empty lines, which count in ``pos``; carriage returns go. Files of any size: see ``read_records``."""
+    return read_records(spark, path).select("file", "pos", F.regexp_replace("value", "\r", "").alias("line")).filter("line <> ''")
 
 
 def listed(spark: SparkSession, folder: str, names: str = ".*") -> list[str]:
@@ -89,7 +134,7 @@ def read_files(spark: SparkSession, folder: str, names: str = ".*") -> DataFrame
     """(file, file_no, pos, line) of the files that ``listed`` gives; ``file_no`` is their place, from 0."""
     paths = listed(spark, folder, names)
     if not paths:
-        return spark.createDataFrame([], "file string, file_no int, pos int, line string")
+        return spark.createDataFrame([], "file string, file_no int, pos long, line string")
     stem = lambda c: F.element_at(F.split(c, "/"), -1)
     order = spark.createDataFrame([(i, p.rpartition("/")[2]) for i, p in enumerate(paths)], "file_no int, _name string")
     lines = read_lines(spark, paths)
@@ -216,28 +261,29 @@ def sectioned(lines: DataFrame, opens: Column, closes: Column, header: Column, c
     ``lines`` has file, pos and line. A header that is later skipped still takes its own
     children, so they never fall to the record before it.
     """
-    w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    state = F.last(F.when(opens, 1).when(closes, 0), ignorenulls=True).over(w)
-    marked = lines.withColumn("_open", state).filter(F.col("_open") == 1).filter(~(opens | closes))
+    from weft.operators.scans import running, segment_of
+
+    at = segment_of("pos")
+    marked = running(lines, ["file"], ["pos"], {"_open": F.when(opens, 1).when(closes, 0)}, segment=at).filter(F.col("_open") == 1).filter(~(opens | closes)).drop("_open")
     kind = F.when(child, "child").when(header, "header")
     marked = marked.withColumn("kind", kind).filter("kind IS NOT NULL")
-    return marked.withColumn("record", F.sum(F.when(F.col("kind") == "header", 1).otherwise(0)).over(w)).drop("_open").filter("record > 0")
+    return running(marked, ["file"], ["pos"], counts={"record": F.col("kind") == "header"}, segment=at).filter("record > 0")
 
 
 def usfm_passages(lines: DataFrame) -> DataFrame:
     r"""(file, book, chapter, verse, text) of ``\id``, ``\c`` and ``\v`` markup; continuation lines are appended."""
-    w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    marked = lines.withColumns({
-        "book": F.last(F.nullif(F.regexp_extract("line", r"^\\id\s+(\S+)", 1), F.lit("")), ignorenulls=True).over(w),
-        "chapter": F.last(F.nullif(F.regexp_extract("line", r"\\c\s+(\d+)", 1), F.lit("")), ignorenulls=True).over(w).cast("int"),
-    })
+    from weft.operators.scans import running, segment_of
+
+    marked = running(lines, ["file"], ["pos"], {
+        "book": F.nullif(F.regexp_extract("line", r"^\\id\s+(\S+)", 1), F.lit("")),
+        "chapter": F.nullif(F.regexp_extract("line", r"\\c\s+(\d+)", 1), F.lit("")),
+    }, segment=segment_of("pos")).withColumn("chapter", F.col("chapter").cast("int"))
     body = marked.filter(~F.col("line").rlike(r"^\\(id|c)\s"))
     # what stands before the first mark of a line goes on with the verse before it
     pieces = body.select("file", "pos", "book", "chapter", F.posexplode(F.split("line", r"(?=\\v\s+\d)")).alias("k", "piece")).filter("piece <> ''")
     number = F.nullif(F.regexp_extract("piece", r"^\\v\s+(\d+)", 1), F.lit("")).cast("int")
     last = F.nullif(F.regexp_extract("piece", r"^\\v\s+\d+-(\d+)", 1), F.lit("")).cast("int")
-    order = Window.partitionBy("file", "book", "chapter").orderBy("pos", "k").rowsBetween(Window.unboundedPreceding, 0)
-    pieces = pieces.withColumns({"own": number, "verse": F.last(number, ignorenulls=True).over(order), "last": F.last(F.when(number.isNotNull(), F.coalesce(last, number)), ignorenulls=True).over(order)})
+    pieces = running(pieces.withColumn("own", number), ["file", "book", "chapter"], ["pos", "k"], {"verse": number, "last": F.when(number.isNotNull(), F.coalesce(last, number))}, segment=segment_of("pos"))
     text = F.trim(F.regexp_replace("piece", r"^\\v\s+\d+(?:-\d+)?\s*", ""))
     parts = pieces.filter("verse IS NOT NULL").select("file", "book", "chapter", "verse", "last", F.struct("pos", "k", text.alias("t")).alias("p"))
     whole = parts.groupBy("file", "book", "chapter", "verse", "last").agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["t"]), " ").alias("text"))
@@ -336,9 +382,8 @@ def child_rows(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def xml_passages(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ref, text) of ``<verse ref="...">`` elements of whole files; repeated references are joined in order."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    found = whole.select("file", F.posexplode(F.regexp_extract_all("value", F.lit(r"(?s)<verse\b[^>]*>.*?</verse>"), 0)).alias("pos", "x"))
+    """(file, ref, text) of ``<verse ref="...">`` elements; repeated references are joined in order. A file is split at closing tags, so it may have any size."""
+    found = read_records(spark, path, "</verse>").filter("closed").select("file", "pos", F.regexp_extract(F.concat("value", F.lit("</verse>")), r"(?s)<verse\b[^>]*>.*", 0).alias("x")).filter("x <> ''")
     body = F.trim(F.regexp_replace(F.regexp_replace("x", r"<[^>]*>", " "), r"\s+", " "))
     one = found.select("file", F.regexp_extract("x", r"""\bref\s*=\s*["']([^"']*)["']""", 1).alias("ref"), "pos", body.alias("t"))
     return one.groupBy("file", "ref").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "t"))), lambda s: s["t"]), " ").alias("text"))
