@@ -190,11 +190,42 @@ def test_drift_and_rebuilds(spark):
 def test_longest_hit_wins(spark):
     t = spark.createDataFrame([(1, "a b c d".split())], "k int, w array<string>")
     names = spark.createDataFrame([("a b",), ("b",), ("a",), ("c d",), ("b c",)], "name string")
-    hits = D.phrase_hits(t, names, "w", "name", 3)
+    hits = D.phrase_hits(t, names, "w", "name")
     assert hits.count() == 5
     assert sorted(r.name for r in D.longest_only(hits, "k", "name").collect()) == ["a b", "c d"]
 
 
+def test_names_of_any_length_are_found(spark):
+    t = spark.createDataFrame([(1, "a b c d e a b".split())], "k int, w array<string>")
+    names = spark.createDataFrame([("a b c d",), ("a b c d e a b",), ("b",)], "name string")
+    assert sorted((r.name, r.pos) for r in D.phrase_hits(t, names, "w", "name").collect()) == [("a b c d", 1), ("a b c d e a b", 1), ("b", 2), ("b", 7)]
+
+
+@pytest.mark.parametrize("name_bytes", [D.NAME_BYTES, 25])
+def test_dictionary_against_one_pattern(spark, name_bytes):
+    """As one pattern of all names, longest first, between characters that are no letters."""
+    import re
+
+    r = random.Random(4)
+    names = {r.choice(["o'neil", "st. john", "x-y", "ab", "ab ab", "a", "-q", "é", "naïve b", "İx", "b ab"]) for _ in range(30)} | {"".join(r.choices("ab .-'", k=r.randint(2, 9))) for _ in range(25)}
+    texts = ["".join(r.choices(["a", "B", "ab", " ", "O'Neil", "St. John", "-", ".", "É", "İX", "naïve", "x"], k=r.randint(0, 60))) for _ in range(60)] + [None, ""]
+    low = lambda x: "".join(c.lower() if len(c.lower()) == 1 else c for c in x)
+    names = sorted({low(n) for n in names}, key=lambda n: (-len(n), n))
+    one = re.compile("(?<![a-z])(?:" + "|".join(map(re.escape, names)) + ")(?![a-z])")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "pos_of int, text string")
+    known = spark.createDataFrame([(k, n.upper() if n.isascii() else n) for k, n in enumerate(names)] + [(900 + k, n) for k, n in enumerate(names[:3])] + [(1, None), (2, "")], "id int, name string")
+    got = {}
+    for h in D.dictionary_scan(df, known, "pos_of", "text", "id", "name", name_bytes=name_bytes).collect():
+        got.setdefault((h.pos_of, h.pos, h.name), set()).add(h.id)
+        assert h.length == len(h.name)
+    want = {(i, m.start(), m[0]) for i, t in enumerate(texts) for m in one.finditer(low(t or ""))}
+    assert set(got) == want and len(want) > 100
+    assert all(len(ids) == 1 + (n in names[:3]) for (_, _, n), ids in got.items())
+    every = {(h.pos_of, h.pos, h.name) for h in D.dictionary_scan(df, known, "pos_of", "text", "id", "name", True, name_bytes).collect()}
+    assert every == {(i, m.start(), n) for i, t in enumerate(texts) for n in names for m in re.finditer(f"(?=(?<![a-z]){re.escape(n)}(?![a-z]))", low(t or ""))}
+    assert D.dictionary_scan(df, known.limit(0), "pos_of", "text", "id", "name").count() == 0 == D.dictionary_scan(df.limit(0), known, "pos_of", "text", "id", "name").count()
+
+
 def test_sections_and_markup(spark, tmp_path):
     (tmp_path / "s.txt").write_text("junk\n$== PERSON\nAlpha\n–one\n@Skip\n–two\nBeta\n$== PLACE\nTown\n–x\n")
     lines = S.read_lines(spark, str(tmp_path / "s.txt"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,14 +16,14 @@ def word_grams(texts: DataFrame, words: str, n: int) -> DataFrame:
     return rows.withColumn("gram", F.array_join(F.slice(words, F.col("pos"), n), " "))
 
 
-def phrase_hits(texts: DataFrame, names: DataFrame, words: str, name: str, most_words: int) -> DataFrame:
-    """Every occurrence of a name of up to ``most_words`` words: rows of texts with ``pos`` and of names.
+def phrase_hits(texts: DataFrame, names: DataFrame, words: str, name: str) -> DataFrame:
+    """Every occurrence of a name, of any number of words: rows of texts with ``pos`` and of names.
 
-    Names meet runs of as many words by an equi join; Spark broadcasts the names where they are small.
-    Lengths that no name has are left out.
+    Names meet runs of as many words by an equi join, a pass for each length that a name has; for names of many lengths,
+    or with marks between their words, ``dictionary_scan`` takes one pass.
     """
     out = None
-    lengths = names.select(F.size(F.split(name, " ")).alias("n")).filter(F.col("n") <= most_words).distinct().collect()
+    lengths = names.select(F.size(F.split(name, " ")).alias("n")).distinct().collect()
     for n in sorted(r.n for r in lengths) or [1]:
         own = names.filter(F.size(F.split(name, " ")) == n)
         g = word_grams(texts, words, n).drop(words)
@@ -31,34 +32,109 @@ def phrase_hits(texts: DataFrame, names: DataFrame, words: str, name: str, most_
     return out
 
 
-def longest_only(hits: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, pos, name): of overlapping hits of a text the leftmost, of these the longest, then on from its end.
+def _leftmost(hits: DataFrame, key: str, length: Column, *carried: str) -> DataFrame:
+    """(key, pos, carried): of overlapping hits of a text the leftmost, of these the longest, then on from its end. Hits of one place and length stay together.
 
     A text's hits are gathered in one row, which its length bounds.
     """
-    n = F.size(F.split(name, " "))
-    one = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", (-n).alias("less"), F.col(name).alias("name")))).alias("all"))
+    item = F.struct("pos", (-length).alias("less"), *carried)
+    one = hits.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("all"))
     kind = one.schema["all"].dataType.simpleString()
-    start = F.struct(F.lit(0).alias("reach"), F.array().cast(kind).alias("kept"))
+    start = F.struct(F.lit(0).cast("long").alias("reach"), F.lit(-1).cast("long").alias("at"), F.array().cast(kind).alias("kept"))
 
     def step(acc, h):
-        takes = h["pos"] >= acc["reach"]
-        return F.struct(F.when(takes, h["pos"] - h["less"]).otherwise(acc["reach"]).alias("reach"), F.when(takes, F.array_append(acc["kept"], h)).otherwise(acc["kept"]).alias("kept"))
+        end = (h["pos"] - h["less"]).cast("long")
+        takes = (h["pos"] >= acc["reach"]) | ((h["pos"] == acc["at"]) & (end == acc["reach"]))
+        return F.struct(F.when(takes, end).otherwise(acc["reach"]).alias("reach"), F.when(takes, h["pos"].cast("long")).otherwise(acc["at"]).alias("at"), F.when(takes, F.array_append(acc["kept"], h)).otherwise(acc["kept"]).alias("kept"))
 
     kept = F.aggregate("all", start, step, lambda acc: acc["kept"])
-    return one.select(key, F.explode(kept).alias("h")).select(key, "h.pos", F.col("h.name").alias(name))
+    return one.select(key, F.explode(kept).alias("h")).select(key, "h.pos", *[F.col(f"h.{c}").alias(c) for c in carried])
+
+
+def longest_only(hits: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, pos, name): of overlapping hits of a text the leftmost, of these the longest, then on from its end; lengths are in words."""
+    return _leftmost(hits, key, F.size(F.split(name, " ")), name)
+
+
+#: Names of an automaton, in bytes; beyond it names are dealt into several, one pass over the texts each.
+NAME_BYTES = 2 << 20
+_automaton: tuple = ("", None)
+
+
+def _lowered(text: str) -> str:
+    """Lower case, a letter a letter, so that places stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def _is_letter(text: str, at: int) -> bool:
+    return 0 <= at < len(text) and "a" <= text[at] <= "z"
+
 
+def dictionary_scan(texts: DataFrame, names: DataFrame, key: str, text: str, entity: str, name: str, overlapping: bool = False, name_bytes: int = NAME_BYTES) -> DataFrame:
+    """(key, pos, length, name, entity) for each occurrence of a name in a text, in any case, with no letter A-Z on either side; ``pos`` counts code points from 0.
 
-def similar_words(words: DataFrame, passage: str, word: str, least: int = 4, differ: int = 2) -> DataFrame:
-    """(passage, a, b, how): words a < b of a passage of which one begins the other, or that share their first letters.
+    Names may have any length and any characters. Of overlapping occurrences the leftmost counts, of these the longest, as one pattern of all
+    names would give; with ``overlapping`` all count. Texts go once past an Aho-Corasick automaton of all names, and are not shuffled: only hits are.
+    Null and empty texts have none, null and empty names are none, and a name of several entities gives a row for each.
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import StructField, StructType, LongType, StringType
+
+    own = names.select(F.col(entity), F.lower(F.col(name)).alias("name")).filter("name <> ''").distinct()
+    words = own.select("name").distinct()
+    total = words.agg(F.coalesce(F.sum(F.octet_length("name")), F.lit(0))).first()[0]
+    shards = max(1, -(-total // name_bytes))
+    kind = StructType([StructField(key, texts.schema[key].dataType), StructField("pos", LongType()), StructField("length", LongType()), StructField("name", StringType())])
+    out = None
+    for k in range(shards):
+        some = [_lowered(r.name) for r in words.filter(F.pmod(F.xxhash64("name"), F.lit(shards)) == k).collect()]  # at most about name_bytes
+        mark = uuid.uuid4().hex
+
+        def scan(batches, some=some, mark=mark):
+            import ahocorasick
+
+            global _automaton
+            if _automaton[0] != mark:
+                a = ahocorasick.Automaton()
+                for w in some:
+                    a.add_word(w, w)
+                if some:
+                    a.make_automaton()
+                _automaton = (mark, a)
+            find = _automaton[1]
+            for b in batches:
+                rows, pos, length, found = [], [], [], []
+                for i, t in enumerate(b.column(1).to_pylist() if some else ()):
+                    low = _lowered(t or "")
+                    for end, w in find.iter(low):
+                        at = end + 1 - len(w)
+                        if not (_is_letter(low, at - 1) or _is_letter(low, end + 1)):
+                            rows.append(i), pos.append(at), length.append(len(w)), found.append(w)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(pos, pa.int64()), pa.array(length, pa.int64()), pa.array(found, pa.string())], names=[key, "pos", "length", "name"])
+
+        hit = texts.select(key, text).mapInArrow(scan, kind)
+        out = hit if out is None else out.unionByName(hit)
+    if not overlapping:
+        out = _leftmost(out, key, F.col("length"), "length", "name")
+    return out.join(own, "name").select(key, "pos", "length", "name", entity)
 
-    Both need equal first letters, so these join; never all pairs of a passage.
+
+def similar_words(words: DataFrame, passage: str, word: str, endings: Sequence[str], alphabet: str = "Greek") -> DataFrame:
+    """(passage, a, b, how): words a < b of a passage that are one name by ``stem_forms``.
+
+    Both rules need equal first three letters of the stems, so these join; never all pairs of a passage.
     """
-    w = words.select(passage, word).distinct().withColumn("_stem", F.substring(word, 1, least))
-    a, b = w.select(passage, "_stem", F.col(word).alias("a")), w.select(passage, "_stem", F.col(word).alias("b"))
-    both = a.join(b, [passage, "_stem"]).filter("a < b")
-    prefix = F.startswith("b", "a") & (F.length("a") >= least) & (F.length("b") - F.length("a") <= differ)
-    return both.select(passage, "a", "b", F.when(prefix, "prefix").otherwise("stem").alias("how"))
+    w = words.select(passage, word).distinct().withColumn("_head", F.substring(_cut(F.col(word), endings, alphabet), 1, 3))
+    a, b = w.select(passage, "_head", F.col(word).alias("a")), w.select(passage, "_head", F.col(word).alias("b"))
+    both = a.join(b, [passage, "_head"]).filter("a < b")
+    return both.select(passage, "a", "b", stem_forms(F.col("a"), F.col("b"), endings, alphabet).alias("how")).filter("how IS NOT NULL")
+
+
+def _cut(c: Column, endings: Sequence[str], alphabet: str) -> Column:
+    from weft.functions.text import stemmed
+
+    return F.when(c.rlike(rf"^\p{{Is{alphabet}}}+$"), stemmed(c, endings)).otherwise(c)
 
 
 def proposals(rows: DataFrame, pair: list[str], way: str, passage: str) -> DataFrame:
@@ -70,10 +146,7 @@ def proposals(rows: DataFrame, pair: list[str], way: str, passage: str) -> DataF
 
 def stem_forms(a: Column, b: Column, endings: Sequence[str], alphabet: str = "Greek") -> Column:
     """How two folded words are one name: ``equal``, ``stem`` (equal without their endings), or ``prefix`` (one stem of 4 letters or more begins the other, 2 letters longer at most)."""
-    from weft.functions.text import stemmed
-
-    cut = lambda c: F.when(c.rlike(rf"^\p{{Is{alphabet}}}+$"), stemmed(c, endings)).otherwise(c)
-    x, y = cut(a), cut(b)
+    x, y = _cut(a, endings, alphabet), _cut(b, endings, alphabet)
     short, long = F.when(F.length(x) <= F.length(y), x).otherwise(y), F.when(F.length(x) <= F.length(y), y).otherwise(x)
     stem = (x == y) & (F.length(x) >= 3)
     prefix = (F.length(short) >= 4) & F.startswith(long, short) & (F.length(long) - F.length(short) <= 2)

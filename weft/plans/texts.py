@@ -66,23 +66,39 @@ def phrase_grammar(spark, sf_dir):
     )
 
 
-@query("""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '') AS w FROM documents),
-n AS (SELECT item_id, array_to_string(w[1:3], ' ') AS name FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '') AS w FROM benchmark) WHERE len(w) >= 3),
-g AS (SELECT doc_id, i, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
-h AS (SELECT item_id, doc_id, i FROM g JOIN n ON g.g = n.name)
-SELECT item_id, count(*) AS n_hits, count(DISTINCT doc_id) AS n_docs, array_to_string(list_transform(list_sort(list(doc_id * 100000 + i))[1:25], lambda x: x::VARCHAR), ',') AS first FROM h GROUP BY item_id""")
+#: Occurrences of the items' texts, and of their sentences, as names: whole and in any case, with no letter beside them.
+_NAMED = r"""n AS (SELECT DISTINCT item_id, lower(s) AS name FROM (SELECT item_id, text AS s FROM benchmark UNION ALL SELECT item_id, unnest(string_split(text, '. ')) FROM benchmark) WHERE length(s) >= 6),
+p AS (SELECT doc_id, name, lower(text) AS t, string_split(lower(text), name) AS parts FROM documents, (SELECT DISTINCT name FROM n) WHERE contains(lower(text), name)),
+k AS (SELECT doc_id, name, t, parts, unnest(range(1, len(parts))) AS k FROM p),
+o AS (SELECT doc_id, name, t, length(name) AS length, (list_sum(list_transform(parts[1:k], lambda x: length(x))) + (k - 1) * length(name))::BIGINT AS pos FROM k),
+h AS (SELECT doc_id, name, length, pos FROM o WHERE NOT regexp_matches(substr(t, pos, 1), '[a-z]') AND NOT regexp_matches(substr(t, pos + length + 1, 1), '[a-z]'))"""
+
+
+def _named(spark, sf_dir, overlapping):
+    items = t(spark, sf_dir, "benchmark")
+    names = items.select("item_id", "text").unionByName(items.select("item_id", F.explode(F.split("text", r"\. ")).alias("text"))).filter(F.length("text") >= 6)
+    return D.dictionary_scan(t(spark, sf_dir, "documents").select("doc_id", "text"), names, "doc_id", "text", "item_id", "text", overlapping)
+
+
+@query(f"""WITH {_NAMED} SELECT item_id, count(*) AS n_hits, count(DISTINCT doc_id) AS n_docs, array_to_string(list_transform(list_sort(list(doc_id * 100000 + pos))[1:25], lambda x: x::VARCHAR), ',') AS first
+FROM h JOIN n USING (name) GROUP BY item_id""")
 def dictionary_hits(spark, sf_dir):
-    words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda x: x != "")
-    names = t(spark, sf_dir, "benchmark").select("item_id", words("text").alias("w")).filter(F.size("w") >= 3).select("item_id", F.array_join(F.slice("w", 1, 3), " ").alias("name"))
-    hits = D.phrase_hits(t(spark, sf_dir, "documents").select("doc_id", words("text").alias("words")), names, "words", "name", 3)
+    """Every occurrence of every name, by item."""
     from weft.operators.relational import capped_list
 
-    hits = hits.withColumn("at", F.col("doc_id") * 100000 + F.col("pos"))
+    hits = _named(spark, sf_dir, True).withColumn("at", F.col("doc_id") * 100000 + F.col("pos"))
     docs = hits.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"))
     c = capped_list(hits, "item_id", "at", 25).join(docs, "item_id")
     return c.select("item_id", F.col("n").alias("n_hits"), "n_docs", F.array_join(F.col("first").cast("array<string>"), ",").alias("first"))
 
 
+@query(f"""WITH {_NAMED} SELECT doc_id, pos, length, md5(name) AS name, item_id FROM h JOIN n USING (name)
+WHERE NOT EXISTS (SELECT 1 FROM h x WHERE x.doc_id = h.doc_id AND x.length > h.length AND x.pos <= h.pos AND x.pos + x.length >= h.pos + h.length)""")
+def dictionary_longest(spark, sf_dir):
+    """Leftmost and longest occurrences: a sentence within a hit of its whole text is none. Sentences never overlap otherwise."""
+    return _named(spark, sf_dir, False).withColumn("name", F.md5(F.col("name").cast("binary")))
+
+
 @query("""SELECT p_partkey, CASE WHEN regexp_matches(p_type, '(ING|ED)$') THEN regexp_replace(p_type, '(ING|ED)$', '') ELSE p_type END AS stem, substr(p_name, 1, 1) || '…' AS short FROM part""")
 def stems_and_snippets(spark, sf_dir):
     return t(spark, sf_dir, "part").select("p_partkey", X.stemmed(F.col("p_type"), ["ING", "ED"]).alias("stem"), X.snippet(F.col("p_name"), 2).alias("short"))
@@ -101,9 +117,13 @@ def unknown_fields(spark, sf_dir):
     return run(t(spark, sf_dir, "events").select("event_id", "props"), "props", ["id", "name"]).select("event_id", F.array_join("unknown", ",").alias("unknown"))
 
 
-@query("""WITH a AS (SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '')) AS w FROM benchmark),
-p AS (SELECT x.item_id, x.w AS a, y.w AS b FROM a x JOIN a y ON x.item_id = y.item_id AND x.w < y.w AND substr(x.w, 1, 4) = substr(y.w, 1, 4))
-SELECT item_id, a, b, CASE WHEN starts_with(b, a) AND length(a) >= 4 AND length(b) - length(a) <= 2 THEN 'prefix' ELSE 'stem' END AS how FROM p""")
+_SUFFIXES = ("ing", "ed", "er", "on", "s")
+_STEM = "CASE " + " ".join(f"WHEN ends_with(w, '{e}') AND length(w) >= {len(e) + 3} THEN left(w, -{len(e)})" for e in _SUFFIXES) + " ELSE w END"
+
+
+@query(f"""WITH a AS (SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: x <> '')) AS w FROM benchmark), s AS (SELECT item_id, w, {_STEM} AS s FROM a),
+p AS (SELECT x.item_id, x.w AS a, y.w AS b, CASE WHEN length(x.s) <= length(y.s) THEN x.s ELSE y.s END AS short, CASE WHEN length(x.s) <= length(y.s) THEN y.s ELSE x.s END AS long FROM s x JOIN s y ON x.item_id = y.item_id AND x.w < y.w)
+SELECT * FROM (SELECT item_id, a, b, CASE WHEN short = long AND length(short) >= 3 THEN 'stem' WHEN length(short) >= 4 AND starts_with(long, short) AND length(long) - length(short) <= 2 THEN 'prefix' END AS how FROM p) WHERE how IS NOT NULL""")
 def stem_prefix_join(spark, sf_dir):
     words = F.explode(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: x != ""))
-    return D.similar_words(t(spark, sf_dir, "benchmark").select("item_id", words.alias("w")), "item_id", "w")
+    return D.similar_words(t(spark, sf_dir, "benchmark").select("item_id", words.alias("w")), "item_id", "w", _SUFFIXES, "Latin")
