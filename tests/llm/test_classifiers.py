@@ -112,6 +112,11 @@ def test_toxicity_on_held_out_rows(spark, odd_docs, no_docs):
     few = T.fit(docs, labels, most=50)
     assert len(few.keys) == 50 and len(T.fit(docs, labels, max_bytes=2000).keys) < 20
     assert set(T.fit(docs, labels, max_bytes=2000).keys) < set(T.fit(docs, labels).keys)
+    # an example that does not fit is left out, wherever it stands; the rest goes on
+    first = T.fit(docs, labels, most=1).keys[0]
+    most = T.fit(docs.withColumn("text", F.when(F.col("doc_id") == int(first), F.array_join(F.sequence(F.lit(0), F.lit(5000)), " ")).otherwise(F.col("text"))), labels, max_bytes=20_000)
+    assert first not in most.keys and len(most.keys) > 20
+    assert len(T.fit(docs, labels, plain=True).keys) == len(c.keys)
     none = T.fit(docs, labels.limit(0))
     assert {r.score for r in T.score(docs, none).collect()} == {0.0}
 

@@ -41,9 +41,13 @@ def rows_of(df):
     return Counter(tuple(r) for r in df.collect())
 
 
+#: Names that stages use within, in other spellings too.
+INTERNAL = ["__metrics", "__METRICSG", "__grams", "__kept_doc", "__kept_tid", "__Kept_n", "__kept_row", "__own_0", "__own_1", "__pii_hits", "__pii_key", "__pii_0", "base_failed", "c0", "c1", "root", "tid", "class_id", "n_links"]
+
+
 def test_stages_on_odd_rows(spark, odd_docs, no_docs, sf_dir):
     """Which rows stay, and that their columns stay as they are, those named as outputs and odd ones too."""
-    docs = odd_docs.selectExpr("*", "'dot' AS `a.b`", "'tick' AS `c``d`", "8L AS kept_id", "struct(doc_id) AS metrics_of")
+    docs = odd_docs.selectExpr("*", "'dot' AS `a.b`", "'tick' AS `c``d`", "8L AS kept_id", "struct(doc_id) AS metrics_of", *[f"'own' AS `{c}`" for c in INTERNAL])
     got = {}
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf_dir).count() == 0

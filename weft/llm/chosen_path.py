@@ -38,7 +38,7 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, columns, hold, map_text, short_batches, table, written
+from .common import alnum_words, columns, fresh, hold, map_text, short_batches, table, written
 
 SHINGLE = 5
 #: Links have intersection / union of THRESHOLD or more, compared in whole numbers.
@@ -372,15 +372,16 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", recal
     own = own.groupBy(F.coalesce("root", F.col("tid").cast("binary")).alias("class"), F.col("root").isNull().alias("alone"), "doc", "tid").agg(F.count("*").alias("n"))
     alone = own.filter("alone").select("doc", "tid", "n")
     first = own.filter("NOT alone").groupBy("class").agg(F.min(F.struct("tid", "doc", "n")).alias("x")).select("x.doc", "x.tid", "x.n")
-    kept = written(alone.union(first)).select(F.col("doc").alias("__kept_doc"), F.col("tid").alias("__kept_tid"), F.col("n").alias("__kept_n"))
+    doc, tid, n, row = fresh(docs, "kept_doc", "kept_tid", "kept_n", "kept_row")
+    kept = written(alone.union(first)).select(F.col("doc").alias(doc), F.col("tid").alias(tid), F.col("n").alias(n))
     k, t = columns([key, text])
     cols = columns(docs.columns)
-    match = F.col("__kept_doc").eqNullSafe(k) & (F.col("__kept_tid") == F.coalesce(F.md5(t.cast("binary")), F.lit("")))
-    once = docs.join(kept.filter("__kept_n = 1"), match, "left_semi").select(*cols)
-    if kept.filter("__kept_n > 1").isEmpty():
+    match = F.col(doc).eqNullSafe(k) & (F.col(tid) == F.coalesce(F.md5(t.cast("binary")), F.lit("")))
+    once = docs.join(kept.filter(F.col(n) == 1), match, "left_semi").select(*cols)
+    if kept.filter(F.col(n) > 1).isEmpty():
         return once
-    some = docs.join(kept.filter("__kept_n > 1"), match).groupBy("__kept_doc", "__kept_tid").agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("__kept_row"))
-    return once.union(some.select("__kept_row.*"))
+    some = docs.join(kept.filter(F.col(n) > 1), match).groupBy(doc, tid).agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias(row))
+    return once.union(some.select(f"{row}.*"))
 
 
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

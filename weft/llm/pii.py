@@ -4,13 +4,13 @@ Detection is one regular expression for e-mail addresses, IPv4 addresses, phone,
 card, social security and bank account numbers, keys and tokens, and names after
 a form of address. Each different entity (kind and canonical form) gets one
 surrogate in the whole corpus: digits become digits, letters letters of the same
-script, cards keep their first digit and whether their check digit is right,
+script (of others than Latin, Cyrillic and Greek: Latin ones), cards keep their first digit and whether their check digit is right,
 addresses fall in ranges that belong to nobody, names are built of syllables of
 the same script with an ending for the gender that forms of address tell of the name in the whole
 corpus (none, if they tell both). It
 is drawn by a keyed hash, so without the key it tells nothing, and it is the same
-wherever the entity occurs, in whatever spelling, as given name or surname: coreference stays. A name of several words
-that a text has after a form of address is found again in that text without one. Draws that
+wherever the entity occurs, in whatever spelling, as given name or surname: coreference stays. Each word of a name
+that a text has after a form of address is found again in that text without one, as it is and in capitals. Draws that
 meet another entity's surrogate, or any entity of the corpus, are made again until none do, from
 a wider pool after ``NARROW`` draws: distinctness stays. Should a pool be full, it raises.
 
@@ -38,7 +38,12 @@ NO_NAMES = (
     "Der Die Das Er Sie Es Wir Ein Eine Und Aber Im Am Bei Nach Vor Mit Le La Les Un Une Il Elle Ils Elles Et Mais Dans El Los Las Una Ella Ellos Pero En Con Y"
 ).split()
 _WORD = r"\p{Lu}[\p{L}'’\-]{1,30}"
-_NEXT = rf"(?!(?:{'|'.join(NO_NAMES)})(?![\p{{L}}'’\-])){_WORD}"
+_NO_NAME = "|".join(x for w in NO_NAMES for x in sorted({w, w.upper()}))
+_NEXT = rf"(?!(?:{_NO_NAME})(?![\p{{L}}'’\-])){_WORD}"
+#: Forms of address, with a dot and without; in capitals too.
+_DOTTED = "Mrs?|Ms|Dr|Prof|Sra?|Srta|Mme|Mlle"
+_PLAIN = "Mister|Miss|Herr|Frau|Monsieur|Madame|Señora?|Señorita|Господин|Госпожа|Κύριος|Κυρία"
+_ADDRESS = rf"(?:{_DOTTED}|{_DOTTED.upper()})\.|{_PLAIN}|{_PLAIN.upper()}|ΚΥΡΙΟΣ|ΚΥΡΙΑ"
 #: Kinds in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
@@ -48,12 +53,12 @@ PATTERNS = {
     "phone": r"(?<!\p{N})(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .\-]\d{3,4}[ .\-]\d{3,4}(?!\p{N})|\+\d{9,14}(?!\p{N})",
     "iban": r"(?<![\p{L}\p{N}])[A-Za-z]{2}\d{2}(?: ?[A-Za-z0-9]{4}){3,7}(?: ?[A-Za-z0-9]{1,3})?(?![\p{L}\p{N}])",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,}|(?:AKIA|ASIA)[A-Z0-9]{16}|(?:sk|pk|ghp|gho|xoxb|xoxp)[_\-][A-Za-z0-9_\-]{16,})(?![\p{L}\p{N}])",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:(?:Mrs?|Ms|Dr|Prof|Sra?|Srta|Mme|Mlle)\.|Mister|Miss|Herr|Frau|Monsieur|Madame|Señora?|Señorita|Господин|Госпожа|Κύριος|Κυρία) {_WORD}(?: {_NEXT}){{0,2}}",
+    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_ADDRESS}) {_WORD}(?: {_NEXT}){{0,2}}",
 }
-FEMALE = "^(?:Mrs|Ms|Sra|Srta|Mme|Mlle|Miss|Frau|Madame|Señora|Señorita|Госпожа|Κυρία)"
+FEMALE = r"(?iu)^(?:Mrs|Ms|Sra|Srta|Mme|Mlle|Miss|Frau|Madame|Señora|Señorita|Госпожа|Κυρία|Κυρια)(?!\p{L})"
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Cheap first look: texts without any of these have no entity. Keys are known by what ends their prefix, or by a run of 32.
-MAYBE = r"(?=[@0-9MDPSHFГΚ])(?:[@0-9]|(?<!\p{L})(?:Mr|Ms|Dr\.|Prof\.|Sr|Mme|Mlle|Mis|Herr |Frau |Monsieur |Madame |Señor|Господин|Госпожа|Κύρι|Κυρία))|(?<=sk|pk|ghp|gho|xoxb|xoxp)[_\-]|A[KS]IA|[a-fA-F]{32}"
+MAYBE = r"(?=[@0-9MDPSHFГΚ])(?:[@0-9]|(?<!\p{L})(?:Mr|Ms|Dr\.|Prof\.|Sr|Mme|Mlle|Mis|Herr |Frau |Monsieur |Madame |Señor|Господин|Госпожа|Κύρι|Κυρία|MR|MS|DR\.|PROF\.|SR|MME|MLLE|MIS|HERR |FRAU |MONSIEUR |MADAME |SEÑOR|ГОСПОДИН|ГОСПОЖА|ΚΎΡΙ|ΚΥΡ))|(?<=sk|pk|ghp|gho|xoxb|xoxp)[_\-]|A[KS]IA|[a-fA-F]{32}"
 #: Kinds that may stand right after a letter or digit, as far as their own look-behinds allow.
 _GLUED = "|".join(f"(?:{PATTERNS[k]})" for k in ("ip", "ssn", "card", "phone"))
 #: The same hits as PATTERN, cheaper: within a word only kinds that may stand there are tried, and only at a digit, plus or bracket.
@@ -109,7 +114,7 @@ def units(hit: Column) -> Column:
     )
     one = F.array(F.struct(kind.alias("kind"), canon.alias("canon"), hit.alias("surface"), F.lit("").alias("gender")))
     words = F.split(hit, " ")
-    gender = F.when(hit.rlike(FEMALE), "f").when(hit.rlike("^(?:Dr|Prof)"), "").otherwise("m")
+    gender = F.when(hit.rlike(FEMALE), "f").when(hit.rlike("(?i)^(?:Dr|Prof)"), "").otherwise("m")
 
     def word(w: Column, i: Column) -> Column:
         part = F.when(i == 0, "lit").otherwise(F.concat(F.lit("name:"), _script(w)))
@@ -133,13 +138,15 @@ def surrogate(key: str, kind: Column, canon: Column, gender: Column, attempt: Co
         return F.concat(*[digit(F.lit(tag + k)) for k in range(n)])
 
     def char(c: Column, i: Column) -> Column:
-        out = F.when(c.rlike("[0-9]"), digit(i))
+        out = F.when(c.rlike(r"\p{N}"), digit(i))
         for script, letters in _LETTERS.items():
             at = F.lit(letters)
             is_script = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}[script]
             got = F.substr(at, draw(i, len(letters)) + 1, F.lit(1))
             out = out.when(c.rlike(is_script), F.when(c == F.lower(c), got).otherwise(F.upper(got)))
-        return out.otherwise(c)
+        # letters of any other script become Latin ones; only marks stay
+        other = F.substr(F.lit(_LETTERS["latin"]), draw(i, 26) + 1, F.lit(1))
+        return out.when(c.rlike(r"\p{L}"), F.when(c == F.lower(c), other).otherwise(F.upper(other))).otherwise(c)
 
     def same_form(c: Column) -> Column:
         return F.array_join(F.transform(F.split(c, ""), char), "")
@@ -257,9 +264,10 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     per_text = made.groupBy("__pii_key").agg(unit.alias("__pii_units"))
     # a hit's units stand side by side: the first begins it, the others follow after a space
     joined = F.transform("__pii_units", lambda x: F.concat(F.when(x["u"] > 0, " ").otherwise("\u0000"), x["new"]))
-    # full names, without the form of address: one run of name units each, as it stands and as it becomes
-    run = lambda f: F.filter(F.split(F.array_join(F.transform("__pii_units", lambda x: F.when(x["u"] == 0, "\u0000").otherwise(F.concat(F.when(x["u"] > 1, " ").otherwise(""), x[f]))), ""), "\u0000"), lambda n: F.contains(n, F.lit(" ")))
-    bare = F.array_distinct(F.zip_with(run("surface"), run("new"), lambda a, b: F.struct(F.length(a).alias("n"), a.alias("old"), b.alias("new"))))
+    # words of names, which the text may have without the form of address and in capitals: as they stand and as they become
+    names_ = F.filter("__pii_units", lambda x: F.startswith(x["kind"], F.lit("name:")) & ~F.upper(x["surface"]).isin([w.upper() for w in NO_NAMES]))
+    spelt = lambda x, f: F.struct(F.length(x["surface"]).alias("n"), f(x["surface"]).alias("old"), f(x["new"]).alias("new"))
+    bare = F.array_distinct(F.concat(F.transform(names_, lambda x: spelt(x, lambda c: c)), F.transform(names_, lambda x: spelt(x, F.upper)), F.transform(names_, lambda x: spelt(x, F.initcap))))
     per_text = per_text.select("__pii_key", F.slice(F.split(F.array_join(joined, ""), "\u0000"), 2, F.lit(1 << 30)).alias("__pii_new"), F.sort_array(bare, False).alias("__pii_bare"))
     done = dirty.join(per_text, "__pii_key")
     between = F.split(t_away, PATTERN_FAST, -1)

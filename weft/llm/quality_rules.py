@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, table
+from .common import SPACE_CLASS, fresh, table
 
 WINDOW = 5
 STOP_WORDS = (
@@ -88,7 +88,7 @@ def _repeat_words(words: Column, grams: Column) -> Column:
 
 def with_metrics(df: DataFrame, text: str = "text", out: str = "metrics", stop_words: tuple[str, ...] | list[str] = STOP_WORDS) -> DataFrame:
     """Adds the struct ``out`` of all metrics of the column ``text``. ``stop_words`` are counted as they are and capitalised."""
-    tmp = f"__{out}"
+    tmp, grammed = fresh(df, out, "grams")
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.array_remove(F.split(t, SPACE_CLASS + "+"), "")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
@@ -101,7 +101,7 @@ def with_metrics(df: DataFrame, text: str = "text", out: str = "metrics", stop_w
             lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
-    df = df.withColumn(f"{tmp}g", grams)
+    df = df.withColumn(grammed, grams)
     count = lambda c: c.cast("long")
     base = F.struct(
         count(n).alias("n_words"),
@@ -109,7 +109,7 @@ def with_metrics(df: DataFrame, text: str = "text", out: str = "metrics", stop_w
         count(F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", ""))).alias("n_symbols"),
         count(F.size(F.col(f"{tmp}.l"))).alias("n_lines"),
         count(F.size(F.col(f"{tmp}.l")) - F.size(F.array_distinct(F.col(f"{tmp}.l")))).alias("n_dup_lines"),
-        _repeat_words(w, F.col(f"{tmp}g")).alias("n_repeat_words"),
+        _repeat_words(w, F.col(grammed)).alias("n_repeat_words"),
         count(F.size(F.filter(w, lambda x: x.isin(*stop_words, *[s.capitalize() for s in stop_words])))).alias("n_stop_words"),
         count((F.length(t) - F.length(F.replace(t, F.lit("!!"), F.lit("")))) / 2).alias("n_bangs"),
         # not deterministic: a filter on the verdict stays above, and the arrays are made once a row
@@ -117,7 +117,7 @@ def with_metrics(df: DataFrame, text: str = "text", out: str = "metrics", stop_w
     )
     m = lambda c: F.col(out)[c]
     per_word = lambda c: F.coalesce(m(c) / F.nullif(m("n_words"), F.lit(0)), F.lit(0.0))
-    df = df.withColumn(out, base).drop(tmp, f"{tmp}g")
+    df = df.withColumn(out, base).drop(tmp, grammed)
     return df.withColumn(
         out,
         F.struct(

@@ -3,7 +3,7 @@
 Examples are a bounded sample of labelled documents: at most ``MAX_EXAMPLES`` rows and
 ``MAX_BYTES`` of text. All their words are index terms. A vector holds (1 + ln tf) * idf of
 every word of a text, times ``FLOOR`` plus the squared correlation of the word's presence with
-the label, at length one; a word that no example has counts towards the length with
+the label (``plain`` leaves this factor out), at length one; a word that no example has counts towards the length with
 a frequency of 0. The index is inverted: for each term and block of examples the
 postings and their greatest weight. A query adds up the blocks' greatest possible
 cosines, scores blocks from the greatest down, and stops when no block left can
@@ -79,8 +79,8 @@ def ranges(begin, size):
 class BlockMaxIndex:
     """Postings of unit vectors by term and block of ``BLOCK`` examples; terms of many examples as whole rows."""
 
-    def __init__(self, vectors: list[tuple], labels):
-        """``vectors``: sorted term hashes and counts of each example; examples in key order."""
+    def __init__(self, vectors: list[tuple], labels, plain: bool = False):
+        """``vectors``: sorted term hashes and counts of each example; examples in key order. ``plain``: weights are TF-IDF alone."""
         import numpy as np
 
         self.n = len(vectors)
@@ -93,8 +93,8 @@ class BlockMaxIndex:
         n, p = float(max(self.n, 1)), float(sum(labels))
         spread = np.maximum(p * (n - p) * df * (n - df), 1e-300)
         told = np.where((df < n) & (0 < p < n), (n * hit - p * df) ** 2 / spread, 0.0)
-        self.worth = (np.log((1 + n) / (1 + df)) + 1) * (FLOOR + told)
-        self.unknown = (math.log(1 + n) + 1) * FLOOR
+        self.worth = (np.log((1 + n) / (1 + df)) + 1) * (1 if plain else FLOOR + told)
+        self.unknown = (math.log(1 + n) + 1) * (1 if plain else FLOOR)
         weight = np.concatenate([self.unit(*v)[1] for v in vectors]) if vectors else np.zeros(0)
         # an example's place: by its heaviest term that others have too, then by key
         heaviest = np.full(self.n, -1)
@@ -181,12 +181,12 @@ class BlockMaxIndex:
 
 
 class Classifier:
-    def __init__(self, vectors: list[tuple], keys: list[str], labels, k: int = NEIGHBOURS):
+    def __init__(self, vectors: list[tuple], keys: list[str], labels, k: int = NEIGHBOURS, plain: bool = False):
         import numpy as np
 
         self.keys, self.k = keys, k
         self.labels = np.array(labels, float)
-        self.index = BlockMaxIndex(vectors, self.labels)
+        self.index = BlockMaxIndex(vectors, self.labels, plain)
         self.share = float(self.labels.mean()) if len(labels) else 0.0
         self.at = self.to = np.zeros(0)
         self.alone = self.share
@@ -253,23 +253,22 @@ def _unpacked(h: bytes, n: bytes):
     return np.frombuffer(h, np.uint64), np.frombuffer(n, np.uint32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MAX_EXAMPLES, max_bytes: int = MAX_BYTES) -> Classifier:
-    """Fits on at most ``most`` labelled rows of ``max_bytes`` together, those of the least hashes of their key; executors cast the examples' votes."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MAX_EXAMPLES, max_bytes: int = MAX_BYTES, plain: bool = False) -> Classifier:
+    """Fits on at most ``most`` labelled rows of ``max_bytes`` together, those of the least hashes of their key that fit; executors cast the examples' votes."""
     spark = docs.sparkSession
     short_batches(spark)
     rows = map_text(sample(docs, labels, F.col(label).cast("int"), most), _packed(), "h binary, n binary", ["t"])
     rows = written(rows.withColumn("size", F.octet_length("t")).withColumn("order", F.xxhash64("k")).drop("t"))
-    total, last = 0, None
-    for r in sorted(rows.select("order", "k", "size").collect(), key=lambda r: (r["order"], r.k)):
-        total += r["size"]
-        if total > max_bytes:
-            break
-        last = r
-    if last is None:
+    total, taken = 0, []
+    for r in sorted(rows.select("order", "k", "size").collect(), key=lambda r: (r["order"], r.k)):  # at most ``most`` rows
+        if total + r["size"] <= max_bytes:
+            total += r["size"]
+            taken.append((r["order"], r.k))
+    if not taken:
         return Classifier([], [], [])
-    rows = rows.filter((F.col("order") < last["order"]) | ((F.col("order") == last["order"]) & (F.col("k") <= last.k)))
+    rows = rows.join(F.broadcast(spark.createDataFrame(taken, rows.select("order", "k").schema)), ["order", "k"], "left_semi")
     got = sorted(rows.select("k", "y", "h", "n").collect(), key=lambda r: r.k)
-    c = Classifier([_unpacked(r.h, r.n) for r in got], [str(r.k) for r in got], [r.y for r in got])
+    c = Classifier([_unpacked(r.h, r.n) for r in got], [str(r.k) for r in got], [r.y for r in got], plain=plain)
     sent = spark.sparkContext.broadcast(c)
 
     def cast(batches):
