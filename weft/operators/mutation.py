@@ -132,8 +132,13 @@ def carried_over(fresh: DataFrame, old: DataFrame, content: list[str], decisions
 
 
 def row_signature(*columns: str) -> Column:
-    """SHA-256 of the columns as text; null differs from empty."""
-    return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]), 256)
+    """SHA-256 of the columns as text; null differs from empty, and what joins columns is escaped within them, so different rows never make one text."""
+    def text(c: str) -> Column:
+        t = F.col(c).cast("string")
+        escaped = F.replace(F.replace(F.replace(t, F.lit("\\"), F.lit("\\\\")), F.lit("\u001f"), F.lit("\\s")), F.lit("\u0000"), F.lit("\\0"))
+        return F.coalesce(F.when(t.rlike("[\\\\\\x00\\x1F]"), escaped).otherwise(t), F.lit("\u0000"))
+
+    return F.sha2(F.concat_ws("\u001f", *[text(c) for c in columns]), 256)
 
 
 def fingerprint(df: DataFrame, *columns: str) -> DataFrame:

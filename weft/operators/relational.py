@@ -146,21 +146,32 @@ def top_rank_groups(df: DataFrame, key: str, score: str, k: int) -> DataFrame:
     return df.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= k)
 
 
+#: Bytes of a range in which rows are numbered, as they are written.
+RANGE_BYTES = 128 << 20
+_ROWS = 33  # bits of monotonically_increasing_id() below the partition
+
+
 def numbered(df: DataFrame, order: list[str], after: Column | int = 0) -> DataFrame:
     """Adds ``ordinal``: the row's place in the whole order, without one task seeing all rows.
 
-    Rows are dealt into ranges, counted in each, and numbered from the counts of the ranges before.
+    Rows move once: they are dealt into ranges of the order, of about ``RANGE_BYTES``, sorted there and written with their place in the range; what
+    the ranges before hold is counted from what was written. Rows equal in ``order`` are told apart by a hash of all their columns, so ranges can be cut
+    between them and a run again gives the same numbers; rows equal in all columns are alike.
     """
-    from weft.sources.tables import kept
-
-    spark = df.sparkSession
-    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = kept(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
-    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    out = dealt.withColumn("_in", within).join(F.broadcast(before), "_part")  # one row a range
-    return out.withColumn("ordinal", (F.col("_before") + F.col("_in") + after).cast("long")).drop("_part", "_in", "_before")
+    from weft.sources.tables import dropped, kept
+
+    spark, held = df.sparkSession, kept(df)  # ranges are sampled from what is written, not from a second run of the plan
+    size = int(str(held._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of the files
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    tie = held.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    dealt = tie.repartitionByRange(n, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    dealt = kept(dealt.withColumn("_row", F.monotonically_increasing_id()))
+    dropped(held)
+    counts = dealt.groupBy(F.shiftright("_row", _ROWS).alias("_part")).agg(F.count("*").alias("_n"))
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    out = dealt.withColumn("_part", F.shiftright("_row", _ROWS)).join(F.broadcast(before), "_part")  # a row a range
+    place = F.col("_before") + F.col("_row").bitwiseAND((1 << _ROWS) - 1) + 1
+    return out.withColumn("ordinal", (place + after).cast("long")).drop("_part", "_row", "_before")
 
 
 def padded_id(prefix: str, number: Column, width: int = 6) -> Column:

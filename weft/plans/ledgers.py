@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from weft.operators import fingerprints as P
 from weft.operators import matching as D
 from weft.operators import mutation as M
+from weft.operators import nested as N
 from weft.operators import relational as R
 from weft.operators import review as W
 from weft.operators import validation as V
@@ -13,6 +15,8 @@ from weft.plans.graph import FINGERPRINT
 from weft.plans.relational import cents, t
 from weft.plans.rules import one_of, one_of_sql, strings
 from weft.plans.views import arr
+from weft.sources import snapshots as S_
+from weft.sources import tables as S
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -373,3 +377,83 @@ def grouped_money(spark, sf_dir):
     l, p, o = t(spark, sf_dir, "lineitem"), t(spark, sf_dir, "part"), t(spark, sf_dir, "orders")
     rows = l.join(p, F.col("l_partkey") == F.col("p_partkey")).join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("p_name", "o_orderstatus", cents("l_extendedprice").alias("c"))
     return rows.groupBy(F.col("p_name").alias("name")).agg(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("c")).otherwise(0)).alias("f"), F.sum("c").alias("whole"))
+
+
+_REMAP = "CASE WHEN {0} % 3 <> 0 THEN 'person-' || lpad({0}::VARCHAR, 6, '0') ELSE 'old-' || {0} END"
+
+
+@query(f"""SELECT o_orderkey, {_REMAP.format('o_custkey')} AS subject, (SELECT string_agg({_REMAP.format('l_suppkey')} || '/' || {_REMAP.format('l_partkey')} || '/' || 'x' || l_linenumber, ' ' ORDER BY l_linenumber, 'old-' || l_suppkey, 'old-' || l_partkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines,
+'old-' || o_orderkey || CASE WHEN o_custkey % 2 = 0 THEN ',old-' || o_custkey ELSE '' END AS former FROM orders""")
+def nested_remap(spark, sf_dir):
+    """Old ids in a struct, in arrays of structs and in arrays within these become new ones; those without an entry stay."""
+    old = lambda c: F.concat(F.lit("old-"), F.col(c).cast("string"))
+    l = t(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", old("l_suppkey").alias("person_id"), F.struct(F.array(old("l_partkey"), F.concat(F.lit("x"), F.col("l_linenumber").cast("string"))).alias("ids")).alias("deep")).alias("line"))
+    lines = l.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(lines, "o_orderkey", "left")
+    rows = o.select("o_orderkey", F.struct(old("o_custkey").alias("subject_person_id"), "lines").alias("snapshot"), N.former_ids(F.array(F.lit(" "), old("o_orderkey")), F.when(F.col("o_custkey") % 2 == 0, old("o_custkey")), "^old-").alias("legacy_ids"))
+    ids = t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k")).union(t(spark, sf_dir, "lineitem").select("l_partkey")).union(t(spark, sf_dir, "orders").select("o_custkey")).distinct().filter("k % 3 <> 0")
+    mapping = ids.select(F.concat(F.lit("old-"), F.col("k").cast("string")).alias("old"), R.padded_id("person-", F.col("k")).alias("new"))
+    out = N.remapped(rows, mapping, "o_orderkey", ["snapshot.subject_person_id", "snapshot.lines.person_id", "snapshot.lines.deep.ids"])
+    text = F.array_join(F.transform("snapshot.lines", lambda x: F.concat_ws("/", x["person_id"], x["deep"]["ids"])), " ")
+    return out.select("o_orderkey", F.col("snapshot.subject_person_id").alias("subject"), text.alias("lines"), F.array_join("legacy_ids", ",").alias("former"))
+
+
+@query("""SELECT o_orderkey, 'snapshot.' || path AS path, 'old-' || k AS value FROM (SELECT o_orderkey, 'subject' AS path, o_custkey AS k FROM orders UNION SELECT o_orderkey, 'lines.person_id', l_suppkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey) WHERE k % 3 = 0""")
+def ids_left_behind(spark, sf_dir):
+    old = lambda c: F.concat(F.lit("old-"), F.col(c).cast("string"))
+    lines = t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct(old("l_suppkey").alias("person_id"))).alias("lines"))
+    rows = t(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").select("o_orderkey", F.struct(old("o_custkey").alias("subject"), "lines").alias("snapshot"))
+    ids = t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k")).union(t(spark, sf_dir, "orders").select("o_custkey")).distinct().filter("k % 3 <> 0")
+    return N.unmapped(rows, ids.select(F.concat(F.lit("old-"), F.col("k").cast("string")).alias("old"), F.lit("new").alias("new")), "o_orderkey", ["snapshot.subject", "snapshot.lines.person_id"], "^old-")
+
+
+_LANES = ", ".join(f"(sum(('0x' || substr(h, {1 + 16 * k}, 16))::UBIGINT::HUGEINT) % 18446744073709551616)::VARCHAR AS h{k}" for k in range(4))
+_HASHED = "SELECT o_orderstatus AS part, sha256(o_orderkey::VARCHAR || chr(31) || o_custkey::VARCHAR || chr(31) || {0}) AS h FROM orders"
+
+
+@query(f"""SELECT part, count(*) AS n, {_LANES} FROM ({_HASHED.format("CASE WHEN o_orderkey % 10 = 3 THEN 'changed' ELSE o_orderpriority END")} WHERE o_orderkey % 10 <> 5) GROUP BY part""")
+def fingerprints_by_changes(spark, sf_dir):
+    """States of parts, brought up to date by the rows deleted, inserted and changed alone."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderstatus").alias("part"))
+    cols, k = ["o_orderkey", "o_custkey", "o_orderpriority"], F.col("o_orderkey") % 10
+    before = P.state(o.filter(k != 7), cols, ["part"])
+    new = o.filter(k == 7).unionByName(o.filter(k == 3).withColumn("o_orderpriority", F.lit("changed")))
+    out = P.changed(before, ["part"], P.state(new, cols, ["part"]), P.state(o.filter(k.isin(3, 5)), cols, ["part"]))
+    return out.select("part", "n", *[F.col(f"h{j}").cast("string").alias(f"h{j}") for j in range(4)])
+
+
+@query("""WITH n AS (SELECT c_nationkey AS part, count(*) AS was, count(*) FILTER (c_custkey % 50 <> 0) AS n FROM customer GROUP BY c_nationkey)
+SELECT part, CASE WHEN part = 3 THEN NULL ELSE was END AS was, CASE WHEN part = 4 THEN NULL ELSE n END AS n, CASE WHEN part = 3 THEN 'new' WHEN part = 4 THEN 'missing' ELSE 'changed' END AS fault FROM n WHERE part IN (3, 4) OR was <> n""")
+def drifted_parts(spark, sf_dir):
+    """Of recorded parts one is gone, one is new, and those are changed that lost customers."""
+    c = t(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("part"))
+    cols = ["c_custkey", "c_name"]
+    return P.drifted(P.state(c.filter("part <> 3"), cols, ["part"]), P.state(c.filter("part <> 4 AND c_custkey % 50 <> 0"), cols, ["part"]), ["part"])
+
+
+@query("""SELECT 1 AS version, (SELECT count(*) FROM supplier) AS suppliers, (SELECT count(*) FROM nation) AS nations, false AS failed, 0 AS differ
+UNION ALL SELECT 1, (SELECT count(*) FROM supplier), (SELECT count(*) FROM nation), true, 0
+UNION ALL SELECT 2, (SELECT count(*) FROM supplier WHERE s_suppkey % 4 <> 0), (SELECT count(*) FROM nation) + 1, false, (SELECT count(*) FROM supplier WHERE s_suppkey % 4 = 0) + 1""")
+def versioned_apply(spark, sf_dir):
+    """Two tables in one version; a change that fails between them, after which both are as before; the change, after which both are new."""
+    root, rows = S.scratch(spark), []
+    s, n = t(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+
+    def state(failed: bool, differ: int) -> None:
+        version = S_.manifest(spark, root)[0]
+        rows.append((version, S_.read(spark, root, "supplier").count(), S_.read(spark, root, "nation").count(), failed, differ))
+
+    S_.commit(spark, root, {"supplier": s, "nation": n})
+    state(False, 0)
+    fewer = lambda now: now["supplier"].filter("s_suppkey % 4 <> 0")
+    more = lambda now: now["nation"].unionByName(now["nation"].agg((F.max("n_nationkey") + 1).alias("n_nationkey"), F.lit("NEW").alias("n_name")))
+    failed = False
+    try:
+        S_.commit(spark, root, {"supplier": fewer({"supplier": s}), "nation": n.withColumn("n_name", F.raise_error(F.lit("no")).cast("string"))})
+    except Exception:  # noqa: BLE001  the failure is what is asked for
+        failed = True
+    state(failed, 0)
+    counts = S_.apply(spark, root, lambda now: {"supplier": fewer(now), "nation": more(now)})
+    S_.apply(spark, root, lambda now: {"supplier": fewer(now)}, "check")
+    state(False, sum(counts.values()))
+    return spark.createDataFrame(rows, "version int, suppliers long, nations long, failed boolean, differ long")
