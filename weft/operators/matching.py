@@ -151,3 +151,47 @@ def stem_forms(a: Column, b: Column, endings: Sequence[str], alphabet: str = "Gr
     stem = (x == y) & (F.length(x) >= 3)
     prefix = (F.length(short) >= 4) & F.startswith(long, short) & (F.length(long) - F.length(short) <= 2)
     return F.when(a == b, "equal").when(stem, "stem").when(prefix, "prefix")
+
+
+def relation_kinds() -> dict:
+    """How a text tells of a kind of relation between two labels: expressions of (text, a, b) that give ``ab``, ``ba`` or null."""
+    from weft.functions import text as X
+
+    return {"kinship": X.parent_phrase, "commission": lambda t, a, b: X.verb_phrase(t, a, b, *X.COMMISSION), "hostile": lambda t, a, b: X.verb_phrase(t, a, b, *X.HOSTILE)}
+
+
+def direct_proposals(candidates: DataFrame, passages: DataFrame, labels: DataFrame, kind: str, disputed: DataFrame | None = None) -> DataFrame:
+    """(id, subject, object, kind, passages) of candidates that their passages' words tell, all one way round.
+
+    ``candidates`` is (id, a, b, label_a, label_b, kinds), ``passages`` (id, passage, snippet), ``labels`` (passage, label, entity) of all mentions. A
+    passage counts only where each label names one entity, the candidate's own. Candidates of ``disputed`` entities are left out.
+    """
+    c = candidates.filter(F.array_contains("kinds", kind) & (F.length("label_a") > 0) & (F.length("label_b") > 0) & (F.col("label_a") != F.col("label_b")))
+    if disputed is not None:
+        for end in ("a", "b"):
+            c = c.join(disputed.select(F.col("entity").alias(end)).distinct(), end, "left_anti")
+    one = labels.groupBy("passage", "label").agg(F.count_distinct("entity").alias("n"), F.min("entity").alias("entity")).filter("n = 1")
+    end = lambda e: one.select("passage", F.col("label").alias(f"label_{e}"), F.col("entity").alias(e))
+    rows = c.join(passages.select("id", "passage", "snippet"), "id").join(end("a"), ["passage", "label_a", "a"]).join(end("b"), ["passage", "label_b", "b"])
+    told = rows.select("id", "a", "b", "passage", relation_kinds()[kind](F.col("snippet"), F.col("label_a"), F.col("label_b")).alias("way"))
+    found = proposals(told, ["id", "a", "b"], "way", "passage")
+    ahead = F.col("way") == "ab"
+    return found.select("id", F.when(ahead, F.col("a")).otherwise(F.col("b")).alias("subject"), F.when(ahead, F.col("b")).otherwise(F.col("a")).alias("object"), F.lit(kind).alias("kind"), "passages")
+
+
+def evidence_alignment(edges: DataFrame, evidence: str, mentions: DataFrame, locator) -> DataFrame:
+    """(edge_id, n_read, both, one, alignment): whether an edge's ends (src, dst) are mentioned at a passage of its evidence.
+
+    ``evidence`` is an array of structs or of texts; ``locator`` gives an item's passage, null where it names none. Mentions (entity, passage) meet
+    the exploded items twice, by equi joins. An edge none of whose items names a passage is ``non_nt_locator``.
+    """
+    m = mentions.filter(F.col("passage").isNotNull()).select("entity", "passage").distinct()
+    items = edges.select("edge_id", "src", "dst", F.explode_outer(evidence).alias("item")).select("edge_id", "src", "dst", locator(F.col("item")).alias("passage"))
+    for end in ("src", "dst"):
+        items = items.join(m.select(F.col("entity").alias(end), "passage", F.lit(True).alias(f"_{end}")), [end, "passage"], "left")
+    hit = lambda c: F.coalesce(F.col(c), F.lit(False))
+    by = items.groupBy("edge_id").agg(
+        F.count("passage").alias("n_read"), F.coalesce(F.bool_or(hit("_src") & hit("_dst")), F.lit(False)).alias("both"), F.coalesce(F.bool_or(hit("_src") | hit("_dst")), F.lit(False)).alias("one"),
+    )
+    alignment = F.when(F.col("n_read") == 0, "non_nt_locator").when(F.col("both"), "both_endpoints_mentioned").when(F.col("one"), "one_endpoint_mentioned").otherwise("neither_endpoint_mentioned")
+    return by.withColumn("alignment", alignment)
