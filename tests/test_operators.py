@@ -427,3 +427,38 @@ def test_all_paths_in_blocks_are_taken_up(spark, tmp_path):
     before = {b: (tmp_path / "paths" / b / "_SUCCESS").stat().st_mtime_ns for b in blocks[1:]}
     assert {(p.src, p.dst): list(p.ids) for p in G.all_canonical_paths(df, at, block_rows=1).filter("length > 1").collect()} == want
     assert before == {b: (tmp_path / "paths" / b / "_SUCCESS").stat().st_mtime_ns for b in blocks[1:]}
+
+
+def test_views_as_query_strings():
+    from weft.operators import topics as T
+
+    topics = T.presets({"team": ["a", "b"]})
+    assert set(topics) == {"all", "dynasty", "family", "discipleship", "team", "acts"} and topics["all"] == G.GraphQuery()
+    assert topics["family"].types[:4] == ("亲属关系-父母", "候选亲属关系-父母", "亲属关系-子女", "候选亲属关系-子女") and len(set(topics["family"].types)) == len(topics["family"].types) == 32
+    assert topics["acts"].types == ("长期同工", "候选长期同工", "师徒", "候选师徒", "差派", "候选差派", "接待", "候选接待", "司法行为", "候选司法行为", "候选亲属关系-父母", "候选亲属关系-子女", "候选亲属关系-手足", "候选亲属关系-配偶", "候选亲属关系-其他")
+    assert T.to_query_string(T.View()) == "" and T.from_query_string("") == T.View()
+    views = [
+        T.View(G.GraphQuery(types=("x y", "z"), books=("ACT",), eras=("é&=",), term="a b", scope="nt", evidence=("ancient", "modern")), "custom", "traditional", "p1", False, True),
+        T.View(topics["team"], "team", person="p"), T.View(G.GraphQuery(evidence=T.NO_EVIDENCE)), T.View(G.GraphQuery(scope="ot", term="名")),
+    ]
+    for v in views:
+        got = T.from_query_string("?" + T.to_query_string(v), topics)
+        same = lambda x: (x.topic, x.identity, x.person, x.direct, x.paths, x.query.term, x.query.scope, sorted(x.query.types), sorted(x.query.books), sorted(x.query.eras), sorted(x.query.evidence), x.query.nodes)
+        assert same(got) == same(v)
+    odd = T.from_query_string("topic=nothing&scope=moon&evidence=bad,ancient&identity=x&direct=2&paths=2", topics)
+    assert odd == T.View(G.GraphQuery(evidence=("ancient",)))
+    assert T.from_query_string("topic=team&books=ACT", topics).query.books == ()  # a topic has its own facets
+
+
+def test_rules_of_senses_by_hand(spark):
+    from weft.functions import senses as E
+    from weft.plans.senses import UNMARKED, VERSES
+
+    df = spark.createDataFrame([(i, *v[:7]) for i, v in enumerate(VERSES)], "i int, verse string, passage string, aliases string, label string, own boolean, endpoint boolean, patriarch boolean")
+    s = E.mention_sense(F.col("verse"), F.col("passage"), F.split("aliases", " "), F.col("label"), F.col("own"), F.col("endpoint"), F.col("patriarch"), F.lit(True))
+    got = {r.i: (r.s.kind, r.s.reason) if r.s else (None, None) for r in df.select("i", s.alias("s")).collect()}
+    assert got == {i: v[7:] for i, v in enumerate(VERSES)} and len({v[8] for v in VERSES}) == 19
+    marks = spark.createDataFrame([("\\v 1 属 \\pn 约 书\\pn* 人 \\+pn 亚\\+pn*。",), ("none",), (None,)], "v string").select(E.marked_names(F.col("v")).alias("m")).collect()
+    assert [[tuple(x) for x in r.m or ()] for r in marks] == [[("约书", "1属", "人亚。"), ("亚", "1属约书人", "。")], [], []]
+    edge = spark.createDataFrame([(v,) for v, _ in UNMARKED] + [(None,)], "v string").select(E.explicit_name(F.col("v"), F.array(F.lit(""), F.lit("约书亚")))["snippet"].alias("s")).collect()
+    assert [r.s for r in edge] == [x for _, x in UNMARKED] + [None]

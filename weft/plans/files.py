@@ -154,3 +154,107 @@ def graph_export(spark, sf_dir):
         n = back.agg(F.lit(name).alias("tbl"), F.count("*").alias("n"), (F.coalesce(F.sum(F.col("n_all").cast("long")), F.lit(0)) if "n_all" in back.columns else F.lit(0).cast("long")).alias("mentions"))
         out = n if out is None else out.unionByName(n)
     return out
+
+
+def _named_files(df, key: str, line, *order: str) -> str:
+    """A folder with one text file ``n<key>.txt`` for each key, its lines in order; a key's lines are written by one task."""
+    spark, path = df.sparkSession, S.scratch(df.sparkSession)
+    rows = df.select(key, *order, line.alias("line")).repartition(key).sortWithinPartitions(key, *order)
+    rows.select(key, "line").write.partitionBy(key).text(f"{path}/parts")
+    fs, top = S._fs(spark, path)
+    for folder in fs.listStatus(S._fs(spark, f"{path}/parts")[1]):
+        name = folder.getPath().getName()
+        if name.startswith(f"{key}="):
+            for f in fs.listStatus(folder.getPath()):
+                if f.getPath().getName().startswith("part-"):
+                    fs.rename(f.getPath(), S._fs(spark, f"{path}/n{name.partition('=')[2].zfill(3)}.txt")[1])
+    return path
+
+
+def _customers(spark, sf_dir):
+    """Files of customers' lines, one a nation; a fifth of the lines have codes."""
+    c = t(spark, sf_dir, "customer")
+    k = F.col("c_custkey").cast("string")
+    coded = F.concat(F.lit("Mat."), F.col("c_nationkey").cast("string"), F.lit("."), k, F.lit("\tx H"), F.lpad(k, 4, "0"))
+    return _named_files(c, "c_nationkey", F.when(F.col("c_custkey") % 5 == 0, coded).otherwise(F.concat(F.lit("name "), "c_name")), "c_custkey")
+
+
+_CUSTOMERS = """f AS (SELECT c_nationkey AS n, c_custkey, 'n' || lpad(c_nationkey::VARCHAR, 3, '0') || '.txt' AS name,
+CASE WHEN c_custkey % 5 = 0 THEN 'Mat.' || c_nationkey || '.' || c_custkey || chr(9) || 'x H' || lpad(c_custkey::VARCHAR, 4, '0') ELSE 'name ' || c_name END AS line FROM customer),
+i AS (SELECT n, name, string_agg(line || chr(10), '' ORDER BY c_custkey) AS body, count(*) AS lines, count(*) FILTER (c_custkey % 5 = 0) AS coded FROM f GROUP BY n, name)"""
+
+
+@query(f"WITH {_CUSTOMERS} SELECT name, (dense_rank() OVER (ORDER BY name) - 1)::INT AS file_no, row_number() OVER (PARTITION BY name ORDER BY c_custkey) - 1 AS pos, line FROM f WHERE n <> 3")
+def files_in_order(spark, sf_dir):
+    """Lines of the files whose names match, in the files' order."""
+    lines = S.read_files(spark, _customers(spark, sf_dir), r"^n(?!003)\d+\.txt$")
+    return lines.select(F.element_at(F.split("file", "/"), -1).alias("name"), "file_no", "pos", "line")
+
+
+@query(f"WITH {_CUSTOMERS} SELECT name, octet_length(encode(body))::BIGINT AS bytes, sha256(body) AS sha256, lines, coded AS data_lines, coded AS n_refs, CASE WHEN coded > 0 THEN 'MAT' ELSE '' END AS books FROM i")
+def file_inventory(spark, sf_dir):
+    """Each file's bytes, hash and lines, and what its coded lines refer to."""
+    path = _customers(spark, sf_dir)
+    parsed = S.code_lines(S.read_lines(spark, f"{path}/n*.txt"), F.create_map(F.lit("mat"), F.lit("MAT")))
+    inv = S.code_inventory(parsed, S.file_inventory(spark, f"{path}/n*.txt"))
+    return inv.select(F.element_at(F.split("file", "/"), -1).alias("name"), "bytes", "sha256", "lines", "data_lines", "n_refs", strings("books").alias("books"))
+
+
+@query(f"""WITH {_CUSTOMERS} SELECT name, CASE n % 6 WHEN 1 THEN 'hash' WHEN 2 THEN 'bytes' WHEN 3 THEN 'lines' WHEN 4 THEN 'unregistered' END AS fault FROM i WHERE n % 6 IN (1, 2, 3, 4) UNION ALL SELECT 'gone.txt', 'missing'""")
+def locked_files(spark, sf_dir):
+    """Files against a lock of their bytes, hash and lines, of which some are wrong, missing or not registered."""
+    path = _customers(spark, sf_dir)
+    inv = S.file_inventory(spark, f"{path}/n*.txt")
+    n = F.pmod(F.regexp_extract("file", r"n(\d+)\.txt$", 1).cast("int"), F.lit(6))
+    lock = inv.filter(n != 4).select(F.element_at(F.split("file", "/"), -1).alias("name"), F.when(n == 2, 0).otherwise(F.col("bytes")).alias("bytes"), F.when(n == 1, "x").otherwise(F.col("sha256")).alias("sha256"), F.when(n == 3, -1).otherwise(F.col("lines")).alias("lines"))
+    return S.lock_violations(inv, lock.unionByName(spark.createDataFrame([("gone.txt", 1, "x", 1)], "name string, bytes long, sha256 string, lines long")))
+
+
+@query("SELECT CASE role WHEN 'user' THEN 'MAT' ELSE 'MRK' END || ' ' || (conv_id + 1) || ':' || (turn + 1) AS passage, conv_id + 1 AS chapter, turn + 1 AS verse, md5(text) || ' x' AS text FROM conversations")
+def verse_file(spark, sf_dir):
+    """Lines of reference and text; the book is told by the file. Of two lines of a verse the last counts."""
+    c = t(spark, sf_dir, "conversations").withColumn("who", F.when(F.col("role") == "user", 1).otherwise(2))
+    ref = F.concat(F.lit("Book "), (F.col("conv_id") + 1).cast("string"), F.lit(":"), (F.col("turn") + 1).cast("string"), F.lit("\t"))
+    both = c.select("who", "conv_id", "turn", F.explode(F.array(F.lit(1), F.lit(2))).alias("k"), ref.alias("ref"), F.md5(F.col("text").cast("binary")).alias("text"))
+    path = _named_files(both, "who", F.concat("ref", F.when(F.col("k") == 1, "an earlier reading").otherwise(F.concat("text", F.lit("  x ")))), "conv_id", "turn", "k")
+    v = S.verse_texts(S.read_lines(spark, f"{path}/n*.txt"), F.create_map(F.lit("n001"), F.lit("MAT"), F.lit("n002"), F.lit("MRK")))
+    return v.select("passage", F.col("chapter").cast("long").alias("chapter"), F.col("verse").cast("long").alias("verse"), "text")
+
+
+@query("""SELECT 'EZE ' || s_nationkey || ':' || s_suppkey AS passage, CASE s_suppkey % 3 WHEN 0 THEN 'אדם' WHEN 1 THEN 'אדם,קין' ELSE '' END AS lemmas FROM supplier WHERE s_suppkey % 4 <> 0""")
+def lemma_file(spark, sf_dir):
+    """Consonants of the proper names tagged in a file's lines, by passage; words that are no names do not count."""
+    s = t(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    head = F.concat(F.lit("Ezk."), F.col("s_nationkey").cast("string"), F.lit("."), k.cast("string"), F.lit("#0"))
+    name = lambda w: F.concat(head, F.lit(f"1=x\tHNpm\t{{H0120=אָדָם={w}}}"))
+    lines = F.array_compact(F.array(
+        F.when(k % 4 != 0, F.when(k % 3 != 2, name("Adam")).otherwise(F.concat(head, F.lit("1=x\tHNpl\tno lemma")))), F.when((k % 4 != 0) & (k % 3 == 1), F.concat(head, F.lit("2=x\tHNpm\t{H7014=קַיִן=Cain}"))), F.concat(head, F.lit("3=x\tHVqp3ms\t{H0559=אמר=say}")),
+    ))
+    found = S.name_lemmas(S.read_lines(spark, _lines(s, ["s_suppkey", "s_nationkey"], lines)), F.create_map(F.lit("EZK"), F.lit("EZE")))
+    return found.select("passage", strings("lemmas").alias("lemmas"))
+
+
+@query("""SELECT 'captured' AS what, p_name || ' ' || p_partkey || ' (Part)' AS title, p_brand AS at FROM part UNION ALL SELECT 'not a whole capture', NULL, NULL UNION ALL SELECT 'a row of another kind', NULL, NULL UNION ALL SELECT 'a row twice', NULL, NULL""")
+def captured_rows(spark, sf_dir):
+    """The rows of a capture, and why three others are refused: a wrong count, a title of another kind, a row that comes twice."""
+    p = t(spark, sf_dir, "part")
+    row = F.struct(F.concat_ws(" ", "p_name", "p_partkey", F.lit("(Part)")).alias("title"), F.col("p_brand").alias("at"))
+    whole = p.agg(F.lit("s").alias("source_id"), F.count("*").alias("count"), F.collect_list(row).alias("rows"))  # one capture is one document
+
+    def read(df):
+        path = S.scratch(spark)
+        df.coalesce(1).write.json(path)
+        return S.read_captured(spark, path, "title: string, at: string", "s", title=r"\(Part\)$")
+
+    def refused(df) -> str:
+        try:
+            read(df)
+        except ValueError as e:
+            return str(e).split(":")[0].replace(" of s", "")
+        return "read"
+
+    odd = F.struct(F.lit("no kind").alias("title"), F.lit("x").alias("at"))
+    bad = [whole.withColumn("count", F.col("count") + 1), whole.select("source_id", (F.col("count") + 1).alias("count"), F.array_append("rows", odd).alias("rows")), whole.select("source_id", (F.col("count") + 1).alias("count"), F.concat("rows", F.slice("rows", 1, 1)).alias("rows"))]
+    rows = read(whole).select(F.lit("captured").alias("what"), "title", "at")
+    return rows.unionByName(spark.createDataFrame([(refused(b), None, None) for b in bad], "what string, title string, at string"))

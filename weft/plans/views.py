@@ -232,3 +232,26 @@ def unknown_siblings(spark, sf_dir):
     h = h_edges(spark, sf_dir).filter("child LIKE 'N%'")
     known = I.siblings(h).filter("a LIKE '%1'").select(F.col("b").alias("a"), F.col("a").alias("b"))
     return I.siblings(h, known=known).select("a", "b")
+
+
+@query("""WITH e AS (SELECT 's' || l_suppkey AS src, 'p' || l_partkey AS dst, l_orderkey || '-' || l_linenumber || '-' || l_suppkey AS edge_id, l_returnflag AS type,
+CASE WHEN l_quantity > 25 THEN ['nt_text', 'modern'] ELSE ['ancient'] END AS levels, ['B' || l_linenumber] AS books, CASE WHEN l_orderkey % 2 = 0 THEN ['nt'] ELSE ['ot'] END AS ts FROM lineitem)
+SELECT 'custom' AS view, src, dst, edge_id FROM (SELECT DISTINCT * FROM e) WHERE type IN ('A', 'R') AND list_contains(books, 'B2') AND list_contains(levels, 'ancient') AND list_contains(ts, 'nt')
+UNION ALL SELECT 'team', src, dst, edge_id FROM (SELECT DISTINCT src, dst, edge_id FROM e) WHERE src IN ('s1', 's2') AND dst IN ('p1', 'p2', 'p3', 'p4', 'p5')""")
+def views_by_query_string(spark, sf_dir):
+    """A view with its own facets and one of a topic, each sent as a link and read back."""
+    from weft.operators import topics as T
+
+    l = t(spark, sf_dir, "lineitem")
+    name = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    edges = l.select(
+        name("s", "l_suppkey").alias("src"), name("p", "l_partkey").alias("dst"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey").alias("edge_id"), F.col("l_returnflag").alias("type"),
+        F.when(F.col("l_quantity") > 25, arr("nt_text", "modern")).otherwise(arr("ancient")).alias("levels"), F.array(name("B", "l_linenumber")).alias("books"), F.when(F.col("l_orderkey") % 2 == 0, arr("nt")).otherwise(arr("ot")).alias("testaments"),
+    ).distinct()
+    nodes = edges.select(F.col("src").alias("node")).distinct()
+    topics = T.presets({"team": ["s1", "s2", "p1", "p2", "p3", "p4", "p5"]})
+    custom = T.View(G.GraphQuery(types=("R", "A"), books=("B2",), evidence=("ancient",), scope="nt"), "custom")
+    shown = lambda view, df: G.visible(nodes, df, T.from_query_string(T.to_query_string(view), topics).query).select("src", "dst", "edge_id")
+    one = shown(custom, edges).select(F.lit("custom").alias("view"), "src", "dst", "edge_id")
+    two = shown(T.View(topics["team"], "team"), edges.withColumns({"type": F.lit(T.TEAM[0]), "levels": arr("modern")}))
+    return one.unionByName(two.select(F.lit("team").alias("view"), "src", "dst", "edge_id"))

@@ -14,16 +14,13 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weft.sources.tables import _fs
+
 
 class Conflict(ValueError):
     """Another commit was first."""
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def versions(spark: SparkSession, root: str) -> list[int]:
     """All versions, the first one being 1."""
     fs, p = _fs(spark, f"{root.rstrip('/')}/_manifests")

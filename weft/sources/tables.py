@@ -49,9 +49,15 @@ def kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _fs(spark: SparkSession, path: str):
+    """The file system of a path, and the path in it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def dropped(df: DataFrame) -> None:
