@@ -129,3 +129,16 @@ def test_bpe_query_has_the_contracts_columns(spark, sf_dir, byte_lib):
         r = rows[d.doc_id]
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(byte_lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_files_are_cut_by_bytes(spark, tmp_path):
+    """Long texts side by side make no long file, whatever the keys are; null keys come first, keys beyond 2 ** 53 keep their order."""
+    rows = [(2**60 + i, "word " * (2000 if i < 50 else 2), f"k{i:04}é") for i in range(1000)] + [(None, "null key", None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, name string").repartition(7)
+    for key in ("doc_id", "name"):
+        made = token_files.write(df, public_tokenizers.path("word_bpe_49k.json"), "file://" + str(tmp_path / key), key=key, file_bytes=100_000)
+        files = made.orderBy("file").collect()
+        assert 5 <= len(files) <= 7 and max(f.n_tokens for f in files) <= 2 * sum(f.n_tokens for f in files) / len(files)
+        got = token_files.read(made).orderBy("start").collect()
+        assert [r.key for r in got] == [None] * 3 + [str(r[0 if key == "doc_id" else 2]) for r in rows[:1000]]
+    assert token_files._bounds(df.limit(0).select(df.doc_id.alias("k"), df.doc_id.alias("h"), df.doc_id.alias("size")), 10) == []

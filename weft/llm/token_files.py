@@ -1,6 +1,6 @@
 """Token-id files with a minimal perfect hash index.
 
-``write`` deals documents by ranges of their key, encodes them and writes one
+``write`` deals documents by ranges of their key, cut by the bytes of their texts, encodes them and writes one
 binary file for each range: the ids of all its documents, one after the other as
 little-endian unsigned 32-bit integers, then the keys in order, then an index. The
 index is a minimal perfect hash of the file's distinct keys (hash and displace):
@@ -9,7 +9,7 @@ a key gives a bucket, the bucket's pilot gives a slot, and the slot holds a
 So a look-up costs one hash, one pilot and one slot, whatever the file's size, and
 an absent key is told by its fingerprint; what passes it is held against the stored key. Over all files,
 ``lookup`` finds a key's files by a binary search of their first and last keys, which are sent to
-the executors (some 100 bytes a file), and then its entries by their indexes.
+the executors (some 100 bytes a file, of ``MAX_FILES`` at most), and then its entries by their indexes.
 
 File: ``WTOK``, version and bytes of an id, payload, sections, then a footer of section offsets.
 Files go to the shared folder under a name of their own and are renamed when
@@ -39,8 +39,11 @@ from .bpe import byte_chars
 from .common import hold, shared_dir, short_batches, table
 
 MAGIC = b"WTOK\x01\x00\x00"
-#: Bytes of text in a file, about; a file is one task's work.
+#: Bytes of text in a file, about, and how many files there are at most: beyond, files are larger. A file is one task's work.
 FILE_BYTES = 32 << 20
+MAX_FILES = 16_384
+#: Places in a file's range at which it may be cut.
+CUTS = 16
 #: Pieces in a worker's memo before it becomes the older one and a new one begins; about 160 bytes each.
 MEMO = 1_000_000
 MANIFEST = "file long, path string, n_docs long, n_tokens long, first_key string, last_key string"
@@ -332,15 +335,74 @@ class Reader:
         self.f.close()
 
 
+def _rank(k, h: int) -> tuple:
+    """How (key, hash) is ordered: null first, text by its bytes as Spark orders it."""
+    return (k is not None, (k.encode() if isinstance(k, str) else k) if k is not None else 0, h)
+
+
+def _bounds(narrow: DataFrame, file_bytes: int) -> list[tuple]:
+    """Where ranges of (k, h) begin, all but the first, so that each has about ``file_bytes`` of ``size``; at most ``MAX_FILES`` ranges.
+
+    Rows without their texts are put in order once; each task sums what it has and tells the places of some of its rows, ``CUTS`` for a file's bytes.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    total = int(narrow.agg(F.sum("size")).first()[0] or 0)
+    n = max(1, min(-(-total // file_bytes), MAX_FILES))
+    if n == 1:
+        return []
+    step = max(total // n // CUTS, 1)
+    kind = narrow.select("k", "h").schema.add("part", "long").add("below", "long").add("last", "boolean")
+    types = to_arrow_schema(kind).types
+
+    def mark(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part, below, rows, k, h = TaskContext.get().partitionId(), 0, [], None, 0
+        for b in batches:
+            for k, h, size in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if below // step != (below + size) // step or not below:
+                    rows.append((k, h, part, below, False))
+                below += size
+        if below:
+            rows.append((k, h, part, below, True))
+        columns = zip(*rows, strict=True) if rows else ([],) * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=kind.names)
+
+    ordered = narrow.repartitionByRange(F.col("k").asc_nulls_first(), "h").sortWithinPartitions(F.col("k").asc_nulls_first(), "h")
+    told = sorted(ordered.mapInArrow(mark, kind).collect(), key=lambda r: (r.part, r.below, r["last"]))
+    out, before = [], 0
+    for r in told:  # a place is taken if it is the first at or beyond the next file's beginning
+        if r["last"]:
+            before += r.below
+        elif before + r.below >= (len(out) + 1) * total // n and len(out) < n - 1:
+            out.append(_rank(r.k, r.h))
+    return sorted(set(out))
+
+
+def _place(bounds: list[tuple]):
+    """A function of (k, h): the number of bounds at or before it."""
+    import bisect
+
+    import pyarrow as pa
+
+    def at(k, h):
+        return pa.array([bisect.bisect_right(bounds, _rank(a, b)) for a, b in zip(k.to_pylist(), h.to_pylist(), strict=True)], pa.int32())
+
+    at.__annotations__ = dict.fromkeys(("k", "h", "return"), pa.Array)  # whole numbers stay whole, unlike in pandas
+    return F.arrow_udf(at, "int")
+
+
 def write(
     docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", text: str = "text", end_id: int | None = 2, file_bytes: int = FILE_BYTES
 ) -> DataFrame:
     """Writes ``docs`` in ascending order of ``key`` below ``folder``; the files' manifest, as a written table."""
     spark = docs.sparkSession
     short_batches(spark)
-    dealt = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    n = max(1, -(-int(dealt.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // file_bytes))
-    dealt = dealt.repartitionByRange(n, F.col("k").asc_nulls_first(), F.xxhash64("t")).sortWithinPartitions(F.col("k").asc_nulls_first(), F.xxhash64("t"))
+    dealt = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("h"))
+    bounds = _bounds(dealt.select("k", "h", (F.coalesce(F.octet_length("t"), F.lit(0)) + 1).cast("long").alias("size")), file_bytes)
+    dealt = dealt.withColumn("at", _place(bounds)("k", "h")).repartitionById(len(bounds) + 1, "at").sortWithinPartitions(F.col("k").asc_nulls_first(), "h")
     dealt = dealt.select(F.col("k").cast("string").alias("k"), "t")
 
     def run(batches):
