@@ -52,6 +52,19 @@ def test_spans_against_brute_force(spark):
             assert (r.n_words, r.hit, sorted({i for s in r.spans for i in s["items"]})) == brute(r.text, names)
 
 
+def test_pieces_leave_the_corpus_alone(spark, odd_docs, monkeypatch):
+    """With many automata only hits are written, and all rows and columns stay."""
+    its = items(spark)
+    t = " ".join(f"t{i}" for i in range(20))
+    df = odd_docs.unionByName(spark.createDataFrame([(50, t), (50, t), (51, "a short item")], "doc_id long, text string"), allowMissingColumns=True).selectExpr("*", "1 AS __digest", "2 AS __spans")
+    sizes, real = [], D.written
+    monkeypatch.setattr(D, "written", lambda d: sizes.append(d.columns) or real(d))
+    many, one = D.match_items(df, its, max_item_bytes=40), D.match_items(df, its)
+    assert many.columns == one.columns and sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
+    assert len(sizes) > 2 and all(c == ["digest", "spans"] for c in sizes)
+    assert D.match_items(df.limit(0), its, max_item_bytes=40).count() == 0
+
+
 def test_spans_are_removed(spark):
     t = " ".join(f"t{i}" for i in range(20))
     df = spark.createDataFrame([(1, f"Before, {t}; after"), (2, "clean"), (3, None)], "doc_id int, text string")

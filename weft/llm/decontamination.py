@@ -11,7 +11,8 @@ Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ with A-Z lower-cased. A window i
 
 The items are sent to the executors, where each worker builds their automaton once. Items beyond
 ``MAX_ITEM_BYTES`` are dealt into several automata by hash; the documents go past one after the
-other and are written in between, so that what is broadcast, and what a worker holds, is one of them. Documents are never shuffled, and each
+other, so that what is broadcast, and what a worker holds, is one of them. Only what is hit is written, by the text's digest: the
+corpus is read once for each automaton and never rewritten. Each document
 costs a fixed amount a word, so a hot source or a very long text needs no split.
 
 Defined results: null and empty texts have no words, no hits and are not
@@ -30,7 +31,7 @@ from array import array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, map_text, table, written
+from .common import alnum_words, columns, fresh, hold, map_text, short_batches, table, written
 from .suffix import SuffixAutomaton
 
 WINDOW = 13
@@ -136,14 +137,10 @@ class ItemAutomaton:
                     s = short_up[link[s]]
 
 
-def _pieces(items: DataFrame, item_id: str, text: str, limit: int):
-    """The items, in pieces of about ``limit`` bytes of text."""
-    items = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = 1 + total // limit
-    for k in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield [(r.i, alnum_words(r.t)) for r in part.toLocalIterator()]
+def _piece(items: DataFrame, k: int, n: int) -> list[tuple[str, list[bytes]]]:
+    """The k-th of n pieces of the items (i, t), dealt by hash."""
+    part = items if n == 1 else items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
+    return [(r.i, alnum_words(r.t)) for r in part.toLocalIterator()]
 
 
 def match_items(
@@ -156,31 +153,57 @@ def match_items(
     max_item_bytes: int = MAX_ITEM_BYTES,
 ) -> DataFrame:
     """``docs`` with ``n_words`` and ``spans``: each run of hit words with the items that have a window in it."""
-    first = True
-    for piece in _pieces(items, item_id, item_text, max_item_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(piece)
+    items = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
+    n = 1 + (items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // max_item_bytes
+    spark = docs.sparkSession
+    if n > 1:
+        return _match_pieces(docs, items, n, text, window)
+    sent = spark.sparkContext.broadcast(_piece(items, 0, 1))
+
+    def make():
+        auto = _automaton(sent, window)
+
+        def run(texts):
+            words = [alnum_words(t) for t in texts]
+            return [[len(w) for w in words], [_joined(auto.match(w)) for w in words]]
+
+        return run
+
+    return map_text(docs, make, f"n_words bigint, {SPANS}", [text])
 
-        def make(sent=sent, first=first):
+
+def _match_pieces(docs: DataFrame, items: DataFrame, n: int, text: str, window: int) -> DataFrame:
+    """As ``match_items``, with the items in ``n`` pieces: hits of each are written by the text's digest, and joined to the documents at the end."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
+    spark, kind = docs.sparkSession, StructType.fromDDL(f"digest binary, {SPANS}")
+    short_batches(spark)
+    digest = F.unhex(F.sha2(F.coalesce(columns([text])[0], F.lit("")).cast("binary"), 256))
+    texts, hits = docs.select(digest.alias("digest"), columns([text])[0].alias("t")), None
+    for k in range(n):
+        sent = spark.sparkContext.broadcast(_piece(items, k, n))
+
+        def scan(batches, sent=sent):
+            hold(__name__)
             auto = _automaton(sent, window)
+            for b in batches:
+                some = [(i, found) for i, t in enumerate(b.column(1).to_pylist()) if (found := auto.match(alnum_words(t)))]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i for i, _ in some], pa.int64())), pa.array([_joined(x) for _, x in some], to_arrow_type(kind["spans"].dataType))], names=kind.names)
+
+        one = written(texts.mapInArrow(scan, kind).groupBy("digest").agg(F.first("spans").alias("spans")))  # copies of a text have the same
+        sent.destroy()
+        hits = one if hits is None else hits.unionByName(one)
+    of = hits.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # n lists at most
+    key, own = fresh(docs.drop("n_words", "spans"), "digest", "spans")
+    plain = docs.drop("n_words", "spans").withColumn(key, digest)
+    out = plain.join(of.select(F.col("digest").alias(key), F.col("spans").alias(own)), key, "left")
+
+    def make():
+        return lambda texts, found: [[len(alnum_words(t)) for t in texts], [_joined([(s["start"], s["stop"], s["items"]) for s in x or ()]) for x in found]]
 
-            def run(texts, before=None):
-                n, spans = [], []
-                for k, t in enumerate(texts):
-                    words = alnum_words(t)
-                    found = auto.match(words)
-                    if before and before[k]:
-                        found += [(s["start"], s["stop"], s["items"]) for s in before[k]]
-                    n.append(len(words))
-                    spans.append(_joined(found))
-                return [n, spans]
-
-            return run
-
-        if not first:
-            docs = written(docs)
-        docs = map_text(docs, make, f"n_words bigint, {SPANS}", [text] if first else [text, "spans"])
-        first = False
-    return docs
+    return map_text(out, make, f"n_words bigint, {SPANS}", [text, own]).select(*columns([*plain.drop(key).columns, "n_words", "spans"]))
 
 
 _built: dict = {}
