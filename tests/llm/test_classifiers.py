@@ -124,6 +124,8 @@ def test_toxicity_on_held_out_rows(spark, odd_docs, no_docs):
 def test_quality_on_held_out_rows(spark, odd_docs, no_docs):
     docs, labels, truth = corpus(spark)
     m = O.fit(docs, labels, O.grade_of_labels(), 3)
+    few = O.fit(docs, labels, O.grade_of_labels(), 3, max_bytes=20_000)
+    assert np.any(few.weights != m.weights) and not np.any(O.fit(docs, labels, O.grade_of_labels(), 3, max_bytes=10).weights)
     assert m.thresholds == sorted(m.thresholds)
     rows = O.score(docs, m).withColumn("held", T.digest_mod(F.col("doc_id"), 3) == 1).collect()
     held = [r for r in rows if r.held and r.doc_id in truth]

@@ -5,8 +5,8 @@ ordered thresholds cut it: P(grade >= k) = 1 / (1 + exp(threshold_k - score)).
 Features are words, their beginnings, and shapes of raw tokens (runs of symbols,
 capitals, repeats), hashed into ``SLOTS`` weights, (1 + ln count) each, at length
 one. Weights and thresholds are fitted together by Adam on the penalised
-likelihood of at most ``MAX_ROWS`` labelled rows. The sample's sparse features go to the driver:
-``MAX_ROWS`` rows of all their features, ``SLOTS`` at most. What is broadcast is ``SLOTS`` weights.
+likelihood of at most ``MAX_ROWS`` labelled rows. The sample's sparse features go to the driver, ``MAX_BYTES`` of them at most:
+rows are taken in the order of their keys' hashes, each with all its features, and one that does not fit is passed over. What is broadcast is ``SLOTS`` weights.
 
 Defined results: null and empty texts have the one feature of their length.
 Repeated rows give repeated results. With no labelled rows every grade is equally
@@ -24,11 +24,13 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import digest_mod, map_text, short_batches, table
+from .common import digest_mod, map_text, short_batches, table, written
 from .labelled import sample, tokens
 
 SLOTS = 1 << 16
 MAX_ROWS = 8000
+#: Bytes of packed features that the driver takes, 8 for each feature of a text; some five times as much while it fits.
+MAX_BYTES = 48_000_000
 KEEP = 0.5
 _MARKS = re.compile(rb"[#*$%&|<>!?=_~^+\\/-]{2,}|\|")
 
@@ -109,8 +111,8 @@ class OrdinalModel:
         return self.tails(float(self.weights[s] @ x))
 
 
-def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, most: int = MAX_ROWS) -> OrdinalModel:
-    """Fits on at most ``most`` labelled rows whose crc32(doc_id as text) mod 3 is not 1."""
+def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, most: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> OrdinalModel:
+    """Fits on at most ``most`` labelled rows whose crc32(doc_id as text) mod 3 is not 1, and ``max_bytes`` of their features."""
     short_batches(docs.sparkSession)
 
     def make():
@@ -124,7 +126,14 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, most:
         return run
 
     rows = map_text(sample(docs, labels, grade, most), make, "s binary, x binary", ["t"]).drop("t")
-    got = sorted(rows.collect(), key=lambda r: r.k)
+    rows = written(rows.withColumns({"size": F.octet_length("s") + F.octet_length("x"), "order": F.xxhash64("k")}))
+    total, taken = 0, []
+    for r in sorted(rows.select("order", "k", "size").collect(), key=lambda r: (r["order"], r.k)):  # at most ``most`` rows
+        if total + r["size"] <= max_bytes:
+            total += r["size"]
+            taken.append((r["order"], r.k))
+    fits = docs.sparkSession.createDataFrame(taken, rows.select("order", "k").schema)
+    got = sorted(rows.join(F.broadcast(fits), ["order", "k"], "left_semi").collect(), key=lambda r: r.k)
     return OrdinalModel.fit([(array("i", bytes(r.s)), array("f", bytes(r.x))) for r in got], [r.y for r in got], n_grades)
 
 
