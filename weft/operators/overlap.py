@@ -19,11 +19,12 @@ ROUNDING = 10
 
 
 def classes(sets: DataFrame, entity: str, item: str) -> DataFrame:
-    """(entity, cls, n): the least entity of an equal set of items, and the set's size.
+    """(entity, cls, n): the least entity of an equal set of items, and the set's size; nulls are no items.
 
     Sets are told apart by size and 128 bits of their items' hashes, summed without regard to order; no set is gathered.
     """
-    one = sets.groupBy(entity).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(item)).alias("h"), F.bit_xor(F.xxhash64(item, F.lit(1))).alias("g"))
+    mixed = lambda *salt: F.coalesce(F.bit_xor(F.when(F.col(item).isNotNull(), F.xxhash64(item, *salt))), F.lit(0))
+    one = sets.groupBy(entity).agg(F.count(item).alias("n"), mixed().alias("h"), mixed(F.lit(1)).alias("g"))
     return one.join(one.groupBy("n", "h", "g").agg(F.min(entity).alias("cls")), ["n", "h", "g"]).select(entity, "cls", "n")
 
 

@@ -86,7 +86,7 @@ def merge_group_faults(options: DataFrame, scopes: Sequence[str] = ("common_trad
 
 
 def merge_by_key(df: DataFrame, keys: list[str], least: dict[str, str], joined: dict[str, tuple[str, str]], united: dict[str, str]) -> DataFrame:
-    """One row a key: least values, texts joined in order, sets of values sorted."""
+    """One row a key: least values, texts joined in order, sets of values sorted. A key's different values are gathered in its row, which is what it asks for."""
     aggs = [F.min(c).alias(a) for a, c in least.items()]
     aggs += [ordered_concat(c, o).alias(a) for a, (c, o) in joined.items()]
     aggs += [F.array_sort(F.collect_set(c)).alias(a) for a, c in united.items()]
@@ -214,12 +214,17 @@ def priority_union(sources: Sequence[DataFrame], keys: list[str], order: Sequenc
     for k, s in enumerate(sources):
         s = s.withColumn("_priority", F.lit(k))
         out = s if out is None else out.unionByName(s)
-    return best(out, keys, [F.desc("_priority"), *order]).drop("_priority")
+    return best(out, keys, [F.desc("_priority"), *order, _any(out)]).drop("_priority")
+
+
+def _any(df: DataFrame) -> Column:
+    """An order of rows that are equal in what counts, the same in every run."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def latest(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
-    """The last version of each key; of equal ones, the later position."""
-    return best(df, keys, [F.desc(c) for c in order])
+    """The last version of each key; of equal ones, the later position, and then one and the same in every run."""
+    return best(df, keys, [*[F.desc(c) for c in order], _any(df)])
 
 
 def resolve(rows: DataFrame, table: DataFrame, ref: str, label: str, key: str, name: str, row_id: str | None = None, refs: DataFrame | None = None, passages: DataFrame | None = None) -> DataFrame:
@@ -286,9 +291,16 @@ def overlap_scores(left: DataFrame, right: DataFrame, a: str, b: str, passage: s
 
 
 def signature_groups(df: DataFrame, entity: str, item: str) -> DataFrame:
-    """Entities of equal sets of items: the set, how many have it, the least of them."""
-    sets = df.groupBy(entity).agg(F.array_sort(F.collect_set(item)).alias("signature"))
-    return sets.groupBy("signature").agg(F.count("*").alias("n"), F.min(entity).alias("first")).filter("n > 1")
+    """Entities of equal sets of items: the set, how many have it, the least of them.
+
+    Sets are told apart by their hashes, and only the one of each group's least entity is gathered.
+    """
+    from weft.operators.overlap import classes
+
+    sets = df.select(entity, item).distinct()
+    groups = classes(sets, entity, item).groupBy("cls").agg(F.count("*").alias("n")).filter("n > 1")
+    own = sets.join(groups, F.col(entity) == F.col("cls")).groupBy("cls", "n").agg(F.array_sort(F.collect_set(item)).alias("signature"))
+    return own.select("signature", "n", F.col("cls").alias("first"))
 
 
 def remap(df: DataFrame, mapping: DataFrame, columns: list[str]) -> DataFrame:

@@ -13,6 +13,22 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return child.filter(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
+def orphan_counts(child: DataFrame, references: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(fk, n_orphans, n_keys) of each column of ``references`` (to a parent and its key), zeros included: one scan of ``child`` for all of them.
+
+    Values are counted by column before they meet the parents' keys, so a value of any number of rows is one row there.
+    """
+    pairs = [F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("key")) for fk in references]
+    counts = child.select(F.explode(F.array(*pairs)).alias("r")).select("r.fk", "r.key").filter("key IS NOT NULL").groupBy("fk", "key").agg(F.count("*").alias("n"))
+    known = None
+    for fk, (parent, pk) in references.items():
+        one = parent.select(F.lit(fk).alias("fk"), F.col(pk).cast("string").alias("key"))
+        known = one if known is None else known.unionByName(one)
+    lost = counts.join(known, ["fk", "key"], "left_anti").groupBy("fk").agg(F.sum("n").alias("n_orphans"), F.count("*").alias("n_keys"))
+    names = child.sparkSession.createDataFrame([(fk,) for fk in references], "fk string")
+    return names.join(lost, "fk", "left").select("fk", F.coalesce("n_orphans", F.lit(0)).alias("n_orphans"), F.coalesce("n_keys", F.lit(0)).alias("n_keys"))
+
+
 def faults(df: DataFrame, keys: list[str], rules: dict[str, Column]) -> DataFrame:
     """(keys, fault): the names of ``rules`` true of a row, one row each; an unknown rule is no fault.
 

@@ -37,9 +37,9 @@ FKS = (
 @query(" UNION ALL ".join(f"SELECT '{c}.{f}' AS fk, count(*) AS n_orphans, count(DISTINCT {f}) AS n_keys FROM {c} WHERE {f} IS NOT NULL AND {f} NOT IN (SELECT {k} FROM {p})" for c, f, p, k in FKS))
 def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
-    for c, f, p, k in FKS:
-        o = V.orphans(t(spark, sf_dir, c), f, t(spark, sf_dir, p), k)
-        o = o.agg(F.count("*").alias("n_orphans"), F.countDistinct(f).alias("n_keys")).select(F.lit(f"{c}.{f}").alias("fk"), "n_orphans", "n_keys")
+    for child in dict.fromkeys(c for c, *_ in FKS):
+        refs = {f: (t(spark, sf_dir, p), k) for c, f, p, k in FKS if c == child}
+        o = V.orphan_counts(t(spark, sf_dir, child), refs).withColumn("fk", F.concat(F.lit(f"{child}."), "fk"))
         out = o if out is None else out.unionByName(o)
     return out
 
