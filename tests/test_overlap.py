@@ -97,3 +97,20 @@ def test_families_are_siblings(spark):
     empty = parents.limit(0)
     assert I.sibling_families(empty)[0].count() == 0 and O.meetings(empty, "parent", "child", 1)[0].count() == 0
     assert O.cooccurrences_above(empty, "parent", "child", 1)[0].count() == 0 and O.scores_above(empty, empty, "child", "child", "parent", 50_000)[0].count() == 0
+
+
+def test_kin_families_stand_for_all_pairs(spark):
+    r = random.Random(9)
+    parents = {(f"p{r.randint(0, 5)}", f"c{r.randint(0, 25)}") for _ in range(40)} | {("p1", "p2"), ("p0", "c1"), ("p3", "c1")}
+    df = spark.createDataFrame([(p, c, f"{p}-{c}") for p, c in parents], "parent string, child string, edge_id string")
+    sibs = spark.createDataFrame([("p0", "p3", "e1", False), ("p1", "p2", "e2", True), ("p4", "p5", "e3", False)], "a string, b string, edge_id string, inferred boolean")
+    kids = lambda p: {c for q, c in parents if q == p}
+    got, cousins, uncles = I.kin_families(df, sibs).collect(), set(), set()
+    for f in got:
+        found = {(x, y) for x in (kids(f.a) if f.kin == "cousin" else {f.a}) for y in kids(f.b) if x != y}
+        assert len(found) == f.n_pairs
+        if f.kin == "cousin":
+            cousins |= {(min(x, y), max(x, y)) for x, y in found}
+        else:
+            uncles |= found
+    assert cousins == {(c.a, c.b) for c in I.cousins(df, sibs).collect()} and uncles == {(u.elder, u.younger) for u in I.uncles(df, sibs).collect()}

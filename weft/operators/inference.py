@@ -81,6 +81,26 @@ def cousins(parents: DataFrame, sibs: DataFrame) -> DataFrame:
     return _best(found, ["a", "b"], F.array("e1", "es", "e2"), 68, 74)
 
 
+def kin_families(parents: DataFrame, sibs: DataFrame) -> DataFrame:
+    """(kin, a, b, edge_id, inferred, n_a, n_b, n_pairs): what ``uncles`` and ``cousins`` are pairs of, without the pairs.
+
+    A row ``uncle`` says that a is an uncle or aunt of each of b's ``n_b`` children (``n_a`` is 1), a row ``cousin`` that each of a's children is a
+    cousin of each of b's. Children are told by ``parents``; a child of both is no cousin of itself and not counted in ``n_pairs``.
+    """
+    kids = parents.select("parent", "child").distinct()
+    n = kids.groupBy("parent").agg(F.count("*").alias("n"))
+    s = sibs.select("a", "b", "edge_id", "inferred")
+    end = lambda e: n.select(F.col("parent").alias(e), F.col("n").alias(f"n_{e}"))
+    both = s.join(end("a"), "a").join(end("b"), "b")
+    pairs = s.select("a", "b").distinct()
+    shared = pairs.join(kids.select(F.col("parent").alias("a"), "child"), "a").join(kids.select(F.col("parent").alias("b"), "child"), ["b", "child"]).groupBy("a", "b").agg(F.count("*").alias("both"))
+    cousin = both.join(shared, ["a", "b"], "left").select(F.lit("cousin").alias("kin"), "a", "b", "edge_id", "inferred", "n_a", "n_b", (F.col("n_a") * F.col("n_b") - F.coalesce("both", F.lit(0))).alias("n_pairs"))
+    turned = s.unionByName(s.select(F.col("b").alias("a"), F.col("a").alias("b"), "edge_id", "inferred"))
+    own = kids.select(F.col("parent").alias("b"), F.col("child").alias("a"), F.lit(1).alias("own"))  # a child's uncle is not itself
+    uncle = turned.join(end("b"), "b").join(own, ["a", "b"], "left").select(F.lit("uncle").alias("kin"), "a", "b", "edge_id", "inferred", F.lit(1).cast("long").alias("n_a"), "n_b", (F.col("n_b") - F.coalesce("own", F.lit(0))).alias("n_pairs"))
+    return cousin.unionByName(uncle)
+
+
 def _best(found: DataFrame, ends: list[str], premises, low: int, high: int) -> DataFrame:
     """Fewer inferred premises first, then the least list of premises."""
     n = F.col("inferred").cast("int")

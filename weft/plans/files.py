@@ -175,13 +175,13 @@ def _customers(spark, sf_dir):
     """Files of customers' lines, one a nation; a fifth of the lines have codes."""
     c = t(spark, sf_dir, "customer")
     k = F.col("c_custkey").cast("string")
-    coded = F.concat(F.lit("Mat."), F.col("c_nationkey").cast("string"), F.lit("."), k, F.lit("\tx H"), F.lpad(k, 4, "0"))
+    coded = F.concat(F.lit("Mat."), F.col("c_nationkey").cast("string"), F.lit("."), (F.col("c_custkey") % 1000).cast("string"), F.lit("\tx H"), F.lpad(k, 4, "0"))
     return _named_files(c, "c_nationkey", F.when(F.col("c_custkey") % 5 == 0, coded).otherwise(F.concat(F.lit("name "), "c_name")), "c_custkey")
 
 
 _CUSTOMERS = """f AS (SELECT c_nationkey AS n, c_custkey, 'n' || lpad(c_nationkey::VARCHAR, 3, '0') || '.txt' AS name,
-CASE WHEN c_custkey % 5 = 0 THEN 'Mat.' || c_nationkey || '.' || c_custkey || chr(9) || 'x H' || lpad(c_custkey::VARCHAR, 4, '0') ELSE 'name ' || c_name END AS line FROM customer),
-i AS (SELECT n, name, string_agg(line || chr(10), '' ORDER BY c_custkey) AS body, count(*) AS lines, count(*) FILTER (c_custkey % 5 = 0) AS coded FROM f GROUP BY n, name)"""
+CASE WHEN c_custkey % 5 = 0 THEN 'Mat.' || c_nationkey || '.' || c_custkey % 1000 || chr(9) || 'x H' || lpad(c_custkey::VARCHAR, 4, '0') ELSE 'name ' || c_name END AS line FROM customer),
+i AS (SELECT n, name, string_agg(line || chr(10), '' ORDER BY c_custkey) AS body, count(*) AS lines, count(*) FILTER (c_custkey % 5 = 0) AS coded, count(DISTINCT c_custkey % 1000) FILTER (c_custkey % 5 = 0) AS refs FROM f GROUP BY n, name)"""
 
 
 @query(f"WITH {_CUSTOMERS} SELECT name, (dense_rank() OVER (ORDER BY name) - 1)::INT AS file_no, row_number() OVER (PARTITION BY name ORDER BY c_custkey) - 1 AS pos, line FROM f WHERE n <> 3")
@@ -191,7 +191,7 @@ def files_in_order(spark, sf_dir):
     return lines.select(F.element_at(F.split("file", "/"), -1).alias("name"), "file_no", "pos", "line")
 
 
-@query(f"WITH {_CUSTOMERS} SELECT name, octet_length(encode(body))::BIGINT AS bytes, sha256(body) AS sha256, lines, coded AS data_lines, coded AS n_refs, CASE WHEN coded > 0 THEN 'MAT' ELSE '' END AS books FROM i")
+@query(f"WITH {_CUSTOMERS} SELECT name, octet_length(encode(body))::BIGINT AS bytes, sha256(body) AS sha256, lines, coded AS data_lines, refs AS n_refs, CASE WHEN coded > 0 THEN 'MAT' ELSE '' END AS books FROM i")
 def file_inventory(spark, sf_dir):
     """Each file's bytes, hash and lines, and what its coded lines refer to."""
     path = _customers(spark, sf_dir)

@@ -383,7 +383,7 @@ _REMAP = "CASE WHEN {0} % 3 <> 0 THEN 'person-' || lpad({0}::VARCHAR, 6, '0') EL
 
 
 @query(f"""SELECT o_orderkey, {_REMAP.format('o_custkey')} AS subject, (SELECT string_agg({_REMAP.format('l_suppkey')} || '/' || {_REMAP.format('l_partkey')} || '/' || 'x' || l_linenumber, ' ' ORDER BY l_linenumber, 'old-' || l_suppkey, 'old-' || l_partkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines,
-'old-' || o_orderkey || CASE WHEN o_custkey % 2 = 0 THEN ',old-' || o_custkey ELSE '' END AS former FROM orders""")
+'old-' || o_orderkey || CASE WHEN o_custkey % 2 = 0 AND o_custkey <> o_orderkey THEN ',old-' || o_custkey ELSE '' END AS former FROM orders""")
 def nested_remap(spark, sf_dir):
     """Old ids in a struct, in arrays of structs and in arrays within these become new ones; those without an entry stay."""
     old = lambda c: F.concat(F.lit("old-"), F.col(c).cast("string"))

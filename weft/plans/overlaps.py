@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weft.operators import inference as I
 from weft.operators import overlap as O
+from weft.plans.graph import SIBE, H, _sibs, h_edges
 from weft.plans.relational import t
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -77,3 +78,12 @@ def sibling_families(spark, sf_dir):
     families, pairs = I.sibling_families(e, e.filter("child LIKE '%7'").select(F.col("child").alias("entity")))
     f = families.select(F.lit("family").alias("kind"), F.col("parent").alias("x"), F.col("child").alias("y"), "n", F.when(F.col("disputed"), "disputed").alias("status"))
     return f.unionByName(pairs.select(F.lit("pair").alias("kind"), F.col("a").alias("x"), F.col("b").alias("y"), F.lit(None).cast("long").alias("n"), "status"))
+
+
+@query(f"""WITH {H}, {SIBE}, n AS (SELECT parent, count(*) AS n FROM h GROUP BY parent), both_ AS (SELECT a, b, edge_id, inferred FROM sibe UNION ALL SELECT b, a, edge_id, inferred FROM sibe)
+SELECT 'cousin' AS kin, a, b, edge_id, inferred, x.n AS n_a, y.n AS n_b, x.n * y.n AS n_pairs FROM sibe JOIN n x ON x.parent = a JOIN n y ON y.parent = b
+UNION ALL SELECT 'uncle', a, b, edge_id, inferred, 1, n, n FROM both_ JOIN n ON parent = b""")
+def kin_families(spark, sf_dir):
+    """Cousins, uncles and aunts as families, not pairs: a row for two siblings, however many children they have."""
+    h = h_edges(spark, sf_dir)
+    return I.kin_families(h, _sibs(h))
