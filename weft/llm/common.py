@@ -71,6 +71,15 @@ def written(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes the table that ``written`` gave, once nothing reads it any more."""
+    files = df.inputFiles()
+    for spark, path in [m for m in _scratch if any(m[1].rpartition("/")[2] in f for f in files)]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _scratch.remove((spark, path))
+
+
 def short_batches(spark: SparkSession) -> None:
     """Keeps the session's Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes, here and in later queries."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):

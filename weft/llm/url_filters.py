@@ -28,7 +28,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import dropped, table, written
 
 
 class Rule(NamedTuple):
@@ -109,7 +109,7 @@ def propagate(
     ranks = base.select("host", F.col("trusted").alias("trust"), F.col("blocked").alias("distrust"))
     if shares.isEmpty():
         return ranks.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"))
-    for _ in range(MOST_ROUNDS if rounds is None else rounds):
+    for k in range(MOST_ROUNDS if rounds is None else rounds):
         ahead = shares.join(ranks, F.col("src") == F.col("host")).select(F.col("dst").alias("host"), (F.col("ahead") * F.col("trust")).alias("t"), F.lit(0.0).alias("b"))
         back = shares.join(ranks, F.col("dst") == F.col("host")).select(F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("back") * F.col("distrust")).alias("b"))
         got = ahead.union(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
@@ -117,6 +117,8 @@ def propagate(
         new = base.join(got, "host", "left").select("host", step("trusted", F.col("t")).alias("trust"), step("blocked", F.col("b")).alias("distrust"))
         new = written(new)
         moved = new.alias("a").join(ranks.alias("b"), "host").agg(F.sum(F.abs(F.col("a.trust") - F.col("b.trust")) + F.abs(F.col("a.distrust") - F.col("b.distrust")))).first()[0]
+        if k:
+            dropped(ranks)  # a round reads the last one's ranks alone
         ranks = new
         if (moved or 0.0) < tolerance:
             break
