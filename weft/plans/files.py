@@ -258,3 +258,29 @@ def captured_rows(spark, sf_dir):
     bad = [whole.withColumn("count", F.col("count") + 1), whole.select("source_id", (F.col("count") + 1).alias("count"), F.array_append("rows", odd).alias("rows")), whole.select("source_id", (F.col("count") + 1).alias("count"), F.concat("rows", F.slice("rows", 1, 1)).alias("rows"))]
     rows = read(whole).select(F.lit("captured").alias("what"), "title", "at")
     return rows.unionByName(spark.createDataFrame([(refused(b), None, None) for b in bad], "what string, title string, at string"))
+
+
+@query("""WITH p AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0),
+e AS (SELECT 'parent' AS kind, k // 2 AS a, k AS b FROM p WHERE k % 3 <> 0 UNION SELECT 'parent', k, 2 * k FROM p WHERE k % 2 = 0 UNION SELECT 'parent', k, 2 * k + 1 FROM p WHERE k % 2 = 0
+  UNION SELECT 'sibling', least(k, xor(k, 1)), greatest(k, xor(k, 1)) FROM p WHERE k % 5 = 0)
+SELECT kind, 'C' || lpad(a::VARCHAR, 7, '0') || '@Mat.' || a || '.1' AS src, 'C' || lpad(b::VARCHAR, 7, '0') || '@Mat.' || b || '.1' AS dst FROM e WHERE a <> b AND a IN (SELECT k FROM p) AND b IN (SELECT k FROM p)""")
+def ingested_edges(spark, sf_dir):
+    """Customers as people of a sectioned file, told of by themselves and by others; groups and people who are only mentioned are none."""
+    from weft.operators import ingest as G
+
+    c = t(spark, sf_dir, "customer")
+    k = F.col("c_custkey").cast("long")
+    name = lambda x: F.concat(F.lit("C"), F.lpad(x.cast("string"), 7, "0"))
+    key = lambda x: F.concat(name(x), F.lit("@Mat."), x.cast("string"), F.lit(".1"))
+    none = F.lit("")
+    fields = [
+        F.concat(key(k), F.lit("=G1")), none, F.when(k % 3 != 0, key(F.floor(k / 2))).otherwise(""), F.when(k % 5 == 0, name(k.bitwiseXOR(F.lit(1).cast("long")))).otherwise(""), none,
+        F.when(k % 2 == 0, F.concat(key(2 * k), F.lit(" + "), name(2 * k + 1))).otherwise(""), none, none, F.lit("Male"),
+    ]
+    how = F.when(k % 11 == 0, "Mentioned").otherwise("named")
+    lines = F.array_compact(F.array(
+        F.lit("$========== PERSON"), F.concat_ws("\t", *fields), F.concat(F.lit("– "), how, F.lit("\tx\t"), name(k), F.lit("\t\t\tMat.1.1")), F.when(k % 13 == 0, "– Group\tx\tPeople\t\t\tMat.4.1"),
+        F.lit("@Article\t\t\t\t\t\t\t\t"), F.lit("– named\tx\tSkipped\t\t\tMat.2.1"), F.lit("$========== PLACE"), F.concat(F.lit("Town"), name(k)),
+    ))
+    edges, _ = G.relations(G.people(G.sectioned_people(S.read_lines(spark, _lines(c, ["c_custkey"], lines)))))
+    return edges.select("kind", "src", "dst")
