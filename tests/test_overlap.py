@@ -48,6 +48,38 @@ def test_cooccurrences_above_against_all_pairs(spark):
         assert told == want and set(got) == {(min(at[x], at[y]), max(at[x], at[y])) for x, y in want if at[x] != at[y]}
 
 
+def sets_over_small(r, n):
+    """Sets below and above ``SMALL`` items, near copies of one another."""
+    base = [frozenset(r.sample(range(60), r.choice([3, 6, 15, 16, 17, 25]))) for _ in range(n // 5)]
+    return {i: frozenset(r.choice(base) - {r.randint(0, 59)} | {r.randint(0, 59)}) for i in range(n)}
+
+
+def test_cooccurrences_of_sets_over_small(spark):
+    sets = sets_over_small(random.Random(16), 150)
+    for least in (3, 12):
+        pairs, members = O.cooccurrences_above(frame(spark, sets), "item", "e", least)
+        firsts = {m.cls for m in members.collect()}
+        want = {(x, y): len(sets[x] & sets[y]) for x, y in combinations(sorted(firsts), 2) if len(sets[x] & sets[y]) >= least}
+        assert {(p.a, p.b): p.n_passages for p in pairs.collect()} == want and len(want) > 100
+
+
+def test_small_sets_that_share_too_little_do_not_meet(spark):
+    """A thousand sets share two hot items and nothing else: with three needed, no two of them are brought together."""
+    sets = frame(spark, {i: {-1, -2, *range(3 * i, 3 * i + 3)} for i in range(1000)} | {1000: {0, 1, 2, -9}}).withColumn("n", F.lit(5).cast("long"))
+    small = O._in_order(sets, O._places(sets, "item"))
+    pairs = O._small_pairs(small, small, lambda n, m: 3 if min(n, m) >= 3 else 0, once=True)
+    assert [(p.a, p.b, p.shared) for p in pairs.collect()] == [(0, 1000, 3)]
+    joined = pairs.groupBy("a").count()
+    joined.collect()
+    rows = []
+    def walk(p):
+        rows.extend(int(p.metrics().get("numOutputRows").get().value()) for _ in [0] if "Join" in p.nodeName() and p.metrics().contains("numOutputRows"))
+        kids = [p.executedPlan()] if p.nodeName() == "AdaptiveSparkPlan" else [p.plan()] if p.nodeName().endswith("QueryStage") else [p.children().apply(i) for i in range(p.children().size())]
+        [walk(k) for k in kids]
+    walk(joined._jdf.queryExecution().executedPlan())
+    assert rows and max(rows) < 20_000  # as rows of keys meet themselves; all pairs are 1,000,000
+
+
 def test_passage_of_a_hundred_thousand(spark, duck):
     """All entities of both sides share one passage; what reaches the threshold is what brute force without that passage finds."""
     def side(seed):

@@ -2,12 +2,15 @@
 
 Three means keep such an item from giving all pairs of its entities. Entities of equal sets are one class, scored once.
 Above a threshold only rare items bring two sets together: each set is asked for by so many of its rarest items that no
-pair which can reach the threshold is missed (prefix filtering), and frequent items are then only counted. Where every
+pair which can reach the threshold is missed (prefix filtering), and frequent items are then only counted. Sets of up to
+``SMALL`` items meet by up to ``TOGETHER`` shared items at once, so nearly all that meet are results. Where every
 pair counts, items of many entities stay factored: the item with its entities stands for all their pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +19,10 @@ from weft.sources.tables import kept
 
 #: Measures are rounded to ten-thousandths, so a score may be off by this much.
 ROUNDING = 10
+#: Sets of more items meet by single ones; of as many, 560 subsets of three are asked for.
+SMALL = 16
+#: Items that two small sets must share to meet, where their pair needs as many.
+TOGETHER = 3
 
 
 def classes(sets: DataFrame, entity: str, item: str) -> DataFrame:
@@ -55,6 +62,59 @@ def _shared(pairs: DataFrame, left: DataFrame, right: DataFrame, item: str) -> D
     return both.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
 
 
+def _subsets(items: Column, first: Column, size: int) -> Column:
+    """Hashes of all subsets of ``size`` of a short array's ``first`` items, of which there are as many at least."""
+    last = first - size
+    out = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("i"), F.xxhash64(F.get(items, i)).alias("h")))
+    for k in range(1, size):
+        out = F.flatten(F.transform(out, lambda s: F.transform(F.sequence(s["i"] + 1, last + k), lambda j: F.struct(j.alias("i"), F.xxhash64(s["h"], F.get(items, j)).alias("h")))))
+    return F.transform(out, lambda s: s["h"])
+
+
+def _in_order(sets: DataFrame, places: DataFrame) -> DataFrame:
+    """(e, n, items) of small sets, items from rare to frequent."""
+    placed = sets.filter(F.col("n") <= SMALL).join(places, "item")
+    return placed.groupBy("e", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "item"))), lambda x: x["item"]).alias("items"))
+
+
+def _small_pairs(left: DataFrame, right: DataFrame, need: Callable[[int, int], int], once: bool = False) -> DataFrame:
+    """(a, b, n_a, n_b, shared) of small sets (e, n, items) that share ``need(n_a, n_b)`` items or more; 0: no number is enough. ``once``: only a < b.
+
+    A pair which needs k items meets by l = min(k, ``TOGETHER``) of them at once: its l rarest shared items are within the rarest n - k + l of
+    either set. Pairs are exact thereafter, as hashes only bring them together.
+    """
+    sizes = range(SMALL + 1)
+    k = {(x, y): need(x, y) if x and y else 0 for x in sizes for y in sizes}
+    lists = lambda v: F.array(*[F.lit(x) for x in v])
+
+    def asked(side: DataFrame, at: int, end: str) -> DataFrame:
+        keys = []
+        for l in range(1, TOGETHER + 1):
+            rare = [max((n - q + l for xy, q in k.items() if xy[at] == n and min(q, TOGETHER) == l), default=0) for n in sizes]
+            first = F.get(lists(rare), F.col("n").cast("int"))
+            keys.append(F.when(first > 0, F.transform(_subsets(F.col("items"), first, l), lambda h: F.struct(F.lit(l).cast("byte").alias("l"), h.alias("h")))))
+        none = F.array().cast("array<struct<l:tinyint,h:bigint>>")
+        some = side.select(F.col("e").alias(end), F.col("n").cast("byte").alias(f"n_{end}"), F.explode(F.concat(*[F.coalesce(x, none) for x in keys])).alias("k"))
+        return some.select(end, f"n_{end}", "k.l", "k.h")
+
+    wanted = lambda v: F.get(lists(v), F.col("n_a").cast("int") * len(sizes) + F.col("n_b").cast("int"))
+    met = asked(left, 0, "a").join(asked(right, 1, "b"), ["l", "h"]).filter(F.col("l") == wanted([min(q, TOGETHER) for q in k.values()]))
+    pairs = (met.filter("a < b") if once else met).select("a", "b").distinct()
+    sets = lambda side, end: side.select(F.col("e").alias(end), F.col("n").alias(f"n_{end}"), F.col("items").alias(f"i_{end}"))
+    out = pairs.join(sets(left, "a"), "a").join(sets(right, "b"), "b").withColumn("shared", F.size(F.array_intersect("i_a", "i_b")).cast("long"))
+    return out.filter(F.col("shared") >= wanted(list(k.values()))).select("a", "b", "n_a", "n_b", "shared")
+
+
+def _large_meetings(left: DataFrame, right: DataFrame) -> DataFrame | None:
+    """(a, b, n_a, n_b) of sets, one of them large or both, by the rows of their prefixes (e, item, n); None where all are small."""
+    big = F.col("n") > SMALL
+    if left.filter(big).isEmpty() and right.filter(big).isEmpty():
+        return None
+    a, b = (d.select(F.col("e").alias(e), "item", F.col("n").alias(f"n_{e}")) for d, e in ((left, "a"), (right, "b")))
+    met = a.filter(F.col("n_a") > SMALL).join(b, "item").unionByName(a.filter(F.col("n_a") <= SMALL).join(b.filter(F.col("n_b") > SMALL), "item"))
+    return met.select("a", "b", "n_a", "n_b").distinct()
+
+
 def scored(pairs: DataFrame) -> DataFrame:
     """Coverage, precision, Jaccard and their 0.5 / 0.3 / 0.2 score of ``shared``, ``n_a`` and ``n_b``, in whole numbers."""
     s, a, b = F.col("shared"), F.col("n_a"), F.col("n_b")
@@ -77,17 +137,21 @@ def scores_above(left: DataFrame, right: DataFrame, a: str, b: str, passage: str
     t = max(least - ROUNDING, 1) / 100_000
     sides = []
     for df, e, part in ((left, a, (t - 0.3) / 0.7), (right, b, (t - 0.5) / 0.5)):
-        sets = df.select(F.col(e).alias("e"), F.col(passage).alias("item")).filter("e IS NOT NULL AND item IS NOT NULL").distinct()
+        sets = kept(df.select(F.col(e).alias("e"), F.col(passage).alias("item")).filter("e IS NOT NULL AND item IS NOT NULL").distinct())
         members = kept(classes(sets, "e", "item"))
         own = kept(sets.join(members.filter("e = cls").select("e", "n"), "e"))
         sides.append((members, own, part))
     (ma, sa, part_a), (mb, sb, part_b) = sides
     places = kept(_places(sa.select("item").unionByName(sb.select("item")), "item"))
+    ia, ib = (kept(_in_order(s, places)) for s in (sa, sb))
+    mean = lambda s, n: (s * 20000 + n) // (n * 2)
+    score = lambda s, n, m: mean(s, n) * 5 + mean(s, m) * 3 + mean(s, n + m - s) * 2
+    counted = _small_pairs(ia, ib, lambda n, m: next((s for s in range(1, min(n, m) + 1) if score(s, n, m) >= least), 0))
     pa, pb = (_prefix(s, places, "e", "item", _at_least(F.col("n"), part)) for s, part in ((sa, part_a), (sb, part_b)))
-    met = pa.select(F.col("e").alias("a"), "item", F.col("n").alias("n_a")).join(pb.select(F.col("e").alias("b"), "item", F.col("n").alias("n_b")), "item")
-    can = scored(met.select("a", "b", "n_a", "n_b").distinct().withColumn("shared", F.least("n_a", "n_b"))).filter(F.col("score") >= least)
-    pairs = kept(can.select("a", "b", "n_a", "n_b"))
-    counted = _shared(pairs, sa.select(F.col("e").alias("a"), "item"), sb.select(F.col("e").alias("b"), "item"), "item")
+    if (large := _large_meetings(pa, pb)) is not None:
+        can = scored(large.withColumn("shared", F.least("n_a", "n_b"))).filter(F.col("score") >= least)
+        pairs = kept(can.select("a", "b", "n_a", "n_b"))
+        counted = counted.unionByName(_shared(pairs, sa.select(F.col("e").alias("a"), "item"), sb.select(F.col("e").alias("b"), "item"), "item"))
     return scored(counted).filter(F.col("score") >= least), ma.withColumnRenamed("e", a), mb.withColumnRenamed("e", b)
 
 
@@ -96,13 +160,16 @@ def cooccurrences_above(df: DataFrame, passage: str, entity: str, least: int) ->
 
     Members of two classes share what their representatives do; two members of one class share all their ``n``.
     """
-    sets = df.select(F.col(entity).alias("e"), F.col(passage).alias("item")).filter("e IS NOT NULL AND item IS NOT NULL").distinct()
+    sets = kept(df.select(F.col(entity).alias("e"), F.col(passage).alias("item")).filter("e IS NOT NULL AND item IS NOT NULL").distinct())
     members = kept(classes(sets, "e", "item").filter(F.col("n") >= least))
     own = kept(sets.join(members.filter("e = cls").select("e", "n"), "e"))
-    p = kept(_prefix(own, kept(_places(own, "item")), "e", "item", F.lit(least)))
-    met = p.select(F.col("e").alias("a"), "item", F.col("n").alias("n_a")).join(p.select(F.col("e").alias("b"), "item", F.col("n").alias("n_b")), "item").filter("a < b")
-    pairs = kept(met.select("a", "b", "n_a", "n_b").distinct())
-    counted = _shared(pairs, own.select(F.col("e").alias("a"), "item"), own.select(F.col("e").alias("b"), "item"), "item")
+    places = kept(_places(own, "item"))
+    small = kept(_in_order(own, places))
+    counted = _small_pairs(small, small, lambda n, m: least if min(n, m) >= least else 0, once=True)
+    p = _prefix(own, places, "e", "item", F.lit(least))
+    if (large := _large_meetings(p, p)) is not None:
+        pairs = kept(large.filter("a < b"))
+        counted = counted.unionByName(_shared(pairs, own.select(F.col("e").alias("a"), "item"), own.select(F.col("e").alias("b"), "item"), "item"))
     return counted.filter(F.col("shared") >= least).select("a", "b", F.col("shared").alias("n_passages")), members.withColumnRenamed("e", entity)
 
 
