@@ -63,6 +63,17 @@ def test_cooccurrences_of_sets_over_small(spark):
         assert {(p.a, p.b): p.n_passages for p in pairs.collect()} == want and len(want) > 100
 
 
+def test_scores_of_sets_over_small(spark):
+    r = random.Random(17)
+    sets = sets_over_small(r, 200)
+    a, b = {e: x for e, x in sets.items() if e % 2}, {e: x for e, x in sets.items() if e % 2 == 0}
+    for least in (90_000, 45_000):
+        pairs, ma, mb = O.scores_above(frame(spark, a), frame(spark, b), "e", "e", "item", least)
+        ca, cb = ({m.cls for m in d.collect()} for d in (ma, mb))
+        want = {(x, y): score(a[x], b[y]) for x, y in product(ca, cb) if score(a[x], b[y]) >= least}
+        assert {(p.a, p.b): p.score for p in pairs.collect()} == want and want
+
+
 def test_small_sets_that_share_too_little_do_not_meet(spark):
     """A thousand sets share two hot items and nothing else: with three needed, no two of them are brought together."""
     sets = frame(spark, {i: {-1, -2, *range(3 * i, 3 * i + 3)} for i in range(1000)} | {1000: {0, 1, 2, -9}}).withColumn("n", F.lit(5).cast("long"))
