@@ -157,3 +157,23 @@ def test_kin_families_stand_for_all_pairs(spark):
         else:
             uncles |= found
     assert cousins == {(c.a, c.b) for c in I.cousins(df, sibs).collect()} and uncles == {(u.elder, u.younger) for u in I.uncles(df, sibs).collect()}
+
+
+def test_kin_in_pieces_against_brute_force(spark, monkeypatch):
+    """Families cut in pieces of two, with several rows of a child, siblings told twice and both ways, and pairs of one or both in a set."""
+    monkeypatch.setattr(I, "PIECE", 2)
+    r = random.Random(18)
+    rows = sorted({(f"p{r.randint(0, 5)}", f"c{r.randint(0, 30)}") for _ in range(50)} | {("p1", "p2"), ("p1", "c1"), ("p2", "c1")})
+    parents = spark.createDataFrame([(p, c, f"{p}-{c}") for p, c in rows] + [("p0", "c0", "e0"), ("p0", "c0", "e1")], "parent string, child string, edge_id string")
+    of = spark.createDataFrame([("c1",), ("p2",), ("c9",)], "entity string")
+    every = {(s.a, s.b): tuple(s) for s in I.siblings(parents).collect()}
+    some = {(s.a, s.b): tuple(s) for s in I.siblings(parents, of=of).collect()}
+    assert some == {k: v for k, v in every.items() if set(k) & {"c1", "p2", "c9"}} and some
+    told = [("p0", "p3", "s1", False), ("p0", "p3", "s2", True), ("p3", "p0", "s3", True), ("p1", "p2", "s4", True), ("p4", "p5", "s5", False)]
+    edges, want = [tuple(x) for x in parents.collect()], {}
+    for (a, b, es, inferred), (p, x, e1), (q, y, e2) in product(told, edges, edges):
+        if p == a and q == b and x != y:
+            k, v = (min(x, y), max(x, y)), (inferred, [e1, es, e2])
+            want[k] = min(want.get(k, v), v)
+    got = I.cousins(parents, spark.createDataFrame(told, "a string, b string, edge_id string, inferred boolean")).collect()
+    assert {(c.a, c.b): (c.certainty == 68, list(c.premises)) for c in got} == want and len(got) == len(want)

@@ -67,8 +67,8 @@ def grandparent_inference(spark, sf_dir):
 
 
 def _sibs(h):
-    """Accepted siblings as edges; those of nations count as told, others as inferred."""
-    s = I.siblings(h).filter("status = 'accepted'")
+    """Accepted siblings of parents as edges, as no others have nephews or their children cousins; those of nations count as told, others as inferred."""
+    s = I.siblings(h, of=h.select(F.col("parent").alias("entity"))).filter("status = 'accepted'")
     return s.select("a", "b", F.concat_ws("~", F.lit("sib"), "a", "b").alias("edge_id"), (~F.col("a").startswith("N") | F.col("a").endswith("3")).alias("inferred"))
 
 
@@ -76,10 +76,9 @@ SIBE = SIB + ", sibe AS (SELECT a, b, 'sib~' || a || '~' || b AS edge_id, (NOT s
 
 
 def _adjudicated(c, a, b, h):
-    existing = c.filter(F.col(b).endswith("4")).select(F.col(a).alias("x"), F.col(b).alias("y"))
     disputed = h.filter("child LIKE '%7'").select(F.col("child").alias("entity"))
     primary = h.select(F.col("parent").alias("x"), F.col("child").alias("y"))
-    return I.adjudicate(c, a, b, existing, disputed, primary).withColumn("premises", F.array_join("premises", ","))
+    return I.adjudicate(c, a, b, F.col(b).endswith("4"), disputed, primary).withColumn("premises", F.array_join("premises", ","))
 
 
 def _status(a, b):
