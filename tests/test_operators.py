@@ -462,3 +462,16 @@ def test_rules_of_senses_by_hand(spark):
     assert [[tuple(x) for x in r.m or ()] for r in marks] == [[("约书", "1属", "人亚。"), ("亚", "1属约书人", "。")], [], []]
     edge = spark.createDataFrame([(v,) for v, _ in UNMARKED] + [(None,)], "v string").select(E.explicit_name(F.col("v"), F.array(F.lit(""), F.lit("约书亚")))["snippet"].alias("s")).collect()
     assert [r.s for r in edge] == [x for _, x in UNMARKED] + [None]
+
+
+def test_lineal_paths_are_the_canonical_ones_that_go_one_way(spark):
+    import random
+
+    from weft.operators import graph as G
+
+    r = random.Random(3)
+    rows = [(f"n{r.randint(0, 12)}", f"n{r.randint(0, 12)}", f"e{i}") for i in range(30)]
+    e = G.both_ways(spark.createDataFrame([x for x in rows if x[0] != x[1]], "a string, b string, edge_id string"), "a", "b", "edge_id")
+    told = lambda d: {(p.src, p.dst): (tuple(p.ids), tuple(p.steps), p.delta) for p in d.collect()}
+    want = told(G.canonical_paths(e, 2).filter("length = 2 AND delta <> 0"))
+    assert told(G.lineal_paths(e)) == want and want

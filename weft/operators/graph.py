@@ -163,6 +163,18 @@ def explanation_paths(edges: DataFrame, pairs: DataFrame, depth: int = 4) -> Dat
     return out
 
 
+def lineal_paths(edges: DataFrame) -> DataFrame:
+    """The canonical paths of two steps that go one way, up or down: of all such paths of ``canonical_paths(edges, 2)`` those whose ``delta`` is not 0.
+
+    Only pairs with a path of two equal ways can have one, so pairs that meet over a common neighbour alone are never made.
+    """
+    one = edges.select("src", "dst", "way").distinct()
+    on = one.select(F.col("src").alias("mid"), F.col("dst").alias("to"), "way")
+    pairs = one.withColumnRenamed("dst", "mid").join(on, ["mid", "way"]).filter("src <> to").select("src", F.col("to").alias("dst")).distinct()
+    pairs = kept(pairs.join(one.select("src", "dst"), ["src", "dst"], "left_anti"))
+    return explanation_paths(edges, pairs, 2).filter("delta <> 0")
+
+
 def path_id(purpose: str, explains: Column | None = None) -> Column:
     """Content address of a path: 16 hex digits over purpose, the explained edge's id (empty without one), ends and steps."""
     explained = F.coalesce(explains, F.lit("")) if explains is not None else F.lit("")

@@ -197,8 +197,7 @@ def kinship_explanation(spark, sf_dir):
 
 @query(f"""WITH {H}, d AS (SELECT x.parent AS src, y.child AS dst, 2 AS delta FROM h x JOIN h y ON x.child = y.parent) SELECT * FROM d UNION ALL SELECT dst, src, -2 FROM d""")
 def generation_delta(spark, sf_dir):
-    p = G.canonical_paths(G.both_ways(h_edges(spark, sf_dir), "parent", "child", "edge_id"), 2)
-    return p.filter("length = 2 AND delta <> 0").select("src", "dst", "delta")
+    return G.lineal_paths(G.both_ways(h_edges(spark, sf_dir), "parent", "child", "edge_id")).select("src", "dst", "delta")
 
 
 @query(f"""WITH RECURSIVE {GE}, f AS (SELECT min(src) AS node FROM g), r AS (SELECT node FROM f UNION SELECT dst FROM r JOIN g ON node = src) SELECT node FROM r""")
