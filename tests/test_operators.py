@@ -475,3 +475,27 @@ def test_lineal_paths_are_the_canonical_ones_that_go_one_way(spark):
     told = lambda d: {(p.src, p.dst): (tuple(p.ids), tuple(p.steps), p.delta) for p in d.collect()}
     want = told(G.canonical_paths(e, 2).filter("length = 2 AND delta <> 0"))
     assert told(G.lineal_paths(e)) == want and want
+
+
+def _hairy(seed):
+    """A graph of a few nodes in chains and rings with leaves, one of them of very many, an edge alone and one that goes one way."""
+    r = random.Random(seed)
+    rows = {tuple(sorted(r.sample("abcdef", 2))) for _ in range(5)} | {("x", "y"), ("h", "a"), ("a", "b")}
+    rows |= {(f"l{i}", r.choice("ab")) for i in range(6)} | {(f"m{i:03}", "h") for i in range(12)}
+    return [(x, y, f"{x}{y}") for a, b in sorted(rows) for x, y in ((a, b), (b, a))] + [("one", "b", "oneb"), ("a", "a", "aa")]
+
+
+@pytest.mark.parametrize("seed", [1, 3])
+def test_all_paths_hang_leaves_on_to_the_rest(spark, tmp_path, monkeypatch, seed):
+    both = _hairy(seed)
+    df = spark.createDataFrame([(*e, 1 if e[0] < e[1] else -1) for e in both], "src string, dst string, edge_id string, way int")
+    monkeypatch.setattr(I, "PIECE", 5)  # the hub's leaves are in pieces
+    searched, levels = [], G._levels
+    monkeypatch.setattr(G, "_levels", lambda one, *a, **k: searched.append({x for e in one.select("src", "dst").collect() for x in e}) or levels(one, *a, **k))
+    got = G.all_canonical_paths(df, str(tmp_path / "paths"), block_rows=1).collect()
+    want = {k: (v[0], list(v[1]), list(v[2])) for k, v in brute_paths(both, 4).items()}
+    assert {(p.src, p.dst): (p.length, list(p.ids), list(p.steps)) for p in got if p.length > 1} == want and len({(p.src, p.dst) for p in got}) == len(got)
+    assert {(p.src, p.dst) for p in got if p.length == 1} == {e[:2] for e in both if e[0] != e[1]}
+    assert all(p.delta == sum(1 if x < y else -1 for x, y in zip(p.ids, p.ids[1:])) for p in got)
+    # leaves are in no search, and a block has as many paths as the graph has edges: no search for each source
+    assert not {x for s in searched for x in s if x[0] in "lm" or x == "one"} and len(searched) <= 4

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.operators.inference import _dealt, _in_pieces
 from weft.operators.validation import faults
 from weft.sources.tables import kept
 
@@ -52,9 +53,18 @@ def canonical_paths(edges: DataFrame, depth: int = 4, pairs: DataFrame | None =
     ``delta`` sums the ways. With ``pairs`` (src, dst), only these are reported
     and only their sources start; with ``sources`` (src), only these start.
     """
+    return _levels(kept(_least_steps(edges)), depth, pairs, sources)
+
+
+def _least_steps(edges: DataFrame) -> DataFrame:
+    """(src, dst, step, way): of edges from one node to another the least step."""
     step = F.concat(F.col("edge_id"), F.lit(":"), F.col("src"), F.lit("->"), F.col("dst"))
     one = edges.select("src", "dst", step.alias("step"), "way").groupBy("src", "dst").agg(F.min(F.struct("step", "way")).alias("s"))
-    one = kept(one.select("src", "dst", "s.step", "s.way"))
+    return one.select("src", "dst", "s.step", "s.way")
+
+
+def _levels(one: DataFrame, depth: int, pairs: DataFrame | None = None, sources: DataFrame | None = None) -> DataFrame:
+    """``canonical_paths`` over (src, dst, step, way), one row for each src and dst."""
     start = one if sources is None else one.join(sources.select("src").distinct(), "src", "left_semi")
     start = start if pairs is None else start.join(pairs.select("src").distinct(), "src", "left_semi")
     level = start.select("src", "dst", F.array("src", "dst").alias("ids"), F.array("step").alias("steps"), F.col("way").alias("delta"), F.lit(1).alias("length"))
@@ -82,28 +92,61 @@ def canonical_paths(edges: DataFrame, depth: int = 4, pairs: DataFrame | None =
 
 
 def all_canonical_paths(edges: DataFrame, folder: str, depth: int = 4, block_rows: int = 50_000_000) -> DataFrame:
-    """``canonical_paths`` from every node, a block of sources at a time, each written below ``folder``; blocks that are there already are not run again.
+    """``canonical_paths`` from every node. A node with one neighbour is on no other's way: paths are searched between all other nodes, and such
+    leaves hung on to their ends, each found once and never grouped.
 
-    Sources are dealt into blocks by the paths of two steps that start from them, about ``block_rows`` a block, so a block's levels have a bounded
-    size however large the graph is. The blocks' number is written beside them: a run that is taken up deals them as before.
+    The search takes a block of sources at a time, each written below ``folder``; blocks that are there already are not run again. Sources are dealt
+    into blocks by the paths of two steps that start from them, about ``block_rows`` a block and no fewer than there are edges, so a block's levels
+    have a bounded size, and reading the graph for each costs no more than its paths. The blocks' number is written beside them: a run that is
+    taken up deals them as before.
     """
     from weft.sources.tables import done, scratch_scope
 
     spark = edges.sparkSession
-    e = kept(edges.select("src", "dst", "edge_id", "way"))
+    one = kept(_least_steps(edges.filter("src <> dst")))
+    near = one.select("src", "dst").unionByName(one.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    degree = kept(near.groupBy("src").agg(F.count("*").alias("n"), F.min("dst").alias("at")))
+    inner = degree.filter("n > 1").select(F.col("src").alias("at"))
+    leaves = kept(degree.filter("n = 1").join(inner, "at", "left_semi").select(F.col("src").alias("leaf"), "at"))
+    core = one
+    for end in ("src", "dst"):
+        core = core.join(leaves.select(F.col("leaf").alias(end)), end, "left_anti")
+    core = kept(core)
     plan = f"{folder.rstrip('/')}/plan"
     if not done(spark, plan):
-        degree = e.groupBy("src").agg(F.count("*").alias("n"))
-        wedges = e.select(F.col("src").alias("_s"), F.col("dst").alias("src")).join(degree, "src").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-        wedges.select(F.greatest(F.ceil(F.col("n") / block_rows), F.lit(1)).cast("int").alias("blocks")).write.mode("overwrite").parquet(plan)
+        out = core.groupBy("src").agg(F.count("*").alias("n"))
+        wedges = core.select(F.col("src").alias("_s"), F.col("dst").alias("src")).join(out, "src").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        rows = F.lit(max(block_rows, core.count()))
+        wedges.select(F.greatest(F.ceil(F.col("n") / rows), F.lit(1)).cast("int").alias("blocks")).write.mode("overwrite").parquet(plan)
     blocks = spark.read.parquet(plan).first().blocks
-    sources = e.select("src").distinct().withColumn("block", F.pmod(F.xxhash64("src"), F.lit(blocks)))
+    sources = core.select("src").distinct().withColumn("block", F.pmod(F.xxhash64("src"), F.lit(blocks)))
     at = [f"{folder.rstrip('/')}/paths-{k}" for k in range(blocks)]
     for k, path in enumerate(at):
         if not done(spark, path):
             with scratch_scope():  # a block's levels go when its paths are written
-                canonical_paths(e, depth, sources=sources.filter(F.col("block") == k).select("src")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(*at)
+                _levels(core, depth, sources=sources.filter(F.col("block") == k).select("src")).write.mode("overwrite").parquet(path)
+    nodes = degree.select("src").join(leaves.select(F.col("leaf").alias("src")), "src", "left_anti")
+    return _hung(spark.read.parquet(*at), nodes, one, leaves, depth)
+
+
+def _hung(paths: DataFrame, nodes: DataFrame, one: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
+    """``paths`` between ``nodes`` (src), and those that begin or end at ``leaves`` (leaf, at) that hang on to them.
+
+    A node's leaves are dealt over tasks in pieces, so one of very many has its paths made by many tasks.
+    """
+    none = F.array().cast("array<string>")
+    own = nodes.select(F.col("src").alias("node"), F.col("src").alias("at"), none.alias("by"), none.alias("step"), F.lit(0).alias("way"), F.lit(0).alias("l"))
+    on = lambda leaf, at: leaves.select(F.col("leaf").alias(leaf), F.col("at").alias(at)).join(one, [leaf, at])
+    row = lambda d, leaf, at: d.select(F.col(leaf).alias("node"), F.col(at).alias("at"), F.array(leaf).alias("by"), F.array("step").alias("step"), "way", F.lit(1).alias("l"))
+    first, last = own.unionByName(row(on("src", "dst"), "src", "dst")), _in_pieces(own.unionByName(row(on("dst", "src"), "dst", "src")), "at", "node")
+    to = lambda d, e, *more: d.select(F.col("at").alias(f"_{e}"), *more, *[F.col(c).alias(f"{c}_{e}") for c in ("node", "by", "step", "way", "l")])
+    bare = nodes.select("src", F.col("src").alias("dst"), F.array("src").alias("ids"), none.alias("steps"), F.lit(0).alias("delta"), F.lit(0).alias("length"))
+    between = paths.select("src", "dst", "ids", "steps", "delta", "length").unionByName(bare)
+    between = between.join(last.select(F.col("at").alias("dst"), "pieces").distinct(), "dst").withColumnsRenamed({"src": "_a", "dst": "_b"})
+    begun = to(first, "a").join(between, "_a").filter(F.col("l_a") + F.col("length") <= depth).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    out = _dealt(begun, to(last, "b", "piece"), ["_b", "piece"]).filter("node_a <> node_b").withColumn("length", F.col("l_a") + F.col("length") + F.col("l_b")).filter(F.col("length").between(1, depth))
+    way = F.col("way_a") + F.col("delta") + F.col("way_b")
+    return out.select(F.col("node_a").alias("src"), F.col("node_b").alias("dst"), F.concat("by_a", "ids", "by_b").alias("ids"), F.concat("step_a", "steps", "step_b").alias("steps"), way.alias("delta"), "length")
 
 
 def _least_three(half: DataFrame, end: str, via: str) -> DataFrame:
