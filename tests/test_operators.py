@@ -14,6 +14,21 @@ from weft.operators import validation as V
 from weft.sources import tables as S
 
 
+def joined_rows(df):
+    """Rows that the joins of a collected frame's plan gave."""
+    rows = []
+
+    def walk(p):
+        if "Join" in p.nodeName() and p.metrics().contains("numOutputRows"):
+            rows.append(int(p.metrics().get("numOutputRows").get().value()))
+        kids = [p.executedPlan()] if p.nodeName() == "AdaptiveSparkPlan" else [p.plan()] if p.nodeName().endswith("QueryStage") else [p.children().apply(i) for i in range(p.children().size())]
+        for k in kids:
+            walk(k)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return rows
+
+
 def brute_paths(edges, depth):
     """Canonical shortest paths by trying every simple path."""
     best = {}
@@ -499,3 +514,16 @@ def test_all_paths_hang_leaves_on_to_the_rest(spark, tmp_path, monkeypatch, seed
     assert all(p.delta == sum(1 if x < y else -1 for x, y in zip(p.ids, p.ids[1:])) for p in got)
     # leaves are in no search, and a block has as many paths as the graph has edges: no search for each source
     assert not {x for s in searched for x in s if x[0] in "lm" or x == "one"} and len(searched) <= 4
+
+
+def test_paths_of_ends_are_the_canonical_ones_and_no_others_are_made(spark):
+    r = random.Random(4)
+    rows = [(f"{r.choice('nR')}{r.randint(0, 7)}", f"n{r.randint(0, 7)}", f"e{i}") for i in range(26)]
+    e = G.both_ways(spark.createDataFrame([x for x in rows if x[0] != x[1]], "a string, b string, edge_id string"), "a", "b", "edge_id")
+    told = lambda d: {(p.src, p.dst): (tuple(p.ids), tuple(p.steps), p.delta, p.length) for p in d.collect()}
+    want = told(G.canonical_paths(e, 2).filter("length = 2 AND (src LIKE 'R%' OR dst LIKE 'R%')"))
+    assert told(G.paths_of_ends(e, F.col("node").startswith("R"))) == want and want
+    # a family of 2000: its children's four million pairs are never made
+    hub = G.both_ways(spark.range(2000).select(F.lit("n").alias("a"), F.concat(F.lit("c"), "id").alias("b"), F.col("id").cast("string").alias("edge_id")).union(spark.createDataFrame([("R", "n", "r")])), "a", "b", "edge_id")
+    paths = G.paths_of_ends(hub, F.col("node").startswith("R")).select("src", "dst").groupBy("src").count()
+    assert sum(r["count"] for r in paths.collect()) == 4000 and max(joined_rows(paths)) < 20_000

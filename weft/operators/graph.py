@@ -218,6 +218,23 @@ def lineal_paths(edges: DataFrame) -> DataFrame:
     return explanation_paths(edges, pairs, 2).filter("delta <> 0")
 
 
+def paths_of_ends(edges: DataFrame, chosen: Column) -> DataFrame:
+    """The canonical paths of two steps of which either end is ``chosen``, a condition on ``node``: all such of ``canonical_paths(edges, 2)``.
+
+    A path is grown from its chosen end, forward or back, so pairs of which neither end is chosen are never made.
+    """
+    one = kept(_least_steps(edges.filter("src <> dst")))
+    nodes = one.select(F.explode(F.array("src", "dst")).alias("node")).distinct().filter(chosen)
+    at = lambda end: nodes.withColumnRenamed("node", end)
+    near = one.select(F.col("src").alias("a"), F.col("dst").alias("mid"), F.col("step").alias("s1"), F.col("way").alias("w1"))
+    on = one.select(F.col("src").alias("mid"), F.col("dst").alias("b"), F.col("step").alias("s2"), F.col("way").alias("w2"))
+    ahead = near.join(at("a"), "a", "left_semi").join(on, "mid")
+    back = near.join(on.join(at("b"), "b", "left_semi"), "mid").join(at("a"), "a", "left_anti")
+    both = ahead.select("a", "b", "mid", "s1", "s2", "w1", "w2").unionByName(back.select("a", "b", "mid", "s1", "s2", "w1", "w2")).filter("a <> b")
+    best = both.groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.min(F.struct("mid", "s1", "s2", "w1", "w2")).alias("p")).join(one.select("src", "dst"), ["src", "dst"], "left_anti")
+    return best.select("src", "dst", F.array("src", "p.mid", "dst").alias("ids"), F.array("p.s1", "p.s2").alias("steps"), (F.col("p.w1") + F.col("p.w2")).alias("delta"), F.lit(2).alias("length"))
+
+
 def path_id(purpose: str, explains: Column | None = None) -> Column:
     """Content address of a path: 16 hex digits over purpose, the explained edge's id (empty without one), ends and steps."""
     explained = F.coalesce(explains, F.lit("")) if explains is not None else F.lit("")

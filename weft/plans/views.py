@@ -147,7 +147,7 @@ def edges_with_passages(spark, sf_dir):
 SELECT src, dst, 'mh-' || substr(sha256('kinship_explanation|e' || src || '|' || src || '|' || dst || '|' || steps), 1, 16) AS id FROM p WHERE src LIKE 'R%' OR dst LIKE 'R%'""")
 def explained_path_ids(spark, sf_dir):
     e = G.without_edges(G.both_ways(h_edges(spark, sf_dir), "parent", "child", "edge_id"), F.col("edge_id").rlike("^asrt-N.*2$"))
-    p = G.canonical_paths(e, 2).filter("length = 2 AND (src LIKE 'R%' OR dst LIKE 'R%')")
+    p = G.paths_of_ends(e, F.col("node").startswith("R"))
     return p.select("src", "dst", G.path_id("kinship_explanation", F.concat(F.lit("e"), "src")).alias("id"))
 
 
