@@ -538,3 +538,17 @@ def test_structure_faults_by_hand_and_without_moving_rows(spark, monkeypatch, fe
     got = {r.id: r.fault for r in I.structure_faults(df, base).collect()}
     assert got == {"none": "too_few", "empty": "too_few", "one": "too_few", "null": "too_few", "twice": "repeated", "odd": "unknown_premise", "odds": "unknown_premise", "both": "repeated"}
     assert ("Exchange" in I.structure_faults(df, base)._jdf.queryExecution().executedPlan().toString()) == (few == 0)
+
+
+def test_kin_paths_explain_all_siblings_and_grandparents(spark, monkeypatch):
+    monkeypatch.setattr(I, "PIECE", 3)
+    r = random.Random(6)
+    rows = sorted({(f"n{r.randint(0, 4)}", f"{r.choice('nc')}{r.randint(0, 12)}") for _ in range(34)} | {("n0", "n1"), ("n1", "n0"), ("n2", "n2"), ("q", "z1"), ("q", "z2"), ("q", "z2")})
+    df = spark.createDataFrame([(p, c, f"{p}-{c}") for p, c in rows] + [("q", "z2", "again"), ("q", "z3", "x"), ("q", "z4", "y")], "parent string, child string, edge_id string")
+    pairs = I.grandparents(df).select(F.col("elder").alias("src"), F.col("younger").alias("dst")).unionByName(I.siblings(df).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    told = lambda d: sorted((p.src, p.dst, tuple(p.ids), tuple(p.steps), p.delta, p.length) for p in d.collect())
+    looked_up, explained = [], G.explanation_paths
+    want = told(explained(G.both_ways(df, "parent", "child", "edge_id"), pairs))
+    monkeypatch.setattr(G, "explanation_paths", lambda e, p, d: looked_up.extend((x.src, x.dst) for x in p.collect()) or explained(e, p, d))
+    assert told(G.kin_paths(df)) == want and want
+    assert not {("z1", "z3"), ("z3", "z4"), ("z2", "z4")} & set(looked_up) and {("z1", "z3"), ("z2", "z4")} <= {x[:2] for x in want}

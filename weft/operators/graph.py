@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.operators.inference import _dealt, _in_pieces
+from weft.operators.inference import _dealt, _in_pieces, grandparents, siblings
 from weft.operators.validation import faults
 from weft.sources.tables import kept
 
@@ -206,6 +206,32 @@ def explanation_paths(edges: DataFrame, pairs: DataFrame, depth: int = 4) -> Dat
     return out
 
 
+def kin_paths(parents: DataFrame, depth: int = 4) -> DataFrame:
+    """``explanation_paths`` of the siblings (the lesser first) and grandparents of ``parents`` (parent, child, edge_id).
+
+    Two siblings of which one is a leaf, in one row alone, have one path, by their parent: it is told as they meet, in pieces of a family, and
+    never grouped. Other pairs are looked up.
+    """
+    rows = parents.select("parent", "child", "edge_id")
+    edges = both_ways(rows, "parent", "child", "edge_id")
+    one = kept(_least_steps(edges.filter("src <> dst")))
+    leaf = rows.select(F.explode(F.array("parent", "child")).alias("child")).groupBy("child").agg(F.count("*").alias("n")).filter("n = 1").select("child", F.lit(True).alias("leaf"))
+    kids = rows.select("parent", "child").distinct().join(leaf, "child", "left").withColumn("leaf", F.coalesce("leaf", F.lit(False)))
+    for name, src, dst in (("up", "child", "parent"), ("down", "parent", "child")):
+        kids = kids.join(one.select(F.col("src").alias(src), F.col("dst").alias(dst), F.struct("step", "way").alias(name)), ["parent", "child"])
+    kids = kept(_in_pieces(kids))
+    a = kids.select("parent", "piece", F.col("child").alias("src"), F.col("leaf").alias("leaf_a"), "up")
+    b = kids.select("parent", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.col("child").alias("dst"), F.col("leaf").alias("leaf_b"), "down")
+    met = _dealt(a, b, ["parent", "piece"]).filter("src < dst AND (leaf_a OR leaf_b)")
+    once = met.select("src", "dst", F.array("src", "parent", "dst").alias("ids"), F.array("up.step", "down.step").alias("steps"), (F.col("up.way") + F.col("down.way")).alias("delta"), F.lit(2).alias("length"))
+    rest = siblings(rows.join(leaf, "child", "left_anti")).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    old = grandparents(rows).select(F.col("elder").alias("src"), F.col("younger").alias("dst"))
+    own = lambda end: kids.select("parent", F.col("child").alias(end), F.col("leaf").alias(f"leaf_{end}"))
+    told = old.join(own("src"), "src").join(own("dst"), ["parent", "dst"]).filter("src < dst AND (leaf_src OR leaf_dst)").select("src", "dst")
+    rest = rest.unionByName(old.join(told, ["src", "dst"], "left_anti"))
+    return once.unionByName(explanation_paths(edges, rest, depth))
+
+
 def lineal_paths(edges: DataFrame) -> DataFrame:
     """The canonical paths of two steps that go one way, up or down: of all such paths of ``canonical_paths(edges, 2)`` those whose ``delta`` is not 0.
 

@@ -189,9 +189,7 @@ HG = "g AS (SELECT parent AS src, child AS dst, edge_id FROM h UNION ALL SELECT
 @query(f"""WITH {H}, {HG}, {_levels(4)}, w AS (SELECT x.parent AS src, y.child AS dst FROM h x JOIN h y ON x.child = y.parent UNION SELECT x.child, y.child FROM h x JOIN h y ON x.parent = y.parent WHERE x.child < y.child),
 a AS (SELECT *, 2 AS length FROM l2 UNION ALL SELECT *, 3 FROM l3 UNION ALL SELECT *, 4 FROM l4) SELECT src, dst, array_to_string(ids, '>') AS ids, length FROM a JOIN w USING (src, dst)""")
 def kinship_explanation(spark, sf_dir):
-    h = h_edges(spark, sf_dir)
-    pairs = I.grandparents(h).select(F.col("elder").alias("src"), F.col("younger").alias("dst")).unionByName(I.siblings(h).select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    p = G.explanation_paths(G.both_ways(h, "parent", "child", "edge_id"), pairs)
+    p = G.kin_paths(h_edges(spark, sf_dir))
     return p.select("src", "dst", F.array_join("ids", ">").alias("ids"), "length")
 
 
