@@ -129,3 +129,13 @@ def test_numbers_of_a_skewed_table(spark):
     assert R.numbered(df.limit(0), ["a"]).count() == 0
     plan = R.numbered(df, ["a"])._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_part" not in plan.split("BroadcastExchange")[0]  # rows are not shuffled again
+
+
+def test_texts_reach_python_a_few_at_a_time(spark):
+    """What Python holds of the texts is bounded by rows a batch, however many rows a partition has."""
+    from weft.functions import text as X
+
+    df = spark.createDataFrame([("Été  ‍A-b",), (None,), ("",), ("ﬁx́",)], "t string").select(X.folded(F.col("t")).alias("f"))
+    assert [r.f for r in df.collect()] == ["ete a b", None, "", "fix"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
