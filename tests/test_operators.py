@@ -552,3 +552,12 @@ def test_kin_paths_explain_all_siblings_and_grandparents(spark, monkeypatch):
     monkeypatch.setattr(G, "explanation_paths", lambda e, p, d: looked_up.extend((x.src, x.dst) for x in p.collect()) or explained(e, p, d))
     assert told(G.kin_paths(df)) == want and want
     assert not {("z1", "z3"), ("z3", "z4"), ("z2", "z4")} & set(looked_up) and {("z1", "z3"), ("z2", "z4")} <= {x[:2] for x in want}
+
+
+def test_token_ids_meet_once_for_each_token(spark):
+    texts = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["c"]), (3, []), (4, None), (5, ["b", None])] + [(k, ["hot"]) for k in range(10, 110)], "k int, w array<string>")
+    names = spark.createDataFrame([("a", 7), ("a", 7), ("b", 7), ("b", 3), ("d", 1), (None, 2)] + [("hot", i) for i in range(200)], "name string, id int")
+    ids = R.token_ids(texts, "k", "w", names, "name", "id")
+    got = {r.k: r.ids for r in ids.collect()}
+    assert got == {1: [3, 7], 5: [3, 7]} | {k: list(range(200)) for k in range(10, 110)}
+    assert max(joined_rows(ids)) == 103  # tokens with a name, not tokens and entities

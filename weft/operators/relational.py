@@ -347,10 +347,14 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def token_ids(texts: DataFrame, key: str, tokens: str, names: DataFrame, name: str, entity: str) -> DataFrame:
-    """(key, ids): the sorted distinct entities whose name is one of a row's tokens; rows without any are left out."""
+    """(key, ids): the sorted distinct entities whose name is one of a row's tokens; rows without any are left out.
+
+    A name's entities are gathered before they meet the tokens, so a row moves once for each token and not for each entity.
+    """
+    one = names.select(name, entity).filter(F.col(entity).isNotNull()).distinct().groupBy(name).agg(F.collect_list(entity).alias("_ids"))
     t = texts.select(key, F.explode(F.array_distinct(tokens)).alias(name))
-    met = t.join(names.select(name, entity).distinct(), name).select(key, entity).distinct()
-    return met.groupBy(key).agg(F.array_sort(F.collect_list(entity)).alias("ids"))
+    met = t.join(one, name).groupBy(key).agg(F.flatten(F.collect_list("_ids")).alias("_all"))
+    return met.select(key, F.array_sort(F.array_distinct("_all")).alias("ids"))
 
 
 def code_join(left: DataFrame, right: DataFrame, code: str, ref: str) -> DataFrame:
