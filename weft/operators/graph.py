@@ -15,9 +15,14 @@ from weft.sources.tables import kept
 
 def both_ways(edges: DataFrame, a: str, b: str, edge_id: str) -> DataFrame:
     """(src, dst, edge_id, way): each edge forward and in reverse, once for each (src, dst, edge_id)."""
+    return each_way(edges, a, b, edge_id).dropDuplicates(["src", "dst", "edge_id"])
+
+
+def each_way(edges: DataFrame, a: str, b: str, edge_id: str) -> DataFrame:
+    """``both_ways`` with edges as often as they are given."""
     f = edges.select(F.col(a).alias("src"), F.col(b).alias("dst"), F.col(edge_id).alias("edge_id"), F.lit(1).alias("way"))
     r = edges.select(F.col(b).alias("src"), F.col(a).alias("dst"), F.col(edge_id).alias("edge_id"), F.lit(-1).alias("way"))
-    return f.unionByName(r).dropDuplicates(["src", "dst", "edge_id"])
+    return f.unionByName(r)
 
 
 def without_edges(edges: DataFrame, excluded: Column) -> DataFrame:
@@ -67,10 +72,9 @@ def _levels(one: DataFrame, depth: int, pairs: DataFrame | None = None, sources:
     """``canonical_paths`` over (src, dst, step, way), one row for each src and dst."""
     start = one if sources is None else one.join(sources.select("src").distinct(), "src", "left_semi")
     start = start if pairs is None else start.join(pairs.select("src").distinct(), "src", "left_semi")
-    level = start.select("src", "dst", F.array("src", "dst").alias("ids"), F.array("step").alias("steps"), F.col("way").alias("delta"), F.lit(1).alias("length"))
-    level = kept(level.filter("src <> dst"))
+    level = kept(_first_level(start))
     found = [level]
-    nxt = one.select(F.col("src").alias("mid"), F.col("dst").alias("to"), F.col("step").alias("s"), F.col("way").alias("w"))
+    nxt = _next_steps(one)
     wanted = pairs.select("src", "dst").distinct() if pairs is not None else None
     for d in range(2, depth + 1):
         if wanted is not None:  # sources whose pairs are all found go no further
@@ -78,9 +82,7 @@ def _levels(one: DataFrame, depth: int, pairs: DataFrame | None = None, sources:
             level = level.join(wanted.select("src").distinct(), "src", "left_semi")
             if d == depth:
                 nxt = nxt.join(wanted.select(F.col("dst").alias("to")).distinct(), "to", "left_semi")
-        grown = level.join(nxt, F.col("dst") == F.col("mid")).filter("to <> src AND NOT array_contains(ids, to)")
-        grown = grown.select("src", F.col("to").alias("dst"), F.array_append("ids", F.col("to")).alias("ids"), F.array_append("steps", F.col("s")).alias("steps"), (F.col("delta") + F.col("w")).alias("delta"))
-        least = grown.groupBy("src", "dst").agg(F.min(F.struct("ids", "steps", "delta")).alias("p"))
+        least = _grown(level, nxt).groupBy("src", "dst").agg(F.min(F.struct("ids", "steps", "delta")).alias("p"))
         for before in found:
             least = least.join(before.select("src", "dst"), ["src", "dst"], "left_anti")
         level = kept(least.select("src", "dst", "p.*", F.lit(d).alias("length")))
@@ -91,6 +93,53 @@ def _levels(one: DataFrame, depth: int, pairs: DataFrame | None = None, sources:
     return out if pairs is None else out.join(pairs.select("src", "dst").distinct(), ["src", "dst"], "left_semi")
 
 
+def _first_level(one: DataFrame) -> DataFrame:
+    """Paths of one step of (src, dst, step, way)."""
+    return one.filter("src <> dst").select("src", "dst", F.array("src", "dst").alias("ids"), F.array("step").alias("steps"), F.col("way").alias("delta"), F.lit(1).alias("length"))
+
+
+def _next_steps(one: DataFrame) -> DataFrame:
+    return one.select(F.col("src").alias("mid"), F.col("dst").alias("to"), F.col("step").alias("s"), F.col("way").alias("w"))
+
+
+def _grown(level: DataFrame, nxt: DataFrame) -> DataFrame:
+    """A level's paths with one step more, but for those that meet themselves."""
+    grown = level.join(nxt, F.col("dst") == F.col("mid")).filter("to <> src AND NOT array_contains(ids, to)")
+    return grown.select("src", F.col("to").alias("dst"), F.array_append("ids", F.col("to")).alias("ids"), F.array_append("steps", F.col("s")).alias("steps"), (F.col("delta") + F.col("w")).alias("delta"))
+
+
+#: Nodes of a search's front up to which all tasks are sent it.
+FRONT = 200_000
+
+
+def _at_front(edges: DataFrame, front: DataFrame) -> DataFrame:
+    """``edges`` that begin at nodes of a kept ``front`` (node). A front of few nodes goes to the edges, so none of the others is moved."""
+    front = front.withColumnRenamed("node", "src")
+    return edges.join(F.broadcast(front) if front.count() <= FRONT else front, "src", "left_semi")
+
+
+def paths_from(edges: DataFrame, start: DataFrame, depth: int = 4) -> DataFrame:
+    """``canonical_paths`` from the nodes of ``start`` (node), for few of a large graph; ``edges`` may repeat.
+
+    Each level reads the edges, and only those that begin at its front are told apart and meet its paths: what is moved grows with what the
+    sources reach and not with the graph.
+    """
+    level = kept(_first_level(_least_steps(_at_front(edges, kept(start.select("node").distinct())))))
+    found = [level]
+    for d in range(2, depth + 1):
+        near = _least_steps(_at_front(edges, kept(level.select(F.col("dst").alias("node")).distinct())))
+        grown = _grown(level, _next_steps(near))
+        for before in found:
+            grown = grown.join(before.select("src", "dst"), ["src", "dst"], "left_anti")
+        least = grown.groupBy("src", "dst").agg(F.min(F.struct("ids", "steps", "delta")).alias("p"))
+        level = kept(least.select("src", "dst", "p.*", F.lit(d).alias("length")))
+        found.append(level)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def all_canonical_paths(edges: DataFrame, folder: str, depth: int = 4, block_rows: int = 50_000_000) -> DataFrame:
     """``canonical_paths`` from every node. A node with one neighbour is on no other's way: paths are searched between all other nodes, and such
     leaves hung on to their ends, each found once and never grouped.

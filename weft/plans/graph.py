@@ -38,11 +38,11 @@ UNION ALL SELECT 'N' || lpad(s_nationkey::VARCHAR, 3, '0'), 'S' || lpad(s_suppke
 
 
 def supply_edges(spark, sf_dir):
-    """(src, dst, edge_id, way): suppliers and their parts of all lines, both ways."""
-    l = t(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    """(src, dst, edge_id, way): suppliers and their parts of all lines, both ways; a row for each line, so edges repeat, and none is moved for it."""
+    l = t(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     a, b = F.concat(F.lit("s"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0")), F.concat(F.lit("p"), F.lpad(F.col("l_partkey").cast("string"), 7, "0"))
     e = l.select(a.alias("a"), b.alias("b")).withColumn("edge_id", F.concat("a", F.lit("-"), "b"))
-    return G.both_ways(e, "a", "b", "edge_id")
+    return G.each_way(e, "a", "b", "edge_id")
 
 
 GE = """e0 AS (SELECT DISTINCT 's' || lpad(l_suppkey::VARCHAR, 7, '0') AS a, 'p' || lpad(l_partkey::VARCHAR, 7, '0') AS b FROM lineitem),
@@ -136,9 +136,8 @@ l{d} AS (SELECT src, dst, ids, steps FROM (SELECT *, row_number() OVER (PARTITIO
 
 def paths_from(edges, sources=SOURCES):
     """Canonical paths of 2 to 4 steps from ``sources`` to every node, over all lines."""
-    nodes = edges.select(F.col("src").alias("dst")).distinct()
-    pairs = nodes.select(F.explode(F.array(*[F.lit(x) for x in sources])).alias("src"), "dst")
-    return G.canonical_paths(edges, pairs=pairs).filter("length > 1")
+    start = edges.sparkSession.createDataFrame([(x,) for x in sources], "node string")
+    return G.paths_from(edges, start).filter("length > 1")
 
 
 @query(f"""WITH {GE}, {_levels(4).replace("FROM g)", f"FROM g WHERE src IN {SOURCES})", 1)}, a AS (SELECT *, 2 AS length FROM l2 UNION ALL SELECT *, 3 FROM l3 UNION ALL SELECT *, 4 FROM l4)
