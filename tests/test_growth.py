@@ -29,3 +29,12 @@ def test_path_invariants_see_paths_over_repeated_lines(spark, tmp_path, monkeypa
     monkeypatch.setattr(G, "_at_front", lambda e, f: moved.append(at_front(e, f)) or moved[-1])
     assert P.path_invariants(spark, str(tmp_path)).count() == 0
     assert moved and all("p0000003" not in {x.src for x in m.collect()} for m in moved)
+
+
+def test_component_around_is_whole_beyond_its_rounds(spark):
+    chain = [(f"n{i:02}", f"n{i + 1:02}") for i in range(12)]
+    e = G.each_way(spark.createDataFrame([(a, b, "x") for a, b in chain + chain[:3] + [("z1", "z2")]], "a string, b string, id string"), "a", "b", "id")
+    want = sorted({x for c in chain for x in c})
+    around = lambda focus, rounds: sorted(x.node for x in G.component_around(e, spark.createDataFrame([(focus,)], "node string"), rounds).collect())
+    assert around("n07", 2) == want
+    assert around("z2", 8) == ["z1", "z2"]

@@ -421,6 +421,28 @@ def components(edges: DataFrame) -> DataFrame:
     return alone.join(now, "u", "left").select(F.col("u").alias("node"), F.coalesce("v", "u").alias("root"))
 
 
+def component_around(edges: DataFrame, start: DataFrame, rounds: int = 8) -> DataFrame:
+    """(node): all that hangs together with ``start`` (node), which is one node or several of one component; ``edges`` go both ways and may repeat.
+
+    A front goes out for some rounds and moves the edges at it alone, so a component is found whatever else the graph has. If it is not done by
+    then, what was reached counts as one node and ``components`` does the rest, so a long chain takes no round a link.
+    """
+    front = seen = kept(start.select("node").distinct())
+    for _ in range(rounds):
+        met = _at_front(edges, front).select(F.col("dst").alias("node")).filter("node IS NOT NULL").distinct()
+        front = kept(met.join(seen, "node", "left_anti"))
+        if front.isEmpty():
+            return seen
+        seen = kept(seen.unionByName(front))
+    one = F.lit(seen.agg(F.min("node")).first()[0])
+    far = edges.select("src", "dst")
+    for end in ("src", "dst"):
+        far = far.join(seen.select(F.col("node").alias(end), F.lit(True).alias("_seen")), end, "left").withColumn(end, F.when(F.col("_seen"), one).otherwise(F.col(end))).drop("_seen")
+    roots = kept(components(far))
+    rest = roots.join(roots.filter(F.col("node") == one).select("root"), "root", "left_semi").select("node").filter(F.col("node") != one)
+    return seen.unionByName(rest)
+
+
 def component(edges: DataFrame, focus: str) -> DataFrame:
     """(node, depth) of the focus's component."""
     start = edges.sparkSession.createDataFrame([(focus, 0)], "node string, value int")

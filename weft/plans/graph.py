@@ -199,9 +199,8 @@ def generation_delta(spark, sf_dir):
 
 @query(f"""WITH RECURSIVE {GE}, f AS (SELECT min(src) AS node FROM g), r AS (SELECT node FROM f UNION SELECT dst FROM r JOIN g ON node = src) SELECT node FROM r""")
 def component_of_focus(spark, sf_dir):
-    roots = kept(G.components(supply_edges(spark, sf_dir)))
-    first = roots.agg(F.min("node").alias("node")).join(roots, "node").select("root")
-    return roots.join(first, "root", "left_semi").select("node")
+    e = supply_edges(spark, sf_dir)
+    return G.component_around(e, e.agg(F.min("src").alias("node")).filter("node IS NOT NULL"))
 
 
 _PRI = "CASE l_returnflag WHEN 'R' THEN 30 WHEN 'A' THEN 20 ELSE 10 END + CASE WHEN l_quantity > 40 THEN 3 WHEN l_quantity > 20 THEN 2 ELSE 1 END"
