@@ -38,3 +38,14 @@ def test_component_around_is_whole_beyond_its_rounds(spark):
     around = lambda focus, rounds: sorted(x.node for x in G.component_around(e, spark.createDataFrame([(focus,)], "node string"), rounds).collect())
     assert around("n07", 2) == want
     assert around("z2", 8) == ["z1", "z2"]
+
+
+def test_shared_targets_of_large_targets_and_sources(spark):
+    r = random.Random(8)
+    rows = [(f"s{r.randint(0, 14):02}", f"p{r.randint(0, 12):02}") for _ in range(120)] + [("x", "x"), ("s00", "x"), ("x", "s00")]
+    e = spark.createDataFrame(rows + rows[:20], "src string, dst string")
+    of = {a: {m for x, m in rows if x == a and m != a} for a, _ in rows}
+    want = sorted((a, b, m, i + 1) for a in of for b in of if a < b for i, m in enumerate(sorted((of[a] & of[b]) - {a, b})[:5]))
+    got = G.shared_targets(e, sent=3, heavy=20)
+    assert sorted(tuple(x) for x in got.collect()) == want
+    assert _plan(got).count("REPARTITION_BY_NUM") >= 2  # as many tasks as there are meetings, not as a session has

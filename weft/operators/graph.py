@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weft.operators.inference import _dealt, _in_pieces, grandparents, siblings
 from weft.operators.validation import faults
-from weft.sources.tables import kept
+from weft.sources.tables import in_tasks, kept
 
 
 def both_ways(edges: DataFrame, a: str, b: str, edge_id: str) -> DataFrame:
@@ -360,11 +360,29 @@ def two_hop_contexts(edges: DataFrame, pairs: DataFrame, most: int = 5) -> DataF
     return _first_middles(met, most)
 
 
-def shared_targets(edges: DataFrame, most: int = 5) -> DataFrame:
-    """Up to ``most`` common targets for every two sources a < b that have one, the least first; one row a target and pair."""
-    one = edges.select("src", F.col("dst").alias("mid")).distinct()
-    met = one.withColumnRenamed("src", "a").join(one.withColumnRenamed("src", "b"), "mid").filter("a < b AND mid <> a AND mid <> b")
-    return _first_middles(met, most)
+#: Sources of a target that are sent in one row, about, and pairs of a source and target's sources from which they are dealt over several tasks.
+SENT, HEAVY = 64, 4_000_000
+
+
+def shared_targets(edges: DataFrame, most: int = 5, sent: int = SENT, heavy: int = HEAVY) -> DataFrame:
+    """Up to ``most`` common targets for every two sources a < b that have one, the least first; one row a target and pair.
+
+    A source is sent each of its targets with lists of the target's greater sources, so what is moved is a name for each meeting and not a row,
+    and told apart where it arrives: a task has about as many meetings as any other, whatever their number. A source of very many meetings is
+    dealt over several tasks by the other one.
+    """
+    one = kept(in_tasks(edges.select(F.col("src").alias("a"), F.col("dst").alias("mid")).filter("a <> mid"), edges.count(), "a", "mid").distinct())
+    sizes = kept(one.groupBy("mid").agg(F.count("*").alias("n")).filter("n > 1"))
+    meets = sizes.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0)).cast("long").alias("n")).first().n
+    sized = kept(in_tasks(one, one.count(), "mid").join(sizes, "mid"))
+    pieces = sized.groupBy("mid", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / sent)).alias("piece")).agg(F.sort_array(F.collect_list("a")).alias("bs"))
+    salts = kept(sized.groupBy("a").agg(F.ceil(F.sum("n") / heavy).cast("int").alias("salts")).filter("salts > 1"))
+    own = sized.select("a", "mid").join(salts, "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    later = F.filter("bs", lambda b: (b > F.col("a")) & (F.col("salts").isNull() | (F.pmod(F.xxhash64(b), F.col("salts")) == F.col("salt"))))
+    sets = in_tasks(own, one.count(), "mid").join(pieces.hint("merge"), "mid").select("a", "salt", "mid", later.alias("bs")).filter(F.size("bs") > 0)
+    met = in_tasks(sets, meets // 4, "a", "salt").select("a", "salt", "mid", F.explode("bs").alias("b"))
+    w = Window.partitionBy("b", "a", "salt").orderBy("mid")  # b first: told apart by a sort's prefix
+    return met.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most).select("a", "b", "mid", "place")
 
 
 def _first_middles(met: DataFrame, most: int) -> DataFrame:

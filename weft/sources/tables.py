@@ -49,6 +49,19 @@ def kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that one task sorts or groups, about, whatever the table's size: some hundred MB.
+TASK_ROWS = 500_000
+
+
+def in_tasks(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` of about ``rows`` rows dealt by ``keys`` over as many tasks as these need, and as the session's shuffles have at least.
+
+    The number is fixed, so small parts are not put together again: a task's memory does not grow with the table, only their number does.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // TASK_ROWS)), *keys)
+
+
 def _fs(spark: SparkSession, path: str):
     """The file system of a path, and the path in it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
