@@ -4,6 +4,7 @@ import random
 
 from weft.operators import graph as G
 from weft.plans import graph as P
+from weft.sources import tables as T
 
 
 def _plan(df):
@@ -49,3 +50,11 @@ def test_shared_targets_of_large_targets_and_sources(spark):
     got = G.shared_targets(e, sent=3, heavy=20)
     assert sorted(tuple(x) for x in got.collect()) == want
     assert _plan(got).count("REPARTITION_BY_NUM") >= 2  # as many tasks as there are meetings, not as a session has
+
+
+def test_contexts_are_dealt_over_as_many_tasks_as_edges_need(spark, monkeypatch):
+    monkeypatch.setattr(T, "TASK_ROWS", 2)
+    e = spark.createDataFrame([("a", "m"), ("m", "b"), ("m", "b"), ("a", "n"), ("n", "b"), ("a", "b"), ("b", "b"), ("a", "a")] * 2, "src string, dst string")
+    got = G.two_hop_contexts(e, spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "a")], "a string, b string"))
+    assert sorted(tuple(x) for x in got.collect()) == [("a", "b", "m", 1), ("a", "b", "n", 2)]
+    assert ", 8), REPARTITION_BY_NUM" in _plan(got)

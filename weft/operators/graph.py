@@ -353,11 +353,13 @@ def path_faults(paths: DataFrame, depth: int = 4) -> DataFrame:
 
 
 def two_hop_contexts(edges: DataFrame, pairs: DataFrame, most: int = 5) -> DataFrame:
-    """Up to ``most`` middles for each pair (a, b), the least first."""
-    one = edges.select("src", "dst").distinct()
-    left = pairs.select("a", "b").distinct().join(one.select(F.col("src").alias("a"), F.col("dst").alias("mid")), "a")
-    met = left.join(one.select(F.col("src").alias("mid"), F.col("dst").alias("b")), ["mid", "b"]).filter("mid <> a AND mid <> b").distinct()
-    return _first_middles(met, most)
+    """Up to ``most`` middles for each pair (a, b), the least first. ``edges`` may repeat; they are dealt over as many tasks as their number needs."""
+    rows = edges.count()
+    one = lambda src, dst, key: in_tasks(edges.select(F.col("src").alias(src), F.col("dst").alias(dst)), rows, *key).distinct()
+    left = pairs.select("a", "b").distinct().join(one("a", "mid", ["a"]), "a").filter("mid <> a AND mid <> b")
+    met = in_tasks(left, rows, "mid", "b").join(one("mid", "b", ["mid", "b"]).hint("merge"), ["mid", "b"])
+    w = Window.partitionBy("a", "b").orderBy("mid")
+    return met.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most).select("a", "b", "mid", "place")
 
 
 #: Sources of a target that are sent in one row, about, and pairs of a source and target's sources from which they are dealt over several tasks.
@@ -385,11 +387,6 @@ def shared_targets(edges: DataFrame, most: int = 5, sent: int = SENT, heavy: int
     return met.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most).select("a", "b", "mid", "place")
 
 
-def _first_middles(met: DataFrame, most: int) -> DataFrame:
-    w = Window.partitionBy("a", "b").orderBy("mid")
-    return met.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most).select("a", "b", "mid", "place")
-
-
 def spread(edges: DataFrame, start: DataFrame, value: Column | None = None, most: int | None = None) -> DataFrame:
     """(node, depth, value) reached from ``start`` (node, value), each at its first visit; the least value wins there.
 
