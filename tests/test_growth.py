@@ -3,6 +3,9 @@
 import random
 
 from weft.operators import graph as G
+from weft.operators import overlap as O
+from weft.operators import relational as R
+from weft.operators import validation as V
 from weft.plans import graph as P
 from weft.sources import tables as T
 
@@ -58,3 +61,11 @@ def test_contexts_are_dealt_over_as_many_tasks_as_edges_need(spark, monkeypatch)
     got = G.two_hop_contexts(e, spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "a")], "a string, b string"))
     assert sorted(tuple(x) for x in got.collect()) == [("a", "b", "m", 1), ("a", "b", "n", 2)]
     assert ", 8), REPARTITION_BY_NUM" in _plan(got)
+
+
+def test_cooccurrences_are_dealt_over_as_many_tasks_as_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(T, "TASK_ROWS", 2)
+    d = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 1), (2, 2), (2, 3), (None, 1), (3, None), (3, 1)] + [(9, 9)] * 3, "p long, e long")
+    got = R.cooccurrences(d, "p", "e")
+    assert sorted(tuple(x) for x in got.collect()) == [(1, 2, 2), (1, 3, 1), (2, 3, 1)]
+    assert ", 6), REPARTITION_BY_NUM" in _plan(got)

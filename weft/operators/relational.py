@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.operators.validation import faults
+from weft.sources.tables import in_tasks
 
 
 def classify(rules: Sequence[tuple[Column, str]], default: str | None = None) -> Column:
@@ -263,10 +264,15 @@ def expand_range(df: DataFrame, lo: str, hi: str, out: str, most: int = 21) -> D
 
 
 def cooccurrences(df: DataFrame, passage: str, entity: str) -> DataFrame:
-    """(a, b, n_passages): entities a < b that share passages. Entities are distinct in a passage before the join."""
-    d = df.select(passage, entity).distinct()
-    a, b = d.select(passage, F.col(entity).alias("a")), d.select(passage, F.col(entity).alias("b"))
-    return a.join(b, passage).filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n_passages"))
+    """(a, b, n_passages): entities a < b that share passages. Entities are distinct in a passage before the join.
+
+    Passages are dealt over as many tasks as the rows need, so what a task sorts and counts does not grow with the table.
+    """
+    rows = df.count()
+    d = in_tasks(df.select(passage, entity), rows, passage, entity).distinct()
+    side = lambda end: in_tasks(d.select(passage, F.col(entity).alias(end)), rows, passage)
+    met = side("a").join(side("b").hint("merge"), passage).filter("a < b")
+    return met.groupBy("a", "b").agg(F.count("*").alias("n_passages"))
 
 
 def per_10k(part: Column, whole: Column) -> Column:
