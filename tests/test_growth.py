@@ -69,3 +69,10 @@ def test_cooccurrences_are_dealt_over_as_many_tasks_as_rows_need(spark, monkeypa
     got = R.cooccurrences(d, "p", "e")
     assert sorted(tuple(x) for x in got.collect()) == [(1, 2, 2), (1, 3, 1), (2, 3, 1)]
     assert ", 6), REPARTITION_BY_NUM" in _plan(got)
+
+
+def test_evidence_of_a_group_is_ordered_once(spark):
+    d = spark.createDataFrame([(1, [("b", None, 2)]), (1, [("a", "x", 3), ("b", None, 1)]), (1, [("a", "x", 2), ("b", "y", 5)]), (2, [])], "g long, e array<struct<s:string,p:string,c:int>>")
+    got = d.groupBy("g").agg(R.united_evidence("e", ["s", "p"]).alias("e"))
+    assert {x.g: [tuple(y) for y in x.e] for x in got.collect()} == {1: [("a", "x", 2), ("b", None, 1), ("b", "y", 5)], 2: []}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("array_sort(") == 1

@@ -44,8 +44,9 @@ def united_evidence(evidence: str, keys: Sequence[str]) -> Column:
     """Arrays of evidence structs of a group as one, an aggregate: of items equal in ``keys`` the least, in order of these."""
     all_ = F.flatten(F.collect_list(evidence))
     keyed = F.array_sort(F.transform(all_, lambda e: F.struct(F.struct(*[e[k].alias(k) for k in keys]).alias("key"), e.alias("e"))))
-    firsts = F.filter(keyed, lambda x, i: (i == 0) | ~F.get(keyed, i - 1)["key"].eqNullSafe(x["key"]))
-    return F.transform(firsts, lambda x: x["e"])
+    # a list of the list, so that it is made once and not again for each of its items
+    firsts = F.transform(F.array(keyed), lambda l: F.transform(F.filter(l, lambda x, i: (i == 0) | ~F.get(l, i - 1)["key"].eqNullSafe(x["key"])), lambda x: x["e"]))
+    return firsts[0]
 
 
 def summary(df: DataFrame, columns: Sequence[str], places: int = 4) -> DataFrame:

@@ -249,7 +249,8 @@ def merge_group_faults(spark, sf_dir):
 @query("""SELECT l_orderkey, array_to_string(list(s || '/' || p || '/' || n || '=' || q ORDER BY s, p, n), ',') AS evidence FROM (SELECT l_orderkey, l_returnflag AS s, l_linenumber::VARCHAR AS p, l_linestatus AS n, min(l_quantity)::INT::VARCHAR AS q FROM lineitem GROUP BY ALL) GROUP BY l_orderkey""")
 def evidence_union(spark, sf_dir):
     item = F.struct(F.col("l_returnflag").alias("source"), F.col("l_linenumber").cast("string").alias("passage"), F.col("l_linestatus").alias("note"), F.col("l_quantity").alias("certainty"))
-    rows = t(spark, sf_dir, "lineitem").select("l_orderkey", F.array(item).alias("e"))
+    l = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", "l_linestatus", "l_quantity")
+    rows = S.in_tasks(l, l.count(), "l_orderkey").select("l_orderkey", F.array(item).alias("e"))  # moved as columns, not as lists of one
     u = rows.groupBy("l_orderkey").agg(R.united_evidence("e", ["source", "passage", "note"]).alias("e"))
     return u.select("l_orderkey", strings(F.transform("e", lambda x: F.concat(x["source"], F.lit("/"), x["passage"], F.lit("/"), x["note"], F.lit("="), x["certainty"].cast("int").cast("string")))).alias("evidence"))
 
