@@ -76,3 +76,12 @@ def test_evidence_of_a_group_is_ordered_once(spark):
     got = d.groupBy("g").agg(R.united_evidence("e", ["s", "p"]).alias("e"))
     assert {x.g: [tuple(y) for y in x.e] for x in got.collect()} == {1: [("a", "x", 2), ("b", None, 1), ("b", "y", 5)], 2: []}
     assert got._jdf.queryExecution().optimizedPlan().toString().count("array_sort(") == 1
+
+
+def test_coverage_meets_in_one_grouping(spark, monkeypatch):
+    monkeypatch.setattr(T, "TASK_ROWS", 2)
+    frame = lambda rows: spark.createDataFrame(rows, "k long, i long")
+    whole, parts = frame([(1, 1), (1, 1), (1, 2), (1, 3), (None, 1)]), frame([(1, 1), (1, 3), (1, 3), (2, 1), (2, 1), (None, 1)])
+    got = V.partition_coverage(parts, whole, "k", "i", 20)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 2, "missing"), (1, 3, "overlap"), (2, 1, "unknown"), (None, 1, "missing"), (None, 1, "unknown")], key=str)
+    assert "Join" not in _plan(got) and ", 10), REPARTITION_BY_NUM" in _plan(got)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weft.operators import relational as R
 from weft.operators import validation as V
+from weft.sources.tables import in_tasks
 from weft.sources.tables import table as t
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -291,6 +292,8 @@ def id_remap(spark, sf_dir):
 SELECT key, item, fault FROM (SELECT coalesce(w.key, n.key) AS key, coalesce(w.item, n.item) AS item, CASE WHEN w.key IS NULL THEN 'unknown' WHEN n.n IS NULL THEN 'missing' WHEN n.n > 1 THEN 'overlap' END AS fault
 FROM w FULL JOIN (SELECT key, item, count(*) AS n FROM p GROUP BY ALL) n ON w.key = n.key AND w.item = n.item) WHERE fault IS NOT NULL""")
 def partition_coverage(spark, sf_dir):
-    w = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("item")).distinct()
+    l = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("item"))
+    rows = l.count()
+    w = in_tasks(l, rows, "key", "item").distinct()
     parts = w.filter("item <= 3").unionByName(w.filter("item >= 3 AND item < 6"))
-    return V.partition_coverage(parts, w, "key", "item")
+    return V.partition_coverage(parts, w, "key", "item", rows * 2)
