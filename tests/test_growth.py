@@ -85,3 +85,13 @@ def test_coverage_meets_in_one_grouping(spark, monkeypatch):
     got = V.partition_coverage(parts, whole, "k", "i", 20)
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 2, "missing"), (1, 3, "overlap"), (2, 1, "unknown"), (None, 1, "missing"), (None, 1, "unknown")], key=str)
     assert "Join" not in _plan(got) and ", 10), REPARTITION_BY_NUM" in _plan(got)
+
+
+def test_sets_are_moved_to_their_entity_and_to_their_class_alone(spark, monkeypatch):
+    plans, kept = [], O.kept
+    monkeypatch.setattr(O, "kept", lambda d: plans.append(_plan(d)) or kept(d))
+    d = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 1), (3, 1), (3, 2), (4, None), (None, 1)], "e long, i long")
+    pairs, ma, mb = O.scores_above(d, d, "e", "e", "i", 70_000)
+    assert sorted((x.a, x.b, x.shared, x.members_a, x.members_b) for x in pairs.collect()) == [(1, 1, 2, 2, 2), (2, 1, 1, 1, 2), (2, 2, 1, 1, 1)]
+    assert sorted((x.e, x.cls, x.n) for x in ma.collect()) == [(1, 1, 2), (2, 2, 1), (3, 1, 2)]
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 2, 2]  # items' places, and each side's classes

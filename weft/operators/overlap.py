@@ -10,12 +10,13 @@ pair counts, items of many entities stay factored: the item with its entities st
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.operators.relational import per_10k
-from weft.sources.tables import kept
+from weft.sources.tables import in_tasks, kept
 
 #: Measures are rounded to ten-thousandths, so a score may be off by this much.
 ROUNDING = 10
@@ -23,6 +24,8 @@ ROUNDING = 10
 SMALL = 16
 #: Items that two small sets must share to meet, where their pair needs as many.
 TOGETHER = 3
+#: Bits of a hash by which small sets meet.
+HASH = 40
 
 
 def classes(sets: DataFrame, entity: str, item: str) -> DataFrame:
@@ -41,6 +44,11 @@ def _places(items: DataFrame, item: str) -> DataFrame:
     return items.groupBy(item).agg(F.count("*").alias("f")).select(item, (step + F.pmod(F.xxhash64(item), F.lit(256))).cast("int").alias("place"))
 
 
+def _ordered(items: DataFrame) -> tuple[DataFrame, int]:
+    """Kept ``_places`` of the rows' items, and the number of rows."""
+    return kept(_places(items, "item")), items.count()
+
+
 def _prefix(sets: DataFrame, places: DataFrame, entity: str, item: str, need: Column) -> DataFrame:
     """Rows of ``sets`` (entity, item, n) by which a set meets all that share ``need`` items with it: its rarest ``n - need + 1``, and what ties with the last.
 
@@ -77,44 +85,72 @@ def _in_order(sets: DataFrame, places: DataFrame) -> DataFrame:
     return placed.groupBy("e", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "item"))), lambda x: x["item"]).alias("items"))
 
 
+def _rows(df: DataFrame, entity: str, item: str) -> DataFrame:
+    return df.select(F.col(entity).alias("e"), F.col(item).alias("item")).filter("e IS NOT NULL AND item IS NOT NULL")
+
+
+def _classed(rows: DataFrame, places: DataFrame, n_rows: int, least: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Classes of equal sets of ``least`` items or more, kept: (e, n, members, items), the least entity and a small set's items from rare to
+    frequent; and the members (e, cls, n) of all classes, found only where they are read.
+
+    Rows (e, item) are moved once, to their entity, and one row of a set once more, to its class. A small set is told by its items, a larger
+    one by 128 bits of their hashes and never gathered.
+    """
+    placed = in_tasks(rows.join(places, "item"), n_rows, "e").distinct()
+    first = F.row_number().over(Window.partitionBy("e").orderBy("place", "item")) <= SMALL
+    mixed = lambda *salt: F.bit_xor(F.xxhash64("item", *salt))
+    own = placed.withColumn("few", F.when(first, F.struct("place", "item"))).groupBy("e").agg(F.count("*").alias("n"), mixed().alias("h"), mixed(F.lit(1)).alias("g"), F.array_sort(F.collect_list("few")).alias("few"))
+    small = F.col("n") <= SMALL
+    items = F.transform("few", lambda x: x["item"])
+    one = own.filter(F.col("n") >= least).select("e", "n", F.when(small, 0).otherwise(F.col("h")).alias("h"), F.when(small, 0).otherwise(F.col("g")).alias("g"), F.when(small, items).otherwise(F.slice(items, 1, 0)).alias("items"))
+    told = ["n", "h", "g", "items"]
+    classes = kept(one.groupBy(*told).agg(F.min("e").alias("e"), F.count("*").alias("members")))
+    return classes, one.join(classes.select(*told, F.col("e").alias("cls")), told).select("e", "cls", "n")
+
+
 def _small_pairs(left: DataFrame, right: DataFrame, need: Callable[[int, int], int], once: bool = False) -> DataFrame:
     """(a, b, n_a, n_b, shared) of small sets (e, n, items) that share ``need(n_a, n_b)`` items or more; 0: no number is enough. ``once``: only a < b.
 
     A pair which needs k items meets by l = min(k, ``TOGETHER``) of them at once: its l rarest shared items are within the rarest n - k + l of
-    either set. Pairs are exact thereafter, as hashes only bring them together.
+    either set. Pairs are exact thereafter, as hashes only bring them together; a key is ``HASH`` bits of one and l in one number.
     """
     sizes = range(SMALL + 1)
     k = {(x, y): need(x, y) if x and y else 0 for x in sizes for y in sizes}
     lists = lambda v: F.array(*[F.lit(x) for x in v])
+    rare = lambda at, l: [max((n - q + l for xy, q in k.items() if xy[at] == n and min(q, TOGETHER) == l), default=0) for n in sizes]
+    some = range(1, TOGETHER + 1)
+    asks = lambda at: lists([sum(comb(rare(at, l)[n], l) for l in some) for n in sizes])
+    number = lambda side, at: side.filter(F.col("n") <= SMALL).agg(F.coalesce(F.sum(F.get(asks(at), F.col("n").cast("int"))), F.lit(0))).first()[0]
+    rows = number(left, 0) + number(right, 1)
 
     def asked(side: DataFrame, at: int, end: str) -> DataFrame:
         keys = []
-        for l in range(1, TOGETHER + 1):
-            rare = [max((n - q + l for xy, q in k.items() if xy[at] == n and min(q, TOGETHER) == l), default=0) for n in sizes]
-            first = F.get(lists(rare), F.col("n").cast("int"))
-            keys.append(F.when(first > 0, F.transform(_subsets(F.col("items"), first, l), lambda h: F.struct(F.lit(l).cast("byte").alias("l"), h.alias("h")))))
-        none = F.array().cast("array<struct<l:tinyint,h:bigint>>")
-        some = side.select(F.col("e").alias(end), F.col("n").cast("byte").alias(f"n_{end}"), F.explode(F.concat(*[F.coalesce(x, none) for x in keys])).alias("k"))
-        return some.select(end, f"n_{end}", "k.l", "k.h")
+        for l in some:
+            first = F.get(lists(rare(at, l)), F.col("n").cast("int"))
+            keys.append(F.when(first > 0, F.transform(_subsets(F.col("items"), first, l), lambda h: F.shiftleft(h.bitwiseAND(F.lit((1 << HASH) - 1)), 2) + l)))
+        none = F.array().cast("array<bigint>")
+        small = side.filter(F.col("n") <= SMALL).select(F.col("e").alias(end), F.col("n").cast("byte").alias(f"n_{end}"), F.explode(F.concat(*[F.coalesce(x, none) for x in keys])).alias("key"))
+        return in_tasks(small, rows, "key")
 
     wanted = lambda v: F.get(lists(v), F.col("n_a").cast("int") * len(sizes) + F.col("n_b").cast("int"))
-    met = asked(left, 0, "a").join(asked(right, 1, "b"), ["l", "h"]).filter(F.col("l") == wanted([min(q, TOGETHER) for q in k.values()]))
+    met = asked(left, 0, "a").join(asked(right, 1, "b"), "key").filter(F.col("key").bitwiseAND(F.lit(3)) == wanted([min(q, TOGETHER) for q in k.values()]))
     pairs = (met.filter("a < b") if once else met).select("a", "b").distinct()
-    sets = lambda side, end: side.select(F.col("e").alias(end), F.col("n").alias(f"n_{end}"), F.col("items").alias(f"i_{end}"))
+    sets = lambda side, end: side.filter(F.col("n") <= SMALL).select(F.col("e").alias(end), F.col("n").alias(f"n_{end}"), F.col("items").alias(f"i_{end}"))
     out = pairs.join(sets(left, "a"), "a").join(sets(right, "b"), "b").withColumn("shared", F.size(F.array_intersect("i_a", "i_b")).cast("long"))
     return out.filter(F.col("shared") >= wanted(list(k.values()))).select("a", "b", "n_a", "n_b", "shared")
 
 
-def _large_meetings(left: DataFrame, right: DataFrame) -> DataFrame | None:
-    """(a, b, n_a, n_b) of sets, one of them large or both, by the rows of their prefixes (e, item, n); None where all are small."""
-    big = F.col("n") > SMALL
-    if left.filter(big).isEmpty() and right.filter(big).isEmpty():
-        return None
+def _large_meetings(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b) of sets, one of them large or both, by the rows of their prefixes (e, item, n)."""
     a, b = (d.select(F.col("e").alias(e), "item", F.col("n").alias(f"n_{e}")) for d, e in ((left, "a"), (right, "b")))
     met = a.filter(F.col("n_a") > SMALL).join(b, "item").unionByName(a.filter(F.col("n_a") <= SMALL).join(b.filter(F.col("n_b") > SMALL), "item"))
     return met.select("a", "b", "n_a", "n_b").distinct()
 
 
+def _any_large(*classes: DataFrame) -> bool:
+    return any(not c.filter(F.col("n") > SMALL).isEmpty() for c in classes)
+
+
 def scored(pairs: DataFrame) -> DataFrame:
     """Coverage, precision, Jaccard and their 0.5 / 0.3 / 0.2 score of ``shared``, ``n_a`` and ``n_b``, in whole numbers."""
     s, a, b = F.col("shared"), F.col("n_a"), F.col("n_b")
@@ -128,31 +164,28 @@ def _at_least(n: Column, part: float) -> Column:
 
 
 def scores_above(left: DataFrame, right: DataFrame, a: str, b: str, passage: str, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs of passage sets whose score is ``least`` hundred-thousandths or more: (a, b, n_a, n_b, shared, measures, score) of class
-    representatives, and the members (entity, cls, n) of both sides' classes. All members of two classes have their representatives' score.
+    """Pairs of passage sets whose score is ``least`` hundred-thousandths or more: (a, b, n_a, n_b, shared, measures, score, members_a,
+    members_b) of class representatives, with their classes' members in number, and the members (entity, cls, n) of both sides' classes. All members of two classes have their representatives' score.
 
     With t the threshold, a pair shares at least (t - 0.3) / 0.7 of a's passages, as precision and Jaccard can make up for no more, and
     (t - 0.5) / 0.5 of b's; these give the prefixes. Sizes alone then rule out more, and only the rest is counted.
     """
     t = max(least - ROUNDING, 1) / 100_000
-    sides = []
-    for df, e, part in ((left, a, (t - 0.3) / 0.7), (right, b, (t - 0.5) / 0.5)):
-        sets = kept(df.select(F.col(e).alias("e"), F.col(passage).alias("item")).filter("e IS NOT NULL AND item IS NOT NULL").distinct())
-        members = kept(classes(sets, "e", "item"))
-        own = kept(sets.join(members.filter("e = cls").select("e", "n"), "e"))
-        sides.append((members, own, part))
-    (ma, sa, part_a), (mb, sb, part_b) = sides
-    places = kept(_places(sa.select("item").unionByName(sb.select("item")), "item"))
-    ia, ib = (kept(_in_order(s, places)) for s in (sa, sb))
+    ra, rb = _rows(left, a, passage), _rows(right, b, passage)
+    places, n_rows = _ordered(ra.select("item").unionByName(rb.select("item")))
+    (ca, ma), (cb, mb) = (_classed(r, places, n_rows) for r in (ra, rb))
     mean = lambda s, n: (s * 20000 + n) // (n * 2)
     score = lambda s, n, m: mean(s, n) * 5 + mean(s, m) * 3 + mean(s, n + m - s) * 2
-    counted = _small_pairs(ia, ib, lambda n, m: next((s for s in range(1, min(n, m) + 1) if score(s, n, m) >= least), 0))
-    pa, pb = (_prefix(s, places, "e", "item", _at_least(F.col("n"), part)) for s, part in ((sa, part_a), (sb, part_b)))
-    if (large := _large_meetings(pa, pb)) is not None:
-        can = scored(large.withColumn("shared", F.least("n_a", "n_b"))).filter(F.col("score") >= least)
+    counted = _small_pairs(ca, cb, lambda n, m: next((s for s in range(1, min(n, m) + 1) if score(s, n, m) >= least), 0))
+    if _any_large(ca, cb):
+        sa, sb = (kept(r.distinct().join(c.select("e", "n"), "e")) for r, c in ((ra, ca), (rb, cb)))
+        pa, pb = (_prefix(s, places, "e", "item", _at_least(F.col("n"), part)) for s, part in ((sa, (t - 0.3) / 0.7), (sb, (t - 0.5) / 0.5)))
+        can = scored(_large_meetings(pa, pb).withColumn("shared", F.least("n_a", "n_b"))).filter(F.col("score") >= least)
         pairs = kept(can.select("a", "b", "n_a", "n_b"))
         counted = counted.unionByName(_shared(pairs, sa.select(F.col("e").alias("a"), "item"), sb.select(F.col("e").alias("b"), "item"), "item"))
-    return scored(counted).filter(F.col("score") >= least), ma.withColumnRenamed("e", a), mb.withColumnRenamed("e", b)
+    size = lambda c, end: c.select(F.col("e").alias(end), F.col("members").alias(f"members_{end}"))
+    out = scored(counted).filter(F.col("score") >= least).join(size(ca, "a"), "a").join(size(cb, "b"), "b")
+    return out, ma.withColumnRenamed("e", a), mb.withColumnRenamed("e", b)
 
 
 def cooccurrences_above(df: DataFrame, passage: str, entity: str, least: int) -> tuple[DataFrame, DataFrame]:
@@ -160,17 +193,23 @@ def cooccurrences_above(df: DataFrame, passage: str, entity: str, least: int) ->
 
     Members of two classes share what their representatives do; two members of one class share all their ``n``.
     """
-    sets = kept(df.select(F.col(entity).alias("e"), F.col(passage).alias("item")).filter("e IS NOT NULL AND item IS NOT NULL").distinct())
-    members = kept(classes(sets, "e", "item").filter(F.col("n") >= least))
-    own = kept(sets.join(members.filter("e = cls").select("e", "n"), "e"))
-    places = kept(_places(own, "item"))
-    small = kept(_in_order(own, places))
-    counted = _small_pairs(small, small, lambda n, m: least if min(n, m) >= least else 0, once=True)
-    p = _prefix(own, places, "e", "item", F.lit(least))
-    if (large := _large_meetings(p, p)) is not None:
-        pairs = kept(large.filter("a < b"))
+    pairs, _, members = class_cooccurrences(df, passage, entity, least)
+    return pairs, members
+
+
+def class_cooccurrences(df: DataFrame, passage: str, entity: str, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``cooccurrences_above`` with the classes (cls, n, members), members in number, between its two tables."""
+    rows = _rows(df, entity, passage)
+    places, n_rows = _ordered(rows)
+    classes, members = _classed(rows, places, n_rows, least)
+    counted = _small_pairs(classes, classes, lambda n, m: least if min(n, m) >= least else 0, once=True)
+    if _any_large(classes):
+        own = kept(rows.distinct().join(classes.select("e", "n"), "e"))
+        p = _prefix(own, places, "e", "item", F.lit(least))
+        pairs = kept(_large_meetings(p, p).filter("a < b"))
         counted = counted.unionByName(_shared(pairs, own.select(F.col("e").alias("a"), "item"), own.select(F.col("e").alias("b"), "item"), "item"))
-    return counted.filter(F.col("shared") >= least).select("a", "b", F.col("shared").alias("n_passages")), members.withColumnRenamed("e", entity)
+    pairs = counted.filter(F.col("shared") >= least).select("a", "b", F.col("shared").alias("n_passages"))
+    return pairs, classes.select(F.col("e").alias("cls"), "n", "members"), members.withColumnRenamed("e", entity)
 
 
 def meetings(df: DataFrame, item: str, entity: str, heavy: int) -> tuple[DataFrame, DataFrame]:

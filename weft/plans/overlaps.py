@@ -34,9 +34,7 @@ SELECT a, b, n_a, n_b, shared, members_a, members_b, coverage, precision, jaccar
 def overlap_scores_above(spark, sf_dir):
     """Odd orders against even ones by their suppliers: pairs of classes with their members' numbers."""
     l = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
-    pairs, ma, mb = O.scores_above(l.filter("l_orderkey % 2 = 1"), l.filter("l_orderkey % 2 = 0"), "l_orderkey", "l_orderkey", "l_suppkey", LEAST)
-    size = lambda m, end: m.groupBy(F.col("cls").alias(end)).agg(F.count("*").alias(f"members_{end}"))
-    return pairs.join(size(ma, "a"), "a").join(size(mb, "b"), "b")
+    return O.scores_above(l.filter("l_orderkey % 2 = 1"), l.filter("l_orderkey % 2 = 0"), "l_orderkey", "l_orderkey", "l_suppkey", LEAST)[0]
 
 
 @query("""WITH d AS (SELECT DISTINCT l_orderkey AS e, l_suppkey AS item FROM lineitem), s AS (SELECT e, list_sort(list(item)) AS s, count(*) AS n FROM d GROUP BY e),
@@ -45,8 +43,8 @@ p AS (SELECT a.e AS a, b.e AS b, count(*) AS n_passages FROM i a JOIN i b ON a.i
 SELECT a, b, n_passages, NULL::BIGINT AS members FROM p UNION ALL SELECT e, e, n, members FROM c WHERE members > 1""")
 def cooccurrences_above(spark, sf_dir):
     """Orders that share three suppliers or more: pairs of classes, and classes of several members with what these share."""
-    pairs, members = O.cooccurrences_above(t(spark, sf_dir, "lineitem"), "l_suppkey", "l_orderkey", 3)
-    own = members.groupBy(F.col("cls").alias("a"), F.col("n").alias("n_passages")).agg(F.count("*").alias("members")).filter("members > 1")
+    pairs, classes, _ = O.class_cooccurrences(t(spark, sf_dir, "lineitem"), "l_suppkey", "l_orderkey", 3)
+    own = classes.select(F.col("cls").alias("a"), F.col("n").alias("n_passages"), "members").filter("members > 1")
     return pairs.withColumn("members", F.lit(None).cast("long")).unionByName(own.withColumn("b", F.col("a")))
 
 
