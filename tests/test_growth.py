@@ -95,3 +95,19 @@ def test_sets_are_moved_to_their_entity_and_to_their_class_alone(spark, monkeypa
     assert sorted((x.a, x.b, x.shared, x.members_a, x.members_b) for x in pairs.collect()) == [(1, 1, 2, 2, 2), (2, 1, 1, 1, 2), (2, 2, 1, 1, 1)]
     assert sorted((x.e, x.cls, x.n) for x in ma.collect()) == [(1, 1, 2), (2, 2, 1), (3, 1, 2)]
     assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 2, 2]  # items' places, and each side's classes
+
+
+def test_paths_are_moved_as_numbers(spark, monkeypatch):
+    plans, kept = [], G.kept
+    monkeypatch.setattr(G, "kept", lambda d: plans.append(_plan(d)) or kept(d))
+    r = random.Random(4)
+    rows = [(f"a{r.randint(0, 9)}", f"b{r.randint(0, 9)}") for _ in range(26)] + [("b0", "b0"), ("a0", "b0"), ("b1", None)]
+    e = G.each_way(spark.createDataFrame([(a, b, x) for a, b in rows for x in ("y", "x!", "x")], "a string, b string, id string"), "a", "b", "id")
+    start = spark.createDataFrame([("a0",), ("b0",)], "node string")
+    key = lambda d: sorted((x.src, x.dst, tuple(x.ids), tuple(x.steps), x.delta, x.length) for x in d.collect())
+    want = key(G.canonical_paths(e, sources=start.withColumnRenamed("node", "src")))
+    plans.clear()
+    for front in (0, G.FRONT):
+        monkeypatch.setattr(G, "FRONT", front)
+        assert key(G.paths_from(e, start)) == want and want[-1]
+    assert not any("min(struct(ids" in p for p in plans) and any("ordinal" in p for p in plans)

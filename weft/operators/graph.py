@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.operators.inference import _dealt, _in_pieces, grandparents, siblings
+from weft.operators.relational import numbered
 from weft.operators.validation import faults
 from weft.sources.tables import in_tasks, kept
 
@@ -118,21 +120,31 @@ def _at_front(edges: DataFrame, front: DataFrame) -> DataFrame:
     return edges.join(F.broadcast(front) if front.count() <= FRONT else front, "src", "left_semi")
 
 
+def _sent(df: DataFrame) -> DataFrame:
+    """A kept ``df`` that all tasks are sent, if it has as few rows as a front."""
+    return F.broadcast(df) if df.count() <= FRONT else df
+
+
 def paths_from(edges: DataFrame, start: DataFrame, depth: int = 4) -> DataFrame:
     """``canonical_paths`` from the nodes of ``start`` (node), for few of a large graph; ``edges`` may repeat.
 
-    Each level reads the edges, and only those that begin at its front are told apart and meet its paths: what is moved grows with what the
-    sources reach and not with the graph.
+    Each level reads the edges, and those that begin at its front meet its paths: what is moved grows with what the sources reach and not with
+    the graph. A path is moved as its number in the order of its level's ids; nodes of a path are found before, so none is met again.
     """
     level = kept(_first_level(_least_steps(_at_front(edges, kept(start.select("node").distinct())))))
     found = [level]
     for d in range(2, depth + 1):
-        near = _least_steps(_at_front(edges, kept(level.select(F.col("dst").alias("node")).distinct())))
-        grown = _grown(level, _next_steps(near))
-        for before in found:
-            grown = grown.join(before.select("src", "dst"), ["src", "dst"], "left_anti")
-        least = grown.groupBy("src", "dst").agg(F.min(F.struct("ids", "steps", "delta")).alias("p"))
-        level = kept(least.select("src", "dst", "p.*", F.lit(d).alias("length")))
+        order = numbered(level, ["ids"])
+        front = kept(order.select(F.col("src").alias("from"), F.col("dst").alias("mid"), "ordinal"))
+        met = edges.join(_sent(front), F.col("src") == F.col("mid")).filter("dst <> from")
+        step = F.concat(F.col("edge_id"), F.lit(":"), F.col("mid"), F.lit("->"), F.col("dst"))
+        grown = met.select(F.col("from").alias("src"), "dst", F.struct("ordinal", step.alias("step"), "way").alias("p"))
+        unseen = lambda df: reduce(lambda x, f: x.join(_sent(f.select("src", "dst")), ["src", "dst"], "left_anti"), found, df)
+        few = sum(f.count() for f in found) <= FRONT  # then what was found is dropped before it is moved
+        least = (unseen(grown) if few else grown).groupBy("src", "dst").agg(F.min("p").alias("p")).select("src", "dst", "p.*")
+        least = least if few else unseen(least)
+        path = (F.array_append("ids", F.col("dst")).alias("ids"), F.array_append("steps", F.col("step")).alias("steps"), (F.col("delta") + F.col("way")).alias("delta"))
+        level = kept(least.join(order.select("ordinal", "ids", "steps", "delta"), "ordinal").select("src", "dst", *path, F.lit(d).alias("length")))
         found.append(level)
     out = found[0]
     for f in found[1:]:
