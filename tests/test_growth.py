@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from weft.operators import graph as G
 from weft.operators import overlap as O
 from weft.operators import relational as R
@@ -111,3 +113,16 @@ def test_paths_are_moved_as_numbers(spark, monkeypatch):
         monkeypatch.setattr(G, "FRONT", front)
         assert key(G.paths_from(e, start)) == want and want[-1]
     assert not any("min(struct(ids" in p for p in plans) and any("ordinal" in p for p in plans)
+
+
+def test_meetings_are_dealt_over_as_many_tasks_as_pairs_need(spark, monkeypatch):
+    monkeypatch.setattr(T, "TASK_ROWS", 2)
+    rows = [("x", 1), ("x", 2), ("x", 2), ("y", 1), ("y", 2), ("z", 2), ("z", 3), ("w", 4), (None, 1), ("w", None)] + [("hot", e) for e in (1, 2, 4)]
+    d = spark.createDataFrame(rows, "i string, e long")
+    for counted, want in ((False, [(1, 2, "hot"), (1, 2, "x"), (1, 2, "y"), (2, 3, "z")]), (True, [(1, 2, 3), (2, 3, 1)])):
+        got, heavy = (O.counted_meetings if counted else O.meetings)(d, "i", "e", 2)
+        assert sorted(map(tuple, got.collect())) == want
+        assert sorted(map(tuple, heavy.select("i", "e", "n").collect())) == [("hot", e, 3) for e in (1, 2, 4)]
+    d = spark.range(20).select((F.col("id") % 2).cast("string").alias("i"), (F.col("id") + 1).alias("e"))
+    got, _ = O.counted_meetings(d, "i", "e", 10)
+    assert got.count() == 90 and ", 45), REPARTITION_BY_NUM" in _plan(got)

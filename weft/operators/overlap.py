@@ -218,11 +218,35 @@ def meetings(df: DataFrame, item: str, entity: str, heavy: int) -> tuple[DataFra
     First (a, b, item): every pair a < b that meets in a light item, with all items it meets in, heavy ones too. Then (item, entity, n) of
     the heavy items: any two entities of one meet there, and those that meet nowhere else are told by these rows alone.
     """
-    sets = kept(df.select(F.col(item).alias("item"), F.col(entity).alias("e")).filter("e IS NOT NULL AND item IS NOT NULL").distinct())
-    sizes = sets.groupBy("item").agg(F.count("*").alias("n"))
-    hot = kept(sets.join(sizes.filter(F.col("n") > heavy), "item"))
-    light = sets.join(sizes.filter(F.col("n") <= heavy).select("item"), "item")
-    met = kept(light.withColumnRenamed("e", "a").join(light.withColumnRenamed("e", "b"), "item").filter("a < b"))
-    pairs = met.select("a", "b").distinct()
-    also = pairs.join(hot.select("item", F.col("e").alias("a")), "a").join(hot.select("item", F.col("e").alias("b")), ["b", "item"])
-    return met.select("a", "b", "item").unionByName(also.select("a", "b", "item")), hot.select(F.col("item").alias(item), F.col("e").alias(entity), "n")
+    pairs, hot = _met(df, item, entity, heavy)
+    told = pairs.select("a", "b", "item").unionByName(_shared_heavy(pairs, hot))
+    return told, hot.select(F.col("item").alias(item), F.col("e").alias(entity), "n")
+
+
+def counted_meetings(df: DataFrame, item: str, entity: str, heavy: int) -> tuple[DataFrame, DataFrame]:
+    """``meetings`` with a pair's items in number, (a, b, n): all that is known of a pair is counted where its light items met."""
+    pairs, hot = _met(df, item, entity, heavy)
+    light = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    also = _shared_heavy(pairs, hot).groupBy("a", "b").agg(F.count("*").alias("m"))
+    n = (F.col("n") + F.coalesce("m", F.lit(0))).alias("n")
+    return light.join(also, ["a", "b"], "left").select("a", "b", n), hot.select(F.col("item").alias(item), F.col("e").alias(entity), "n")
+
+
+def _met(df: DataFrame, item: str, entity: str, heavy: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, item): pairs and the light items they meet in, a pair's rows in one task; and the kept rows (item, e, n) of heavy items.
+
+    Rows are dealt by item, and pairs by themselves, over as many tasks as their number needs; rows of heavy items are not dealt by them.
+    """
+    rows = _rows(df, entity, item)
+    sets = kept(in_tasks(rows, rows.count(), "e", "item").distinct())
+    sizes = kept(sets.groupBy("item").agg(F.count("*").alias("n")).filter(F.col("n") > heavy))
+    hot = kept(sets.join(sizes, "item"))
+    light = in_tasks(sets.join(sizes.select("item"), "item", "left_anti"), sets.count(), "item")
+    met = kept(light.withColumnRenamed("e", "a").join(light.withColumnRenamed("e", "b"), "item").filter("a < b").select("a", "b", "item"))
+    return in_tasks(met, met.count(), "a", "b"), hot
+
+
+def _shared_heavy(pairs: DataFrame, hot: DataFrame) -> DataFrame:
+    """(a, b, item): the heavy items that ``pairs`` (a, b) meet in."""
+    of = lambda end: hot.select("item", F.col("e").alias(end))
+    return pairs.select("a", "b").distinct().join(of("a"), "a").join(of("b"), ["b", "item"]).select("a", "b", "item")

@@ -56,10 +56,9 @@ def meetings_with_heavy_items(spark, sf_dir):
     """Suppliers that share orders or return flags; a flag has more than nine suppliers and stays factored."""
     l = t(spark, sf_dir, "lineitem")
     rows = l.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("item"), "l_suppkey").unionByName(l.select(F.col("l_returnflag").alias("item"), "l_suppkey"))
-    met, heavy = O.meetings(rows, "item", "l_suppkey", 9)
+    met, heavy = O.counted_meetings(rows, "item", "l_suppkey", 9)
     text = lambda c, n: F.col(c).cast("string").alias(n)
-    pairs = met.groupBy(text("a", "a"), text("b", "b")).agg(F.count("*").alias("n"))
-    return pairs.select(F.lit("pair").alias("kind"), "a", "b", "n").unionByName(heavy.select(F.lit("heavy").alias("kind"), F.col("item").alias("a"), text("l_suppkey", "b"), "n"))
+    return met.select(F.lit("pair").alias("kind"), text("a", "a"), text("b", "b"), "n").unionByName(heavy.select(F.lit("heavy").alias("kind"), F.col("item").alias("a"), text("l_suppkey", "b"), "n"))
 
 
 @query("""WITH e AS (SELECT 'N' || c_nationkey AS parent, 'C' || c_custkey AS child FROM customer UNION ALL SELECT 'C' || c_custkey, 'C' || (c_custkey + 1) FROM customer WHERE c_custkey % 3 = 0),
