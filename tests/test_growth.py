@@ -126,3 +126,25 @@ def test_meetings_are_dealt_over_as_many_tasks_as_pairs_need(spark, monkeypatch)
     d = spark.range(20).select((F.col("id") % 2).cast("string").alias("i"), (F.col("id") + 1).alias("e"))
     got, _ = O.counted_meetings(d, "i", "e", 10)
     assert got.count() == 90 and ", 45), REPARTITION_BY_NUM" in _plan(got)
+
+
+def test_a_path_is_moved_once_for_all_leaves_of_its_end(spark, tmp_path, monkeypatch):
+    moved, dealt = [], G._dealt
+    monkeypatch.setattr(G, "_dealt", lambda left, right, keys: moved.append((left.count(), right.count())) or dealt(left, right, keys))
+    pairs = [("a", "b")] + [(f"{at}{i:02}", at) for at in "ab" for i in range(20)]
+    e = G.each_way(spark.createDataFrame([(x, y, f"{x}-{y}") for x, y in pairs + pairs[:5]], "a string, b string, id string"), "a", "b", "id")
+    got = G.all_canonical_paths(e, str(tmp_path / "paths")).collect()
+    near = {}
+    for x, y in pairs:
+        near.setdefault(x, []).append(y), near.setdefault(y, []).append(x)
+
+    def paths(ids):
+        yield ids
+        for y in near[ids[-1]] if len(ids) < 5 else ():
+            if y not in ids:
+                yield from paths((*ids, y))
+
+    step = lambda x, y: f"{x}-{y}:{x}->{y}" if (x, y) in pairs else f"{y}-{x}:{x}->{y}"
+    want = sorted((p, tuple(map(step, p, p[1:]))) for x in near for p in paths((x,)) if len(p) > 1)  # a tree: one path for each pair
+    assert sorted((tuple(p.ids), tuple(p.steps)) for p in got) == want and len(want) == 42 * 41
+    assert moved == [(4, 2)]  # lists of a and b to each of the two, not a row for each leaf

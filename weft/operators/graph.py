@@ -164,15 +164,8 @@ def all_canonical_paths(edges: DataFrame, folder: str, depth: int = 4, block_row
     from weft.sources.tables import done, scratch_scope
 
     spark = edges.sparkSession
-    one = kept(_least_steps(edges.filter("src <> dst")))
-    near = one.select("src", "dst").unionByName(one.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    degree = kept(near.groupBy("src").agg(F.count("*").alias("n"), F.min("dst").alias("at")))
-    inner = degree.filter("n > 1").select(F.col("src").alias("at"))
-    leaves = kept(degree.filter("n = 1").join(inner, "at", "left_semi").select(F.col("src").alias("leaf"), "at"))
-    core = one
-    for end in ("src", "dst"):
-        core = core.join(leaves.select(F.col("leaf").alias(end)), end, "left_anti")
-    core = kept(core)
+    joined = kept(_leaves_told(edges.filter("src <> dst")))
+    core = kept(_each_step(joined.filter("leaf IS NULL")))
     plan = f"{folder.rstrip('/')}/plan"
     if not done(spark, plan):
         out = core.groupBy("src").agg(F.count("*").alias("n"))
@@ -186,28 +179,65 @@ def all_canonical_paths(edges: DataFrame, folder: str, depth: int = 4, block_row
         if not done(spark, path):
             with scratch_scope():  # a block's levels go when its paths are written
                 _levels(core, depth, sources=sources.filter(F.col("block") == k).select("src")).write.mode("overwrite").parquet(path)
-    nodes = degree.select("src").join(leaves.select(F.col("leaf").alias("src")), "src", "left_anti")
-    return _hung(spark.read.parquet(*at), nodes, one, leaves, depth)
+    return _hung(spark.read.parquet(*at), core, joined.filter("leaf IS NOT NULL"), depth)
 
 
-def _hung(paths: DataFrame, nodes: DataFrame, one: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
-    """``paths`` between ``nodes`` (src), and those that begin or end at ``leaves`` (leaf, at) that hang on to them.
+def _leaves_told(edges: DataFrame) -> DataFrame:
+    """(lo, hi, there, back, leaf): a row for each two nodes that are joined, the least edge (edge_id, way) each way, null for none, and which of
+    the two is a leaf: it has no other neighbour, and the other has.
 
-    A node's leaves are dealt over tasks in pieces, so one of very many has its paths made by many tasks.
+    Edges are moved to their two nodes, and these once more without them to find the leaves; steps are spelt out where they are read.
     """
-    none = F.array().cast("array<string>")
-    own = nodes.select(F.col("src").alias("node"), F.col("src").alias("at"), none.alias("by"), none.alias("step"), F.lit(0).alias("way"), F.lit(0).alias("l"))
-    on = lambda leaf, at: leaves.select(F.col("leaf").alias(leaf), F.col("at").alias(at)).join(one, [leaf, at])
-    row = lambda d, leaf, at: d.select(F.col(leaf).alias("node"), F.col(at).alias("at"), F.array(leaf).alias("by"), F.array("step").alias("step"), "way", F.lit(1).alias("l"))
-    first, last = own.unionByName(row(on("src", "dst"), "src", "dst")), _in_pieces(own.unionByName(row(on("dst", "src"), "dst", "src")), "at", "node")
-    to = lambda d, e, *more: d.select(F.col("at").alias(f"_{e}"), *more, *[F.col(c).alias(f"{c}_{e}") for c in ("node", "by", "step", "way", "l")])
-    bare = nodes.select("src", F.col("src").alias("dst"), F.array("src").alias("ids"), none.alias("steps"), F.lit(0).alias("delta"), F.lit(0).alias("length"))
+    src, dst = F.col("src"), F.col("dst")
+    ends = edges.select(F.least("src", "dst").alias("lo"), F.greatest("src", "dst").alias("hi"), (src < dst).alias("ahead"), "edge_id", "way")
+    rows = edges.count()
+    step = lambda a, b: F.concat(F.col("edge_id"), F.lit(":"), F.col(a), F.lit("->"), F.col(b)).alias("step")
+    least = lambda when, a, b: F.min(F.when(when, F.struct(step(a, b), "way", "edge_id")))
+    both = in_tasks(ends, rows, "lo", "hi").groupBy("lo", "hi").agg(least(F.col("ahead"), "lo", "hi").alias("there"), least(~F.col("ahead"), "hi", "lo").alias("back"))
+    edge = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.edge_id").alias("edge_id"), F.col(f"{c}.way").alias("way"))).alias(c)
+    both = both.select("lo", "hi", edge("there"), edge("back"))
+    near = in_tasks(ends.select("lo", "hi"), rows, "lo", "hi").distinct()
+    near = near.select(F.explode(F.array(F.struct(F.col("lo").alias("node"), F.col("hi").alias("at")), F.struct(F.col("hi").alias("node"), F.col("lo").alias("at")))).alias("x")).select("x.*")
+    degree = kept(near.groupBy("node").agg(F.min("at").alias("at"), F.max("at").alias("last")))
+    inner = degree.filter("at <> last").select(F.col("node").alias("at"))
+    leaves = degree.filter("at = last").join(inner, "at", "left_semi")
+    return both.join(leaves.select(F.least("node", "at").alias("lo"), F.greatest("node", "at").alias("hi"), F.col("node").alias("leaf")), ["lo", "hi"], "left")
+
+
+def _each_step(joined: DataFrame) -> DataFrame:
+    """(src, dst, step, way) of nodes that are joined (lo, hi, there, back)."""
+    way = lambda a, b, c: joined.filter(F.col(c).isNotNull()).select(F.col(a).alias("src"), F.col(b).alias("dst"), f"{c}.*")
+    step = F.concat(F.col("edge_id"), F.lit(":"), F.col("src"), F.lit("->"), F.col("dst"))
+    return way("lo", "hi", "there").unionByName(way("hi", "lo", "back")).select("src", "dst", step.alias("step"), "way")
+
+
+def _hung(paths: DataFrame, core: DataFrame, joined: DataFrame, depth: int) -> DataFrame:
+    """``paths`` between the nodes of ``core`` and those that leaves hang on to, and the paths that begin or end at such a leaf, as ``joined`` tells.
+
+    A node's leaves are moved as lists of up to about ``PIECE``, so a path between nodes is moved once for a list and not for each leaf; a node of
+    very many leaves has several lists, and its paths are made by many tasks.
+    """
+    low = F.col("leaf") == F.col("lo")
+    hairs = joined.select(F.when(low, F.col("hi")).otherwise(F.col("lo")).alias("at"), F.col("leaf").alias("node"), F.when(low, F.col("there")).otherwise(F.col("back")).alias("up"), F.when(low, F.col("back")).otherwise(F.col("there")).alias("down"), F.lit(1).alias("l"))
+    nodes = core.select(F.col("src").alias("at")).unionByName(core.select(F.col("dst").alias("at"))).unionByName(hairs.select("at")).distinct()
+    edge = joined.schema["there"].dataType
+    own = nodes.select("at", F.col("at").alias("node"), F.lit(None).cast(edge).alias("up"), F.lit(None).cast(edge).alias("down"), F.lit(0).alias("l"))
+    some = lambda c: F.collect_list(F.when((F.col("l") == 0) | F.col(c).isNotNull(), F.struct("node", "l", F.col(c).alias("edge")))).alias(c)
+    lists = kept(_in_pieces(hairs.unionByName(own), "at", "node").groupBy("at", "pieces", "piece").agg(some("up"), some("down")))
+    bare = nodes.select(F.col("at").alias("src"), F.col("at").alias("dst"), F.array("at").alias("ids"), F.array().cast("array<string>").alias("steps"), F.lit(0).alias("delta"), F.lit(0).alias("length"))
     between = paths.select("src", "dst", "ids", "steps", "delta", "length").unionByName(bare)
-    between = between.join(last.select(F.col("at").alias("dst"), "pieces").distinct(), "dst").withColumnsRenamed({"src": "_a", "dst": "_b"})
-    begun = to(first, "a").join(between, "_a").filter(F.col("l_a") + F.col("length") <= depth).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    out = _dealt(begun, to(last, "b", "piece"), ["_b", "piece"]).filter("node_a <> node_b").withColumn("length", F.col("l_a") + F.col("length") + F.col("l_b")).filter(F.col("length").between(1, depth))
-    way = F.col("way_a") + F.col("delta") + F.col("way_b")
-    return out.select(F.col("node_a").alias("src"), F.col("node_b").alias("dst"), F.concat("by_a", "ids", "by_b").alias("ids"), F.concat("step_a", "steps", "step_b").alias("steps"), way.alias("delta"), "length")
+    between = between.join(lists.select(F.col("at").alias("dst"), "pieces").distinct(), "dst").withColumnsRenamed({"src": "_a", "dst": "_b"})
+    begun = lists.select(F.col("at").alias("_a"), "up").join(between, "_a").withColumn("up", F.filter("up", lambda x: x["l"] + F.col("length") <= depth)).filter(F.size("up") > 0)
+    begun = begun.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    out = _dealt(begun, lists.select(F.col("at").alias("_b"), "piece", "down"), ["_b", "piece"])
+    out = out.withColumn("x", F.explode("up")).withColumn("y", F.explode("down")).filter("x.node <> y.node").withColumn("n", F.col("x.l") + F.col("length") + F.col("y.l")).filter(F.col("n").between(1, depth))
+    none = F.array().cast("array<string>")
+    on = lambda e, c: F.when(F.col(f"{e}.l") == 1, F.array(c)).otherwise(none)
+    step = lambda e, a, b: F.concat(F.col(f"{e}.edge.edge_id"), F.lit(":"), F.col(a), F.lit("->"), F.col(b))
+    way = lambda e: F.when(F.col(f"{e}.l") == 1, F.col(f"{e}.edge.way")).otherwise(0)
+    ids = F.concat(on("x", F.col("x.node")), "ids", on("y", F.col("y.node")))
+    steps = F.concat(on("x", step("x", "x.node", "_a")), "steps", on("y", step("y", "_b", "y.node")))
+    return out.select(F.col("x.node").alias("src"), F.col("y.node").alias("dst"), ids.alias("ids"), steps.alias("steps"), (way("x") + F.col("delta") + way("y")).alias("delta"), F.col("n").alias("length"))
 
 
 def _least_three(half: DataFrame, end: str, via: str) -> DataFrame:

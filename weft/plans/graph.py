@@ -160,7 +160,7 @@ def order_edges(spark, sf_dir):
     k = F.col("c_custkey")
     near = c.filter(k % 3 != 0).select(k).join(c.select((k - 1).alias("c_custkey")), "c_custkey", "left_semi")
     e = o.select(name("o", F.col("o_orderkey")).alias("a"), name("c", F.col("o_custkey")).alias("b")).unionByName(near.select(name("c", k).alias("a"), name("c", k + 1).alias("b")))
-    return G.both_ways(e.withColumn("edge_id", F.concat_ws("-", "a", "b")), "a", "b", "edge_id")
+    return G.each_way(e.withColumn("edge_id", F.concat_ws("-", "a", "b")), "a", "b", "edge_id")
 
 
 OE = """oe AS (SELECT 'o' || lpad(o_orderkey::VARCHAR, 8, '0') AS a, 'c' || lpad(o_custkey::VARCHAR, 8, '0') AS b FROM orders
