@@ -1,6 +1,7 @@
 """Steps whose shuffles or memory must not grow with what a query does not need."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -148,3 +149,21 @@ def test_a_path_is_moved_once_for_all_leaves_of_its_end(spark, tmp_path, monkeyp
     want = sorted((p, tuple(map(step, p, p[1:]))) for x in near for p in paths((x,)) if len(p) > 1)  # a tree: one path for each pair
     assert sorted((tuple(p.ids), tuple(p.steps)) for p in got) == want and len(want) == 42 * 41
     assert moved == [(4, 2)]  # lists of a and b to each of the two, not a row for each leaf
+
+
+def test_counted_meetings_move_a_pair_once(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(f"i{r.randint(0, 60)}", r.randint(0, 14)) for _ in range(120)] + [(h, e) for h in ("h1", "h2") for e in range(12) if r.random() < 0.8] * 2 + [("same", 3)] * 9
+    d = spark.createDataFrame(rows + [(None, 1), ("i1", None)], "i string, e long")
+    of = {}
+    for i, e in rows:
+        of.setdefault(i, set()).add(e)
+    met = {(a, b) for es in of.values() if len(es) <= 4 for a in es for b in es if a < b}
+    want = sorted((a, b, sum({a, b} <= es for es in of.values())) for a, b in met)
+    hot = sorted((i, e, len(es)) for i, es in of.items() if len(es) > 4 for e in es)
+    for sent, wide in ((O.SENT, O.WIDE), (O.SENT, 0), (0, 0)):
+        monkeypatch.setattr(O, "SENT", sent), monkeypatch.setattr(O, "WIDE", wide)
+        got, heavy = O.counted_meetings(d, "i", "e", 4)
+        if sent:  # not once more for its heavy items
+            assert len(re.findall(r"hashpartitioning\(a#\d+L?", _plan(got))) == 1
+        assert sorted(map(tuple, got.collect())) == want and sorted(map(tuple, heavy.select("i", "e", "n").collect())) == hot

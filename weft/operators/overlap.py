@@ -26,6 +26,10 @@ SMALL = 16
 TOGETHER = 3
 #: Bits of a hash by which small sets meet.
 HASH = 40
+#: Rows of a small table up to which all tasks are sent it.
+SENT = 1_000_000
+#: Entities of a heavy item up to which its pairs may be made, as many as one task's rows.
+WIDE = 1000
 
 
 def classes(sets: DataFrame, entity: str, item: str) -> DataFrame:
@@ -218,32 +222,74 @@ def meetings(df: DataFrame, item: str, entity: str, heavy: int) -> tuple[DataFra
     First (a, b, item): every pair a < b that meets in a light item, with all items it meets in, heavy ones too. Then (item, entity, n) of
     the heavy items: any two entities of one meet there, and those that meet nowhere else are told by these rows alone.
     """
-    pairs, hot = _met(df, item, entity, heavy)
+    met, hot, n_pairs = _met(df, item, entity, heavy)
+    pairs = in_tasks(kept(met), n_pairs, "a", "b")
     told = pairs.select("a", "b", "item").unionByName(_shared_heavy(pairs, hot))
     return told, hot.select(F.col("item").alias(item), F.col("e").alias(entity), "n")
 
 
 def counted_meetings(df: DataFrame, item: str, entity: str, heavy: int) -> tuple[DataFrame, DataFrame]:
-    """``meetings`` with a pair's items in number, (a, b, n): all that is known of a pair is counted where its light items met."""
-    pairs, hot = _met(df, item, entity, heavy)
-    light = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
-    also = _shared_heavy(pairs, hot).groupBy("a", "b").agg(F.count("*").alias("m"))
+    """``meetings`` with a pair's items in number, (a, b, n): a pair is moved once, without its items, and counted where its rows meet.
+
+    Heavy items of up to ``WIDE`` entities, as many as have no more pairs than the light ones, are counted along with these; pairs that meet in
+    no light item then go. Of wider items, entities of equal sets are one class; where classes are few, what two of them share is counted once and
+    sent to the pairs.
+    """
+    met, hot, n_pairs = _met(df, item, entity, heavy)
+    own, spare, most = 0, max(n_pairs, SENT), heavy
+    for x in hot.filter(F.col("n") <= WIDE).groupBy("n").agg(F.count("*").alias("rows")).orderBy("n").collect():  # a row for each size
+        more = x.rows * (x.n - 1) // 2
+        if own + more > spare:
+            break
+        own, most = own + more, x.n
+    mid, wide = hot.filter(F.col("n") <= most), hot.filter(F.col("n") > most)
+    both = met.select("a", "b", F.lit(True).alias("light")).unionByName(_pairs(mid, mid.count()).select("a", "b", F.lit(False).alias("light")))
+    light = in_tasks(both, n_pairs + own, "a", "b").groupBy("a", "b").agg(F.count("*").alias("n"), F.bool_or("light").alias("light")).filter("light").drop("light")
+    cls = kept(classes(wide, "e", "item").select("e", "cls"))
+    told = kept(wide.select("e", "item").join(cls.select(F.col("cls").alias("e")).distinct(), "e"))
+    each = told.groupBy("item").agg(F.count("*").alias("c")).agg(F.coalesce(F.sum(F.col("c") * F.col("c")), F.lit(0)).alias("met")).first()
+    if each.met <= SENT and cls.count() <= SENT:
+        of = lambda end: F.broadcast(cls.select(F.col("e").alias(end), F.col("cls").alias(f"c_{end}")))
+        one, two = told.select(F.col("e").alias("c_a"), "item"), told.select(F.col("e").alias("c_b"), "item")
+        also = kept(one.join(two, "item").groupBy("c_a", "c_b").agg(F.count("*").alias("m")))
+        out = light.join(of("a"), "a", "left").join(of("b"), "b", "left").join(F.broadcast(also), ["c_a", "c_b"], "left")
+    else:
+        light = kept(light)
+        out = light.join(_shared_heavy(light, wide).groupBy("a", "b").agg(F.count("*").alias("m")), ["a", "b"], "left")
     n = (F.col("n") + F.coalesce("m", F.lit(0))).alias("n")
-    return light.join(also, ["a", "b"], "left").select("a", "b", n), hot.select(F.col("item").alias(item), F.col("e").alias(entity), "n")
+    return out.select("a", "b", n), hot.select(F.col("item").alias(item), F.col("e").alias(entity), "n")
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """A kept ``df`` that all tasks are sent, if it has few rows."""
+    return F.broadcast(df) if df.count() <= SENT else df
+
+
+def _pairs(sets: DataFrame, rows: int) -> DataFrame:
+    """(a, b, item): pairs a < b of each item's entities, which are one list, by (item, e)."""
+    lists = in_tasks(sets.select("item", "e"), rows, "item").groupBy("item").agg(F.collect_set("e").alias("es"))
+    return lists.withColumn("a", F.explode("es")).withColumn("b", F.explode(F.filter("es", lambda x: x > F.col("a")))).select("a", "b", "item")
 
 
-def _met(df: DataFrame, item: str, entity: str, heavy: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, item): pairs and the light items they meet in, a pair's rows in one task; and the kept rows (item, e, n) of heavy items.
+def _met(df: DataFrame, item: str, entity: str, heavy: int) -> tuple[DataFrame, DataFrame, int]:
+    """(a, b, item): pairs and the light items they meet in; the kept rows (item, e, n) of heavy items; and the number of pairs' rows, or
+    somewhat more where rows repeat.
 
-    Rows are dealt by item, and pairs by themselves, over as many tasks as their number needs; rows of heavy items are not dealt by them.
+    Items are counted first: rows of light ones are moved once, to their item, over as many tasks as their number needs, and a light item's
+    entities, ``heavy`` at most, are one list. Only rows of items with more rows than ``heavy`` are made distinct, before they are moved.
     """
-    rows = _rows(df, entity, item)
-    sets = kept(in_tasks(rows, rows.count(), "e", "item").distinct())
-    sizes = kept(sets.groupBy("item").agg(F.count("*").alias("n")).filter(F.col("n") > heavy))
-    hot = kept(sets.join(sizes, "item"))
-    light = in_tasks(sets.join(sizes.select("item"), "item", "left_anti"), sets.count(), "item")
-    met = kept(light.withColumnRenamed("e", "a").join(light.withColumnRenamed("e", "b"), "item").filter("a < b").select("a", "b", "item"))
-    return in_tasks(met, met.count(), "a", "b"), hot
+    rows, c = _rows(df, entity, item), F.col("c")
+    counts = rows.groupBy("item").agg(F.count("*").alias("c")).withColumn("item", F.when(c > heavy, F.col("item")))
+    weights = kept(counts.groupBy("item").agg(F.sum("c").alias("n"), F.sum(c * (c - 1)).alias("ends")))
+    few = weights.filter("item IS NULL").first()
+    many = _few(weights.filter("item IS NOT NULL").select("item"))
+    sets = kept(rows.join(many, "item", "left_semi").distinct())
+    sizes = kept(sets.groupBy("item").agg(F.count("*").alias("n")))
+    hot = kept(sets.join(_few(sizes.filter(F.col("n") > heavy)), "item"))
+    n = F.col("n")
+    back = sizes.filter(n <= heavy).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(n * (n - 1)), F.lit(0)).alias("ends")).first()
+    light = rows.join(many, "item", "left_anti").unionByName(sets.join(_few(sizes.filter(n <= heavy).select("item")), "item", "left_semi"))
+    return _pairs(light, back.n + (few.n if few else 0)), hot, (back.ends + (few.ends if few else 0)) // 2
 
 
 def _shared_heavy(pairs: DataFrame, hot: DataFrame) -> DataFrame:
